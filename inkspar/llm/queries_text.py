@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspar.llm import simhash
+from inkspar.llm import bpe, simhash, tokens
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,5 +18,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op3_simhash": op3_simhash}
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = tokens.write(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return tokens.read(spark, files)
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe.digest_column(F.col("text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return documents(spark, sf_dir).select("doc_id", found.alias("x")).select("doc_id", "x.n_tokens", "x.ids_sha256", "x.decoded_sha256")
+
+
+QUERIES = {"op3_simhash": op3_simhash, "op6_tokens": op6_tokens, "op8_bpe": op8_bpe}
 ORACLES: dict[str, str] = {}
