@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspar.llm import bpe, simhash, tokens
+from inkspar.llm import bpe, langid, simhash, tokens
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,13 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", held_out.alias("held_out"))
+    model = langid.train(docs.filter("NOT held_out"))
+    return langid.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = tokens.write(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return tokens.read(spark, files)
@@ -28,5 +35,5 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", found.alias("x")).select("doc_id", "x.n_tokens", "x.ids_sha256", "x.decoded_sha256")
 
 
-QUERIES = {"op3_simhash": op3_simhash, "op6_tokens": op6_tokens, "op8_bpe": op8_bpe}
+QUERIES = {"op3_simhash": op3_simhash, "op5_langid": op5_langid, "op6_tokens": op6_tokens, "op8_bpe": op8_bpe}
 ORACLES: dict[str, str] = {}
