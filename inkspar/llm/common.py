@@ -63,3 +63,20 @@ def range_bucket(key: Column, bounds: list[int]) -> Column:
         return F.coalesce(F.size(F.filter(fine, lambda b: b <= key)), F.lit(0))
     at = F.size(F.filter(coarse, lambda b: b <= key)) * step
     return F.when(key.isNull(), F.lit(0)).otherwise(at + F.size(F.filter(F.slice(fine, at + 1, F.lit(step)), lambda b: b <= key)))
+
+
+def frequent_floor(counts: DataFrame, n_col: str, most: int) -> int:
+    """The least count such that at most ``most`` rows have it or more.
+
+    Rows are counted in bands of counts, 32 to each doubling, so the driver gets a few hundred rows
+    however many there are, and no task sorts them.
+    """
+    band = F.floor(F.log2(n_col) * 32)
+    bands = counts.filter(F.col(n_col) > 0).groupBy(band.alias("band")).agg(F.count("*").alias("rows"), F.min(n_col).alias("least"))
+    total, floor = 0, None
+    for r in sorted(bands.collect(), key=lambda r: -r["band"]):
+        total += r["rows"]
+        if total > most:
+            break
+        floor = r["least"]
+    return floor if floor is not None else (1 << 62)

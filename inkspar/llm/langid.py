@@ -2,8 +2,8 @@
 
 Training counts every word of every labelled text, by language, with partial counts from each batch
 of texts and a sum by (word, language). Character n-grams of all lengths are then counted over the
-different words, weighted by their counts. A model keeps the ``max_words`` most frequent words and the
-``max_grams`` most frequent n-grams of each length; that bounds what is broadcast, while counts and
+different words, weighted by their counts. A model keeps the most frequent
+words, at most ``max_words``, and of each length the most frequent n-grams, at most ``max_grams``; that bounds what is broadcast, while counts and
 totals cover all texts.
 
 A word of the model adds its log frequency in each language. Any other word is scored by the longest
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from inkspar.llm.common import written
+from inkspar.llm.common import frequent_floor, written
 
 UNKNOWN = "und"
 MAX_WORDS, MAX_GRAMS, LONGEST_GRAM = 60_000, 40_000, 4
@@ -153,7 +153,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", m
         own = entries.filter(F.col("size") == size).groupBy("entry").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("n"))
         total = np.array([totals.get((size, x), (0, 0))[0] for x in languages], float)
         kinds = max(totals.get((size, x), (0, 1))[1] for x in languages)
-        for r in own.orderBy(F.desc("n"), "entry").limit(max_words if size == 0 else max_grams).select("entry", "by").collect():
+        most = max_words if size == 0 else max_grams
+        for r in sorted(own.filter(F.col("n") >= frequent_floor(own, "n", most)).select("entry", "by").collect(), key=lambda r: r["entry"]):
             n = np.zeros(len(languages))
             for lang, c in r["by"].items():
                 n[at[lang]] = c

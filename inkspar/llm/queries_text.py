@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspar.llm import bpe, langid, simhash, tokens
+from inkspar.llm import bpe, langid, lm, simhash, tokens
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,5 +35,12 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", found.alias("x")).select("doc_id", "x.n_tokens", "x.ids_sha256", "x.decoded_sha256")
 
 
-QUERIES = {"op3_simhash": op3_simhash, "op5_langid": op5_langid, "op6_tokens": op6_tokens, "op8_bpe": op8_bpe}
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    docs = documents(spark, sf_dir).select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    model, words = lm.train(docs.filter("NOT held_out"))
+    return lm.score(docs, model, words)
+
+
+QUERIES = {"op3_simhash": op3_simhash, "op5_langid": op5_langid, "op6_tokens": op6_tokens, "op8_bpe": op8_bpe, "op9_lm": op9_lm}
 ORACLES: dict[str, str] = {}
