@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspar.llm import chat, sharding
+from inkspar.llm import chat, sharding, warc
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+    found = warc.captures(spark, paths, payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to")
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +23,15 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
-QUERIES = {"op4_sharding": op4_sharding, "op10_chat": op10_chat}
+QUERIES = {"op1_warc": op1_warc, "op4_sharding": op4_sharding, "op10_chat": op10_chat}
 ORACLES = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+        FROM f""",
     "op10_chat": """
         WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
         numbered AS (
