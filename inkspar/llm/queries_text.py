@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspar.llm import bpe, langid, lm, simhash, tokens
+from inkspar.llm import bpe, decontaminate, langid, lm, simhash, tokens
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read(spark, files)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.digest_column(F.col("text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return documents(spark, sf_dir).select("doc_id", found.alias("x")).select("doc_id", "x.n_tokens", "x.ids_sha256", "x.decoded_sha256")
@@ -42,5 +46,5 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, model, words)
 
 
-QUERIES = {"op3_simhash": op3_simhash, "op5_langid": op5_langid, "op6_tokens": op6_tokens, "op8_bpe": op8_bpe, "op9_lm": op9_lm}
+QUERIES = {"op3_simhash": op3_simhash, "op5_langid": op5_langid, "op6_tokens": op6_tokens, "op7_decontaminate": op7_decontaminate, "op8_bpe": op8_bpe, "op9_lm": op9_lm}
 ORACLES: dict[str, str] = {}
