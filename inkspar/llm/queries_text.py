@@ -6,13 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspar.llm import bpe, decontaminate, langid, lm, simhash, tokens
+from inkspar.llm import bpe, decontaminate, langid, lm, simhash, spotsigs, tokens
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spotsigs.compare_edited(documents(spark, sf_dir).select("doc_id", "text"))
+    own, edited, following = F.col("signatures"), F.col("edited_signatures"), F.col("next_signatures")
+    return found.select(
+        "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        spotsigs.digest(own).alias("fingerprint"), spotsigs.digest(edited).alias("edited_fingerprint"), spotsigs.likeness(own, edited).alias("near_edited"), spotsigs.likeness(own, following).alias("near_next"),
+    )
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -46,5 +55,5 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, model, words)
 
 
-QUERIES = {"op3_simhash": op3_simhash, "op5_langid": op5_langid, "op6_tokens": op6_tokens, "op7_decontaminate": op7_decontaminate, "op8_bpe": op8_bpe, "op9_lm": op9_lm}
+QUERIES = {"op2_spotsigs": op2_spotsigs, "op3_simhash": op3_simhash, "op5_langid": op5_langid, "op6_tokens": op6_tokens, "op7_decontaminate": op7_decontaminate, "op8_bpe": op8_bpe, "op9_lm": op9_lm}
 ORACLES: dict[str, str] = {}
