@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,8 +36,11 @@ MAGIC = b"INKTOK01"
 SAMPLE = 256
 #: A file ends when it has this many ids.
 FILE_IDS = 1 << 26
-#: Remembered chunks between white space, in each worker, and the longest that is remembered.
-CACHED, CACHED_CHARS = 400_000, 64
+#: Remembered chunks between white space, in each worker (about 200 MB when full), and the longest that is remembered.
+CACHED, CACHED_CHARS = 1_000_000, 64
+#: Texts that are encoded together, by characters.
+TOGETHER = 2_000_000
+_STOP = re.compile(rb"(?<=[a-z])(?=[.,](?:[ \t-\r]|$))")
 _ONES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1)
 
 
@@ -164,9 +168,12 @@ class TokenFile:
 
 
 class ChunkEncoder:
-    """Encodes with a tokenizer whose pre-tokenizer never joins text across white space.
+    """Encodes with a tokenizer that lower-cases, never joins text across white space and marks the last token of each piece.
 
-    Each chunk between ASCII white space is encoded by the library; recent chunks' ids are remembered.
+    Chunks between ASCII white space are encoded by the library, each once while it is remembered; a
+    full stop or comma after a letter and before white space is a piece of its own there, so it is cut
+    off first. Chunks of letters only are one piece each and go to the library joined by spaces; the
+    marks of last tokens part the ids again.
     """
 
     def __init__(self, path: str):
@@ -175,21 +182,51 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = "<u2" if size <= 1 << 16 else "<u4"
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.cache: dict[bytes, bytes] = {}
 
-    def ids(self, text: str) -> bytes:
-        cache, chunks = self.cache, text.encode("utf-8", "replace").split()
-        found = [cache.get(c) for c in chunks]
-        if None in found:
-            missing = list({c for c, f in zip(chunks, found, strict=True) if f is None})
-            made = self.tokenizer.encode_batch([c.decode() for c in missing], add_special_tokens=False)
-            new = {c: np.array(e.ids, self.dtype).tobytes() for c, e in zip(missing, made, strict=True)}
-            found = [new[c] if f is None else f for c, f in zip(chunks, found, strict=True)]
-            if len(cache) + len(new) > CACHED:
-                cache.clear()
-            cache.update((c, x) for c, x in new.items() if len(c) <= CACHED_CHARS)
-        return b"".join(found)
+    @staticmethod
+    def chunks(text: str) -> list[bytes]:
+        data = text.encode("utf-8", "replace")
+        if b"\xcc" not in data and b"\xcd" not in data:
+            # a combining mark could compose with the small letter only, so such texts keep their case
+            data = data.lower()
+        return _STOP.sub(b" ", data).split()
+
+    def _encode(self, chunks: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        whole, other = [], []
+        for c in chunks:
+            (whole if c.decode().isalpha() else other).append(c)
+        for at in range(0, len(whole), 4096):
+            part = whole[at : at + 4096]
+            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, self.dtype)
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(part):
+                other += part
+                continue
+            size, data, first = ids.itemsize, ids.tobytes(), 0
+            for c, end in zip(part, cuts.tolist(), strict=True):
+                yield c, data[first * size : end * size]
+                first = end
+        made = self.tokenizer.encode_batch([c.decode() for c in other], add_special_tokens=False)
+        for c, e in zip(other, made, strict=True):
+            yield c, np.array(e.ids, self.dtype).tobytes()
+
+    def batch(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as bytes."""
+        cut = [self.chunks(x) for x in texts]
+        missing = set().union(*cut).difference(self.cache)
+        if len(self.cache) + len(missing) > CACHED:
+            self.cache.clear()
+            missing = set().union(*cut)
+        self.cache.update(self._encode(list(missing)))
+        found = [b"".join(map(self.cache.__getitem__, c)) for c in cut]
+        for c in missing:
+            if len(c) > CACHED_CHARS:
+                del self.cache[c]
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -197,6 +234,19 @@ def chunk_encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], encode: ChunkEncoder) -> Iterator[tuple[int | None, bytes]]:
+    for b in batches:
+        doc_ids, texts, size = [], [], 0
+        for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            doc_ids.append(doc_id)
+            texts.append(text.as_py() or "")
+            size += len(texts[-1])
+            if size >= TOGETHER:
+                yield from zip(doc_ids, encode.batch(texts), strict=True)
+                doc_ids, texts, size = [], [], 0
+        yield from zip(doc_ids, encode.batch(texts), strict=True)
+
+
 _FILES = "path string, null_ids boolean, first_id bigint, seq int, documents bigint, ids bigint"
 
 
@@ -207,14 +257,14 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context, encode = TaskContext.get(), chunk_encoder(tokenizer_path)
         end = np.array([end_id], encode.dtype).tobytes()
-        rows = ((i, t) for b in batches for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True))
+        rows = _encoded(batches, encode)
         row, seq = next(rows, None), 0
         while row is not None:
             uri, first = f"{folder}/{context.partitionId():06d}-{seq:06d}.tok", row[0]
             with replacing(uri, context.taskAttemptId()) as out:
                 file = Writer(out, encode.dtype)
                 while row is not None and file.total < file_ids:
-                    file.add(row[0], encode.ids(row[1].as_py() or "") + end)
+                    file.add(row[0], row[1] + end)
                     row = next(rows, None)
                 file.close()
             yield pa.RecordBatch.from_pylist([{"path": uri, "null_ids": first is None, "first_id": first, "seq": seq, "documents": len(file.doc_ids), "ids": file.total}], _ARROW)
