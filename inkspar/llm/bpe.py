@@ -20,11 +20,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 #: Remembered matches of the split pattern, in each worker, and the longest that is remembered.
 CACHED, CACHED_BYTES = 400_000, 64
@@ -47,7 +49,8 @@ class Encoder:
         for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
             self.parts[rank] = self._split(token, rank)
         self.known.clear()
-        self.cache = _Pieces(self)
+        self.cache = _Pieces(self, lambda ids: " ".join(map(str, ids)))
+        self.packed = _Pieces(self, lambda ids: np.array(ids, np.int32).tobytes())
 
     def _split(self, token: bytes, rank: int) -> tuple[int, int]:
         """The two tokens whose merge gives the token; (rank, rank) if no merge of lower ranks ends in two."""
@@ -135,27 +138,31 @@ class Encoder:
         """The decimal ids of a whole text, joined by spaces."""
         return " ".join(map(self.cache.__getitem__, self.pattern.findall(text)))
 
+    def ids_array(self, text: str) -> np.ndarray:
+        """The ids of a whole text."""
+        return np.frombuffer(b"".join(map(self.packed.__getitem__, self.pattern.findall(text))), np.int32)
+
     def encode(self, text: str) -> list[int]:
-        return list(map(int, self.ids_text(text).split()))
+        return self.ids_array(text).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.token[i] for i in ids])
 
 
 class _Pieces(dict):
-    """Decimal ids by match of the pattern; a missing one is encoded, and remembered if short."""
+    """What a match of the pattern is encoded to; a missing one is encoded, and remembered if short."""
 
-    def __init__(self, own: Encoder):
-        self.own = own
+    def __init__(self, own: Encoder, form):
+        self.own, self.form = own, form
 
-    def __missing__(self, piece: str) -> str:
+    def __missing__(self, piece: str):
         data = piece.encode("utf-8", "surrogatepass")
-        ids = " ".join(map(str, self.own.encode_bytes(data)))
+        found = self.form(self.own.encode_bytes(data))
         if len(data) <= CACHED_BYTES:
             if len(self) >= CACHED:
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[piece] = found
+        return found
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -170,34 +177,36 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(read_ranks(path), pattern)
 
 
-_ENCODED = StructType([StructField("ids", StringType()), StructField("n_tokens", LongType())])
 _DIGESTS = StructType([StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
 
 
 def encode_column(text: Column, path: str, pattern: str) -> Column:
-    """Struct (ids: decimal, space-joined; n_tokens). A null text is as an empty one: no ids.
+    """The ids, an array of int; empty for a null text.
 
     The rank file must be at the same path on all executors, as an installed package's files are.
     """
 
-    @F.pandas_udf(_ENCODED)
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(ArrayType(IntegerType()))
+    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoder(path, pattern)
         for texts in batches:
-            ids = [own.ids_text(x or "") for x in texts]
-            yield pd.DataFrame({"ids": ids, "n_tokens": [x.count(" ") + bool(x) for x in ids]})
+            ids = [own.ids_array(x.as_py() or "") for x in texts]
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
+            if ends[-1] >= 1 << 31:
+                raise ValueError("a batch has more ids than an array column can hold; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
 
     return encoded(text)
 
 
 def decode_column(ids: Column, path: str, pattern: str) -> Column:
-    """The bytes of space-joined ids."""
+    """The bytes of ids, which are an array of int; a null array gives null."""
 
-    @F.pandas_udf("binary")
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = {str(r): t for r, t in encoder(path, pattern).token.items()}
+    @F.arrow_udf(BinaryType())
+    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = encoder(path, pattern)
         for rows in batches:
-            yield pd.Series([b"".join([table[i] for i in (x or "").split()]) for x in rows])
+            yield pa.array([None if x is None else own.decode(x) for x in rows.to_pylist()], pa.binary())
 
     return decoded(ids)
 
@@ -226,6 +235,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text") ->
     Defined results: null and empty texts have no ids; an empty table stays empty; every other column,
     of whatever name, stays as it is, but ids and n_tokens are replaced.
     """
-    out = docs.withColumn("__encoded", encode_column(F.col(text_col), path, pattern))
-    ids = F.when(F.col("__encoded.n_tokens") == 0, F.array().cast("array<int>")).otherwise(F.split("__encoded.ids", " ").cast("array<int>"))
-    return out.withColumn("ids", ids).withColumn("n_tokens", F.col("__encoded.n_tokens")).drop("__encoded")
+    return docs.withColumn("ids", encode_column(F.col(text_col), path, pattern)).withColumn("n_tokens", F.size("ids").cast("bigint"))
+
+
+def decode(docs: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
+    """docs with the column decoded (binary)."""
+    return docs.withColumn("decoded", decode_column(F.col(ids_col), path, pattern))

@@ -31,9 +31,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 EDITS = 0.2
 MIN_WORDS = 5
@@ -303,31 +305,29 @@ def _finder(shared):
     return find
 
 
-def contaminated_column(text, benchmark: DataFrame, item_id_col: str = "item_id", item_text_col: str = "text", edits: float = EDITS, min_words: int = MIN_WORDS, block_chars: int = BLOCK_CHARS):
-    """Whether a text has a passage that matches an item: a boolean column, for filtering rows with all their columns."""
-    import pandas as pd
+def _flagger(shared):
+    @F.pandas_udf(BooleanType())
+    def has(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            flags, cuts, size = np.zeros(len(texts), bool), [0], 0
+            for i, x in enumerate(texts, 1):
+                size += len(x or "") // 6
+                if size >= TOGETHER or i == len(texts):
+                    cuts.append(i)
+                    size = 0
+            for at, end in zip(cuts, cuts[1:], strict=False):
+                for d, *_ in matches_in(shared.value, list(texts[at:end])):
+                    flags[at + d] = True
+            yield pd.Series(flags)
+
+    return has
 
-    spark = benchmark.sparkSession
+
+def contaminated_column(text: Column, benchmark: DataFrame, item_id_col: str = "item_id", item_text_col: str = "text", edits: float = EDITS, min_words: int = MIN_WORDS, block_chars: int = BLOCK_CHARS) -> Column:
+    """Whether a text has a passage that matches an item: a boolean column, for filtering rows with all their columns."""
     flags = F.lit(False)
     for block in item_blocks(benchmark, item_id_col, item_text_col, edits, min_words, block_chars):
-        shared = spark.sparkContext.broadcast(block)
-
-        @F.pandas_udf("boolean")
-        def has(batches: Iterator[pd.Series], shared=shared) -> Iterator[pd.Series]:
-            for texts in batches:
-                flag, size, at = np.zeros(len(texts), bool), 0, 0
-                cuts = [0]
-                for i, x in enumerate(texts):
-                    size += len(x or "") // 6
-                    if size >= TOGETHER:
-                        cuts.append(i + 1)
-                        size = 0
-                for at, end in zip(cuts, [*cuts[1:], len(texts)], strict=True):
-                    for d, *_ in matches_in(shared.value, list(texts[at:end])):
-                        flag[at + d] = True
-                yield pd.Series(flag)
-
-        flags = flags | has(text)
+        flags = flags | _flagger(benchmark.sparkSession.sparkContext.broadcast(block))(text)
     return flags
 
 
