@@ -7,8 +7,8 @@ words, at most ``max_words``, and of each length the most frequent n-grams, at m
 totals cover all texts.
 
 A word of the model adds its log frequency in each language. Any other word is scored by the longest
-n-grams, with word borders marked, of which the model has at least one; the mean of the known ones'
-log frequencies, less a constant for the unknown, stands for the word. A text gets the language with the
+n-grams, with word borders marked, of which the model has at least one: the mean of the known ones'
+log frequencies stands for the word (a word without any says nothing). A text gets the language with the
 largest sum, and as score that language's share after a softmax of the sums divided by the root of
 the number of words, from 0 to 1.
 
@@ -57,12 +57,11 @@ def grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class Model:
-    """languages in order of name; tables[0] words, tables[n] n-grams: index of each entry's row in logs; floor: a log frequency for none."""
+    """languages in order of name; tables[0] words, tables[n] n-grams: index of each entry's row in logs."""
 
     languages: list[str]
     tables: list[dict[str, int]]
     logs: np.ndarray
-    floors: np.ndarray
 
     def scorer(self) -> Scorer:
         return Scorer(self)
@@ -72,42 +71,36 @@ class Scorer:
     def __init__(self, model: Model):
         self.m, self.cache = model, {}
 
-    def _backoff(self, word: str) -> np.ndarray:
-        m = self.m
+    def grams(self, word: str) -> list[int]:
+        """The rows of the longest known n-grams of a word outside the model; none if even its letters are unknown."""
         for n in range(min(LONGEST_GRAM, len(word) + 2), 0, -1):
-            table = m.tables[n]
-            found = [table[g] for g in grams(word, n) if g in table]
-            if found:
-                return m.logs[found].mean(0) + m.floors[0]
-        return np.full(len(m.languages), m.floors[0])
-
-    def word(self, word: str) -> np.ndarray:
-        at = self.m.tables[0].get(word)
-        if at is not None:
-            return self.m.logs[at]
-        found = self.cache.get(word)
-        if found is None:
-            found = self._backoff(word)
-            if len(word) <= WORD_CHARS:
-                if len(self.cache) >= CACHED:
-                    self.cache.clear()
-                self.cache[word] = found
-        return found
+            table = self.m.tables[n]
+            if found := [table[g] for g in grams(word, n) if g in table]:
+                return found
+        return []
 
     def predict(self, text: str | None) -> tuple[str, float]:
         found = Counter(words(text or ""))
         if not found or not self.m.languages:
             return UNKNOWN, 0.0
-        known, weights, total, table = [], [], np.zeros(len(self.m.languages)), self.m.tables[0]
+        rows, weights, table, cache = [], [], self.m.tables[0], self.cache
         for w, c in found.items():
             at = table.get(w)
-            if at is None:
-                total = total + c * self.word(w)
-            else:
-                known.append(at)
+            if at is not None:
+                rows.append(at)
                 weights.append(c)
-        if known:
-            total = total + np.array(weights, float) @ self.m.logs[known]
+                continue
+            own = cache.get(w)
+            if own is None:
+                own = self.grams(w)
+                if len(w) <= WORD_CHARS:
+                    if len(cache) >= CACHED:
+                        cache.clear()
+                    cache[w] = own
+            if own:
+                rows += own
+                weights += [c / len(own)] * len(own)
+        total = np.array(weights, np.float64) @ self.m.logs[rows] if rows else np.zeros(len(self.m.languages))
         best = int(total.argmax())
         scaled = (total - total[best]) / math.sqrt(found.total())
         return self.m.languages[best], float(1 / np.exp(scaled).sum())
@@ -160,7 +153,7 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", m
                 n[at[lang]] = c
             tables[size][r["entry"]] = len(logs)
             logs.append(np.log((n + SMOOTH) / (total + SMOOTH * kinds)).astype(np.float32))
-    return Model(languages, tables, np.array(logs) if logs else np.zeros((0, 1), np.float32), np.array([-2.0]))
+    return Model(languages, tables, np.array(logs) if logs else np.zeros((0, 1), np.float32))
 
 
 _PREDICTED = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
