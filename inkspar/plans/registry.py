@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from inkspar.plans import search
+from inkspar.plans import audits, captures, pages, relational, search, texts
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
-for _module in (search,):
-    QUERIES |= _module.QUERIES
-    ORACLES |= _module.ORACLES
+for _module in (search, texts, captures, relational, audits, pages):
+    QUERIES |= _module.PLANS.queries
+    ORACLES |= _module.PLANS.oracles

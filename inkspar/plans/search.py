@@ -2,32 +2,58 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkspar.functions.text import contains_ascii_insensitive
+from inkspar.plans.base import Plans
 from inkspar.plans.tables import table
 
+PLANS = Plans()
+
+VIEW_SQL = """
+    SELECT 'document' AS kind, doc_id AS owner_id, CAST(0 AS BIGINT) AS place, text AS body FROM documents
+    UNION ALL SELECT 'turn', conv_id, turn, text FROM conversations
+    UNION ALL SELECT 'page', page_id, CAST(0 AS BIGINT), url FROM pages
+    UNION ALL SELECT 'part', p_partkey, CAST(0 AS BIGINT), p_name || chr(10) || coalesce(p_type, '') FROM part
+    UNION ALL SELECT 'item', item_id, CAST(0 AS BIGINT), text FROM benchmark"""
+
+
+def view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(kind, owner_id, place, body) of five tables."""
+
+    def part(name: str, kind: str, owner: str, body, place=None) -> DataFrame:
+        return table(spark, sf_dir, name).select(F.lit(kind).alias("kind"), F.col(owner).alias("owner_id"), (F.lit(0) if place is None else F.col(place)).cast("bigint").alias("place"), body.alias("body"))
+
+    lines = F.concat(F.col("p_name"), F.chr(F.lit(10)), F.coalesce("p_type", F.lit("")))
+    return reduce(DataFrame.unionByName, [part("documents", "document", "doc_id", F.col("text")), part("conversations", "turn", "conv_id", F.col("text"), "turn"), part("pages", "page", "page_id", F.col("url")), part("part", "part", "p_partkey", lines), part("benchmark", "item", "item_id", F.col("text"))])
+
+
+@PLANS.query(f"""SELECT kind, owner_id, place, CAST(length(body) AS BIGINT) AS body_chars FROM ({VIEW_SQL})
+    WHERE contains(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), 'tion')""")
+def search_documents(spark, sf_dir):
+    found = view(spark, sf_dir).filter(contains_ascii_insensitive(F.col("body"), "TION"))
+    return found.select("kind", "owner_id", "place", F.length("body").cast("bigint").alias("body_chars"))
+
+
+@PLANS.query(f"SELECT owner_id, place, sha256(body) AS body_sha256 FROM ({VIEW_SQL}) WHERE kind = 'turn' AND contains(body, 'the')")
+def search_one_kind(spark, sf_dir):
+    """A filter on kind leaves one branch of the union in the plan."""
+    return view(spark, sf_dir).filter((F.col("kind") == "turn") & F.contains("body", F.lit("the"))).select("owner_id", "place", F.sha2("body", 256).alias("body_sha256"))
+
+
+@PLANS.query(f"SELECT kind, count(*) AS n_rows, count(DISTINCT body) AS n_bodies FROM ({VIEW_SQL}) GROUP BY kind")
+def archive_search_documents(spark, sf_dir):
+    return view(spark, sf_dir).groupBy("kind").agg(F.count("*").alias("n_rows"), F.countDistinct("body").alias("n_bodies"))
+
+
+@PLANS.query("SELECT p_partkey, p_name FROM part WHERE translate(p_name, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') LIKE '%ed%'")
+def filter_like(spark, sf_dir):
+    return table(spark, sf_dir, "part").filter(contains_ascii_insensitive(F.col("p_name"), "ED")).select("p_partkey", "p_name")
+
 
-def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select(
-        F.lit("document").alias("kind"), F.col("doc_id").alias("owner_id"), F.lit(0).cast("bigint").alias("position"), F.col("text").alias("body")
-    )
-    turns = table(spark, sf_dir, "conversations").select(
-        F.lit("turn").alias("kind"), F.col("conv_id").alias("owner_id"), F.col("turn").alias("position"), F.col("text").alias("body")
-    )
-    parts = table(spark, sf_dir, "part").select(
-        F.lit("part").alias("kind"), F.col("p_partkey").alias("owner_id"), F.lit(0).cast("bigint").alias("position"), F.concat(F.col("p_name"), F.lit("\n"), F.col("p_type")).alias("body")
-    )
-    found = documents.unionByName(turns).unionByName(parts).filter(F.translate("body", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").like("%tion%"))
-    return found.select("kind", "owner_id", "position", F.length("body").cast("bigint").alias("body_chars"))
-
-
-QUERIES = {"search_documents": search_documents}
-ORACLES = {
-    "search_documents": """
-        SELECT kind, owner_id, position, CAST(length(body) AS BIGINT) AS body_chars FROM (
-            SELECT 'document' AS kind, doc_id AS owner_id, CAST(0 AS BIGINT) AS position, text AS body FROM documents
-            UNION ALL SELECT 'turn', conv_id, turn, text FROM conversations
-            UNION ALL SELECT 'part', p_partkey, CAST(0 AS BIGINT), p_name || chr(10) || p_type FROM part)
-        WHERE translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') LIKE '%tion%'""",
-}
+@PLANS.query("SELECT p_partkey, p_size, p_name FROM part WHERE p_size = 4 ORDER BY p_partkey")
+def filter_level(spark, sf_dir):
+    return table(spark, sf_dir, "part").filter("p_size = 4").select("p_partkey", "p_size", "p_name").orderBy("p_partkey")
