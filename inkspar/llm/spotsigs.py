@@ -100,10 +100,11 @@ def with_next(docs: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
     also = F.struct(F.col("__target").alias("at"), F.lit(1).alias("copy"))
     places = F.when(F.col("__target").isNull(), F.array(own)).otherwise(F.array(own, also))
     placed = dealt.join(F.broadcast(copies), F.col(id_col).eqNullSafe(F.col("__head")), "left").withColumn("__place", F.explode(places))
-    order = Window.partitionBy("__place.at").orderBy("__place.copy", F.desc_nulls_last(id_col), *[F.xxhash64(c) for c in cols])
-    for c in cols:
-        placed = placed.withColumn(f"next_{c}", F.lead(c).over(order))
-    return placed.filter("__place.copy = 0").drop("__range", "__head", "__target", "__place")
+    # plain columns for the window, so that all columns are looked up in one window behind one exchange
+    placed = placed.select(*docs.columns, F.col("__place.at").alias("__at"), F.col("__place.copy").alias("__copy"), F.xxhash64(*cols).alias("__tie"))
+    order = Window.partitionBy("__at").orderBy("__copy", F.desc_nulls_last(id_col), "__tie")
+    found = placed.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in cols])
+    return found.filter("__copy = 0").drop("__at", "__copy", "__tie")
 
 
 def edited(text: Column, following: Column) -> Column:
