@@ -38,6 +38,7 @@ def body(compressed: bytes, length: int, original: str, timestamp: str, digest:
     except zlib.error as error:
         raise ValueError("not a gzip member") from error
     need(len(raw) <= max_member, "size of the member")
+    need(unpack.eof, "the member ends early")
     head, gap, rest = raw.partition(b"\r\n\r\n")
     version, *lines = head.decode("utf-8").split("\r\n")
     record = _fields(lines)
