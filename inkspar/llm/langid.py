@@ -6,7 +6,8 @@ different words, weighted by their counts. A model keeps the most frequent
 words, at most ``max_words``, and of each length the most frequent n-grams, at most ``max_grams``; that bounds what is broadcast, while counts and
 totals cover all texts.
 
-A word of the model adds its log frequency in each language. Any other word is scored by the longest
+A word of the model adds its log frequency in each language, where a language borrows ``PRIOR`` counts
+from the frequencies over all languages, so that one with few texts isn't favoured by words it lacks. Any other word is scored by the longest
 n-grams, with word borders marked, of which the model has at least one: the mean of the known ones'
 log frequencies stands for the word (a word without any says nothing). A text gets the language with the
 largest sum, and as score that language's share after a softmax of the sums divided by the root of
@@ -40,7 +41,8 @@ MAX_WORDS, MAX_GRAMS, LONGEST_GRAM = 60_000, 40_000, 4
 HELD = 300_000
 #: Longer words (strings without a space) are scored by their n-grams only.
 WORD_CHARS = 40
-SMOOTH = 0.5
+#: Counts that each language borrows from all languages together.
+PRIOR = 10.0
 #: Remembered scores of words outside the model, in each worker.
 CACHED = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -137,22 +139,21 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", m
     of_words = counted.select(F.lit(0).alias("size"), F.col("word").alias("entry"), "lang", "n")
     of_grams = counted.select("lang", "n", F.explode(F.concat(*pieces)).alias("p")).select("p.size", "p.entry", "lang", "n")
     entries = written(of_words.unionByName(of_grams.groupBy("size", "entry", "lang").agg(F.sum("n").alias("n")).select("size", "entry", "lang", "n")), "entries")
-    totals = {(r["size"], r["lang"]): (r["n"], r["kinds"]) for r in entries.groupBy("size", "lang").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect()}
+    totals = {(r["size"], r["lang"]): r["n"] for r in entries.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted({lang for _, lang in totals})
     tables: list[dict[str, int]] = [{} for _ in range(LONGEST_GRAM + 1)]
     logs: list[np.ndarray] = []
     at = {lang: i for i, lang in enumerate(languages)}
     for size in range(LONGEST_GRAM + 1) if languages else []:
         own = entries.filter(F.col("size") == size).groupBy("entry").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("n"))
-        total = np.array([totals.get((size, x), (0, 0))[0] for x in languages], float)
-        kinds = max(totals.get((size, x), (0, 1))[1] for x in languages)
+        total = np.array([totals.get((size, x), 0) for x in languages], float)
         most = max_words if size == 0 else max_grams
         for r in sorted(own.filter(F.col("n") >= frequent_floor(own, "n", most)).select("entry", "by").collect(), key=lambda r: r["entry"]):
             n = np.zeros(len(languages))
             for lang, c in r["by"].items():
                 n[at[lang]] = c
             tables[size][r["entry"]] = len(logs)
-            logs.append(np.log((n + SMOOTH) / (total + SMOOTH * kinds)).astype(np.float32))
+            logs.append(np.log((n + PRIOR * n.sum() / total.sum()) / (total + PRIOR)).astype(np.float32))
     return Model(languages, tables, np.array(logs) if logs else np.zeros((0, 1), np.float32))
 
 
