@@ -95,7 +95,8 @@ def with_next(docs: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
     dealt = docs.withColumn("__range", range_bucket(F.col(id_col), bounds))
     heads = [(r["__range"], r["head"]) for r in dealt.groupBy("__range").agg(F.max(id_col).alias("head")).orderBy(F.desc("__range")).collect()]
     targets = [(head, heads[i - 1][0]) for i, (_, head) in enumerate(heads)]
-    copies = docs.sparkSession.createDataFrame(targets, "__head bigint, __target int")
+    listed = F.array(*[F.struct(F.lit(head).cast("bigint").alias("__head"), F.lit(at).cast("int").alias("__target")) for head, at in targets])
+    copies = docs.sparkSession.range(1).select(F.inline(listed.cast("array<struct<__head: bigint, __target: int>>")))
     own = F.struct(F.col("__range").alias("at"), F.lit(0).alias("copy"))
     also = F.struct(F.col("__target").alias("at"), F.lit(1).alias("copy"))
     places = F.when(F.col("__target").isNull(), F.array(own)).otherwise(F.array(own, also))
