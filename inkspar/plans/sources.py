@@ -217,12 +217,117 @@ def scan_feed_xml(spark, sf_dir):
     return found.select("s_suppkey", F.size("e.items").alias("items"), F.size("e.review_required").alias("held"), F.get("e.items", F.lit(0))["title"].alias("title"))
 
 
-@PLANS.query("SELECT doc_id, sha256(text) AS text_sha256, lang FROM documents")
-def record_yaml(spark, sf_dir):
-    """Every document as a record, written as YAML and read again."""
+@PLANS.query("SELECT doc_id, sha256(text) AS text_sha256, lang, true AS held FROM documents")
+def sink_record_yaml(spark, sf_dir):
+    """Every document as a record in YAML, and read again."""
     rows = table(spark, sf_dir, "documents").select("doc_id", records.dumped(F.to_json(F.struct("text", "lang"))).alias("y"))
     back = rows.select("doc_id", records.loaded(F.col("y")).alias("r"))
-    return back.select("doc_id", F.sha2(F.get_json_object("r.record_json", "$.text"), 256).alias("text_sha256"), F.get_json_object("r.record_json", "$.lang").alias("lang"))
+    return back.select("doc_id", F.sha2(F.get_json_object("r.record_json", "$.text"), 256).alias("text_sha256"), F.get_json_object("r.record_json", "$.lang").alias("lang"), F.col("r.error").isNull().alias("held"))
+
+
+@PLANS.query("SELECT event_id, CASE WHEN event_id % 4 IN (0, 3) THEN event_id END AS id, event_id % 4 IN (1, 2) AS refused FROM events")
+def scan_record_yaml(spark, sf_dir):
+    """Records as text; repeated keys and unquoted dates are refused."""
+    n = F.col("event_id").cast("string")
+    body = F.concat(F.lit("id: "), n, F.when(F.col("event_id") % 4 == 1, F.concat(F.lit("\nid: "), n)).when(F.col("event_id") % 4 == 2, "\nday: 2020-01-01").otherwise("\nday: '2020-01-01'"))
+    rows = table(spark, sf_dir, "events").select("event_id", records.loaded(body).alias("r"))
+    return rows.select("event_id", F.get_json_object("r.record_json", "$.id").cast("bigint").alias("id"), F.col("r.error").isNotNull().alias("refused"))
+
+
+def _two_entries(body: str, key: int) -> dict:
+    return _old_record(body, key)
+
+
+def _pairs(spark, sf_dir) -> DataFrame:
+    """Pages of two entries each, with a list of references that was never closed."""
+    rows = table(spark, sf_dir, "supplier")
+    second = _OLD.replace("{id}", "{other}").replace('<a href="https://creativecommons.org/licenses/by-sa/2.0/">l</a>', "").split("<table><tr><td class=")[0]
+    see = '<div><span class="titleSection">See Also:</span><ul><li><a href="viewOne.php?tagE=a{id}">a</a> one<li><a href="viewOne.php?tagE=b{id}">b</a> two</ul></div>'
+    page = _filled(_OLD + second + see, id=F.col("s_suppkey"), other=F.col("s_suppkey") + 100_000, name=F.col("s_name"), acct=F.col("s_suppkey"), nation=F.col("s_nationkey"), category=F.lit("grammar"))
+    parsed = rows.select("s_suppkey", pages.attempted(_two_entries, page, F.col("s_suppkey")).alias("r"))
+    one = "id: bigint, page_entry_position: int, title: string, sections: array<struct<kind: string, text: string>>, related_entries: array<struct<target_label: string, annotation_text: string>>"
+    schema = one.replace(": ", " ", 1).replace("page_entry_position: ", "page_entry_position ").replace("title: ", "title ").replace("sections: ", "sections ").replace("related_entries: ", "related_entries ")
+    return parsed.select("s_suppkey", F.from_json("r.record_json", f"{schema}, additional_entries array<struct<{one}>>").alias("e")).select("s_suppkey", "e.*")
+
+
+@PLANS.query("SELECT s_suppkey, s_suppkey + CASE place WHEN 1 THEN 100000 ELSE 0 END AS id, place, s_name AS title FROM supplier, (SELECT unnest([0, 1])::INTEGER AS place)")
+def split_multi_entry(spark, sf_dir):
+    found = _pairs(spark, sf_dir)
+    flat = normalize.expand_components(found, "additional_entries", "s_suppkey", [])
+    return flat.select(F.col("page_key").alias("s_suppkey"), "id", F.col("page_entry_position").alias("place"), "title")
+
+
+@PLANS.query("SELECT s_suppkey, 'a' || CAST(s_suppkey AS VARCHAR) AS target, 'a one' AS annotation FROM supplier UNION ALL SELECT s_suppkey, 'b' || CAST(s_suppkey AS VARCHAR), 'b two' FROM supplier")
+def extract_relationships(spark, sf_dir):
+    rows = _pairs(spark, sf_dir).select("s_suppkey", F.explode("related_entries").alias("r"))
+    return rows.select("s_suppkey", F.col("r.target_label").alias("target"), F.col("r.annotation_text").alias("annotation"))
+
+
+@PLANS.query("SELECT s_suppkey, s_name || ' [' || s_suppkey || '] (l' || s_suppkey || ')Category grammar' || chr(10) || 'JLPT Level: ' || s_nationkey AS body_text FROM supplier")
+def header_section(spark, sf_dir):
+    return _pairs(spark, sf_dir).select("s_suppkey", F.get("sections", F.lit(0))["text"].alias("body_text"))
+
+
+@PLANS.query("SELECT page_id, page_id % 2 = 0 AS stated FROM pages")
+def no_entry_page(spark, sf_dir):
+    """Pages that say, in any of a label's encodings, that there is no such entry."""
+
+    def stated(rows: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for bodies, labels in rows:
+            yield pd.Series([legacy_pages.no_entry(b.encode("cp932"), x, f"http://old.example.org/view.php?tagE={x}") for b, x in zip(bodies, labels, strict=True)])
+
+    label = F.concat(F.lit("て"), F.col("page_id").cast("string"))
+    shown = F.when(F.col("page_id") % 2 == 0, label).otherwise(F.concat(label, F.lit("x")))
+    body = F.concat(F.lit("No entry exists for "), shown, F.lit(" - <a href='addGrammar.php'>click here</a> to add one"))
+    return table(spark, sf_dir, "pages").select("page_id", F.pandas_udf(stated, "boolean")(body, label).alias("stated"))
+
+
+@PLANS.query("SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'equal' WHEN 1 THEN 'differs' ELSE 'unknown' END AS outcome FROM pages")
+def digest_gate(spark, sf_dir):
+    """A page's own digest against its index's, where that has one."""
+    from inkspar.operators.captures import DIGEST, sha1_base32
+
+    own = sha1_base32(F.col("html").cast("binary"))
+    rows = table(spark, sf_dir, "pages").select("page_id", own.alias("own"))
+    listed = F.when(F.col("page_id") % 3 == 0, F.col("own")).when(F.col("page_id") % 3 == 1, "A" * 32).otherwise("-")
+    return rows.withColumn("listed", listed).select("page_id", F.when(~F.col("listed").rlike(DIGEST), "unknown").when(F.col("own") == F.col("listed"), "equal").otherwise("differs").alias("outcome"))
+
+
+@PLANS.query("SELECT page_id, page_id % 3 = 0 AS equal FROM pages")
+def latest_equivalent(spark, sf_dir):
+    """Whether a body is that of its label's newest capture, by digest and index."""
+    from inkspar.operators.captures import equals_latest, sha1_base32
+
+    base = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("label"), F.lit("2").alias("timestamp"), F.lit("o").alias("original"), F.lit("u").alias("archive_url"), F.col("html").cast("binary").alias("body"))
+    index = base.withColumn("digest", F.when(F.col("page_id") % 3 == 1, "-").otherwise(sha1_base32(F.col("body")))).drop("body")
+    bodies = base.withColumn("archive_url", F.when(F.col("page_id") % 3 == 2, "other").otherwise(F.col("archive_url")))
+    return equals_latest(bodies, index).select("page_id", "equal")
+
+
+@PLANS.query("SELECT doc_id, doc_id % 3 = 0 AS allowed FROM documents")
+def managed_page_path(spark, sf_dir):
+    n = (F.col("doc_id") + 1).cast("string")
+    path = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("n1/"), n, F.lit(".md"))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit("n1/../"), n, F.lit(".md"))).otherwise(F.concat(F.lit("n9/"), n, F.lit(".md")))
+    return table(spark, sf_dir, "documents").select("doc_id", sinks.page_allowed(path).alias("allowed"))
+
+
+@PLANS.query("SELECT doc_id, CAST(CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 2 END AS INTEGER) AS kept, doc_id % 3 = 1 AS crossing FROM documents")
+def decoding_omission_overlap(spark, sf_dir):
+    """Repairs inside an omitted range go, those outside stay, one across its border holds the page."""
+    at = F.when(F.col("doc_id") % 3 == 0, 20).when(F.col("doc_id") % 3 == 1, 8).otherwise(200)
+    repairs = F.array(*[F.struct(F.lit(a).alias("byte_offset") if isinstance(a, int) else a.alias("byte_offset"), F.lit(5).alias("byte_length")) for a in (0, at)])
+    rows = table(spark, sf_dir, "documents").select("doc_id", repairs.alias("r"))
+    cross = omissions.crossing(F.col("r"), F.lit(10), F.lit(100))
+    return rows.select("doc_id", F.when(cross, 2).otherwise(F.size(omissions.outside(F.col("r"), F.lit(10), F.lit(100)))).alias("kept"), cross.alias("crossing"))
+
+
+@PLANS.query("SELECT 'unclassified' AS kind, count(*) AS n_rows FROM part")
+def unclassified_cards(spark, sf_dir):
+    """A card outside all known blocks is kept as a section of its own."""
+    stray = F.concat(F.col("html"), F.lit('<div class="GrammarPartDiv" id="q">stray</div>'))
+    parsed = entry_pages(spark, sf_dir).select(pages.entry_column(stray, F.col("p_partkey"), F.lit("now"), SITE).alias("r"))
+    kinds = parsed.select(F.explode(F.from_json(F.get_json_object("r.record_json", "$.sections"), "array<struct<kind: string>>")).alias("s"))
+    return kinds.filter("s.kind = 'unclassified'").groupBy(F.col("s.kind").alias("kind")).agg(F.count("*").alias("n_rows"))
 
 
 @PLANS.query("SELECT page_id, page_id % 3 AS kind, CASE WHEN page_id % 3 = 2 THEN 'utf-8' END AS repaired, CASE page_id % 3 WHEN 0 THEN 'shift_jis' ELSE 'cp932' END AS encoding FROM pages")

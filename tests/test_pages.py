@@ -96,6 +96,24 @@ def test_several_entries_and_gates():
     assert legacy_pages.page(body(legacy().replace("<b>Category</b> <i>grammar</i>", "")), CAPTURE, rules)["membership_review"]["decision"] == "grammar"
 
 
+def test_reviewed_omission():
+    cell = '<div><span class="titleSection">Tutorial:</span> long text</div>'
+    body = (legacy() + cell + LICENCE).encode()
+    at = body.index(cell.encode())
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    review = {"response_sha256": sha(body), "source_url": CAPTURE["original"], "label": "te", "section": "Tutorial", "id": 978, "byte_offset": at, "byte_length": len(cell), "range_sha256": sha(cell.encode()), "text_sha256": sha(b"Tutorial: long text")}
+    assert [s["kind"] for s in legacy_pages.page(body, CAPTURE)["sections"]] == ["header", "Tutorial"]
+    r = legacy_pages.page(body, CAPTURE, legacy_pages.Rules(omissions=(review,)))
+    assert [s["kind"] for s in r["sections"]] == ["header"] and r["source_sections_complete"] is False and len(r["comments"]) == 1 and r["omitted_sections"] == [review]
+    for key, other in (("section", "Other"), ("id", 1), ("byte_length", 3), ("byte_offset", len(body)), ("text_sha256", "x")):
+        with pytest.raises(ValueError):
+            legacy_pages.page(body, CAPTURE, legacy_pages.Rules(omissions=(review | {key: other},)))
+    repairs = [{"byte_offset": a, "byte_length": 5} for a in (0, at + 1)]
+    assert legacy_pages.kept_repairs(repairs, [review]) == repairs[:1]
+    with pytest.raises(legacy_pages.Held):
+        legacy_pages.kept_repairs([{"byte_offset": at - 2, "byte_length": 5}], [review])
+
+
 SCOPE = Scope(hosts=("old.example.org",), page_path="/pages/viewOne.php", label_field="tagE", feed_paths=("/rss/n1.xml",))
 
 
