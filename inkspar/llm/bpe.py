@@ -29,7 +29,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 #: Remembered matches of the split pattern, in each worker, and the longest that is remembered.
-CACHED, CACHED_BYTES = 400_000, 64
+CACHED, CACHED_BYTES = 200_000, 64
+#: Texts whose ids are held at once.
+TOGETHER = 500
+#: Remembered pairs of tokens, in each worker.
+CACHED_PAIRS = 200_000
 
 
 class Encoder:
@@ -92,7 +96,7 @@ class Encoder:
     def compatible(self, left: int, right: int) -> bool:
         found = self.known.get((left, right))
         if found is None:
-            if len(self.known) >= 1_000_000:
+            if len(self.known) >= CACHED_PAIRS:
                 self.known.clear()
             found = self.known[left, right] = self._compatible(left, right)
         return found
@@ -189,12 +193,14 @@ def encode_column(text: Column, path: str, pattern: str) -> Column:
     @F.arrow_udf(ArrayType(IntegerType()))
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoder(path, pattern)
-        for texts in batches:
-            ids = [own.ids_array(x.as_py() or "") for x in texts]
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
-            if ends[-1] >= 1 << 31:
-                raise ValueError("a batch has more ids than an array column can hold; lower spark.sql.execution.arrow.maxRecordsPerBatch")
-            yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
+        for batch in batches:
+            # the ids of a few texts at a time
+            for at in range(0, len(batch), TOGETHER):
+                ids = [own.ids_array(x.as_py() or "") for x in batch[at : at + TOGETHER]]
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
+                if ends[-1] >= 1 << 31:
+                    raise ValueError("texts of one batch have more ids than an array column can hold")
+                yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(ids)))
 
     return encoded(text)
 
@@ -206,7 +212,8 @@ def decode_column(ids: Column, path: str, pattern: str) -> Column:
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoder(path, pattern)
         for rows in batches:
-            yield pa.array([None if x is None else own.decode(x) for x in rows.to_pylist()], pa.binary())
+            for at in range(0, len(rows), TOGETHER):
+                yield pa.array([None if x is None else own.decode(x) for x in rows[at : at + TOGETHER].to_pylist()], pa.binary())
 
     return decoded(ids)
 

@@ -31,7 +31,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -306,19 +305,14 @@ def _finder(shared):
 
 
 def _flagger(shared):
-    @F.pandas_udf(BooleanType())
-    def has(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            flags, cuts, size = np.zeros(len(texts), bool), [0], 0
-            for i, x in enumerate(texts, 1):
-                size += len(x or "") // 6
-                if size >= TOGETHER or i == len(texts):
-                    cuts.append(i)
-                    size = 0
-            for at, end in zip(cuts, cuts[1:], strict=False):
-                for d, *_ in matches_in(shared.value, list(texts[at:end])):
+    @F.arrow_udf(BooleanType())
+    def has(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            flags = np.zeros(len(batch), bool)
+            for at, texts in _together(batch):
+                for d, *_ in matches_in(shared.value, texts):
                     flags[at + d] = True
-            yield pd.Series(flags)
+            yield pa.array(flags)
 
     return has
 

@@ -27,7 +27,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -164,11 +163,12 @@ def predict_column(text: Column, model: Model, spark) -> Column:
     """Struct (lang_pred, score) of a text; nothing else is read."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf(_PREDICTED)
-    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(_PREDICTED)
+    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = shared.value.scorer()
         for texts in batches:
-            yield pd.DataFrame([scorer.predict(x) for x in texts], columns=["lang_pred", "score"])
+            langs, scores = zip(*[scorer.predict(x.as_py()) for x in texts], strict=True) if len(texts) else ((), ())
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
 
     return predicted(text)
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,11 +55,11 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * count > n).tobytes(), "big")
 
 
-@F.pandas_udf(LongType())
-def _fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(LongType())
+def _fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        made = np.fromiter((fingerprint(x) for x in texts), np.uint64, len(texts))
-        yield pd.Series(made.view(np.int64))
+        made = np.fromiter((fingerprint(x.as_py()) for x in texts), np.uint64, len(texts))
+        yield pa.array(made.view(np.int64))
 
 
 def fingerprint_column(text: Column) -> Column:
@@ -118,12 +118,18 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, heavy: int = HEAVY) -> DataF
     return _meet(light, ["code", "key"], ["side"], max_bits).unionByName(_meet(finer, ["code", "key", "code2", "key2"], ["side", "side2"], max_bits)).distinct()
 
 
+def _text_key(text: Column) -> Column:
+    """Two hashes of a text, by which its rows are found again without Python."""
+    return F.struct(F.xxhash64(text, F.isnull(text)).alias("a"), F.xxhash64(F.lit("b"), text).alias("b"))
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, heavy: int = HEAVY) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes): each row's id and fingerprint fp; each different fp's component_id and component root.
+    """(rows, classes): each row's id, fingerprint fp and text_key; each different fp's component_id and component root.
 
     component_id is the smallest id among all rows that links reach from fp.
     """
-    rows = written(docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col)).alias("fp")), "fingerprints")
+    text = F.col(text_col)
+    rows = written(docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(text).alias("fp"), _text_key(text).alias("text_key")), "fingerprints")
     firsts = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "different-fingerprints")
     linked = components(links(firsts.select("fp"), max_bits, heavy))
     joined = linked.withColumnRenamed("node", "fp").join(firsts, "fp")
@@ -136,18 +142,20 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) for every row."""
     rows, found = classes(docs, id_col, text_col, max_bits)
-    return rows.join(found.select("fp", "component_id"), "fp")
+    return rows.drop("text_key").join(found.select("fp", "component_id"), "fp")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of docs, all columns, of which each component keeps one: that with the smallest id.
 
-    Of repeated rows with that id one stays; a component without any id keeps one row.
+    Of several rows with that id one stays; a component without any id keeps one row. Texts are
+    fingerprinted once: the rows to keep are found again by id and text hashes.
     """
     rows, found = classes(docs, id_col, text_col, max_bits)
     held = rows.join(found, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = written(held.groupBy("root").agg(F.min("fp").alias("__fp"), F.first("component_id").alias("__id"), F.count("*").alias("__copies")).drop("root"), "kept")
-    own = docs.withColumn("__fp", fingerprint_column(F.col(text_col)))
-    single = own.join(kept.filter("__copies = 1"), (own[id_col].eqNullSafe(F.col("__id"))) & (own["__fp"] == kept["__fp"]), "left_semi")
-    again = own.join(kept.filter("__copies > 1"), (own[id_col].eqNullSafe(F.col("__id"))) & (own["__fp"] == kept["__fp"]), "left_semi").dropDuplicates(["__fp"])
-    return single.unionByName(again).select(*docs.columns)
+    first = held.groupBy("root").agg(F.min(F.struct("text_key", "doc_id")).alias("k"), F.count("*").alias("n"))
+    kept = written(first.select(F.col("k.doc_id").alias("__id"), F.col("k.text_key").alias("__key"), F.col("n").alias("__n")), "kept")
+    same = docs[id_col].eqNullSafe(kept["__id"]) & (_text_key(docs[text_col]) == kept["__key"])
+    single = docs.join(kept.filter("__n = 1"), same, "left_semi")
+    again = docs.join(kept.filter("__n > 1"), same, "left_semi").withColumn("__key", _text_key(F.col(text_col))).dropDuplicates(["__key"]).drop("__key")
+    return single.unionByName(again)
