@@ -18,7 +18,7 @@ def shared_dir(spark: SparkSession) -> str:
     It is the one named by ``spark.checkpoint.dir``. Only where that is unset (local tests) a folder
     of this process is made.
     """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         kept = spark.sparkContext._jsc.sc().getCheckpointDir()
         if kept.isDefined():
@@ -29,8 +29,18 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/inkspar/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/inkspar/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes the tables and files that this application's operators have left in the shared folder; results that still read them can't be used after."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -37,13 +37,13 @@ from inkspar.llm.common import frequent_floor, written
 UNKNOWN = "und"
 MAX_WORDS, MAX_GRAMS, LONGEST_GRAM = 60_000, 40_000, 4
 #: Different (language, word) pairs that a task holds before it sends their counts on.
-HELD = 300_000
+HELD = 200_000
 #: Longer words (strings without a space) are scored by their n-grams only.
 WORD_CHARS = 40
 #: Counts that each language borrows from all languages together.
 PRIOR = 10.0
 #: Remembered scores of words outside the model, in each worker.
-CACHED = 200_000
+CACHED = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 

@@ -395,3 +395,15 @@ def test_queries_on_real_rows(spark, sf_dir, real):
         assert found.count() == real.count()
     equal = queries_text.op2_spotsigs(spark, sf_dir).join(real, "doc_id").groupBy("text").agg(F.countDistinct("fingerprint").alias("n")).filter("n > 1")
     assert equal.count() == 0
+
+
+def test_clear(spark):
+    from inkspar.llm.common import clear, written
+
+    table = written(spark.range(3), "x")
+    path = table.inputFiles()[0].removeprefix("file://")
+    assert table.count() == 3
+    clear(spark)
+    import os
+
+    assert not os.path.exists(path)
