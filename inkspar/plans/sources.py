@@ -234,17 +234,13 @@ def scan_record_yaml(spark, sf_dir):
     return rows.select("event_id", F.get_json_object("r.record_json", "$.id").cast("bigint").alias("id"), F.col("r.error").isNotNull().alias("refused"))
 
 
-def _two_entries(body: str, key: int) -> dict:
-    return _old_record(body, key)
-
-
 def _pairs(spark, sf_dir) -> DataFrame:
     """Pages of two entries each, with a list of references that was never closed."""
     rows = table(spark, sf_dir, "supplier")
     second = _OLD.replace("{id}", "{other}").replace('<a href="https://creativecommons.org/licenses/by-sa/2.0/">l</a>', "").split("<table><tr><td class=")[0]
     see = '<div><span class="titleSection">See Also:</span><ul><li><a href="viewOne.php?tagE=a{id}">a</a> one<li><a href="viewOne.php?tagE=b{id}">b</a> two</ul></div>'
     page = _filled(_OLD + second + see, id=F.col("s_suppkey"), other=F.col("s_suppkey") + 100_000, name=F.col("s_name"), acct=F.col("s_suppkey"), nation=F.col("s_nationkey"), category=F.lit("grammar"))
-    parsed = rows.select("s_suppkey", pages.attempted(_two_entries, page, F.col("s_suppkey")).alias("r"))
+    parsed = rows.select("s_suppkey", pages.attempted(_old_record, page, F.col("s_suppkey")).alias("r"))
     one = "id: bigint, page_entry_position: int, title: string, sections: array<struct<kind: string, text: string>>, related_entries: array<struct<target_label: string, annotation_text: string>>"
     schema = one.replace(": ", " ", 1).replace("page_entry_position: ", "page_entry_position ").replace("title: ", "title ").replace("sections: ", "sections ").replace("related_entries: ", "related_entries ")
     return parsed.select("s_suppkey", F.from_json("r.record_json", f"{schema}, additional_entries array<struct<{one}>>").alias("e")).select("s_suppkey", "e.*")
