@@ -25,6 +25,13 @@ def revision_key(digest: Column, url: Column) -> Column:
     return F.when((digest == NO_DIGEST) | digest.isNull(), F.concat(F.lit("url:"), url)).otherwise(digest)
 
 
+def newest(captures: DataFrame) -> DataFrame:
+    """The newest capture of each revision of each label. An aggregation with map-side partial results, so a label with very many captures is no burden."""
+    keyed = captures.withColumn("revision", revision_key(F.col("digest"), F.col("archive_url")))
+    best = F.max(F.struct("timestamp", "original", "digest", "archive_url")).alias("c")
+    return keyed.groupBy("label", "revision").agg(best).select("label", "revision", "c.*")
+
+
 def ranked(captures: DataFrame) -> DataFrame:
     """captures (label, timestamp, original, digest, archive_url) with revision, copy (1: the newest of its revision) and, for copy 1, place among the label's revisions, newest first."""
     keyed = captures.withColumn("revision", revision_key(F.col("digest"), F.col("archive_url")))

@@ -24,7 +24,7 @@ def from_events(spark, sf_dir):
 
 @PLANS.query(f"SELECT label, timestamp, original, digest FROM {SQL_RANKED} WHERE copy = 1")
 def latest_per_digest(spark, sf_dir):
-    return captures.ranked(from_events(spark, sf_dir)).filter("copy = 1").select("label", "timestamp", "original", "digest")
+    return captures.newest(from_events(spark, sf_dir)).select("label", "timestamp", "original", "digest")
 
 
 @PLANS.query(f"""WITH r AS (SELECT * FROM {SQL_RANKED}), f AS (SELECT label, revision, row_number() OVER (PARTITION BY label ORDER BY timestamp DESC, original DESC) AS place FROM r WHERE copy = 1)

@@ -31,7 +31,7 @@ def test_selection(spark):
     d1, d2 = "A" * 32, "B" * 32
     found = rows(spark, [("x", "3", "o3", d1, "u3"), ("x", "2", "o2", d1, "u2"), ("x", "1", "o1", d1, "u1"), ("x", "0", "o0", d1, "u0"), ("x", "1", "p1", d2, "v1"), ("x", "9", "q", "-", "w1"), ("x", "8", "q", "-", "w2"), ("y", "1", "o", "bad", "z1"), ("y", "0", "o", "bad", "z0")])
     newest = {r["archive_url"] for r in captures.ranked(found).filter("copy = 1").collect()}
-    assert newest == {"u3", "v1", "w1", "w2", "z1"}
+    assert newest == {"u3", "v1", "w1", "w2", "z1"} == {r["archive_url"] for r in captures.newest(found).collect()}
     order = {k: [r["archive_url"] for r in captures.candidates(found).filter(F.col("label") == k).orderBy("attempt").collect()] for k in "xy"}
     assert order == {"x": ["w1", "w2", "u3", "u2", "u1"], "y": ["z1"]}
     body = b"page"
