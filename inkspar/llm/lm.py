@@ -41,8 +41,10 @@ from inkspar.llm.common import frequent_floor, shuffle_partitions, written
 DICTIONARY, VOCABULARY = 120_000, 8_192
 MAX_BITS, BLOCKS, HASHES, BASE = 1 << 28, 1024, 8, 1.3
 MU, ADD = 50.0, 0.1
-#: Different words that a task holds before it sends their counts on, and different pairs.
-HELD_WORDS, HELD_PAIRS = 400_000, 4_000_000
+#: Different words that a task holds before it sends their counts on, and pairs of its runs of texts.
+HELD_WORDS, HELD_PAIRS = 400_000, 2_500_000
+#: Texts whose pairs are counted or probed together.
+TOGETHER = 2_000
 UNKNOWN, END, START, FIRST = 0, 1, 2, 3
 
 
@@ -170,6 +172,13 @@ def _pairs(texts: list[list[bytes]], ids: dict[bytes, int], width: int) -> np.nd
     return x[last[here - 1]] * width + x[here]
 
 
+def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """The pairs of several runs, each once."""
+    keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+    n = np.bincount(at, np.concatenate([t for _, t in held]), len(keys)).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
+
+
 def train(docs: DataFrame, text_col: str = "text", dictionary: int = DICTIONARY, vocabulary: int = VOCABULARY, max_bits: int = MAX_BITS) -> tuple[Model, DataFrame]:
     """The model, and the table (word, n) of all words' exact counts."""
     spark = docs.sparkSession
@@ -190,17 +199,17 @@ def train(docs: DataFrame, text_col: str = "text", dictionary: int = DICTIONARY,
     shared = spark.sparkContext.broadcast(ids)
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for b in batches:
-            own, times = np.unique(_pairs([tokens(x.as_py()) for x in b.column(0)], shared.value, width), return_counts=True)
-            both, inverse = np.unique(np.concatenate([keys, own]), return_inverse=True)
-            n = np.bincount(inverse, np.concatenate([n, times]), len(both)).astype(np.int64)
-            keys = both
-            if len(keys) >= HELD_PAIRS:
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
-                keys, n = keys[:0], n[:0]
-        if len(keys):
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
+        held, size = [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):
+                texts = [tokens(x.as_py()) for x in batch.column(0)[at : at + TOGETHER]]
+                held.append(np.unique(_pairs(texts, shared.value, width), return_counts=True))
+                size += len(held[-1][0])
+                if size >= HELD_PAIRS:
+                    yield _summed(held)
+                    held, size = [], 0
+        if held:
+            yield _summed(held)
 
     pairs = written(rows.mapInArrow(count_pairs, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     context_totals = np.zeros(width)
@@ -250,8 +259,6 @@ def _build(pairs: DataFrame, block_bits: int) -> DataFrame:
 
 _SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, gain double, rare array<struct<word: binary, n: int>>"
 _SCORED_ARROW = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("gain", pa.float64()), ("rare", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())])))])
-#: Texts whose pairs are probed together.
-TOGETHER = 2_000
 
 
 def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_col: str = "held_out") -> DataFrame:
