@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 #: Remembered matches of the split pattern, in each worker, and the longest that is remembered.
-CACHED, CACHED_BYTES = 200_000, 64
+CACHED, CACHED_BYTES = 240_000, 64
 #: Texts whose ids are held at once.
 TOGETHER = 500
 #: Remembered pairs of tokens, in each worker.
@@ -154,18 +154,25 @@ class Encoder:
 
 
 class _Pieces(dict):
-    """What a match of the pattern is encoded to; a missing one is encoded, and remembered if short."""
+    """What a match of the pattern is encoded to; a missing one is encoded, and remembered if short.
+
+    When half of CACHED are held they become the older half, from which what is asked for again comes back.
+    """
 
     def __init__(self, own: Encoder, form):
-        self.own, self.form = own, form
+        self.own, self.form, self.older = own, form, {}
 
     def __missing__(self, piece: str):
-        data = piece.encode("utf-8", "surrogatepass")
-        found = self.form(self.own.encode_bytes(data))
-        if len(data) <= CACHED_BYTES:
-            if len(self) >= CACHED:
-                self.clear()
-            self[piece] = found
+        found = self.older.get(piece)
+        if found is None:
+            data = piece.encode("utf-8", "surrogatepass")
+            found = self.form(self.own.encode_bytes(data))
+            if len(data) > CACHED_BYTES:
+                return found
+        if len(self) >= CACHED // 2:
+            self.older = dict(self)
+            self.clear()
+        self[piece] = found
         return found
 
 
