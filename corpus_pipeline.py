@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspar.llm import bpe, decontaminate, langid, simhash
+from inkspar.llm import bpe, decontaminate, jaccard, langid
 from inkspar.llm.common import written
 from inkspar.shipping import ship
 
@@ -32,9 +32,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near copies the document with the smallest doc_id."""
+    """Keeps of each group of near copies (five-word shingles, Jaccard 0.8 or more) the document with the smallest doc_id."""
     ship(spark)
-    return simhash.keep_one(docs)
+    return jaccard.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -118,7 +118,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, heavy: int = HEAVY) -> DataF
     return _meet(light, ["code", "key"], ["side"], max_bits).unionByName(_meet(finer, ["code", "key", "code2", "key2"], ["side", "side2"], max_bits)).distinct()
 
 
-def _text_key(text: Column) -> Column:
+def text_key(text: Column) -> Column:
     """Two hashes of a text, by which its rows are found again without Python."""
     return F.struct(F.xxhash64(text, F.isnull(text)).alias("a"), F.xxhash64(F.lit("b"), text).alias("b"))
 
@@ -129,14 +129,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max
     component_id is the smallest id among all rows that links reach from fp.
     """
     text = F.col(text_col)
-    rows = written(docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(text).alias("fp"), _text_key(text).alias("text_key")), "fingerprints")
+    rows = written(docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(text).alias("fp"), text_key(text).alias("text_key")), "fingerprints")
     firsts = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "different-fingerprints")
-    linked = components(links(firsts.select("fp"), max_bits, heavy))
-    joined = linked.withColumnRenamed("node", "fp").join(firsts, "fp")
-    least = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return rows, joined(firsts, components(links(firsts.select("fp"), max_bits, heavy)))
+
+
+def joined(firsts: DataFrame, linked: DataFrame) -> DataFrame:
+    """(fp, component_id, root) of all fp in firsts (fp, first_id), of which linked (node, root) has those with links."""
+    least = linked.withColumnRenamed("node", "fp").join(firsts, "fp").groupBy("root").agg(F.min("first_id").alias("component_id"))
     members = written(linked.withColumnRenamed("node", "fp").join(least, "root").select("fp", "component_id", "root"), "members")
     alone = firsts.join(members, "fp", "left_anti").select("fp", F.col("first_id").alias("component_id"), F.col("fp").alias("root"))
-    return rows, members.unionByName(alone)
+    return members.unionByName(alone)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
@@ -151,11 +154,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     Of several rows with that id one stays; a component without any id keeps one row. Texts are
     fingerprinted once: the rows to keep are found again by id and text hashes.
     """
-    rows, found = classes(docs, id_col, text_col, max_bits)
+    return kept(docs, *classes(docs, id_col, text_col, max_bits), id_col, text_col)
+
+
+def kept(docs: DataFrame, rows: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of docs to keep by rows (doc_id, fp, text_key) and the components found (fp, component_id, root)."""
     held = rows.join(found, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = held.groupBy("root").agg(F.min(F.struct("text_key", "doc_id")).alias("k"), F.count("*").alias("n"))
-    kept = written(first.select(F.col("k.doc_id").alias("__id"), F.col("k.text_key").alias("__key"), F.col("n").alias("__n")), "kept")
-    same = docs[id_col].eqNullSafe(kept["__id"]) & (_text_key(docs[text_col]) == kept["__key"])
-    single = docs.join(kept.filter("__n = 1"), same, "left_semi")
-    again = docs.join(kept.filter("__n > 1"), same, "left_semi").withColumn("__key", _text_key(F.col(text_col))).dropDuplicates(["__key"]).drop("__key")
+    chosen = written(first.select(F.col("k.doc_id").alias("__id"), F.col("k.text_key").alias("__key"), F.col("n").alias("__n")), "kept")
+    same = docs[id_col].eqNullSafe(chosen["__id"]) & (text_key(docs[text_col]) == chosen["__key"])
+    single = docs.join(chosen.filter("__n = 1"), same, "left_semi")
+    again = docs.join(chosen.filter("__n > 1"), same, "left_semi").withColumn("__key", text_key(F.col(text_col))).dropDuplicates(["__key"]).drop("__key")
     return single.unionByName(again)

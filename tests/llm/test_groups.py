@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from inkspar.llm import bpe, chat, decontaminate, langid, queries_records, queries_text, simhash, spotsigs, warc
+from inkspar.llm import bpe, chat, decontaminate, jaccard, langid, queries_records, queries_text, simhash, spotsigs, warc
 from inkspar.llm.components import components
 
 
@@ -407,3 +407,28 @@ def test_clear(spark):
     import os
 
     assert not os.path.exists(path)
+
+
+def test_jaccard_against_brute_force(spark, odd, none):
+    """Pairs of 0.8 that 3 bits of 3-word fingerprints don't link, a chain, and a group of one key after rounds of pivots."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for _ in range(12):
+        base = [word() for _ in range(160)]
+        for edits in (0, 0, 1, 2, 3, 4, 5, 8):
+            own = list(base)
+            for at in rng.sample(range(160), edits):
+                own[at] = word()
+            rows.append((len(rows), " ".join(own)))
+    sets = {i: set(jaccard.shingles(t).tolist()) for i, t in rows}
+    pairs = [(a, b) for a in sets for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    root = grouped(sets, pairs)
+    assert any((simhash.fingerprint(rows[a][1]) ^ simhash.fingerprint(rows[b][1])).bit_count() > 3 for a, b in pairs)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in jaccard.keep_one(docs).collect()) == sorted(set(root.values()))
+    made = spark.createDataFrame([(i, sorted(x - (1 << 64) if x >> 63 else x for x in s)) for i, s in sets.items()], "fp long, shingles array<long>")
+    found = jaccard.links(made.select(F.lit(1).alias("key"), "fp"), made, few=0, rounds=2).collect()
+    assert grouped(sets, [(r["u"], r["v"]) for r in found]) == root and len(found) < len(pairs)
+    assert jaccard.keep_one(none).count() == 0 and jaccard.keep_one(odd).columns == odd.columns
+    assert {r["doc_id"] for r in jaccard.keep_one(odd).collect()} == {1, 3, 4, 7, 8, None, 10, -3}
