@@ -12,7 +12,8 @@ The counts c(h, x) of pairs are quantised, q = 1 + floor(log_b c), and a Bloom f
 (pair, 1) to (pair, q): probing level after level until one is missing returns q, and from it the count
 that is expected for q. The filter is cut into blocks by the pair's hash, so every block is built
 in one task from its own pairs. It has at most ``max_bits`` bits, which bounds what is broadcast:
-as the corpus grows past that, pairs below a least count, found from the counts of all pairs, stay out.
+as the corpus grows past that, pairs below a least count, found from the counts of all pairs, stay out,
+and each text's pairs that the filter lacks are looked up among them by a join.
 Pairs, words and totals are counted over all training texts.
 
 Exact counts of the ``dictionary`` most frequent words go to the workers; the other words of each
@@ -150,6 +151,11 @@ class Model:
     block_bits: int
     levels: int
     false_counts: float
+    #: (pair, q) of the pairs that the filter had no room for; stays with the driver.
+    left_out: DataFrame | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"left_out": None}
 
     @property
     def denominator(self) -> float:
@@ -230,6 +236,8 @@ def train(docs: DataFrame, text_col: str = "text", dictionary: int = DICTIONARY,
         bits[r["block"] * block_bits // 8 : (r["block"] + 1) * block_bits // 8] = np.frombuffer(r["bits"], np.uint8)
     filled = float(np.unpackbits(bits[: 1 << 20]).mean()) if keys else 0.0
     model = Model(total, distinct, frequent, end_count, ids, probability, context_totals, bits, block_bits, max(by_level, default=0), filled**HASHES * width)
+    if least > min(by_level, default=least):
+        model.left_out = pairs.select("pair", level).filter(F.col("q") < least)
     return model, words
 
 
@@ -257,13 +265,34 @@ def _build(pairs: DataFrame, block_bits: int) -> DataFrame:
     return pairs.mapInArrow(blocked, "block int, pair bigint, n bigint").repartition(n, "block").mapInArrow(build, "block int, bits binary")
 
 
-_SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, gain double, rare array<struct<word: binary, n: int>>"
-_SCORED_ARROW = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("gain", pa.float64()), ("rare", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())])))])
+def _absent(keys: np.ndarray, inverse: np.ndarray, absent: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """(pair, n) of each text's pairs that the filter lacks; starts are where the texts' tokens begin, and their end."""
+    text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    here = absent[inverse]
+    own, n = np.unique(text[here] * len(keys) + inverse[here], return_counts=True)
+    ends = np.searchsorted(own, np.arange(len(starts)) * len(keys))
+    both = pa.StructArray.from_arrays([pa.array(keys[own % len(keys)], pa.int64()), pa.array(n, pa.int32())], names=["pair", "n"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), both)
+
+
+def _more_gain(first: DataFrame, model: Model) -> DataFrame:
+    """(row, more_gain): what the pairs that the filter had no room for add to each row's gain."""
+    spark, width, expected = first.sparkSession, len(model.class_probability), _expected(model.levels)
+    classes = spark.createDataFrame([(i, float(MU * p)) for i, p in enumerate(model.class_probability)], "x int, prior double")
+    counts = spark.createDataFrame([(i, float(c)) for i, c in enumerate(expected)], "q bigint, c double")
+    found = model.left_out.join(F.broadcast(counts), "q").withColumn("x", (F.col("pair") % width).cast("int")).join(F.broadcast(classes), "x")
+    each = found.select("pair", F.log10((F.col("c") + F.col("prior")) / F.col("prior")).alias("more"))
+    asked = first.select("row", F.explode("absent").alias("a")).select("row", F.col("a.pair").alias("pair"), F.col("a.n").alias("times"))
+    return asked.join(each, "pair").groupBy("row").agg(F.sum(F.col("times") * F.col("more")).alias("more_gain"))
+
+
+_SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, gain double, rare array<struct<word: binary, n: int>>, absent array<struct<pair: bigint, n: int>>"
+_SCORED_ARROW = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("gain", pa.float64()), ("rare", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))), ("absent", pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int32())])))])
 
 
 def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_col: str = "held_out") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, all_held = docs.sparkSession.sparkContext.broadcast(model), model.left_out is None
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, row = shared.value, TaskContext.get().partitionId() << 40
@@ -276,21 +305,26 @@ def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id
                 keys, inverse = np.unique(_pairs(texts, m.ids, width), return_inverse=True)
                 context, x = keys // width, keys % width
                 uni = m.class_probability[x]
-                p = (expected[bloom.get(keys, m.levels)] + MU * uni) / (m.context_totals[context] + MU + m.false_counts)
-                gains = np.add.reduceat(np.log10(p / uni)[inverse], np.cumsum([0] + [len(t) + 1 for t in texts[:-1]]))
+                q = bloom.get(keys, m.levels)
+                p = (expected[q] + MU * uni) / (m.context_totals[context] + MU + m.false_counts)
+                starts = np.cumsum([0] + [len(t) + 1 for t in texts])
+                gains = np.add.reduceat(np.log10(p / uni)[inverse], starts[:-1])
                 rows = []
                 for doc_id, held_out, t, gain in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), texts, gains.tolist(), strict=True):
                     known = [base[w] for w in t if w in base]
                     rare = Counter(w for w in t if w not in base) if len(known) < len(t) else {}
-                    rows.append({"row": row, "doc_id": doc_id, "held_out": held_out, "n_tokens": len(t) + 1, "n_known": len(known) + (m.end_count > 0), "base_score": math.fsum(known) + m.base(m.end_count), "gain": gain, "rare": [{"word": w, "n": n} for w, n in rare.items()]})
+                    rows.append({"row": row, "doc_id": doc_id, "held_out": held_out, "n_tokens": len(t) + 1, "n_known": len(known) + (m.end_count > 0), "base_score": math.fsum(known) + m.base(m.end_count), "gain": gain, "rare": [{"word": w, "n": n} for w, n in rare.items()], "absent": []})
                     row += 1
-                yield pa.RecordBatch.from_pylist(rows, _SCORED_ARROW)
+                made = pa.RecordBatch.from_pylist(rows, _SCORED_ARROW)
+                yield made if all_held else made.set_column(made.num_columns - 1, "absent", _absent(keys, inverse, q == 0, starts))
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.col(held_out_col).alias("held_out"))
     first = written(rows.mapInArrow(scored, _SCORED), "scored")
     looked_up = first.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.n").alias("times")).join(words, "word", "left")
     per_token = F.log10((F.coalesce("n", F.lit(0)) + ADD) / F.lit(model.denominator))
     more = looked_up.groupBy("row").agg(F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"), F.sum(F.col("times") * per_token).alias("base"))
-    both = first.drop("rare").join(more, "row", "left")
+    both = first.drop("rare", "absent").join(more, "row", "left")
+    if not all_held:
+        both = both.join(_more_gain(first, model), "row", "left").withColumn("gain", F.col("gain") + F.coalesce("more_gain", F.lit(0.0)))
     base = F.col("base_score") + F.coalesce("base", F.lit(0.0))
     return both.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(model.total).cast("bigint").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))

@@ -246,6 +246,26 @@ def test_lm_probabilities_sum_to_about_one(real):
     assert 0.9 < p.sum() < 1.1
 
 
+def test_lm_full_filter_loses_no_pair(odd, real, rows_of):
+    """Pairs that the filter had no room for count as if it had held them."""
+    for docs in (odd, real):
+        model, rows = scored(docs, max_bits=64)
+        assert model.left_out is not None and model.false_counts == 0
+        rows_in = [(i, lm.tokens(t), i is not None and zlib.crc32(str(i).encode()) % 10 == 0) for i, t in rows_of(docs)]
+        width = len(model.class_probability)
+        cut = lambda words: lm._pairs([words], model.ids, width)
+        counts = Counter(k for _, words, out in rows_in if not out for k in cut(words).tolist())
+        want = []
+        for i, words, _ in rows_in:
+            keys = cut(words)
+            uni = model.class_probability[keys % width]
+            q = np.array([lm.quantised(np.array([counts[k]]))[0] if counts[k] else 0 for k in keys.tolist()])
+            p = (lm._expected(model.levels)[q] + lm.MU * uni) / (model.context_totals[keys // width] + lm.MU)
+            want.append((i if i is not None else -99, np.log10(p / uni).sum()))
+        got = sorted((r["doc_id"] if r["doc_id"] is not None else -99, r["score"] - r["base_score"]) for r in rows)
+        assert [g for _, g in got] == pytest.approx([w for _, w in sorted(want)], abs=1e-4)
+
+
 def test_registry():
     assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
     assert set(registry.ORACLES) <= set(registry.QUERIES)
