@@ -13,9 +13,25 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from inkspar.functions.urls import SAFE
 
-_DECLARED = re.compile(rb"charset\s*=\s*[\"']?(?:x-sjis|shift[_-]jis)", re.I)
+#: Names under which pages declare the encoding.
+NAMES = {b"shift_jis", b"shift-jis", b"x-sjis"}
 _TOKEN = re.compile(rb"<[^>]*>|[^<]+", re.S)
-_ADDRESS = re.compile(rb"\b(?:href|src)\s*=\s*(['\"])(.*?)\1", re.S | re.I)
+_LABEL = re.compile(rb"[^a-z0-9_-]*([a-z0-9_-]+)")
+_QUOTED = re.compile(rb"([\w:-]+)[ \t\r\n]*=[ \t\r\n]*(?:\"([^\"]*)\"|'([^']*)')")
+
+
+def _declares(head: bytes) -> bool:
+    """Whether any charset declaration in the head names the encoding."""
+    _, *after = head.lower().split(b"charset")
+    labels = (_LABEL.match(part.lstrip()[1:]) for part in after if part.lstrip()[:1] == b"=")
+    return any(found is not None and found[1] in NAMES for found in labels)
+
+
+def _addresses(tag: bytes) -> Iterator[tuple[int, int]]:
+    """The places of the quoted values of href and src in a tag."""
+    for found in _QUOTED.finditer(tag):
+        if found[1].lower() in (b"href", b"src"):
+            yield found.span(2 if found[2] is not None else 3)
 
 
 def _fits(raw: bytes, encoding: str) -> bool:
@@ -33,7 +49,7 @@ def decode(body: bytes) -> tuple[str, str, list[dict]]:
     CP932 are read as UTF-8 if they are that, else with replacement characters, and addresses in tags are
     percent-encoded byte by byte. Each repair names its place and original bytes. Other pages are UTF-8.
     """
-    if not _DECLARED.search(body[:4096]):
+    if not _declares(body[:4096]):
         return body.decode("utf-8", "replace"), "utf-8", []
     if _fits(body, "shift_jis"):
         return body.decode("shift_jis"), "shift_jis", []
@@ -47,15 +63,13 @@ def decode(body: bytes) -> tuple[str, str, list[dict]]:
         if _fits(raw, "cp932"):
             out.append(raw.decode("cp932"))
         elif raw.startswith(b"<"):
-
-            def address(found: re.Match, at: int = at) -> bytes:
-                url = found[2]
-                if _fits(url, "cp932"):
-                    return found[0]
-                repaired(at + found.start(2), url, "percent-encoded-original-url-bytes")
-                return found[0].replace(url, quote_from_bytes(url, safe=SAFE).encode())
-
-            out.append(_ADDRESS.sub(address, raw).decode("cp932", "replace"))
+            clean, last = b"", 0
+            for first, end in _addresses(raw):
+                if not _fits(raw[first:end], "cp932"):
+                    repaired(at + first, raw[first:end], "percent-encoded-original-url-bytes")
+                    clean += raw[last:first] + quote_from_bytes(raw[first:end], safe=SAFE).encode()
+                    last = end
+            out.append((clean + raw[last:]).decode("cp932", "replace"))
         else:
             encoding = "utf-8" if _fits(raw, "utf-8") else "cp932-with-undecodable-bytes"
             repaired(at, raw, encoding)

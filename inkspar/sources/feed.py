@@ -17,15 +17,6 @@ from inkspar.sources.pages import LICENCE
 RIGHTS = ("copyright", "rights", "license")
 FORM_LINK = re.compile(r"/pages/(?:add\w*|parser|setStudy|seeAlsoForm)\.php", re.I)
 CREATOR = "{http://purl.org/dc/elements/1.1/}creator"
-_LINK, _SHORT, _RESTRICTIVE = (re.compile(p) for p in (licences.LINK, licences.SHORTHAND, licences.RESTRICTIVE))
-
-
-def conflicting(declared: str, is_licence_field: bool = False) -> bool:
-    """The driver-side form of licences.conflicts, for one text."""
-    links, names = _LINK.findall(declared), _SHORT.findall(declared)
-    return bool(_RESTRICTIVE.search(declared)) or not all(map(is_data_licence, links)) or any(re.sub(r"[-\s]+", "-", n.upper()) not in licences.ACCEPTED for n in names) or bool(is_licence_field and declared.strip() and not links and not names)
-
-
 def feed(body: bytes, capture: dict, retrieved_at: str, labels: dict[str, int], scope: Scope, final_url: str | None = None) -> dict:
     """The record of a feed's capture: items of verified labels (label -> entry id) under the licence; the others are listed for review."""
     asked, got = scope.replay(capture["archive_url"]), scope.replay(final_url or capture["archive_url"])
@@ -43,7 +34,7 @@ def feed(body: bytes, capture: dict, retrieved_at: str, labels: dict[str, int],
     review = []
     for child in channel:
         name = child.tag.rpartition("}")[2].lower()
-        if name in RIGHTS and conflicting(" ".join([*child.itertext(), *child.attrib.values()]), name == "license"):
+        if name in RIGHTS and licences.conflicts_in_text(" ".join([*child.itertext(), *child.attrib.values()]), name == "license"):
             review.append({"position": None, "link": None, "reason": "the feed's licence conflicts"})
     items = []
     for place, item in enumerate(channel.findall("item")):
