@@ -60,7 +60,11 @@ def range_coalesce_gaps(spark, sf_dir):
     return captures.coalesce_gaps(ranges(spark, sf_dir), "file", "a", "b")
 
 
-@PLANS.query()
+@PLANS.query(f"""WITH RECURSIVE o AS (SELECT file, a, b, row_number() OVER (PARTITION BY file ORDER BY a, b) AS i FROM ({_RANGES})),
+    r(file, i, group_start, group_end, members) AS (SELECT file, i, a, b, 1 FROM o WHERE i = 1
+        UNION ALL SELECT o.file, o.i, CASE WHEN joins THEN r.group_start ELSE o.a END, CASE WHEN joins THEN greatest(r.group_end, o.b) ELSE o.b END, CASE WHEN joins THEN r.members + 1 ELSE 1 END
+        FROM (SELECT r.*, o.a, o.b, o.i AS at, o.a - r.group_end <= 524288 AND greatest(r.group_end, o.b) - r.group_start <= 20971520 AS joins FROM r JOIN o ON o.file = r.file AND o.i = r.i + 1) r JOIN o ON o.file = r.file AND o.i = r.at)
+    SELECT file, group_start, max(group_end) AS group_end, CAST(max(members) AS BIGINT) AS members FROM r GROUP BY file, group_start""")
 def range_coalesce(spark, sf_dir):
     return captures.coalesce_ranges(ranges(spark, sf_dir), "file", "a", "b")
 
@@ -131,7 +135,8 @@ def attempt_report(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("attempts"), F.sum("event_id").alias("bytes"), F.count_if(F.col("value") < 30).alias("failed"))
 
 
-@PLANS.query()
+@PLANS.query("""SELECT user_id, event_id, coalesce(sum(CASE WHEN place % 5 = 0 THEN 15.25 ELSE 1.5 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS start
+    FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events)""")
 def pacing_schedule(spark, sf_dir):
     """Start times of each user's attempts at a minimum distance with a rest behind every burst."""
     rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.lit(0.25).alias("took"))

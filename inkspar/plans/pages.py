@@ -12,23 +12,50 @@ PLANS = Plans()
 BASE = "https://www.example.org/"
 
 
-@PLANS.query()
+#: In SQL: a page's text, for pages whose markup is plain: no element is silent but scripts and styles, and these entities occur.
+_PLAIN = "regexp_replace(regexp_replace(regexp_replace(html, '<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->|<!DOCTYPE[^>]*>', '', 'gs'), '<br ?/?>', chr(10), 'g'), '<[^>]*>', '', 'g')"
+_ENTITIES = {"&copy;": "'©'", "&middot;": "'·'", "&nbsp;": "chr(160)", "&quot;": "'\"'", "&lt;": "'<'", "&gt;": "'>'", "&amp;": "'&'"}
+
+
+def _unescaped(sql: str) -> str:
+    for entity, sign in _ENTITIES.items():
+        sql = f"replace({sql}, '{entity}', {sign})"
+    return sql
+
+
+def _stripped(sql: str) -> str:
+    return f"regexp_replace(regexp_replace({sql}, '^[\\s\\x{{a0}}]+', ''), '[\\s\\x{{a0}}]+$', '')"
+
+
+@PLANS.query(f"SELECT page_id, {_stripped(_unescaped(_PLAIN))} AS body_text FROM pages")
 def html_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", html.text_column(F.col("html")).alias("body_text"))
 
 
-@PLANS.query()
+@PLANS.query("""SELECT p_partkey, '<div><p>' || p_name || ' &lt;x&gt; <strong>bold</strong><strong>red</strong><br/>line <a href="https://www.example.org/v/' || CAST(p_partkey AS VARCHAR) || '">l</a><a>m</a></p>'
+    || CASE WHEN p_partkey % 2 = 0 THEN 'small<!-- c --></div><ul><li>a</li><li>b</li></ul>' ELSE '</div>' END AS body_html FROM part""")
 def html_fragment(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", html.fragment_column(F.col("html"), BASE).alias("body_html"))
+    """Pages with what is kept, renamed, unwrapped and removed."""
+    n = F.col("p_partkey").cast("string")
+    end = F.when(F.col("p_partkey") % 2 == 0, '<small>small</small><!-- c --><form>f</form></div><ul id="u"><li>a</li><li>b</li></ul><img src="x">').otherwise("<script>s()</script></div>")
+    page = F.concat(F.lit('<div class="c"><p onclick="x()">'), F.col("p_name"), F.lit(' &lt;x&gt; <span style="font-weight: bold">bold</span><font color="RED">red</font><br>line <a href="/v/'), n, F.lit('" id="i">l</a><a href="javascript:x()">m</a></p>'), end)
+    return table(spark, sf_dir, "part").select("p_partkey", html.fragment_column(page, BASE).alias("body_html"))
+
+
+_LIT = "'<p>' || p_name || '<span style=\"color: #00B060\">' || p_brand || '</span>' || CASE WHEN p_partkey % 2 = 0 THEN '<b style=\"color:#00b060\"> more</b>' ELSE '' END || ' end</p>'"
 
 
-@PLANS.query()
+@PLANS.query("""SELECT page_id, CAST(i AS INTEGER) AS place, t AS text, i = 1 AS grammar_highlight FROM (SELECT p_partkey AS page_id, unnest([p_name, p_brand || CASE WHEN p_partkey % 2 = 0 THEN ' more' ELSE '' END, ' end']) AS t, unnest([0, 1, 2]) AS i FROM part)
+    UNION ALL SELECT page_id, 0, {}, false FROM pages""".format(_unescaped(_PLAIN)))
 def html_segments(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").select("page_id", F.posexplode(html.segments_column(F.col("html"))).alias("place", "s"))
+    """Pages with highlighted runs, and the test pages, which have none."""
+    both = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), F.expr(_LIT).alias("html")).unionByName(table(spark, sf_dir, "pages").select("page_id", "html"))
+    rows = both.select("page_id", F.posexplode(html.segments_column(F.col("html"))).alias("place", "s"))
     return rows.select("page_id", "place", "s.text", "s.grammar_highlight")
 
 
-@PLANS.query()
+@PLANS.query(f"""SELECT page_id, CAST(i - 1 AS INTEGER) AS place, 'https://www.example.org' || regexp_extract(a, 'href="([^"]*)"', 1) AS url, {_unescaped("regexp_extract(a, '>(.*)</a>', 1)")} AS label
+    FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>')) AS a, generate_subscripts(regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>'), 1) AS i FROM pages)""")
 def html_links(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select("page_id", F.posexplode(html.links_column(F.col("html"), BASE)).alias("place", "link"))
     return rows.select("page_id", "place", "link.url", "link.label")
@@ -39,9 +66,12 @@ def html_counts(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.regexp_count("html", F.lit("<a href=")).cast("bigint").alias("n_links"))
 
 
-@PLANS.query("SELECT page_id, false AS dated FROM pages")
+@PLANS.query("SELECT page_id, page_id % 5 < 4 AS dated FROM pages")
 def metadata_dates(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", html.date_marks_column(F.col("html")).alias("dated"))
+    """Pages with each mark of a date, and pages without one."""
+    n = F.col("page_id") % 5
+    mark = F.when(n == 0, "<time>then</time>").when(n == 1, '<p datetime="2020-01-01">x</p>').when(n == 2, "<div><b data-date=1>x</b></div>").when(n == 3, "<i data-timestamp>x</i>").otherwise("<p title=datetime>time</p>")
+    return table(spark, sf_dir, "pages").select("page_id", html.date_marks_column(F.concat(F.col("html"), mark)).alias("dated"))
 
 
 @PLANS.query("SELECT page_id, sha256(html) AS text_sha256, 'utf-8' AS encoding, 0 AS repairs FROM pages")

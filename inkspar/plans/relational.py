@@ -155,10 +155,18 @@ def relation_fingerprint(spark, sf_dir):
     return a.unionByName(b).unionByName(c)
 
 
-@PLANS.query()
+_CANONICAL = {"nation": ["n_name", "n_nationkey", "n_regionkey"], "labels": ["doc_id", "quality", "toxic"], "conversations": ["conv_id", "role", "text", "turn"]}
+
+
+def _canonical_sql(name: str) -> str:
+    form = "to_json({" + ", ".join(f"'{c}': {c}" for c in _CANONICAL[name]) + "})"
+    return f"SELECT '{name}' AS relation, CAST(sum(n) AS BIGINT) AS row_count, sha256(string_agg(d, '' ORDER BY b)) AS sha256 FROM (SELECT substr(h, 1, 3) AS b, sha256(string_agg(h, '' ORDER BY h)) AS d, count(*) AS n FROM (SELECT sha256(CAST({form} AS VARCHAR)) AS h FROM {name}) GROUP BY 1)"
+
+
+@PLANS.query(" UNION ALL ".join(_canonical_sql(n) for n in _CANONICAL))
 def relation_fingerprint_canonical(spark, sf_dir):
     """Fingerprints over canonical JSON rows."""
-    a, b, c = (fingerprint.fingerprint(table(spark, sf_dir, n), n) for n in ("nation", "supplier", "conversations"))
+    a, b, c = (fingerprint.fingerprint(table(spark, sf_dir, n), n) for n in _CANONICAL)
     return a.unionByName(b).unionByName(c)
 
 

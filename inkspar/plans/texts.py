@@ -128,15 +128,16 @@ def bundle_path(spark, sf_dir):
     return table(spark, sf_dir, "events").select(F.col("user_id").alias("i"), allowed(path, ("current", "archive"), ("entries", "states"), ("inventory.json", "report.json")).alias("allowed"))
 
 
-@PLANS.query()
+@PLANS.query("""SELECT event_id, sha256('{"a":[1,null,{"p":"é","q":' || CAST(event_id AS VARCHAR) || '}],"props":{"k":' || json_extract_string(props, '$.k') || '},"type":"' || event_type || '"}') AS record_sha256 FROM events""")
 def record_digest(spark, sf_dir):
-    """Digest of the canonical form of JSON text."""
-    return table(spark, sf_dir, "events").select("event_id", text.record_digest(F.col("props")).alias("record_sha256"))
+    """Digest of the canonical form of JSON text: keys sorted, no spaces, signs as they are."""
+    record = F.concat(F.lit('{ "type": "'), F.col("event_type"), F.lit('",  "props": '), F.col("props"), F.lit(', "a": [1, null, {"q": '), F.col("event_id").cast("string"), F.lit(', "p": "\\u00e9"}]}'))
+    return table(spark, sf_dir, "events").select("event_id", text.record_digest(record).alias("record_sha256"))
 
 
-@PLANS.query()
+@PLANS.query("""SELECT page_id, url || '&q=a%20b%22%C3%A9%E6%97%A5' AS quoted FROM pages""")
 def quote_url(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", urls.quoted(F.col("url")).alias("quoted"))
+    return table(spark, sf_dir, "pages").select("page_id", urls.quoted(F.concat(F.col("url"), F.lit('&q=a b"é日'))).alias("quoted"))
 
 
 #: A scope that covers the test pages' addresses.
