@@ -135,7 +135,7 @@ def record_digest(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", text.record_digest(record).alias("record_sha256"))
 
 
-@PLANS.query("""SELECT page_id, url || '&q=a%20b%22%C3%A9%E6%97%A5' AS quoted FROM pages""")
+@PLANS.query("""SELECT page_id, replace(url, '#', '%23') || '&q=a%20b%22%C3%A9%E6%97%A5' AS quoted FROM pages""")
 def quote_url(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", urls.quoted(F.concat(F.col("url"), F.lit('&q=a b"é日'))).alias("quoted"))
 
