@@ -37,12 +37,16 @@ def cross_referenced(evidence: DataFrame, bodies: DataFrame) -> DataFrame:
     return joined.withColumn("outcome", F.when(F.col("body").isNull(), "no body").when(cut == F.col("range_sha256"), "equal").otherwise("differs")).drop("body")
 
 
-def exportable(record: DataFrame) -> DataFrame:
-    """Rows (key, warnings, license_url, source_sections_complete, omissions) with the first reason against export, or null."""
-    reason = (
+def own_reason() -> Column:
+    """The first reason in a record itself against its export, or null, by the columns warnings, license_url, source_sections_complete and omissions."""
+    return (
         F.when(F.size("warnings") > 0, "warnings")
         .when(~F.col("license_url").eqNullSafe(F.lit("https://creativecommons.org/licenses/by-sa/2.0/")), "licence")
         .when((F.size("omissions") > 0) & F.coalesce(F.col("source_sections_complete"), F.lit(True)), "omissions in a complete record")
         .when((F.size("omissions") == 0) & (F.col("source_sections_complete") == F.lit(False)), "incomplete without omissions")
     )
-    return record.withColumn("reason", reason)
+
+
+def exportable(record: DataFrame) -> DataFrame:
+    """The rows with the first reason of their own against export, or null."""
+    return record.withColumn("reason", own_reason())

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The rows, checkpointed in spark.checkpoint.dir; only where that is unset (local runs) a folder of this process is used."""
+    """The rows, checkpointed in spark.checkpoint.dir; only where that is unset on a local master a folder of this process is used, and on a cluster that is an error."""
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="inkspar-checkpoint-"))
     return df.checkpoint()

@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 
 from inkspar.functions.text import digest
 from inkspar.operators import fingerprint, normalize, relational
+from inkspar.functions.text import collapse_space
+from inkspar.operators.omissions import passages_hold
+from inkspar.operators.passages import containing
 from inkspar.plans.base import Plans
+from inkspar.sources import records
 from inkspar.plans.tables import table
 
 PLANS = Plans()
@@ -98,12 +102,12 @@ def filter_mime_status(spark, sf_dir):
     return table(spark, sf_dir, "events").filter("value > 10 AND event_type <> 'view' AND user_id IS NOT NULL").groupBy("event_type").agg(F.count("*").alias("n_rows"))
 
 
-@PLANS.query("""SELECT source, arg_max(status, part) AS status FROM (SELECT source, 'a' || min(lang) AS status, 1 AS part FROM documents WHERE doc_id % 2 = 0 GROUP BY source UNION ALL SELECT source, 'b' || max(lang), 2 FROM documents WHERE doc_id % 3 = 0 AND source <> 'src3' GROUP BY source) GROUP BY source""")
+@PLANS.query("""SELECT source, arg_max(status, part) AS status FROM (SELECT source, 'a' || min(lang) AS status, 1 AS part FROM documents GROUP BY source UNION ALL SELECT CASE WHEN source = 'src3' THEN 'other' ELSE source END, 'b' || max(lang), 2 FROM documents GROUP BY 1) GROUP BY source""")
 def legacy_holds(spark, sf_dir):
-    """Of several reports the later one's status counts."""
+    """Of several reports the later one's status counts; one source is in the first report only, and one in the second."""
     docs = table(spark, sf_dir, "documents")
-    one = docs.filter("doc_id % 2 = 0").groupBy("source").agg(F.concat(F.lit("a"), F.min("lang")).alias("status")).withColumn("part", F.lit(1))
-    two = docs.filter("doc_id % 3 = 0 AND source <> 'src3'").groupBy("source").agg(F.concat(F.lit("b"), F.max("lang")).alias("status")).withColumn("part", F.lit(2))
+    one = docs.groupBy("source").agg(F.concat(F.lit("a"), F.min("lang")).alias("status")).withColumn("part", F.lit(1))
+    two = docs.groupBy(F.when(F.col("source") == "src3", "other").otherwise(F.col("source")).alias("source")).agg(F.concat(F.lit("b"), F.max("lang")).alias("status")).withColumn("part", F.lit(2))
     return one.unionByName(two).groupBy("source").agg(F.max_by("status", "part").alias("status"))
 
 
@@ -222,25 +226,28 @@ def level_check(spark, sf_dir):
     return table(spark, sf_dir, "part").agg(F.count_if(~F.col("p_size").between(1, 50)).alias("bad_size"), F.count_if(F.col("p_retailprice") <= 0).alias("bad_price"), F.count_if(F.col("p_name").isNull()).alias("bad_name"))
 
 
-@PLANS.query("SELECT 'restored' AS side, count(*) AS n_rows FROM (SELECT md5(text) FROM documents EXCEPT ALL SELECT md5(text) FROM documents WHERE doc_id % 10 <> 0) UNION ALL SELECT 'expected', 0")
+@PLANS.query("SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM documents")
 def record_roundtrip(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("d"))
-    kept = rows.filter("doc_id % 10 <> 0").select("d")
-    return normalize.violations([("restored", rows.select("d").exceptAll(kept)), ("expected", kept.exceptAll(rows.select("d")))]).select(F.col("check_name").alias("side"), "n_rows")
+    """All documents as records, written as YAML and read again."""
+    docs = table(spark, sf_dir, "documents")
+    made = docs.select(F.to_json(F.struct("doc_id", "text", "lang", "source", "n_chars"), {"ignoreNullFields": "false"}).alias("j"))
+    back = made.select(records.loaded(records.dumped(F.col("j"))).alias("r")).select(F.from_json("r.record_json", docs.schema).alias("d")).select("d.*")
+    return back.select("doc_id", F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
 
 
-_PAGES = "SELECT (CASE doc_id % 3 WHEN 0 THEN 'n1/' WHEN 1 THEN 'n2/' ELSE 'unclassified/' END) || doc_id || '.md' AS path, sha256({}) AS sha256 FROM documents WHERE {}"
+_PAGES = "SELECT (CASE {} % 3 WHEN 0 THEN 'n1/' WHEN 1 THEN 'n2/' ELSE 'unclassified/' END) || doc_id || '.md' AS path, sha256({}) AS sha256 FROM documents"
 
 
 @PLANS.query(f"""SELECT coalesce(a.path, b.path) AS path, CASE WHEN a.path IS NULL THEN 'added' WHEN b.path IS NULL THEN 'removed' WHEN a.sha256 = b.sha256 THEN 'unchanged' ELSE 'updated' END AS change
-    FROM ({_PAGES.format("text", "doc_id % 7 <> 0")}) a FULL JOIN ({_PAGES.format("CASE WHEN doc_id % 4 = 0 THEN text || '!' ELSE text END", "doc_id % 11 <> 0")}) b ON a.path = b.path""")
+    FROM ({_PAGES.format("doc_id", "text")}) a FULL JOIN ({_PAGES.format("CASE WHEN doc_id % 7 = 0 THEN doc_id + 1 ELSE doc_id END", "CASE WHEN doc_id % 4 = 0 THEN text || '!' ELSE text END")}) b ON a.path = b.path""")
 def sink_markdown_incremental(spark, sf_dir):
-    """Which pages an update writes, removes and leaves."""
+    """Which pages an update writes, removes and leaves: every seventh moves to another level, every fourth has another text."""
     docs = table(spark, sf_dir, "documents")
-    folder = F.when(F.col("doc_id") % 3 == 0, "n1/").when(F.col("doc_id") % 3 == 1, "n2/").otherwise("unclassified/")
-    path = F.concat(folder, F.col("doc_id").cast("string"), F.lit(".md")).alias("path")
-    old = docs.filter("doc_id % 7 <> 0").select(path, F.sha2("text", 256).alias("sha256"))
-    new = docs.filter("doc_id % 11 <> 0").select(path, F.sha2(F.when(F.col("doc_id") % 4 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")), 256).alias("sha256"))
+    folder = lambda n: F.when(n % 3 == 0, "n1/").when(n % 3 == 1, "n2/").otherwise("unclassified/")
+    path = lambda n: F.concat(folder(n), F.col("doc_id").cast("string"), F.lit(".md")).alias("path")
+    old = docs.select(path(F.col("doc_id")), F.sha2("text", 256).alias("sha256"))
+    moved = F.when(F.col("doc_id") % 7 == 0, F.col("doc_id") + 1).otherwise(F.col("doc_id"))
+    new = docs.select(path(moved), F.sha2(F.when(F.col("doc_id") % 4 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")), 256).alias("sha256"))
     return relational.differences(old, new, ["path"], "sha256")
 
 
@@ -267,10 +274,25 @@ def posexplode_relation(spark, sf_dir):
     return normalize.child_relation(rows, "doc_id", "doc_id", "forms", {"form": F.col("item")})
 
 
-@PLANS.query("""SELECT d.doc_id, b.item_id, CAST(length(b.text) AS INTEGER) AS passage_chars FROM documents d JOIN benchmark b ON contains(regexp_replace(d.text, '\\s+', ' ', 'g'), regexp_replace(b.text, '\\s+', ' ', 'g')) WHERE length(b.text) >= 80""")
-def reviewed_credit(spark, sf_dir):
-    """Documents that hold a reviewed passage, white space aside. Passages are few and looked for by the hash of their first words."""
-    from inkspar.operators.passages import containing
+@PLANS.query("""SELECT DISTINCT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(regexp_replace(d.text, '\\s+', ' ', 'g'), regexp_replace(b.text, '\\s+', ' ', 'g'))""")
+def containing_passages(spark, sf_dir):
+    """Documents that hold a passage, white space aside. Passages are few and looked for by the hash of their first words."""
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"))
+    return containing(table(spark, sf_dir, "documents").select("doc_id", "text"), items)
 
-    items = table(spark, sf_dir, "benchmark").filter(F.length("text") >= 80).select("item_id", F.col("text").alias("passage"))
-    return containing(table(spark, sf_dir, "documents").select("doc_id", "text"), items).select("doc_id", "item_id", F.length("passage").alias("passage_chars"))
+
+@PLANS.query("""WITH c AS (SELECT doc_id, length(trim(regexp_replace(coalesce(text, ''), '\\s+', ' ', 'g'))) // 5 AS k FROM documents)
+    SELECT doc_id, CAST(k AS INTEGER) AS passage_chars, k >= 200 AND CASE doc_id % 5 WHEN 0 THEN 3 * k >= 1000 WHEN 1 THEN false WHEN 2 THEN false WHEN 3 THEN 2 * k >= 1000 ELSE false END AS holds FROM c""")
+def reviewed_credit(spark, sf_dir):
+    """A reviewed credit rests on ordered, separate passages of enough length with their hashes: right ones, a wrong hash, an overlap, fewer ones, and one past the end."""
+    clean = F.trim(collapse_space(F.coalesce("text", F.lit(""))))
+    rows = table(spark, sf_dir, "documents").select("doc_id", clean.alias("t")).withColumn("k", F.floor(F.length("t") / 5).cast("int"))
+    t, k, kind = F.col("t"), F.col("k"), F.col("doc_id") % 5
+    passage = lambda at, sha=None: F.struct(at.cast("int").alias("offset"), k.alias("length"), F.coalesce(sha, F.sha2(F.substr(t, at + 1, k), 256)).alias("sha256"))
+    none = F.lit(None).cast("string")
+    good = F.array(passage(F.lit(0), none), passage(k, none), passage(3 * k, none))
+    wrong = F.array(passage(F.lit(0), none), passage(k, F.lit("x")), passage(3 * k, none))
+    over = F.array(passage(F.lit(0), none), passage(F.greatest(k - 1, F.lit(0)), none), passage(3 * k, none))
+    past = F.array(passage(F.lit(0), none), passage(k, none), passage(F.length(t) - k + 1, none))
+    passages = F.when(kind == 0, good).when(kind == 1, wrong).when(kind == 2, over).when(kind == 3, F.slice(good, 1, 2)).otherwise(past)
+    return rows.select("doc_id", k.alias("passage_chars"), passages_hold(t, passages).alias("holds"))

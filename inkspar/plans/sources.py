@@ -12,7 +12,7 @@ from pyspark.sql.types import BinaryType
 
 from inkspar.functions import html, legacy, licences
 from inkspar.functions.urls import Scope
-from inkspar.operators import normalize, omissions
+from inkspar.operators import gates, normalize, omissions
 from inkspar.plans.base import Plans
 from inkspar.plans.tables import table
 from inkspar.sources import cdx, feed, legacy_pages, member, pages, records, sinks
@@ -143,10 +143,16 @@ def html_labeled_value(spark, sf_dir):
     return rows.select("s_suppkey", html.labelled_value_column(F.col("html"), "Category", True).alias("category"), html.labelled_value_column(F.col("html"), "JLPT Level").alias("level"))
 
 
-@PLANS.query("SELECT s_suppkey, 'https://creativecommons.org/licenses/by-sa/2.0/' AS url, true AS accepted FROM supplier")
+@PLANS.query("""SELECT s_suppkey, 'https://creativecommons.org/licenses/by-sa/2.0/' AS url, true AS accepted FROM supplier WHERE s_suppkey % 4 < 2
+    UNION ALL SELECT s_suppkey, 'http://www.creativecommons.org/licenses/by/4.0/', false FROM supplier WHERE s_suppkey % 4 IN (1, 2)""")
 def license_links(spark, sf_dir):
-    rows = _old_pages(spark, sf_dir).select("s_suppkey", F.explode(html.links_column(F.col("html"), "http://old.example.org/")).alias("l"))
-    return rows.filter(F.contains("l.url", F.lit("/licenses/"))).select("s_suppkey", "l.url", licences.is_data_licence(F.col("l.url")).alias("accepted"))
+    """Pages with the data licence, with another one beside it, with only another one, and with none; links elsewhere don't count."""
+    own, other = '<a href="https://creativecommons.org/licenses/by-sa/2.0/">l</a>', '<p><a href="http://www.creativecommons.org/licenses/by/4.0/">m</a></p>'
+    kind = F.col("s_suppkey") % 4
+    page = F.concat(F.lit('<a href="/licenses/by-sa/2.0/">here</a>'), F.when(kind == 0, own).when(kind == 1, own + other).when(kind == 2, other).otherwise("<p>creativecommons.org/licenses/by-sa/2.0/</p>"))
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(html.links_column(page, "http://old.example.org/")).alias("l"))
+    found = rows.select("s_suppkey", F.explode(licences.links_in(F.col("l.url"))).alias("url"))
+    return found.select("s_suppkey", "url", licences.is_data_licence(F.col("url")).alias("accepted"))
 
 
 @PLANS.query("SELECT p_partkey, p_brand AS credit FROM part")
@@ -342,9 +348,12 @@ def sink_markdown(spark, sf_dir):
     return made.filter("path NOT LIKE 'unclassified/%'")
 
 
-@PLANS.query("SELECT page_id, sha256(regexp_extract(html, '<title>[^<]*</title>')) AS section_sha256 FROM pages")
+@PLANS.query("""SELECT p_partkey, sha256('<p>' || p_name || '<br/><strong>' || p_brand || '</strong></p>' || CASE WHEN p_partkey % 2 = 0 THEN 'tail' ELSE '' END) AS section_sha256 FROM part""")
 def section_hash(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.sha2(F.regexp_extract("html", "<title>[^<]*</title>", 0), 256).alias("section_sha256"))
+    """The hash of a section's serialized node, which attributes, scripts and the case of tags don't change."""
+    tail = F.when(F.col("p_partkey") % 2 == 0, "tail").otherwise("<script>x</script>")
+    section = F.concat(F.lit('<P class="a" id="'), F.col("p_partkey").cast("string"), F.lit('">'), F.col("p_name"), F.lit('<br><font color="red">'), F.col("p_brand"), F.lit("</font></P>"), tail)
+    return table(spark, sf_dir, "part").select("p_partkey", F.sha2(html.fragment_column(section, "http://a.example.org/"), 256).alias("section_sha256"))
 
 
 @PLANS.query("SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'warnings' WHEN doc_id % 5 = 0 THEN 'licence' WHEN doc_id % 3 = 0 AND doc_id % 2 = 0 THEN 'omissions in a complete record' WHEN doc_id % 3 <> 0 AND doc_id % 2 = 1 THEN 'incomplete without omissions' END AS reason FROM documents")
@@ -355,13 +364,32 @@ def export_gate(spark, sf_dir):
     return omissions.exportable(rows).select("doc_id", "reason")
 
 
-@PLANS.query("SELECT 'evidence' AS side, count(*) AS n_rows FROM documents WHERE doc_id % 9 = 0")
+@PLANS.query("SELECT doc_id, CASE doc_id % 9 WHEN 0 THEN 'differs' WHEN 1 THEN 'no body' ELSE 'equal' END AS outcome FROM documents")
 def cross_reference_bytes(spark, sf_dir):
-    """Byte ranges named by hash in other bodies; every ninth names a wrong hash."""
+    """Byte ranges of whole bodies, from different places on, named by hash in other bodies; some name a wrong hash, and some a body that isn't there."""
     docs = table(spark, sf_dir, "documents")
-    body = F.col("text").cast("binary")
-    bodies = docs.select(F.sha2("text", 256).alias("sha256"), body.alias("body")).dropDuplicates(["sha256"])
-    size = F.least(F.octet_length("text"), F.lit(20))
-    cut = F.sha2(F.substr(body, F.lit(1), size), 256)
-    evidence = docs.select("doc_id", F.sha2("text", 256).alias("reference_sha256"), F.lit(0).alias("byte_offset"), size.alias("byte_length"), F.when(F.col("doc_id") % 9 == 0, "x").otherwise(cut).alias("range_sha256"))
-    return normalize.violations([("evidence", omissions.cross_referenced(evidence, bodies).filter("outcome <> 'equal'"))]).withColumnRenamed("check_name", "side")
+    body = F.coalesce("text", F.lit("")).cast("binary")
+    bodies = docs.select(F.sha2(body, 256).alias("sha256"), body.alias("body")).dropDuplicates(["sha256"])
+    start, kind = F.least((F.col("doc_id") % 50).cast("int"), F.octet_length(body)), F.col("doc_id") % 9
+    size = F.octet_length(body) - start
+    cut = F.sha2(F.substr(body, start + 1, size), 256)
+    evidence = docs.select("doc_id", F.when(kind == 1, "gone").otherwise(F.sha2(body, 256)).alias("reference_sha256"), start.alias("byte_offset"), size.alias("byte_length"), F.when(kind == 0, "x").otherwise(cut).alias("range_sha256"))
+    return omissions.cross_referenced(evidence, bodies).select("doc_id", "outcome")
+
+
+@PLANS.query("""SELECT doc_id, CASE doc_id % 10 WHEN 0 THEN 'no state' WHEN 1 THEN 'state failed' WHEN 2 THEN 'state pending' WHEN 3 THEN 'another record than the state''s' WHEN 4 THEN 'hold: legacy report'
+    WHEN 5 THEN 'a newer response' WHEN 6 THEN 'warnings' WHEN 7 THEN 'licence' END AS reason FROM documents""")
+def export_states(spark, sf_dir):
+    """Records against their states, record hashes, holds and the newest cached responses. A newer response of the same bytes holds nothing (8)."""
+    docs, kind = table(spark, sf_dir, "documents"), F.col("doc_id") % 10
+    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
+    url = F.sha2(F.col("doc_id").cast("string"), 256)
+    texts = lambda x: F.when(kind == 6, F.array(F.lit(x))).otherwise(F.array().cast("array<string>"))
+    licence = F.when(kind == 7, "https://example.org/").otherwise("https://creativecommons.org/licenses/by-sa/2.0/")
+    rows = docs.select("doc_id", sha.alias("record_sha256"), url.alias("url_sha256"), sha.alias("response_sha256"), F.lit("2020-02").alias("retrieved_at"), texts("w").alias("warnings"), licence.alias("license_url"), F.lit(True).alias("source_sections_complete"), F.array().cast("array<string>").alias("omissions"))
+    # a state of another key where there is none, and holds of other keys
+    states = docs.select(F.when(kind == 0, -1 - F.col("doc_id")).otherwise(F.col("doc_id")).alias("doc_id"), F.when(kind == 1, "failed").when(kind == 2, "pending").otherwise("parsed").alias("status"), F.when(kind == 3, "x").otherwise(sha).alias("record_sha256"))
+    holds = docs.select(F.when(kind == 4, F.col("doc_id")).otherwise(-1 - F.col("doc_id")).alias("doc_id"), F.lit("legacy report").alias("hold"))
+    old = docs.select(url.alias("url_sha256"), F.lit("2020-01").alias("retrieved_at"), F.lit("older").alias("response_sha256"))
+    new = docs.select(url.alias("url_sha256"), F.when(kind.isin(5, 8), "2020-03").otherwise("2020-02").alias("retrieved_at"), F.when(kind == 5, "newer").otherwise(sha).alias("response_sha256"))
+    return gates.outcomes(rows, states, holds, old.unionByName(new), "doc_id")
