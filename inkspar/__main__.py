@@ -1,4 +1,4 @@
-"""Commands over captured archives: backup, restore, migrate, audit, build, update-pages.
+"""Commands over captured archives: backup, restore, migrate, extract, audit, audit-captures, build, update-pages.
 
 Exit codes: 0 done, 1 incomplete or held, 2 invalid input.
 """
@@ -22,13 +22,17 @@ def _parser() -> argparse.ArgumentParser:
     commands.add_parser("migrate").add_argument("folder")
     for name in ("audit", "build", "update-pages"):
         p = commands.add_parser(name)
-        for option in ("--current", "--archive", "--feeds"):
+        for option in ("--current", "--archive", "--feeds", "--states", "--holds", "--cache"):
             p.add_argument(option)
         if name == "build":
             p.add_argument("out")
             p.add_argument("--sqlite")
         if name != "audit":
             p.add_argument("--pages", required=name == "update-pages")
+    for name, folders in (("extract", ("index", "bodies", "out", "states")), ("audit-captures", ("index", "bodies", "records"))):
+        p = commands.add_parser(name)
+        for folder in folders:
+            p.add_argument(folder)
     return parser
 
 
@@ -54,9 +58,18 @@ def run(arguments: list[str]) -> int:
 
         spark = SparkSession.builder.appName("inkspar").config("spark.sql.session.timeZone", "UTC").getOrCreate()
         ship(spark)
+        if args.command == "extract":
+            counts = archive.extract(spark, args.index, args.bodies, args.out, args.states)
+            print(json.dumps(counts))
+            return 0 if set(counts) <= {"parsed", "excluded"} else 1
+        if args.command == "audit-captures":
+            counts = {r["outcome"]: r["count"] for r in archive.audit_captures(spark, args.index, args.bodies, args.records).groupBy("outcome").count().collect()}
+            print(json.dumps(counts))
+            return 0 if set(counts) <= {"equal"} else 1
         folders = {"current_folder": args.current, "archive_folder": args.archive, "feed_folder": args.feeds}
         if not any(folders.values()):
             raise ValueError("no folder of records is named")
+        folders |= {"states": args.states, "holds": args.holds, "cache": args.cache}
         if args.command == "audit":
             report = archive.audit(spark, **folders)
             print(json.dumps(report))

@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspar import schemas
-from inkspar.functions.text import observation_key
-from inkspar.operators import normalize
-from inkspar.sources import records, sinks
+from inkspar.functions.text import observation_key, record_digest
+from inkspar.operators import gates as rules
+from inkspar.operators import audits, normalize
+from inkspar.sources import captured, records, sinks
+
+#: What stands beside records: a line of JSON for each state, hold and cached response.
+STATE, HOLD, RESPONSE = "key string, status string, record_sha256 string", "key string, hold string", "url_sha256 string, retrieved_at string, response_sha256 string"
 
 DATA_LICENCE = "https://creativecommons.org/licenses/by-sa/2.0/"
 
@@ -34,16 +38,50 @@ def feeds(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gates(entries: DataFrame, kind: str, key: str) -> list[tuple[str, DataFrame]]:
-    """What keeps records from being exported: warnings, another licence, repeated keys."""
-    return [(f"{kind} with warnings", entries.filter(F.size("warnings") > 0)), (f"{kind} under another licence", entries.filter(~F.col("license.url").eqNullSafe(F.lit(DATA_LICENCE)))), (f"{kind} with a repeated {key}", normalize.repeated_keys(entries, key))]
+    """What keeps records from being exported by themselves: repeated keys, and each reason of omissions.own_reason."""
+    judged = _judged(entries).select("key", rules.own_reason().alias("reason"))
+    return [(f"{kind} held: {reason}", judged.filter(F.col("reason") == reason)) for reason in ("warnings", "licence", "omissions in a complete record", "incomplete without omissions")] + [(f"{kind} with a repeated {key}", normalize.repeated_keys(entries, key))]
+
+
+def _judged(entries: DataFrame) -> DataFrame:
+    """The columns that gates.outcomes reads. A record's key is its id, an observation's or feed's its own."""
+    own = next(c for c in ("key", "id", "feed_path") if c in entries.columns)
+    at = lambda name: F.get_json_object("record_json", f"$.{name}")
+    none = F.array().cast("array<string>")
+    return entries.select(
+        F.col(own).cast("string").alias("key"), record_digest(F.col("record_json")).alias("record_sha256"), F.sha2(at("source_url"), 256).alias("url_sha256"), at("response_sha256").alias("response_sha256"), at("retrieved_at").alias("retrieved_at"),
+        F.coalesce("warnings", none).alias("warnings"), F.col("license.url").alias("license_url"), at("source_sections_complete").cast("boolean").alias("source_sections_complete"), F.coalesce(F.from_json(at("omitted_sections"), "array<string>"), none).alias("omissions"),
+    )
+
+
+def _lines(spark: SparkSession, folder: str | None, schema: str) -> DataFrame:
+    return spark.read.schema(schema).json(folder) if folder else spark.createDataFrame([], schema)
+
+
+def export_outcomes(spark: SparkSession, entries: DataFrame, states: str, holds: str | None = None, cache: str | None = None) -> DataFrame:
+    """(key, reason) of records: the first reason against the export of each, or null. states, holds and cache are folders of JSON lines."""
+    return rules.outcomes(_judged(entries), _lines(spark, states, STATE), _lines(spark, holds, HOLD), _lines(spark, cache, RESPONSE), "key")
 
 
-def relations(spark: SparkSession, current_folder: str | None = None, archive_folder: str | None = None, feed_folder: str | None = None) -> tuple[dict[str, DataFrame], list[tuple[str, DataFrame]]]:
-    """The relations of all given folders, and the checks that must hold before they are written."""
+def read_records(spark: SparkSession, folder: str, for_export: bool = False, states: str | None = None, holds: str | None = None, cache: str | None = None) -> DataFrame:
+    """Current records in order of id. For an export any reason against one of them is an error; states must then be named."""
+    found = current(spark, folder)
+    if for_export:
+        if not states:
+            raise ValueError("an export needs the records' states")
+        held = export_outcomes(spark, found, states, holds, cache).filter("reason IS NOT NULL")
+        normalize.assert_none([("records held", held), ("records with a repeated id", normalize.repeated_keys(found, "id"))])
+    return found.orderBy("id")
+
+
+def relations(spark: SparkSession, current_folder: str | None = None, archive_folder: str | None = None, feed_folder: str | None = None, states: str | None = None, holds: str | None = None, cache: str | None = None) -> tuple[dict[str, DataFrame], list[tuple[str, DataFrame]]]:
+    """The relations of all given folders, and the checks that must hold before they are written; with states also those of export_outcomes."""
     found: dict[str, DataFrame] = {}
     checks: list[tuple[str, DataFrame]] = []
     if current_folder:
         entries = current(spark, current_folder)
+        if states:
+            checks.append(("entries held by states, holds or newer responses", export_outcomes(spark, entries, states, holds, cache).filter("reason IS NOT NULL")))
         own = normalize.relations(entries.drop("path"))
         checks += gates(entries, "entries", "id") + [("examples repeated", normalize.repeated_keys(own["examples"], "entry_id", "source_id")), ("translations without an example", normalize.orphans(own["translations"].withColumnRenamed("example_id", "source_id"), ["entry_id", "source_id"], own["examples"], ["entry_id", "source_id"])), ("levels out of range", entries.filter("jlpt_level NOT BETWEEN 1 AND 5"))]
         found |= own
@@ -71,17 +109,13 @@ def build(spark: SparkSession, out: str, sqlite: str | None = None, pages: str |
     return counts
 
 
-def update_pages(spark: SparkSession, pages: str, **folders: str | None) -> dict[str, list[str]]:
-    """Brings a folder of Markdown pages up to date. Pages are rendered by the executors and written one after the other."""
-    bodies: dict[str, str] = {}
-    for name, read in (("current_folder", current), ("archive_folder", observations), ("feed_folder", feeds)):
-        if folders.get(name):
-            for r in read(spark, folders[name]).select(sinks.rendered(F.col("record_json")).alias("p")).toLocalIterator():
-                if r["p"]["path"] in bodies:
-                    raise ValueError(f"two records for one page: {r['p']['path']}")
-                bodies[r["p"]["path"]] = r["p"]["body"]
-    bodies["README.md"] = "# Pages\n\n" + "".join(f"- [{p}]({p})\n" for p in sorted(bodies))
-    return sinks.update_pages(bodies, pages)
+def update_pages(spark: SparkSession, pages: str, current_folder: str | None = None, archive_folder: str | None = None, feed_folder: str | None = None, **_: str | None) -> dict[str, list[str]]:
+    """Brings a folder of Markdown pages up to date. The driver gets each page's path and hash; executors render and write, so the folder must be one that all see."""
+    sources = [read(spark, folder).select(sinks.rendered(F.col("record_json")).alias("p")).select("p.path", "p.body") for folder, read in ((current_folder, current), (archive_folder, observations), (feed_folder, feeds)) if folder]
+    made = sources[0]
+    for more in sources[1:]:
+        made = made.unionByName(more)
+    return sinks.update_page_table(made, pages)
 
 
 def audit(spark: SparkSession, **folders: str | None) -> dict:
@@ -89,3 +123,16 @@ def audit(spark: SparkSession, **folders: str | None) -> dict:
     _, checks = relations(spark, **folders)
     counts = {r["check_name"]: r["n_rows"] for r in normalize.violations(checks).collect()}
     return {"checks": counts, "export_ready": not any(counts.values())}
+
+
+def extract(spark: SparkSession, index: str, bodies: str, out: str, states: str) -> dict[str, int]:
+    """Records of captured pages: written below out as YAML, with a state for each capture; the counts of states."""
+    found = captured.extracted(captured.index(spark, index), captured.bodies(spark, bodies))
+    return captured.write(found, out, states)
+
+
+def audit_captures(spark: SparkSession, index: str, bodies: str, records_folder: str) -> DataFrame:
+    """(key, outcome) of stored observations against those extracted again from the captured bytes."""
+    found = captured.extracted(captured.index(spark, index), captured.bodies(spark, bodies)).filter("status = 'parsed'")
+    stored = records.read(spark, records_folder).select(F.regexp_extract("path", r"([^/]+)\.yaml$", 1).alias("key"), record_digest(F.col("record_json")).alias("record_sha256"))
+    return audits.reextracted(stored, found.select("key", "record_sha256"), "key", ["record_sha256"])

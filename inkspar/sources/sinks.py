@@ -18,6 +18,8 @@ from inkspar.operators.normalize import assert_none
 MANIFEST = ".pages.json"
 #: README, pages by level, unclassified pages, and pages of observations.
 PAGE = r"(?:README\.md|(?:n[1-5]|unclassified)/[1-9]\d*\.md|archive/(?:(?:[1-9]\d*|unknown)-[a-f0-9]{12}|feed-[a-z0-9]+)\.md)"
+#: Rows of a relation in one SQLite file at most.
+SQLITE_ROWS = 50_000_000
 SQLITE_TYPES = {"bigint": "INTEGER", "int": "INTEGER", "boolean": "INTEGER", "double": "REAL"}
 
 
@@ -32,10 +34,13 @@ def write_relations(found: dict[str, DataFrame], folder: str, checks: Iterable[t
         df.write.mode("errorifexists").parquet(f"{folder.rstrip('/')}/{name}")
 
 
-def write_sqlite(found: dict[str, DataFrame], path: str, schema_version: int = 3, views: dict[str, str] | None = None, checks: Iterable[tuple[str, DataFrame]] = ()) -> dict[str, int]:
+def write_sqlite(found: dict[str, DataFrame], path: str, schema_version: int = 3, views: dict[str, str] | None = None, checks: Iterable[tuple[str, DataFrame]] = (), keys: dict[str, tuple[str, ...]] | None = None, references: dict[str, list[tuple[tuple[str, ...], str, tuple[str, ...]]]] | None = None, most_rows: int = SQLITE_ROWS) -> dict[str, int]:
     """One new SQLite file for readers without Spark, with a metadata table and views; the counts of rows.
 
-    Rows come to the driver partition by partition. The file appears only when it is complete and sound.
+    keys names the primary key of a relation, references its foreign keys as (columns, parent, parent's columns); both
+    are part of the tables made, and the file is refused if a row breaks one. A single file is written by one process:
+    rows come to the driver partition by partition, never all at once, and a relation of more than most_rows is an
+    error, for which write_relations is the way. The file appears only when it is complete and sound.
     """
     target = Path(path)
     if target.exists() or target.is_symlink():
@@ -50,7 +55,12 @@ def write_sqlite(found: dict[str, DataFrame], path: str, schema_version: int = 3
         quote = lambda name: '"' + name.replace('"', '""') + '"'
         for name, df in found.items():
             columns = [(f.name, SQLITE_TYPES.get(f.dataType.simpleString(), "TEXT")) for f in df.schema]
-            db.execute(f"CREATE TABLE {quote(name)} ({', '.join(f'{quote(c)} {t}' for c, t in columns)})")
+            listed = lambda names: ", ".join(map(quote, names))
+            rules = [f"PRIMARY KEY ({listed(keys[name])})"] if keys and name in keys else []
+            rules += [f"FOREIGN KEY ({listed(own)}) REFERENCES {quote(parent)} ({listed(theirs)})" for own, parent, theirs in (references or {}).get(name, [])]
+            db.execute(f"CREATE TABLE {quote(name)} ({', '.join([f'{quote(c)} {t}' for c, t in columns] + rules)})")
+            if (n := df.count()) > most_rows:
+                raise ValueError(f"{name} has {n} rows, too many for one file")
             plain = df.select(*[F.col(f.name) if f.dataType.simpleString() in (*SQLITE_TYPES, "string") else F.to_json(f.name).alias(f.name) for f in df.schema])
             insert = f"INSERT INTO {quote(name)} VALUES ({', '.join('?' * len(columns))})"
             db.executemany(insert, (tuple(r) for r in plain.toLocalIterator()))
@@ -61,7 +71,7 @@ def write_sqlite(found: dict[str, DataFrame], path: str, schema_version: int = 3
             db.execute(f"CREATE VIEW {quote(name)} AS {select}")
         db.execute(f"PRAGMA user_version = {int(schema_version)}")
         db.commit()
-        if db.execute("PRAGMA integrity_check").fetchone()[0] != "ok":
+        if db.execute("PRAGMA integrity_check").fetchone()[0] != "ok" or db.execute("PRAGMA foreign_key_check").fetchone() is not None:
             raise ValueError("the file isn't sound")
         db.close()
         os.link(part, target)
@@ -141,31 +151,72 @@ def update_pages(pages: dict[str, str], folder: str) -> dict[str, list[str]]:
     Only files that the folder's manifest lists with their hash are managed: a page that a person edited,
     and a file in a new page's place, are errors, found before anything is written.
     """
+    fresh = {n: hashlib.sha256(b.encode()).hexdigest() for n, b in pages.items()}
+    root, listed = _managed(folder, fresh)
+    changed = {n for n in pages if listed.get(n) != fresh[n] or not (root / n).exists()}
+    for name in changed:
+        _placed(root, name, pages[name])
+    return _finished(root, listed, fresh, changed)
+
+
+def _managed(folder: str, fresh: dict[str, str]) -> tuple[Path, dict[str, str]]:
+    """The folder, and the hashes by path of its manifest; an error if a page isn't as the manifest, or as the new pages, have it."""
     root = Path(folder).absolute()
     if root.is_symlink() or root.exists() and not root.is_dir():
         raise ValueError(f"not a folder: {folder}")
-    sha = lambda body: hashlib.sha256(body.encode() if isinstance(body, str) else body).hexdigest()
     listed: dict[str, str] = json.loads((root / MANIFEST).read_text()) if (root / MANIFEST).exists() else {}
-    for name in {*listed, *pages}:
+    for name in {*listed, *fresh}:
         path = _checked(root, name)
-        if path.exists() and (name not in listed or sha(path.read_bytes()) != listed[name]):
+        if path.exists() and hashlib.sha256(path.read_bytes()).hexdigest() not in ({listed[name], fresh.get(name)} if name in listed else ()):
             raise ValueError(f"edited, or not of this export: {name}")
-    fresh = {n: sha(b) for n, b in pages.items()}
-    changed = [n for n in pages if listed.get(n) != fresh[n] or not (root / n).exists()]
-    gone = [n for n in listed if n not in pages]
-    for name in changed:
-        path = root / name
-        path.parent.mkdir(parents=True, exist_ok=True)
-        part = path.with_name(path.name + ".part")
-        part.write_text(pages[name])
-        os.replace(part, path)
+    return root, listed
+
+
+def _finished(root: Path, listed: dict[str, str], fresh: dict[str, str], changed: set[str]) -> dict[str, list[str]]:
+    gone = [n for n in listed if n not in fresh]
     for name in gone:
         (root / name).unlink(missing_ok=True)
     if changed or gone or not (root / MANIFEST).exists():
-        root.mkdir(parents=True, exist_ok=True)
-        (root / f"{MANIFEST}.part").write_text(json.dumps(fresh, sort_keys=True))
-        os.replace(root / f"{MANIFEST}.part", root / MANIFEST)
-    return {"updated": sorted(changed), "removed": sorted(gone), "unchanged": sorted(set(pages) - set(changed))}
+        _placed(root, MANIFEST, json.dumps(fresh, sort_keys=True))
+    return {"updated": sorted(changed), "removed": sorted(gone), "unchanged": sorted(set(fresh) - changed)}
+
+
+def _placed(root: Path, name: str, body: str) -> None:
+    path = root / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    part = path.with_name(f"{path.name}.{os.getpid()}.part")
+    part.write_text(body)
+    os.replace(part, path)
+
+
+def update_page_table(made: DataFrame, folder: str) -> dict[str, list[str]]:
+    """As update_pages, for a table (path, body) and a folder that driver and executors see.
+
+    The driver gets paths and hashes only. What must not be changed is found before anything is written; then the
+    executors write the changed pages, and the manifest comes last, so that a run that was cut off can be done again.
+    """
+    from pyspark import TaskContext
+
+    hashed = made.select("path", F.sha2(F.col("body"), 256).alias("sha256")).collect()
+    fresh = {r["path"]: r["sha256"] for r in hashed}
+    if len(fresh) < len(hashed):
+        raise ValueError("two records for one page")
+    front = "# Pages\n\n" + "".join(f"- [{p}]({p})\n" for p in sorted(fresh))
+    fresh["README.md"] = hashlib.sha256(front.encode()).hexdigest()
+    root, listed = _managed(folder, fresh)
+    changed = {n for n in fresh if listed.get(n) != fresh[n] or not (root / n).exists()}
+    shared = made.sparkSession.sparkContext.broadcast(frozenset(changed))
+
+    def place(rows: Iterable) -> None:
+        assert TaskContext.get() is not None
+        for r in rows:
+            if r["path"] in shared.value:
+                _placed(root, r["path"], r["body"])
+
+    made.foreachPartition(place)
+    if "README.md" in changed:
+        _placed(root, "README.md", front)
+    return _finished(root, listed, fresh, changed)
 
 
 def write_report(path: str, report: dict) -> None:
