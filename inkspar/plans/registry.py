@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from inkspar.plans import audits, captures, pages, relational, search, sources, texts
+from inkspar.plans import audits, captures, exports, pages, relational, search, sources, texts
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
-for _module in (search, texts, captures, relational, audits, pages, sources):
+for _module in (search, texts, captures, relational, audits, pages, sources, exports):
     QUERIES |= _module.PLANS.queries
     ORACLES |= _module.PLANS.oracles

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from inkspar import schemas
 from inkspar.functions import html, legacy, licences
 from inkspar.functions.urls import Scope
 from inkspar.operators import gates, normalize, omissions
@@ -125,6 +126,12 @@ def _old_records(spark, sf_dir) -> DataFrame:
     return parsed.select("s_suppkey", "r.error", F.from_json("r.record_json", schema).alias("e")).select("s_suppkey", "error", "e.*")
 
 
+def archive_records(spark, sf_dir) -> DataFrame:
+    """key and the fields of the records of all old pages within the scope."""
+    parsed = _old_pages(spark, sf_dir).select(F.col("s_suppkey").cast("string").alias("key"), pages.attempted(_old_record, F.col("html"), F.col("s_suppkey")).alias("r"))
+    return parsed.filter("r.error IS NULL").select("key", F.from_json("r.record_json", schemas.OBSERVATION).alias("e")).select("key", "e.*")
+
+
 @PLANS.query("SELECT s_suppkey, CASE WHEN s_suppkey % 5 <> 0 THEN s_name END AS title, CASE WHEN s_suppkey % 5 <> 0 THEN CAST(s_suppkey AS VARCHAR) END AS reading, CASE WHEN s_suppkey % 5 <> 0 THEN CAST(s_nationkey AS VARCHAR) END AS jlpt_level_original, CASE WHEN s_suppkey % 5 = 0 THEN 'category flash' END AS error FROM supplier")
 def scan_archive_html(spark, sf_dir):
     return _old_records(spark, sf_dir).select("s_suppkey", "title", "reading", "jlpt_level_original", "error")
