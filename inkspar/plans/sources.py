@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import gzip
 from collections.abc import Iterator
 
@@ -363,6 +365,29 @@ def section_hash(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", F.sha2(html.fragment_column(section, "http://a.example.org/"), 256).alias("section_sha256"))
 
 
+def _reviewed_record(body: str, key: int) -> dict:
+    """A page of which the notes were reviewed and left out; by key the review fits, or was made of other bytes, another text, entry or range, or of a section that isn't there."""
+    raw = body.encode()
+    first = raw.index(b"<table><tr><td class=\"titleSection\">Notes:")
+    cut = raw[first : raw.index(b"</table>", first) + 8]
+    notes = next(n.parent for n in html.parse(body).walk() if legacy_pages.HEADING in n.classes() and html.text(n) == "Notes:")
+    review = {"response_sha256": hashlib.sha256(raw).hexdigest(), "source_url": f"http://old.example.org/view.php?tagE=l{key}", "label": f"l{key}", "id": key, "section": "Notes", "byte_offset": first, "byte_length": len(cut), "range_sha256": hashlib.sha256(cut).hexdigest(), "text_sha256": hashlib.sha256(html.text(notes).encode()).hexdigest()}
+    change = {1: {"range_sha256": "x"}, 2: {"text_sha256": "x"}, 3: {"id": key + 1}, 4: {"section": "Other"}, 5: {"byte_length": len(raw)}, 6: {"response_sha256": "x"}}.get(key % 7, {})
+    capture = {"label": f"l{key}", "original": review["source_url"], "timestamp": "20150225000000", "digest": "-"}
+    return legacy_pages.page(raw, capture, legacy_pages.Rules(omissions=(review | change,)))
+
+
+@PLANS.query("""SELECT s_suppkey, CASE WHEN k IN (1, 5) THEN 'the reviewed bytes differ' WHEN k = 2 THEN 'the reviewed text differs' WHEN k = 3 THEN 'the reviewed entry has another id' WHEN k = 4 THEN 'the reviewed section is absent or ambiguous' END AS problem,
+    CASE WHEN k = 0 THEN 0 WHEN k = 6 THEN 1 END AS notes, CASE WHEN k = 0 THEN false END AS complete FROM (SELECT s_suppkey, s_suppkey % 7 AS k FROM supplier)""")
+def review_sections(spark, sf_dir):
+    """Sections that persons reviewed are left out, on exactly the bytes, text and entry that they saw. A review of another response isn't about the page."""
+    rows = table(spark, sf_dir, "supplier")
+    page = _filled(_OLD, id=F.col("s_suppkey"), name=F.col("s_name"), acct=F.col("s_suppkey"), nation=F.col("s_nationkey"), category=F.lit("grammar"))
+    parsed = rows.select("s_suppkey", pages.attempted(_reviewed_record, page, F.col("s_suppkey")).alias("r"))
+    notes = F.size(F.from_json(F.get_json_object("r.record_json", "$.notes"), "array<string>"))
+    return parsed.select("s_suppkey", F.col("r.error").alias("problem"), F.when(F.col("r.error").isNull(), notes).alias("notes"), F.get_json_object("r.record_json", "$.source_sections_complete").cast("boolean").alias("complete"))
+
+
 @PLANS.query("SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'warnings' WHEN doc_id % 5 = 0 THEN 'licence' WHEN doc_id % 3 = 0 AND doc_id % 2 = 0 THEN 'omissions in a complete record' WHEN doc_id % 3 <> 0 AND doc_id % 2 = 1 THEN 'incomplete without omissions' END AS reason FROM documents")
 def export_gate(spark, sf_dir):
     d = F.col("doc_id")
