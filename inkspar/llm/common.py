@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,8 @@ ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is the one named by ``spark.checkpoint.dir``. Only where that is unset (local tests) a folder
-    of this process is made.
+    It is the one named by ``spark.checkpoint.dir``. Only where that is unset on a local master (tests) a folder
+    of this process is made; on a cluster that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
@@ -24,6 +26,8 @@ def shared_dir(spark: SparkSession) -> str:
         if kept.isDefined():
             named = kept.get()
         else:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             named = "file://" + tempfile.mkdtemp(prefix="inkspar-")
             spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -51,6 +55,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_ONLY: dict = {}
+
+
+def only(key: tuple, make: Callable):
+    """What make returns, kept in this worker process under key until another key is asked for.
+
+    Workers are used again from stage to stage, so tables that operators build there would add up otherwise.
+    """
+    if key not in _ONLY:
+        _ONLY.clear()
+        gc.collect()
+        _ONLY[key] = make()
+    return _ONLY[key]
+
+
+def release() -> None:
+    """Lets go of what only() keeps: for tasks that need memory and none of it."""
+    _ONLY.clear()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -90,3 +114,11 @@ def frequent_floor(counts: DataFrame, n_col: str, most: int) -> int:
             break
         floor = r["least"]
     return floor if floor is not None else (1 << 62)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have in any case: name, or name with as many "_" as it takes."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
