@@ -17,21 +17,21 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
+
+from inkspar.llm.common import free_name, only
 
 #: Remembered matches of the split pattern, in each worker, and the longest that is remembered.
 CACHED, CACHED_BYTES = 240_000, 64
-#: Texts whose ids are held at once.
-TOGETHER = 500
+#: Texts whose ids are held at once, at most, and ids after which no further text joins them.
+TOGETHER, TOGETHER_IDS = 500, 1 << 22
 #: Remembered pairs of tokens, in each worker.
 CACHED_PAIRS = 200_000
 
@@ -182,15 +182,35 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-@lru_cache(maxsize=4)
 def encoder(path: str, pattern: str) -> Encoder:
-    """One encoder for each rank file in a worker process."""
-    return Encoder(read_ranks(path), pattern)
+    """The encoder of a rank file, kept in a worker process until another operator's tables take its place."""
+    return only(("bpe", path, pattern), lambda: Encoder(read_ranks(path), pattern))
 
 
 _DIGESTS = StructType([StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
 
 
+_CODED = StructType([StructField("ids", ArrayType(IntegerType())), StructField("round_trip", BooleanType())])
+
+
+def _id_lists(texts: pa.Array, own: Encoder) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(place of the first text, ids of each) for a few texts at a time, so that no array outgrows its 32-bit offsets."""
+    at, held, size = 0, [], 0
+    for x in texts:
+        held.append(own.ids_array(x.as_py() or ""))
+        size += len(held[-1])
+        if len(held) == TOGETHER or size >= TOGETHER_IDS:
+            yield at, held
+            at, held, size = at + len(held), [], 0
+    if held:
+        yield at, held
+
+
+def _listed(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(ids)))
+
+
 def encode_column(text: Column, path: str, pattern: str) -> Column:
     """The ids, an array of int; empty for a null text.
 
@@ -201,19 +221,29 @@ def encode_column(text: Column, path: str, pattern: str) -> Column:
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = encoder(path, pattern)
         for batch in batches:
-            # the ids of a few texts at a time
-            for at in range(0, len(batch), TOGETHER):
-                ids = [own.ids_array(x.as_py() or "") for x in batch[at : at + TOGETHER]]
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int64)
-                if ends[-1] >= 1 << 31:
-                    raise ValueError("texts of one batch have more ids than an array column can hold")
-                yield pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(ids)))
+            for _, ids in _id_lists(batch, own):
+                yield _listed(ids)
 
     return encoded(text)
 
 
+def checked_column(text: Column, path: str, pattern: str) -> Column:
+    """Struct (ids, round_trip): the ids, and whether decoding them gives the text again; in one pass, with one encoder. A null text has no ids, and these decode to it."""
+
+    @F.arrow_udf(_CODED)
+    def checked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = encoder(path, pattern)
+        for batch in batches:
+            for at, ids in _id_lists(batch, own):
+                texts = batch[at : at + len(ids)]
+                same = [own.decode(i.tolist()) == (t.as_py() or "").encode("utf-8", "surrogatepass") for i, t in zip(ids, texts, strict=True)]
+                yield pa.StructArray.from_arrays([_listed(ids), pa.array(same, pa.bool_())], ["ids", "round_trip"])
+
+    return checked(text)
+
+
 def decode_column(ids: Column, path: str, pattern: str) -> Column:
-    """The bytes of ids, which are an array of int; a null array gives null."""
+    """The bytes of ids, which are an array of int; a null array gives null, an id that isn't in the rank file is an error."""
 
     @F.arrow_udf(BinaryType())
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -226,19 +256,21 @@ def decode_column(ids: Column, path: str, pattern: str) -> Column:
 
 
 def digest_column(text: Column, path: str, pattern: str) -> Column:
-    """Struct (n_tokens, ids_sha256, decoded_sha256) of the encoded and again decoded text, in one pass."""
+    """Struct (n_tokens, ids_sha256, decoded_sha256) of the encoded and again decoded text, in one pass; a null text is as an empty one."""
 
-    @F.pandas_udf(_DIGESTS)
-    def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(_DIGESTS)
+    def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own, sha = encoder(path, pattern), hashlib.sha256
         table = {str(r): t for r, t in own.token.items()}
         for texts in batches:
-            rows = []
+            n, coded, decoded = [], [], []
             for x in texts:
-                ids = own.ids_text(x or "")
+                ids = own.ids_text(x.as_py() or "")
                 parts = ids.split()
-                rows.append((len(parts), sha(ids.encode()).hexdigest(), sha(b"".join([table[i] for i in parts])).hexdigest()))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+                n.append(len(parts))
+                coded.append(sha(ids.encode()).hexdigest())
+                decoded.append(sha(b"".join([table[i] for i in parts])).hexdigest())
+            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], _DIGESTS.names)
 
     return digests(text)
 
@@ -252,6 +284,16 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text") ->
     return docs.withColumn("ids", encode_column(F.col(text_col), path, pattern)).withColumn("n_tokens", F.size("ids").cast("bigint"))
 
 
+def encode_checked(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """docs with the columns ids (array of int), n_tokens and round_trip (whether decoding gives the text again).
+
+    Defined results: as encode; a null text is as an empty one; columns named ids, n_tokens or round_trip are replaced, all others stay.
+    """
+    made = free_name(docs, "coded")
+    out = docs.withColumn(made, checked_column(F.col(text_col), path, pattern))
+    return out.withColumn("ids", F.col(made)["ids"]).withColumn("n_tokens", F.size("ids").cast("bigint")).withColumn("round_trip", F.col(made)["round_trip"]).drop(made)
+
+
 def decode(docs: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
-    """docs with the column decoded (binary)."""
+    """docs with the column decoded (binary), which replaces one of that name; null ids give null, no ids no bytes, and an empty table stays empty."""
     return docs.withColumn("decoded", decode_column(F.col(ids_col), path, pattern))
