@@ -5,9 +5,9 @@ WARC-Concurrent-To. Of equal payloads of at least ``revisit_bytes`` bytes the pa
 is the response and the others are revisits that carry the payload's digest and no payload. Each
 record is a gzip member of its own; a file ends once it has ``FILE_BYTES`` bytes of records.
 
-Assembly joins requests and metadata, gathered by the record they are concurrent to, with the captures
-(responses and revisits), and emits one nested row for each capture. A capture without a request or
-metadata has an empty list. Revisits get the payload's length and the response's page through the
+Assembly joins requests and metadata with the captures (responses and revisits) that they name in
+WARC-Concurrent-To, or that name them there (the field can be repeated), and emits one nested row for each capture.
+A record linked from both sides is listed once. A capture without a request or metadata has an empty list. Revisits get the payload's length and the response's page through the
 digest they share.
 
 Defined results: a null html is an empty payload; a null page_id is written without a page-id field
@@ -94,32 +94,39 @@ def write(pages: DataFrame, folder: str | None = None, id_col: str = "page_id",
     return sorted(r["path"] for r in joined.mapInArrow(archived, "path string, records bigint, bytes bigint").collect())
 
 
-def parse(stream) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(header fields by lower-case name, block) of each record of an uncompressed stream."""
+def parse(stream) -> Iterator[tuple[dict[str, list[str]], bytes]]:
+    """(header fields by lower-case name, each a list of its values, and block) of each record of an uncompressed stream."""
     while line := stream.readline():
         if not line.strip():
             continue
         if not line.startswith(b"WARC/"):
             raise ValueError(f"not a WARC record: {line[:40]!r}")
-        head: dict[str, str] = {}
+        head: dict[str, list[str]] = {}
+        last: list[str] = []
         while (line := stream.readline()).strip():
+            if line[:1] in b" \t" and last:
+                last[-1] += " " + line.decode("utf-8", "surrogatepass").strip()
+                continue
             name, _, value = line.decode("utf-8", "surrogatepass").partition(":")
-            head[name.strip().lower()] = value.strip()
-        size = int(head["content-length"])
+            last = head.setdefault(name.strip().lower(), [])
+            last.append(value.strip())
+        record = head.get("warc-record-id", ["without an id"])[0]
+        size = int(head["content-length"][0])
         block = stream.read(size)
         if len(block) != size:
-            raise ValueError(f"record {head.get('warc-record-id')} ends early")
-        digest = head.get("warc-block-digest", "")
+            raise ValueError(f"record {record} ends early")
+        digest = head.get("warc-block-digest", [""])[0]
         if digest.startswith("sha256:") and digest[7:] != hashlib.sha256(block).hexdigest():
-            raise ValueError(f"record {head.get('warc-record-id')} differs from its block digest")
+            raise ValueError(f"record {record} differs from its block digest")
         yield head, block
 
 
 _RECORD = pa.schema(
-    [(n, pa.string()) for n in ("record_id", "kind", "concurrent_to", "target_uri", "date", "content_type", "refers_to_uri", "stated_digest", "http_head")]
+    [("record_id", pa.string()), ("kind", pa.string()), ("concurrent_to", pa.list_(pa.string()))]
+    + [(n, pa.string()) for n in ("target_uri", "date", "content_type", "refers_to_uri", "stated_digest", "http_head")]
     + [("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("fields", pa.string())]
 )
-RECORD_DDL = "record_id string, kind string, concurrent_to string, target_uri string, date string, content_type string, refers_to_uri string, stated_digest string, http_head string, payload binary, payload_bytes bigint, payload_sha256 string, fields string"
+RECORD_DDL = "record_id string, kind string, concurrent_to array<string>, target_uri string, date string, content_type string, refers_to_uri string, stated_digest string, http_head string, payload binary, payload_bytes bigint, payload_sha256 string, fields string"
 
 
 def read(spark: SparkSession, paths: list[str], payloads: bool = True) -> DataFrame:
@@ -132,13 +139,15 @@ def read(spark: SparkSession, paths: list[str], payloads: bool = True) -> DataFr
             rows, size = [], 0
             with system.open_input_stream(name, compression=None) as raw, gzip.GzipFile(fileobj=raw) as stream:
                 for head, block in parse(stream):
-                    http, gap, payload = block.partition(b"\r\n\r\n") if head["content-type"].startswith("application/http") else (b"", b"", b"")
-                    carries = head["warc-type"] == "response"
+                    one = {k: v[0] for k, v in head.items()}
+                    content, kind = one.get("content-type", ""), one.get("warc-type")
+                    http, gap, payload = block.partition(b"\r\n\r\n") if content.startswith("application/http") else (b"", b"", b"")
+                    carries = kind == "response"
                     rows.append({
-                        "record_id": head["warc-record-id"], "kind": head["warc-type"], "concurrent_to": head.get("warc-concurrent-to"), "target_uri": head.get("warc-target-uri"), "date": head.get("warc-date"),
-                        "content_type": head["content-type"], "refers_to_uri": head.get("warc-refers-to-target-uri"), "stated_digest": head.get("warc-payload-digest", "").removeprefix("sha256:") or None,
+                        "record_id": one.get("warc-record-id"), "kind": kind, "concurrent_to": head.get("warc-concurrent-to", []), "target_uri": one.get("warc-target-uri"), "date": one.get("warc-date"),
+                        "content_type": one.get("content-type"), "refers_to_uri": one.get("warc-refers-to-target-uri"), "stated_digest": one.get("warc-payload-digest", "").removeprefix("sha256:") or None,
                         "http_head": http.decode("utf-8", "replace") if gap else None, "payload": payload if carries and payloads else None, "payload_bytes": len(payload) if carries else None,
-                        "payload_sha256": hashlib.sha256(payload).hexdigest() if carries else None, "fields": block.decode("utf-8", "replace") if head["content-type"] == "application/warc-fields" else None,
+                        "payload_sha256": hashlib.sha256(payload).hexdigest() if carries else None, "fields": block.decode("utf-8", "replace") if content == "application/warc-fields" else None,
                     })
                     size += len(payload) if payloads else 500
                     if size >= 8 << 20:
@@ -155,10 +164,15 @@ def assemble(records: DataFrame) -> DataFrame:
 
     payload_digest and payload_bytes are those of the full payload; a revisit has them, and page id and
     URI of the response it refers to, from the response with its digest (of several, that with the
-    smallest page id). Requests and metadata whose capture isn't among the records appear in no row.
+    smallest page id). Requests and metadata whose capture isn't among the records appear in no row. A null
+    concurrent_to is as an empty one.
     """
-    beside = records.filter("kind IN ('request', 'metadata') AND concurrent_to IS NOT NULL").select("concurrent_to", "kind", F.struct("record_id", "date", "target_uri", "http_head", "fields").alias("r"))
-    gathered = beside.groupBy("concurrent_to").agg(*[F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("r")))).alias(name) for k, name in (("request", "requests"), ("metadata", "metadata"))])
+    named = F.explode("concurrent_to").alias("concurrent_to")
+    beside = records.filter("kind IN ('request', 'metadata')").select("record_id", "kind", "concurrent_to", F.struct("record_id", "date", "target_uri", "http_head", "fields").alias("r"))
+    stated = records.filter("kind IN ('response', 'revisit') AND size(concurrent_to) > 0").select(F.col("record_id").alias("capture"), F.explode("concurrent_to").alias("other"))
+    by_capture = beside.join(stated, F.col("record_id") == F.col("other")).select(F.col("capture").alias("concurrent_to"), "kind", "r")
+    linked = beside.select(named, "kind", "r").unionByName(by_capture)
+    gathered = linked.groupBy("concurrent_to").agg(*[F.array_sort(F.collect_set(F.when(F.col("kind") == k, F.col("r")))).alias(name) for k, name in (("request", "requests"), ("metadata", "metadata"))])
     captures = records.filter("kind IN ('response', 'revisit')").drop("concurrent_to", "fields")
     nothing = F.array().cast(gathered.schema["requests"].dataType)
     page = F.regexp_extract(F.concat_ws("\n", F.transform("metadata", lambda m: m["fields"])), r"(?m)^page-id: (-?\d+)", 1)
