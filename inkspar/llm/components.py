@@ -28,7 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round is written to the shared folder. No node's neighbours are collected: a star moves by a
     partial minimum and a join, whose hot side adaptive execution splits. Rounds end when the edges
-    stay the same; their number grows with the logarithm of the longest chain, squared at worst.
+    stay the same; their number grows with the logarithm of the longest chain, squared at worst. Edges with a null
+    end and loops are no edges; repeated ones count once; an empty table gives no rows.
     """
     edges = written(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     state = _state(edges)

@@ -1,71 +1,109 @@
-"""Near copies by the Jaccard similarity of five-word shingles, 0.8 or more.
+"""Sets of word shingles and the search for pairs of them of a Jaccard similarity, 0.8 or more by default.
 
-A text's shingles are hashed to 64 bits, and equal sets become one node. Each node has BANDS keys of
-ROWS minimums; nodes that share a key are candidates, and each link is verified on the whole sets. At a
-similarity of 0.8 a pair has no key in common once in twenty million times, above that less often.
+A text's words are as in op3: ASCII-lower-cased, between white space. The 64-bit hashes of its shingles are mixed from
+its words' hashes; equal sets are one node. Candidates come in two steps, and every link is verified on the whole sets:
 
-All that counts of the links is their components. So a key's nodes are first compared with one of them,
-the pivot, and only pairs of different components are compared after that, which keeps a large group
-of near copies from making pairs by its square. When these pairs are few enough, or ROUNDS are over,
-all that are left are compared: no pair of candidates of different components is left out.
+1. Each node has BANDS keys of ROWS minimums. At a similarity of 0.8 two nodes have no key in common once in twenty
+   million times, above that less often. The nodes of a key are compared with one of them, the one that meets most
+   others in all its keys, which connects groups of near copies without their pairs.
+2. Nodes of a key that are still in different components are searched exactly. Of a node's shingles, those come first
+   that no other component has, then the others from the rarest on; a pair of the similarity t shares one of the
+   n - ceil(t n) + 1 first, and what comes behind it must leave enough in common. So a node whose own share is too
+   large for any partner is put aside at once, and no pair that could be linked is left out, however many meet.
 
 Defined results: null, empty and blank texts have the empty set, a text of fewer words than a shingle
-the one shingle of them all; case and runs of space don't count.
+the one shingle of them all; case and runs of space don't count; nodes without any key in common have no links.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from inkspar.llm import simhash
-from inkspar.llm.common import written
+from inkspar.llm.common import release, written
 from inkspar.llm.components import components
 
-SHINGLE_WORDS = 5
+SHINGLE_WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 4
 SEED = 42
-#: Rounds of pivots at most, and how many times as many pairs as members may be left for the last one.
-ROUNDS, FEW = 6, 8
-#: Shingles whose minimums are taken at once.
-BLOCK = 256
+#: Shingles whose minimums are taken at once, and words of the texts that are hashed together.
+BLOCK, TOGETHER = 512, 300_000
 
 _DRAWN = np.random.default_rng(SEED)
-_XOR, _ODD = (_DRAWN.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
-_MIX = (_DRAWN.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64)) * np.uint64(2) + np.uint64(1)
-
-
-def shingles(text: str | None) -> np.ndarray:
-    """The different hashes of a text's shingles, in order."""
-    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not tokens:
-        return np.zeros(0, np.uint64)
-    n, digest = max(1, len(tokens) - SHINGLE_WORDS + 1), xxhash.xxh64_intdigest
-    if n == 1:
-        return np.array([digest(b" ".join(tokens), SEED)], np.uint64)
-    cut = map(b" ".join, zip(*(tokens[i:] for i in range(SHINGLE_WORDS)), strict=False))
-    return np.unique(np.fromiter((digest(s, SEED) for s in cut), np.uint64, n))
-
-
-def node(own: np.ndarray) -> int:
+_TIMES, _PLUS = (_DRAWN.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1) for _ in range(2))
+_BAND = _DRAWN.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
+    return x ^ (x >> np.uint64(31))
+
+
+def shingle_lists(texts: list[str | None], words: int = SHINGLE_WORDS) -> list[np.ndarray]:
+    """The hashes of each text's shingles, repeats included, in order of place."""
+    cut = [(x or "").encode("utf-8", "surrogatepass").lower().split() for x in texts]
+    sizes = np.array([len(c) for c in cut], np.int64)
+    own = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(cut), repeat(SEED)), np.uint64, int(sizes.sum()))
+    made = np.zeros(max(0, len(own) - words + 1), np.uint64)
+    for i in range(words if len(made) else 0):
+        made = _mixed(made * _ODD + own[i : i + len(made)])
+    ends = np.cumsum(sizes)
+    out = []
+    for first, end in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
+        if end - first >= words:
+            out.append(made[first : end - words + 1])
+        else:
+            short = np.zeros(min(1, end - first), np.uint64)
+            for w in own[first:end]:
+                short = _mixed(short * _ODD + w)
+            out.append(short)
+    return out
+
+
+def name_of(own: np.ndarray) -> int:
     """A set's 64-bit name."""
     return xxhash.xxh64_intdigest(own.tobytes(), SEED)
 
 
 def band_keys(own: np.ndarray) -> np.ndarray:
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(own), BLOCK):
-        x = own[None, at : at + BLOCK] ^ _XOR[:, None]
-        x *= _ODD[:, None]
-        np.minimum(least, x.min(axis=1), out=least)
-    x = (least.reshape(BANDS, ROWS) * _MIX).sum(axis=1, dtype=np.uint64)
-    return (x ^ (x >> np.uint64(31))) * _ODD[:BANDS]
+    least, x = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32), (own >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(x), BLOCK):
+        drawn = x[None, at : at + BLOCK] * _TIMES[:, None]
+        drawn += _PLUS[:, None]
+        drawn ^= drawn >> np.uint32(15)
+        np.minimum(least, drawn.min(axis=1), out=least)
+    return _mixed(((least.reshape(BANDS, ROWS) + np.uint64(1)) * _BAND).sum(axis=1, dtype=np.uint64))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The SimHash of shingle hashes: a bit is set if it is in over half of them."""
+    count = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 15):
+        part = hashes[at : at + (1 << 15)].astype(">u8")
+        count += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * count > len(hashes)).tobytes(), "big")
+
+
+def _together(texts: pa.Array) -> Iterator[list[str | None]]:
+    release()
+    held, size = [], 0
+    for x in texts:
+        held.append(x.as_py())
+        size += len(held[-1] or "") // 6
+        if size >= TOGETHER:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def _longs(found: list[np.ndarray]) -> pa.Array:
@@ -74,65 +112,86 @@ def _longs(found: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
 
-@F.arrow_udf(StructType([StructField("fp", LongType()), StructField("bands", ArrayType(LongType()))]))
-def _signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for texts in batches:
-        sets = [shingles(x.as_py()) for x in texts]
-        names = np.array([node(x) for x in sets], np.uint64).view(np.int64)
-        yield pa.StructArray.from_arrays([pa.array(names), _longs([band_keys(x) for x in sets])], names=["fp", "bands"])
+def _signed_longs(found: list[int]) -> pa.Array:
+    return pa.array(np.array(found, np.uint64).view(np.int64))
+
+
+def signed_column(text: Column, words: int = SHINGLE_WORDS) -> Column:
+    """Struct (fp, bits, bands): the set's name, the SimHash of its shingles and its keys."""
+
+    @F.arrow_udf(StructType([StructField("fp", LongType()), StructField("bits", LongType()), StructField("bands", ArrayType(LongType()))]))
+    def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for texts in _together(batch):
+                lists = shingle_lists(texts, words)
+                sets = [np.unique(x) for x in lists]
+                yield pa.StructArray.from_arrays([_signed_longs([name_of(x) for x in sets]), _signed_longs([fingerprint_of(x) for x in lists]), _longs([band_keys(x) for x in sets])], names=["fp", "bits", "bands"])
+
+    return signed(text)
+
+
+def named_column(text: Column, words: int = SHINGLE_WORDS) -> Column:
+    """Struct (fp, shingles): the set's name and members."""
 
+    @F.arrow_udf(StructType([StructField("fp", LongType()), StructField("shingles", ArrayType(LongType()))]))
+    def named(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for texts in _together(batch):
+                sets = [np.unique(x) for x in shingle_lists(texts, words)]
+                yield pa.StructArray.from_arrays([_signed_longs([name_of(x) for x in sets]), _longs(sets)], names=["fp", "shingles"])
 
-@F.arrow_udf(StructType([StructField("fp", LongType()), StructField("shingles", ArrayType(LongType()))]))
-def _named(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for texts in batches:
-        sets = [shingles(x.as_py()) for x in texts]
-        names = np.array([node(x) for x in sets], np.uint64).view(np.int64)
-        yield pa.StructArray.from_arrays([pa.array(names), _longs(sets)], names=["fp", "shingles"])
+    return named(text)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (u, v) of a similarity of four fifths or more."""
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (u, v) of the similarity or more."""
     one, two = sets.select(F.col("fp").alias("u"), F.col("shingles").alias("a")), sets.select(F.col("fp").alias("v"), F.col("shingles").alias("b"))
     sizes = pairs.join(one, "u").join(two, "v").select("u", "v", F.size("a").alias("a"), F.size("b").alias("b"), F.size(F.array_intersect("a", "b")).alias("both"))
-    return sizes.filter(5 * F.col("both") >= 4 * (F.col("a") + F.col("b") - F.col("both"))).select("u", "v")
-
-
-def links(members: DataFrame, sets: DataFrame, few: float = FEW, rounds: int = ROUNDS) -> DataFrame:
-    """Edges (u, v) with the components of all verified pairs of nodes fp that share a key; members has (key, fp), sets (fp, shingles)."""
-    edges = tested = None
-    current = members.withColumn("root", F.col("fp"))
-    for k in range(rounds + 1):
-        sizes = current.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"), F.count("*").alias("roots")).filter("roots > 1")
-        left = written(current.join(sizes.select("key"), "key"), "candidates")
-        across, rows = sizes.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.sum("n")).first()
-        if not rows:
-            break
-        last = across <= few * rows or k == rounds
-        other = left if last else left.groupBy("key").agg(F.min_by(F.struct("fp", "root"), F.xxhash64("fp", F.lit(k))).alias("p")).select("key", "p.*")
-        pairs = left.join(other.select("key", F.col("fp").alias("v"), F.col("root").alias("other")), "key").filter("root != other")
-        pairs = pairs.select(F.least("fp", "v").alias("u"), F.greatest("fp", "v").alias("v")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = written(pairs, "pairs")
-        found = written(_verified(pairs, sets), "verified")
-        edges = found if edges is None else edges.unionByName(found)
-        if last:
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        linked = components(edges).withColumnRenamed("node", "fp").withColumnRenamed("root", "linked")
-        current = left.drop("root").join(linked, "fp", "left").select("key", "fp", F.coalesce("linked", "fp").alias("root"))
-    return edges if edges is not None else members.select(F.col("fp").alias("u"), F.col("fp").alias("v")).limit(0)
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, of which each component keeps one, as simhash.keep_one does."""
-    text = F.col(text_col)
-    signed = docs.select(F.col(id_col).alias("doc_id"), simhash.text_key(text).alias("text_key"), _signed(text).alias("s"))
-    rows = written(signed.select("doc_id", "text_key", "s.fp", "s.bands"), "signed")
-    firsts = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"), F.first("bands").alias("bands")), "different-sets")
-    keys = firsts.select("fp", F.explode("bands").alias("key"))
-    members = written(keys.join(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "key"), "members")
-    wanted = firsts.join(members.select("fp").distinct(), "fp", "left_semi").select(F.col("text_key").alias("__key"))
-    texts = docs.select(text.alias("text"), simhash.text_key(text).alias("__key")).join(wanted, "__key", "left_semi").groupBy("__key").agg(F.first("text").alias("text"))
-    sets = written(texts.select(_named(F.col("text")).alias("s")).select("s.fp", "s.shingles"), "sets")
-    return simhash.kept(docs, rows.drop("bands"), simhash.joined(firsts.select("fp", "first_id"), components(links(members, sets))), id_col, text_col)
+    return sizes.filter(F.col("both") >= F.lit(similarity) * (F.col("a") + F.col("b") - F.col("both")) - 1e-9).select("u", "v")
+
+
+def pivot_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (u < v) of each key's nodes with that one which meets most others in all its keys; members has (key, fp, n), n the key's nodes."""
+    meets = members.groupBy("fp").agg(F.sum(F.col("n") - 1).alias("meets"))
+    pivots = members.join(meets, "fp").groupBy("key").agg(F.max(F.struct("meets", "fp")).alias("p")).select("key", F.col("p.fp").alias("v"))
+    pairs = members.join(pivots, "key").filter("fp != v")
+    return pairs.select(F.least("fp", "v").alias("u"), F.greatest("fp", "v").alias("v"))
+
+
+def exact_pairs(left: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Every pair (u, v) of nodes of different roots that can have the similarity; left has (fp, root)."""
+    t = F.lit(similarity)
+    each = sets.join(left, "fp").select("fp", "root", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    common = each.groupBy("s").agg(F.count("*").alias("f"), F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select("s", "f")
+    shared = each.join(common, "s").groupBy("fp", "root", "n").agg(F.count("*").alias("shared"), F.sort_array(F.collect_list(F.struct("f", "s"))).alias("by"))
+    own, first = F.col("n") - F.col("shared"), F.col("n") - F.ceil(F.col("n") * t - 1e-9) + 1
+    able = shared.filter(own < first).select("fp", "root", "n", own.alias("own"), F.slice("by", F.lit(1), (first - own).cast("int")).alias("by"))
+    prefix = able.select("fp", "root", "n", "own", F.posexplode("by").alias("at", "x")).select("fp", "root", "n", (F.col("own") + F.col("at")).alias("at"), F.col("x.s").alias("s"))
+    a, b = prefix.alias("a"), prefix.alias("b")
+    behind = 1 + F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) - 1
+    enough = behind * (1 + t) >= t * (F.col("a.n") + F.col("b.n")) - 1e-6
+    met = a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.root") < F.col("b.root")) & enough)
+    return met.select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")).distinct()
+
+
+def linked(members: DataFrame, sets: DataFrame, also: DataFrame | None = None, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, root) of all nodes with links: the components of all pairs of the similarity among nodes that share a key.
+
+    members has (key, fp, n), sets (fp, shingles); also has further candidates (u, v) that are verified with the first ones.
+    """
+    first = pivot_pairs(members)
+    first = first if also is None else first.unionByName(also)
+    links = written(verified(written(first.distinct(), "candidates"), sets, similarity), "links")
+    roots = written(components(links), "roots")
+    current = members.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("root"))
+    several = current.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select("key")
+    left = written(current.join(several, "key", "left_semi").select("fp", "root").distinct(), "left")
+    further = written(verified(written(exact_pairs(left, sets, similarity), "further-candidates"), sets, similarity), "further-links")
+    if further.isEmpty():
+        return roots
+    of = left.withColumnRenamed("fp", "x")
+    between = further.join(of.select(F.col("x").alias("u"), F.col("root").alias("a")), "u").join(of.select(F.col("x").alias("v"), F.col("root").alias("b")), "v")
+    joined = written(components(between.select(F.col("a").alias("u"), F.col("b").alias("v"))), "joined-roots").select(F.col("node").alias("root"), F.col("root").alias("top"))
+    # a joined root without links before is a node of its own
+    alone = joined.join(roots.select("root").distinct(), "root", "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
+    return roots.join(joined, "root", "left").select("node", F.coalesce("top", "root").alias("root")).unionByName(alone)

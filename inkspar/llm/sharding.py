@@ -109,5 +109,9 @@ def _shards(node: Node) -> list[int]:
 
 
 def write_shards(docs: DataFrame, path: str, root: Node | None = None, id_col: str = "doc_id") -> None:
-    """Writes the rows as Parquet, a folder for each shard; without a shuffle, each task adds files to the folders it has rows for."""
+    """Writes the rows as Parquet, a folder for each shard; without a shuffle, each task adds files to the folders it has rows for.
+
+    A null id is drawn like any other value, repeated rows go to one shard, a column named shard is replaced by the
+    shard, other columns stay, and an empty table gives a folder without shards.
+    """
     docs.withColumn("shard", shard_of(F.col(id_col).cast("string"), root or tree())).write.partitionBy("shard").parquet(path)

@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from inkspar.llm.common import written
+from inkspar.llm import jaccard
+from inkspar.llm.common import free_name, written
 from inkspar.llm.components import components
 
 MAX_BITS = 3
@@ -82,14 +83,14 @@ def _part(fp: Column, shift: int, bits: int) -> Column:
 
 
 def _meet(indexed: DataFrame, keys: list[str], sides: list[str], max_bits: int) -> DataFrame:
-    """Verified pairs (u, v) of rows that agree in all keys and, where a key lacks a bit, differ in it."""
-    other = indexed.select(*keys, *[F.col(s).alias(f"other_{s}") for s in sides], F.col("fp").alias("v"))
-    differ = [F.when(F.col(s) == 2, F.lit(True)).otherwise(F.col(s) != F.col(f"other_{s}")) for s in sides]
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("v"))) <= max_bits
-    joined = indexed.join(other, keys).filter(F.col("fp") < F.col("v")).filter(near)
-    for d in differ:
-        joined = joined.filter(d)
-    return joined.select(F.col("fp").alias("u"), "v")
+    """Verified pairs (u, v) of rows that agree in all keys and, where a key lacks a bit, differ in it. Both sides are the same rows, so they are shuffled once."""
+    a, b = indexed.alias("a"), indexed.alias("b")
+    met = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_bits
+    for k in keys:
+        met = met & (F.col(f"a.{k}") == F.col(f"b.{k}"))
+    for s in sides:
+        met = met & ((F.col(f"a.{s}") == 2) | (F.col(f"a.{s}") != F.col(f"b.{s}")))
+    return a.join(b, met & (F.col("a.fp") < F.col("b.fp"))).select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v"))
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, heavy: int = HEAVY) -> DataFrame:
@@ -148,21 +149,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.drop("text_key").join(found.select("fp", "component_id"), "fp")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of docs, all columns, of which each component keeps one: that with the smallest id.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, words: int = jaccard.SHINGLE_WORDS, similarity: float = jaccard.SIMILARITY) -> DataFrame:
+    """The rows of docs, all columns, of which each group of near copies keeps one: that with the smallest id.
 
-    Of several rows with that id one stays; a component without any id keeps one row. Texts are
-    fingerprinted once: the rows to keep are found again by id and text hashes.
+    Near copies are texts whose sets of ``words``-word shingles have the Jaccard similarity, and what such links join.
+    Candidates are the fingerprints of these shingles that the deletion variants link, and, as few pairs of a similarity
+    of 0.8 are within three bits, those that share a key of jaccard; all are verified on the whole sets.
+
+    Of several rows with the smallest id one stays; a group without any id keeps one row. Texts are signed once: the
+    rows to keep are found again by id and text hashes. Null, empty and blank texts are one group; columns of any name
+    stay as they are; an empty table stays empty.
     """
-    return kept(docs, *classes(docs, id_col, text_col, max_bits), id_col, text_col)
+    text = F.col(text_col)
+    signed = docs.select(F.col(id_col).alias("doc_id"), text_key(text).alias("text_key"), jaccard.signed_column(text, words).alias("s"))
+    rows = written(signed.select("doc_id", "text_key", "s.fp", "s.bits", "s.bands"), "signed")
+    firsts = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"), F.min("bits").alias("bits"), F.first("bands").alias("bands")), "different-sets")
+    keys = firsts.select("fp", F.explode("bands").alias("key"))
+    members = written(keys.join(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key"), "members")
+    near = written(_near_sets(firsts.select("fp", "bits"), max_bits), "near-sets")
+    nodes = members.select("fp").unionByName(near.select(F.col("u").alias("fp"))).unionByName(near.select(F.col("v").alias("fp"))).distinct()
+    wanted = firsts.join(nodes, "fp", "left_semi").select(F.col("text_key").alias("k"))
+    texts = docs.select(text.alias("text"), text_key(text).alias("k")).join(wanted, "k", "left_semi").groupBy("k").agg(F.first("text").alias("text"))
+    sets = written(texts.select(jaccard.named_column(F.col("text"), words).alias("s")).select("s.fp", "s.shingles"), "sets")
+    found = joined(firsts.select("fp", "first_id"), jaccard.linked(members, sets, near, similarity))
+    return kept(docs, rows.select("doc_id", "text_key", "fp"), found, id_col, text_col)
+
+
+def _near_sets(sets: DataFrame, max_bits: int) -> DataFrame:
+    """Pairs (u, v) of sets fp whose fingerprints, bits, are linked; of sets with one fingerprint the least stands for all, and is paired with each."""
+    heads = sets.groupBy("bits").agg(F.min("fp").alias("head"))
+    same = sets.join(heads, "bits").filter("fp != head").select(F.col("head").alias("u"), F.col("fp").alias("v"))
+    near = links(heads.select(F.col("bits").alias("fp")), max_bits)
+    one, two = heads.select(F.col("bits").alias("u"), F.col("head").alias("a")), heads.select(F.col("bits").alias("v"), F.col("head").alias("b"))
+    between = near.join(one, "u").join(two, "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return same.unionByName(between).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
 
 
 def kept(docs: DataFrame, rows: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of docs to keep by rows (doc_id, fp, text_key) and the components found (fp, component_id, root)."""
     held = rows.join(found, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = held.groupBy("root").agg(F.min(F.struct("text_key", "doc_id")).alias("k"), F.count("*").alias("n"))
-    chosen = written(first.select(F.col("k.doc_id").alias("__id"), F.col("k.text_key").alias("__key"), F.col("n").alias("__n")), "kept")
-    same = docs[id_col].eqNullSafe(chosen["__id"]) & (text_key(docs[text_col]) == chosen["__key"])
-    single = docs.join(chosen.filter("__n = 1"), same, "left_semi")
-    again = docs.join(chosen.filter("__n > 1"), same, "left_semi").withColumn("__key", text_key(F.col(text_col))).dropDuplicates(["__key"]).drop("__key")
+    own_id, key, times = (free_name(docs, n) for n in ("kept_id", "kept_key", "kept_times"))
+    chosen = written(first.select(F.col("k.doc_id").alias(own_id), F.col("k.text_key").alias(key), F.col("n").alias(times)), "kept")
+    same = docs[id_col].eqNullSafe(chosen[own_id]) & (text_key(docs[text_col]) == chosen[key])
+    single = docs.join(chosen.filter(F.col(times) == 1), same, "left_semi")
+    again = docs.join(chosen.filter(F.col(times) > 1), same, "left_semi").withColumn(key, text_key(F.col(text_col))).dropDuplicates([key]).drop(key)
     return single.unionByName(again)

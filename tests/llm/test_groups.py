@@ -89,19 +89,31 @@ def test_simhash_rows(odd, none, real, rows_of):
         found = simhash.near_duplicates(docs.withColumn("fp", F.lit("x")).withColumn("component_id", F.lit(0))).collect()
         assert sorted(((r["doc_id"], r["component_id"]) for r in found), key=str) == brute_components([(i, mine[t]) for i, t in rows])
         assert {r["fp"] & (2**64 - 1) for r in found} == set(mine.values())
-        kept = simhash.keep_one(docs)
-        assert kept.columns == docs.columns
-        ids = [c for _, c in brute_components([(i, mine[t]) for i, t in rows])]
-        kept_ids = [r["doc_id"] for r in kept.collect()]
-        assert len(kept_ids) == len(set(brute_roots(rows, mine))) and set(kept_ids) <= set(ids)
+        clash = docs.withColumn("kept_key", F.lit("x")).withColumn("__key", F.lit(1)).withColumn("bits", F.lit(2))
+        kept = simhash.keep_one(clash)
+        assert kept.columns == clash.columns
+        assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(brute_kept(rows), key=str)
     assert simhash.near_duplicates(none).count() == 0 and simhash.keep_one(none).count() == 0
     assert simhash.fingerprint("a B") == simhash.fingerprint(" A\tb") != simhash.fingerprint("a\x85b")
 
 
-def brute_roots(rows, mine):
-    fps = sorted({mine[t] for _, t in rows})
-    root = grouped(range(len(fps)), [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3])
-    return root.values()
+def brute_sets(text, size=5):
+    """The set of shingles, as tuples of words."""
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))) if words else frozenset()
+
+
+def brute_kept(rows):
+    """The smallest id of each group of texts linked by a Jaccard similarity of 0.8 of five-word shingles, compared all with all."""
+    of = {t: brute_sets(t) for t in {t for _, t in rows}}
+    sets = list(set(of.values()))
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if min(len(sets[i]), len(sets[j])) >= 0.8 * max(len(sets[i]), len(sets[j])) and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    root, at = grouped(range(len(sets)), pairs), {x: i for i, x in enumerate(sets)}
+    least = {}
+    for i, t in rows:
+        r = root[at[of[t]]]
+        least[r] = i if least.get(r) is None else min(least[r], i if i is not None else least[r])
+    return list(least.values())
 
 
 def python_signatures(text):
@@ -302,13 +314,27 @@ def test_warc_files_and_damage(spark, tmp_path):
 
 
 def test_warc_assembly_of_incomplete_transactions(spark):
-    rows = [("r1", "response", None, "d1"), ("q1", "request", "r1", None), ("m1", "metadata", "r1", None), ("m2", "metadata", "r1", None), ("r2", "response", None, "d2"), ("q3", "request", "gone", None), ("v1", "revisit", None, "d9")]
-    records = spark.createDataFrame(rows, "record_id string, kind string, concurrent_to string, payload_sha256 string")
+    rows = [("r1", "response", [], "d1"), ("q1", "request", ["r1"], None), ("m1", "metadata", ["r1", "r4"], None), ("m2", "metadata", ["r1"], None), ("r2", "response", None, "d2"), ("q3", "request", ["gone"], None), ("v1", "revisit", None, "d9"), ("q4", "request", None, None), ("r4", "response", ["q4", "m1", "nowhere"], "d4")]
+    records = spark.createDataFrame(rows, "record_id string, kind string, concurrent_to array<string>, payload_sha256 string")
     for name in ("target_uri", "date", "content_type", "refers_to_uri", "stated_digest", "http_head", "fields"):
         records = records.withColumn(name, F.lit(None).cast("string"))
     records = records.withColumn("payload", F.lit(None).cast("binary")).withColumn("payload_bytes", F.lit(1).cast("long"))
     found = {r["record_id"]: (len(r["requests"]), len(r["metadata"]), r["refers_to"]) for r in warc.assemble(records).collect()}
-    assert found == {"r1": (1, 2, None), "r2": (0, 0, None), "v1": (0, 0, None)}
+    # r4 names its request, m1 and r4 name each other, and m1 names two captures
+    assert found == {"r1": (1, 2, None), "r2": (0, 0, None), "v1": (0, 0, None), "r4": (1, 1, None)}
+
+
+def test_warc_fields_as_the_format_has_them(spark, tmp_path):
+    """Repeated and folded fields, and records without a Content-Type."""
+    record = lambda kind, name, block, *more: ("\r\n".join(["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{name}>", *more, f"Content-Length: {len(block)}", "", ""])).encode() + block + b"\r\n\r\n"
+    http = b"HTTP/1.1 200 OK\r\n\r\nbody"
+    raw = record("response", "a", http, "Content-Type: application/http;", " msgtype=response", "WARC-Concurrent-To: <q>", "WARC-Concurrent-To: <m>") + record("request", "q", b"GET / HTTP/1.1\r\n\r\n", "Content-Type: application/http") + record("metadata", "m", b"x: y") + record("resource", "z", b"")
+    path = tmp_path / "x.warc.gz"
+    path.write_bytes(gzip.compress(raw))
+    rows = {r["record_id"]: r for r in warc.read(spark, [f"file://{path}"]).collect()}
+    assert rows["<a>"]["concurrent_to"] == ["<q>", "<m>"] and rows["<m>"]["content_type"] is None and bytes(rows["<a>"]["payload"]) == b"body"
+    (found,) = warc.captures(spark, [f"file://{path}"]).collect()
+    assert [r["record_id"] for r in found["requests"]] == ["<q>"] and [r["record_id"] for r in found["metadata"]] == ["<m>"] and found["page_id"] is None
 
 
 @pytest.mark.parametrize("name", sorted(queries_records.ORACLES))
@@ -359,9 +385,8 @@ def test_pipeline_against_brute_force(spark, sf_dir, real):
         lang, score = scorer.predict(r["text"])
         if lang != "und" and score >= corpus_pipeline.MIN_SCORE:
             kept[i] = r["text"]
-    fps = {i: simhash.fingerprint(t) for i, t in kept.items()}
-    component = dict(brute_components(list(fps.items())))
-    kept = {i: t for i, t in kept.items() if component[i] == i}
+    # near copies of five-word shingles at a similarity of 0.8, as stages on word shingles take them
+    kept = {i: kept[i] for i in brute_kept(list(kept.items()))}
     items = [r["text"] for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     sets = [(t, set(decontaminate.words(t))) for t in items]
     left = {}
@@ -378,13 +403,19 @@ def test_pipeline_against_brute_force(spark, sf_dir, real):
 
 def test_pipeline_stages_on_odd_rows(spark, sf_dir, odd, none):
     odd = odd.withColumn("score", F.lit(1)).withColumn("fp", F.lit("x")).withColumn("label", F.lit(None).cast("string"))
+    for name in ("__language", "language", "__key", "kept_id", "decoded", "coded", "ids", "round_trip"):
+        odd = odd.withColumn(name, F.lit("own"))
     for docs in (odd, none):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, sf_dir)
             if name != "byte_bpe":
                 assert out.columns == docs.columns
+            else:
+                assert set(out.columns) == {*docs.columns, "ids", "n_tokens", "round_trip"} and all(r["round_trip"] is True for r in out.collect())
+                assert docs is none or {(r["decoded"], r["coded"]) for r in out.collect()} == {("own", "own")}
             assert out.count() <= docs.count()
     assert {r["doc_id"] for r in corpus_pipeline.language_id(spark, odd, sf_dir).collect()} == {1, 2, 3, 8, 9, None, 10, -3}
+    assert {r["language"] for r in corpus_pipeline.language_id(spark, odd, sf_dir).collect()} == {"own"}
     unlabelled = odd.withColumn("lang", F.lit(None).cast("string"))
     assert corpus_pipeline.language_id(spark, unlabelled, sf_dir).count() == 10
 
@@ -409,26 +440,53 @@ def test_clear(spark):
     assert not os.path.exists(path)
 
 
-def test_jaccard_against_brute_force(spark, odd, none):
-    """Pairs of 0.8 that 3 bits of 3-word fingerprints don't link, a chain, and a group of one key after rounds of pivots."""
+def test_near_copies_against_brute_force(spark, odd, none):
+    """Pairs of 0.8 that 3 bits of 3-word fingerprints don't link, chains, a group of copies of one text, and copies too far apart."""
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
     rows = []
-    for _ in range(12):
+    for _ in range(10):
         base = [word() for _ in range(160)]
         for edits in (0, 0, 1, 2, 3, 4, 5, 8):
             own = list(base)
             for at in rng.sample(range(160), edits):
                 own[at] = word()
             rows.append((len(rows), " ".join(own)))
-    sets = {i: set(jaccard.shingles(t).tolist()) for i, t in rows}
+    base = [word() for _ in range(200)]
+    for n in range(60):
+        # most are at about 0.7 of the text itself and at 0.5 of each other; every sixth is close to the one before
+        own = (rows[-1][1].split() if n % 6 == 5 else list(base))
+        for at in rng.sample(range(200), 2 if n % 6 == 5 else 7):
+            own[at] = word()
+        rows.append((len(rows), " ".join(own)))
+    sets = {i: brute_sets(t) for i, t in rows}
     pairs = [(a, b) for a in sets for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
-    root = grouped(sets, pairs)
     assert any((simhash.fingerprint(rows[a][1]) ^ simhash.fingerprint(rows[b][1])).bit_count() > 3 for a, b in pairs)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert sorted(r["doc_id"] for r in jaccard.keep_one(docs).collect()) == sorted(set(root.values()))
-    made = spark.createDataFrame([(i, sorted(x - (1 << 64) if x >> 63 else x for x in s)) for i, s in sets.items()], "fp long, shingles array<long>")
-    found = jaccard.links(made.select(F.lit(1).alias("key"), "fp"), made, few=0, rounds=2).collect()
-    assert grouped(sets, [(r["u"], r["v"]) for r in found]) == root and len(found) < len(pairs)
-    assert jaccard.keep_one(none).count() == 0 and jaccard.keep_one(odd).columns == odd.columns
-    assert {r["doc_id"] for r in jaccard.keep_one(odd).collect()} == {1, 3, 4, 7, 8, None, 10, -3}
+    assert sorted(r["doc_id"] for r in simhash.keep_one(docs).collect()) == sorted(brute_kept(rows))
+    # the exact search alone finds all pairs: every node is a root of its own
+    made = docs.select(jaccard.named_column(F.col("text")).alias("s"), "doc_id").select("s.fp", "s.shingles", "doc_id")
+    different = made.dropDuplicates(["fp"])
+    of = {r["doc_id"]: r["fp"] for r in made.collect()}
+    found = jaccard.verified(jaccard.exact_pairs(different.select("fp", F.col("fp").alias("root")), different.select("fp", "shingles")), different).collect()
+    assert {(r["u"], r["v"]) for r in found} == {tuple(sorted((of[a], of[b]))) for a, b in pairs if of[a] != of[b]}
+    # one key that all share: pivots link some, the exact search the rest
+    members = different.select(F.lit(1).alias("key"), "fp", F.lit(len(sets)).alias("n"))
+    linked = {r["node"]: r["root"] for r in jaccard.linked(members, different.select("fp", "shingles")).collect()}
+    nodes = set(of.values())
+    assert grouped(nodes, linked.items()) == grouped(nodes, [(of[a], of[b]) for a, b in pairs if of[a] != of[b]])
+    assert simhash.keep_one(none).count() == 0 and simhash.keep_one(odd).columns == odd.columns
+    assert {r["doc_id"] for r in simhash.keep_one(odd).collect()} == {1, 3, 4, 7, 8, None, 10, -3}
+
+
+def test_shingle_hashes():
+    texts = ["a b c d e f", "", None, "a B c", "b c d e f", "f e d c b a " * 300, "x"]
+    lists = jaccard.shingle_lists(texts)
+    assert [len(x) for x in lists] == [2, 0, 0, 1, 1, 1796, 1] and lists[0][1] == lists[4][0]
+    assert all(x.tolist() == jaccard.shingle_lists([t])[0].tolist() for x, t in zip(lists, texts, strict=True))
+    rng = np.random.default_rng(3)
+    agree = []
+    for _ in range(60):
+        both, one, two = (rng.integers(0, 1 << 63, n, dtype=np.uint64) for n in (800, 100, 100))
+        agree.append((jaccard.band_keys(np.concatenate([both, one])) == jaccard.band_keys(np.concatenate([both, two]))).mean())
+    assert 0.36 < np.mean(agree) < 0.46 and min(agree) > 0
