@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspar.llm import bpe, decontaminate, jaccard, langid
-from inkspar.llm.common import written
+from inkspar.llm import bpe, decontaminate, langid, simhash
+from inkspar.llm.common import free_name, written
 from inkspar.shipping import ship
 
 #: A document whose best language has less than this share of belief is rejected.
@@ -21,34 +21,45 @@ MIN_SCORE = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts that are null or have no letter, and those of no one language. The model learns from all labelled rows.
 
-    Without any labelled row no language is known, and only texts without a letter go.
+    Without any labelled row no language is known, and only texts without a letter go. Rows that repeat are judged alike,
+    labels are not asked for in judging, all columns stay, and an empty table stays empty.
     """
     ship(spark)
     model = langid.train(docs)
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    found = docs.withColumn("__language", langid.predict_column(F.col("text"), model, spark))
-    return found.filter((F.col("__language.lang_pred") != langid.UNKNOWN) & (F.col("__language.score") >= MIN_SCORE)).drop("__language")
+    name = free_name(docs, "language")
+    found = docs.withColumn(name, langid.predict_column(F.col("text"), model, spark))
+    return found.filter((F.col(name)["lang_pred"] != langid.UNKNOWN) & (F.col(name)["score"] >= MIN_SCORE)).drop(name)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near copies (five-word shingles, Jaccard 0.8 or more) the document with the smallest doc_id."""
+    """Keeps of each group of near copies (five-word shingles, Jaccard 0.8 or more) the document with the smallest doc_id.
+
+    Null, empty and blank texts are one group; of rows that repeat one stays; rows without an id stay only where their
+    group has no id; all columns stay; an empty table stays empty.
+    """
     ship(spark)
-    return jaccard.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes documents with a passage of the benchmark, exact or edited."""
+    """Removes documents with a passage of the benchmark, exact or edited.
+
+    Null and empty texts have no passage and stay; rows that repeat are judged alike; all columns stay; an empty table stays empty.
+    """
     ship(spark)
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the token ids, their count, and whether decoding them gives the text again."""
+    """Adds ids (the token ids), n_tokens and round_trip (whether decoding gives the text again); columns of these names are replaced.
+
+    A null text is as an empty one and has no ids; an empty table stays empty.
+    """
     ship(spark)
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    out = bpe.decode(bpe.encode(docs, path, pattern), path, pattern)
-    return out.withColumn("round_trip", F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")).cast("binary"))).drop("decoded")
+    return bpe.encode_checked(docs, path, pattern)
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination), ("byte_bpe", byte_bpe)]
