@@ -1,10 +1,11 @@
 """Language identification by words first, then shorter and shorter character n-grams.
 
-Training counts every word of every labelled text, by language, with partial counts from each batch
-of texts and a sum by (word, language). Character n-grams of all lengths are then counted over the
-different words, weighted by their counts. A model keeps the most frequent
+A word is a run of letters (Unicode's categories L), lower-cased. Training counts every word of every labelled text, by
+language, with partial counts from each batch of texts and a sum by (word, language). Character n-grams of all lengths
+are then counted over the different words, weighted by their counts. Runs of over ``WORD_CHARS`` letters, as scripts
+without spaces have them, are counted by their n-grams, whole, in the workers. A model's size is a parameter: it keeps the most frequent
 words, at most ``max_words``, and of each length the most frequent n-grams, at most ``max_grams``; that bounds what is broadcast, while counts and
-totals cover all texts.
+totals cover all texts, and words that the model doesn't keep are scored as unseen ones.
 
 A word of the model adds its log frequency in each language, where a language borrows ``PRIOR`` counts
 from the frequencies over all languages, so that one with few texts isn't favoured by words it lacks. Any other word is scored by the longest
@@ -32,23 +33,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from inkspar.llm.common import frequent_floor, written
+from inkspar.llm.common import free_name, frequent_floor, release, written
 
 UNKNOWN = "und"
 MAX_WORDS, MAX_GRAMS, LONGEST_GRAM = 60_000, 40_000, 4
 #: Different (language, word) pairs that a task holds before it sends their counts on.
 HELD = 200_000
-#: Longer words (strings without a space) are scored by their n-grams only.
+#: Longer words (runs of a script without spaces) are counted and scored by their n-grams only.
 WORD_CHARS = 40
 #: Counts that each language borrows from all languages together.
 PRIOR = 10.0
 #: Remembered scores of words outside the model, in each worker.
 CACHED = 100_000
-_WORD = re.compile(r"[^\W\d_]+")
+_RUN = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """The lower-cased runs of letters. The pattern's runs can hold numbers that aren't decimal digits, at which they are cut."""
+    found = _RUN.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for run in found for w in ("".join(c if c.isalpha() else " " for c in run).split())]
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -108,19 +113,25 @@ class Scorer:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, Counter] = {}
+    """Partial counts: of words as size 0, of the n-grams of long words as size n."""
+    release()
+    held: dict[tuple[str, int], Counter] = {}
     for b in batches:
         for text, lang in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-            held.setdefault(lang, Counter()).update(w for w in words(text.as_py()) if len(w) <= WORD_CHARS)
+            found = words(text.as_py())
+            held.setdefault((lang, 0), Counter()).update(w for w in found if len(w) <= WORD_CHARS)
+            for w in found:
+                for n in range(1, LONGEST_GRAM + 1) if len(w) > WORD_CHARS else ():
+                    held.setdefault((lang, n), Counter()).update(grams(w, n))
             if sum(map(len, held.values())) >= HELD:
                 yield from _sent(held)
                 held = {}
     yield from _sent(held)
 
 
-def _sent(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-    for lang, counter in held.items():
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(counter), pa.string()), pa.array(list(counter), pa.string()), pa.array(list(counter.values()), pa.int64())], names=["lang", "word", "n"])
+def _sent(held: dict[tuple[str, int], Counter]) -> Iterator[pa.RecordBatch]:
+    for (lang, size), counter in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(counter), pa.string()), pa.array([size] * len(counter), pa.int32()), pa.array(list(counter), pa.string()), pa.array(list(counter.values()), pa.int64())], names=["lang", "size", "word", "n"])
 
 
 def _gram_structs(word: Column, n: int) -> Column:
@@ -133,10 +144,11 @@ def _gram_structs(word: Column, n: int) -> Column:
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
     """Counts over all rows; the driver gets the model's entries only (at most max_words + LONGEST_GRAM * max_grams, by language)."""
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
-    counted = written(rows.mapInArrow(_counts, "lang string, word string, n bigint").groupBy("word", "lang").agg(F.sum("n").alias("n")), "words")
+    every = written(rows.mapInArrow(_counts, "lang string, size int, word string, n bigint").groupBy("size", "word", "lang").agg(F.sum("n").alias("n")), "words")
+    counted, of_long = every.filter("size = 0"), every.filter("size > 0").select("size", F.col("word").alias("entry"), "lang", "n")
     pieces = [_gram_structs(F.col("word"), n) for n in range(1, LONGEST_GRAM + 1)]
     of_words = counted.select(F.lit(0).alias("size"), F.col("word").alias("entry"), "lang", "n")
-    of_grams = counted.select("lang", "n", F.explode(F.concat(*pieces)).alias("p")).select("p.size", "p.entry", "lang", "n")
+    of_grams = counted.select("lang", "n", F.explode(F.concat(*pieces)).alias("p")).select("p.size", "p.entry", "lang", "n").unionByName(of_long)
     entries = written(of_words.unionByName(of_grams.groupBy("size", "entry", "lang").agg(F.sum("n").alias("n")).select("size", "entry", "lang", "n")), "entries")
     totals = {(r["size"], r["lang"]): r["n"] for r in entries.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted({lang for _, lang in totals})
@@ -174,6 +186,7 @@ def predict_column(text: Column, model: Model, spark) -> Column:
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with lang_pred and score; columns of these names are replaced."""
-    out = docs.withColumn("__found", predict_column(F.col(text_col), model, docs.sparkSession))
-    return out.withColumn("lang_pred", F.col("__found.lang_pred")).withColumn("score", F.col("__found.score")).drop("__found")
+    """docs with lang_pred and score; columns of these names are replaced, all others stay."""
+    found = free_name(docs, "found")
+    out = docs.withColumn(found, predict_column(F.col(text_col), model, docs.sparkSession))
+    return out.withColumn("lang_pred", F.col(found)["lang_pred"]).withColumn("score", F.col(found)["score"]).drop(found)
