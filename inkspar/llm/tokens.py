@@ -20,8 +20,8 @@ import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkspar.llm.common import fresh_path, shuffle_partitions
+from inkspar.llm.common import fresh_path, only, shuffle_partitions
 from inkspar.llm.files import opened, replacing
 
 MAGIC = b"INKTOK01"
 SAMPLE = 256
-#: A file ends when it has this many ids.
-FILE_IDS = 1 << 26
+#: A file ends when it has this many ids, or documents.
+FILE_IDS, FILE_DOCUMENTS = 1 << 26, 1 << 20
 #: Remembered chunks between white space, in each worker (about 200 MB when full), and the longest that is remembered.
 CACHED, CACHED_CHARS = 1_000_000, 64
 #: Texts that are encoded together, by characters.
@@ -81,13 +81,6 @@ class EliasFano:
         place = byte * 8 + (now & -now).bit_length() - 1
         return ((place - i) << self.low_bits) | self._low(i)
 
-    def all(self) -> np.ndarray:
-        """Every value, in one pass."""
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        low = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits).astype(np.uint64)
-        low = (low << np.arange(self.low_bits, dtype=np.uint64)).sum(1, dtype=np.uint64)
-        return (((places - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)) | low).astype(np.int64)
-
     def parts(self) -> tuple[dict, bytes]:
         pieces = [self.low.tobytes(), self.high.tobytes(), self.samples.astype("<u4").tobytes()]
         return {"n": self.n, "low_bits": self.low_bits, "sizes": [len(p) for p in pieces]}, b"".join(pieces)
@@ -99,25 +92,31 @@ class EliasFano:
 
 
 class Writer:
-    """Appends documents to an open stream."""
+    """Appends documents to an open stream: those without an id first, then in ascending order of id."""
 
     def __init__(self, out, dtype: str):
-        self.out, self.dtype, self.ends, self.doc_ids, self.total = out, np.dtype(dtype), [0], [], 0
+        self.out, self.dtype, self.ends, self.doc_ids, self.nulls, self.total = out, np.dtype(dtype), array("q", [0]), array("q"), 0, 0
         out.write(MAGIC)
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         self.out.write(ids)
         self.total += len(ids) // self.dtype.itemsize
         self.ends.append(self.total)
-        self.doc_ids.append(doc_id)
+        if doc_id is None:
+            self.nulls += 1
+        else:
+            self.doc_ids.append(doc_id)
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
 
     def close(self) -> None:
-        known = [x for x in self.doc_ids if x is not None]
-        base = known[0] if known else 0
+        base = self.doc_ids[0] if self.doc_ids else 0
         bounds, bound_bytes = EliasFano.of(np.array(self.ends)).parts()
-        named, named_bytes = EliasFano.of(np.array([x - base for x in known], np.uint64)).parts()
+        # differences of 64-bit numbers are right in unsigned ones, whatever they wrap around
+        named, named_bytes = EliasFano.of(np.array(self.doc_ids, np.int64).view(np.uint64) - np.array([base], np.int64).view(np.uint64)).parts()
         self.out.write(bound_bytes + named_bytes)
-        footer = json.dumps({"dtype": self.dtype.str, "ids": self.total, "nulls": len(self.doc_ids) - len(known), "base": base, "bounds": bounds, "named": named}).encode()
+        footer = json.dumps({"dtype": self.dtype.str, "ids": self.total, "nulls": self.nulls, "base": base, "bounds": bounds, "named": named}).encode()
         self.out.write(footer + len(footer).to_bytes(8, "little") + MAGIC)
 
 
@@ -152,16 +151,18 @@ class TokenFile:
         return np.frombuffer(self._at(8 + first * self.dtype.itemsize, (end - first) * self.dtype.itemsize), self.dtype)
 
     def documents(self, block: int = 1 << 22) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        """(doc_id, first id's place, ids), read in blocks of about that many ids."""
-        ends = self.bounds.all()
-        names = [None] * self.nulls + (self.named.all() + self.base).tolist()
-        i = 0
+        """(doc_id, first id's place, ids) of each document in order; ids are read in blocks of about that many, offsets and doc_ids come from select."""
+        i, first = 0, 0
         while i < len(self):
-            j = max(i + 1, int(np.searchsorted(ends, ends[i] + block, "right")) - 1)
-            ids = np.frombuffer(self._at(8 + int(ends[i]) * self.dtype.itemsize, int(ends[j] - ends[i]) * self.dtype.itemsize), self.dtype)
-            for k in range(i, j):
-                yield names[k], int(ends[k]), ids[ends[k] - ends[i] : ends[k + 1] - ends[i]]
-            i = j
+            ends = [self.bounds.select(i + 1)]
+            while ends[-1] - first < block and i + len(ends) < len(self):
+                ends.append(self.bounds.select(i + len(ends) + 1))
+            ids = np.frombuffer(self._at(8 + first * self.dtype.itemsize, (ends[-1] - first) * self.dtype.itemsize), self.dtype)
+            at = first
+            for k, end in enumerate(ends, i):
+                yield self.doc_id(k), at, ids[at - first : end - first]
+                at = end
+            i, first = i + len(ends), at
 
     def close(self) -> None:
         self.file.close()
@@ -173,13 +174,19 @@ class ChunkEncoder:
     Chunks between ASCII white space are encoded by the library, each once while it is remembered; a
     full stop or comma after a letter and before white space is a piece of its own there, so it is cut
     off first. Chunks of letters only are one piece each and go to the library joined by spaces; the
-    marks of last tokens part the ids again.
+    marks of last tokens part the ids again. A text that has the string of an added token, such as a special one, in any
+    case goes to the library whole, as it finds them before it cuts and lower-cases.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.whole = Tokenizer.from_file(path)
+        self.added = [t.content.lower() for t in self.whole.get_added_tokens_decoder().values()]
+        #: a sign without case that all of them have, if there is one: texts without it need no closer look
+        self.rare = next((c for c in "|<>" if all(c in t for t in self.added)), "")
+        # a chunk has no added token, but lower-casing can make one of it
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size()
@@ -214,24 +221,27 @@ class ChunkEncoder:
         for c, e in zip(other, made, strict=True):
             yield c, np.array(e.ids, self.dtype).tobytes()
 
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text.encode("utf-8", "replace").decode(), add_special_tokens=False).ids, self.dtype).tobytes()
+
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes."""
-        cut = [self.chunks(x) for x in texts]
+        special = {i for i, x in enumerate(texts) if self.rare in x and any(t in x.lower() for t in self.added)}
+        cut = [() if i in special else self.chunks(x) for i, x in enumerate(texts)]
         missing = set().union(*cut).difference(self.cache)
         if len(self.cache) + len(missing) > CACHED:
             self.cache.clear()
             missing = set().union(*cut)
         self.cache.update(self._encode(list(missing)))
-        found = [b"".join(map(self.cache.__getitem__, c)) for c in cut]
+        found = [self._whole(texts[i]) if i in special else b"".join(map(self.cache.__getitem__, c)) for i, c in enumerate(cut)]
         for c in missing:
             if len(c) > CACHED_CHARS:
                 del self.cache[c]
         return found
 
 
-@lru_cache(maxsize=2)
 def chunk_encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+    return only(("chunks", path), lambda: ChunkEncoder(path))
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], encode: ChunkEncoder) -> Iterator[tuple[int | None, bytes]]:
@@ -263,11 +273,11 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None
             uri, first = f"{folder}/{context.partitionId():06d}-{seq:06d}.tok", row[0]
             with replacing(uri, context.taskAttemptId()) as out:
                 file = Writer(out, encode.dtype)
-                while row is not None and file.total < file_ids:
+                while row is not None and file.total < file_ids and len(file) < FILE_DOCUMENTS:
                     file.add(row[0], row[1] + end)
                     row = next(rows, None)
                 file.close()
-            yield pa.RecordBatch.from_pylist([{"path": uri, "null_ids": first is None, "first_id": first, "seq": seq, "documents": len(file.doc_ids), "ids": file.total}], _ARROW)
+            yield pa.RecordBatch.from_pylist([{"path": uri, "null_ids": first is None, "first_id": first, "seq": seq, "documents": len(file), "ids": file.total}], _ARROW)
             seq += 1
 
     ordered = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange(shuffle_partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
