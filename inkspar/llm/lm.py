@@ -1,52 +1,69 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Tokens are the ASCII-lower-cased words of a text and one end. The base model is the smoothed unigram
-model with exact counts. The n-gram model conditions a token on the last word before it that belongs
-to the vocabulary (the most frequent training words, at most ``vocabulary``), or on the start; tokens
-outside the vocabulary form one class, within which the base model's probabilities hold:
+model with exact counts. The model conditions every token on the word before it, of whatever frequency (the first
+on the end of a text):
 
-    p(w | h) = p(class(w) | h) * base(w) / base(class(w))
-    p(x | h) = (c(h, x) + mu * base(x)) / (c(h) + mu + expected false counts)
+    p(w | h) = (c(h, w) + MU * base(w)) / (c(h) + MU)
 
-The counts c(h, x) of pairs are quantised, q = 1 + floor(log_b c), and a Bloom filter holds the keys
-(pair, 1) to (pair, q): probing level after level until one is missing returns q, and from it the count
-that is expected for q. The filter is cut into blocks by the pair's hash, so every block is built
-in one task from its own pairs. It has at most ``max_bits`` bits, which bounds what is broadcast:
-as the corpus grows past that, pairs below a least count, found from the counts of all pairs, stay out,
-and each text's pairs that the filter lacks are looked up among them by a join.
-Pairs, words and totals are counted over all training texts.
+The counts of pairs are quantised, q = 1 + floor(log_BASE c), and c(h, w) is the count that stands for q (the middle
+of those with it). c(h) is the exact sum of these over all w, so the probabilities behind any h sum to 1 but for
+false positives of the filter. h counts by 32 bits of its hash, and so does w within h.
 
-Exact counts of the ``dictionary`` most frequent words go to the workers; the other words of each
-text, of which none can be a large part of the corpus, are looked up by a join.
+The Bloom filter holds the keys (pair, 1) to (pair, q): probing level after level until one is missing returns q. It
+is cut into blocks by pair, each built in one task from its own pairs' counts. Pairs behind one h are in one block, so
+that c(h) is summed there; only where h is more than ``SPLIT`` tokens is it dealt over several blocks. The filter has
+``max_bits`` bits at most, which bounds what each worker loads; its file is in the shared folder, so nothing of it
+passes through the driver. Pairs of the least counts that a block has no room for are in a table, and each
+text's pairs that the filter lacks are looked up there by a join: no pair is lost at any size.
+
+The logarithm of a text's probability is a sum over its tokens of three terms: the base, -log(1 + c(h) / MU) of the
+word before it, and log(1 + c(h, w) / (MU * base(w))). So what concerns the ``dictionary`` most frequent words, whose
+counts go to the workers, is added there; the other words of each text, of which none can be a large part of the
+training texts, are looked up by a join, with the q of the pairs that they end.
 
 Defined results: a null text is as an empty one and has the end only; rows with a null id are kept;
 repeated rows are scored each for itself; without training rows every token has the base's
-probability 1; an empty table gives no rows.
+probability 1; an empty table gives no rows; of further columns none is read.
 """
 
 from __future__ import annotations
 
+import io
 import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkspar.llm.common import frequent_floor, shuffle_partitions, written
-
-DICTIONARY, VOCABULARY = 120_000, 8_192
-MAX_BITS, BLOCKS, HASHES, BASE = 1 << 28, 1024, 8, 1.3
-MU, ADD = 50.0, 0.1
+from inkspar.llm.common import frequent_floor, fresh_path, only, release, shuffle_partitions, written
+from inkspar.llm.files import opened, replacing
+
+DICTIONARY = 120_000
+#: Bits of the whole filter at most, and hashes: a filter is half full, and best, at HASHES / ln 2 bits for each key.
+MAX_BITS, HASHES, BASE = 1 << 30, 7, 1.5
+MU, ADD = 200.0, 0.1
+#: Tokens for each block of pairs; the fewest and the most blocks.
+BLOCK_TOKENS, FEWEST, MOST = 1_000_000, 64, 1 << 17
+#: A word before more tokens than this, or than one in so many of all, is dealt over several blocks.
+SPLIT, SPLIT_SHARE = 200_000, 100_000
 #: Different words that a task holds before it sends their counts on, and pairs of its runs of texts.
-HELD_WORDS, HELD_PAIRS = 400_000, 2_500_000
-#: Texts whose pairs are counted or probed together.
-TOGETHER = 2_000
-UNKNOWN, END, START, FIRST = 0, 1, 2, 3
+HELD_WORDS, HELD_PAIRS = 250_000, 1_200_000
+#: Tokens of the texts that are counted or scored together.
+TOGETHER = 300_000
+SEED = 42
+#: Stands for the end of a text, and for what is before its first word; no word has a space.
+END = b" "
+#: Levels of quantised counts; BASE to this power is more than any count.
+LEVELS = 110
+_HIGH, _LOW = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -54,11 +71,25 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def _runs(texts: pa.Array) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """(place of the first text, words of each) of runs of texts with about TOGETHER tokens."""
+    at, held, size = 0, [], 0
+    for x in texts:
+        held.append(tokens(x.as_py()))
+        size += len(held[-1]) + 1
+        if size >= TOGETHER:
+            yield at, held
+            at, held, size = at + len(held), [], 0
+    if held:
+        yield at, held
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial counts of words; the word null stands for the end."""
+    """Partial counts of words and of END."""
+    release()
     held: Counter = Counter()
     for b in batches:
-        held[None] += b.num_rows
+        held[END] += b.num_rows
         for text in b.column(0):
             held.update(tokens(text.as_py()))
             if len(held) >= HELD_WORDS:
@@ -76,82 +107,116 @@ def quantised(n: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(n) / math.log(BASE) + 1e-9).astype(np.int64)
 
 
-def _expected(levels: int) -> np.ndarray:
-    """The count that is expected for each quantised value; 0 for 0."""
-    q = np.arange(levels + 1, dtype=float)
-    low, high = np.ceil(BASE ** (q - 1) - 1e-9), np.maximum(np.ceil(BASE**q - 1e-9) - 1, 1)
-    out = (low + np.maximum(high, low)) / 2
+def _doubled() -> np.ndarray:
+    """Twice the count that stands for each quantised value (0 for 0), a whole number."""
+    q = np.arange(LEVELS + 1, dtype=float)
+    low = np.ceil(BASE ** (q - 1) - 1e-9)
+    high = np.maximum(np.ceil(BASE**q - 1e-9) - 1, low)
+    out = np.minimum(low + high, 1 << 62).astype(np.int64)
     out[0] = 0
     return out
 
 
+DOUBLED = _doubled()
+
+
+def pair_keys(texts: list[list[bytes]]) -> np.ndarray:
+    """A key for each token, ends too, of all texts one after the other: 32 bits of the hash of the word before it, and 32 of its own."""
+    size = sum(map(len, texts)) + len(texts)
+    words = chain.from_iterable(chain(t, (END,)) for t in texts)
+    own = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED)), np.uint64, size)
+    before = np.concatenate([np.array([xxhash.xxh64_intdigest(END, SEED)], np.uint64), own[:-1]])
+    return (before & _HIGH) | (own & _LOW)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = x.astype(np.uint64)
     for shift, by in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(by)
     return x ^ (x >> np.uint64(31))
 
 
+@dataclass
+class Blocks:
+    """Which block a pair is in. split has, for the high halves in hot, over how many blocks their pairs are dealt."""
+
+    n: int
+    hot: np.ndarray
+    split: np.ndarray
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        high, part = keys >> np.uint64(32), np.zeros(len(keys), np.uint64)
+        if len(self.hot):
+            at = np.minimum(np.searchsorted(self.hot, high), len(self.hot) - 1)
+            part = np.where(self.hot[at] == high, (keys & _LOW) % self.split[at], np.uint64(0))
+        return (_mixed(high * np.uint64(0x9E3779B97F4A7C15) + part) % np.uint64(self.n)).astype(np.int64)
+
+
+def _draws(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two hashes of (key, level); the place by hash i is (one + i * two) % bits."""
+    one = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level))
+    return one, _mixed(one + np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
+
+
+def block_bits(keys: np.ndarray, q: np.ndarray, hashes: int = HASHES) -> np.ndarray:
+    """The bytes of a block that holds all levels of the keys."""
+    size = max(64, 8 * math.ceil(int(q.sum()) * hashes / math.log(2) / 8))
+    bits = np.zeros(size, bool)
+    for level in range(1, int(q.max(initial=0)) + 1):
+        one, two = _draws(keys[q >= level], level)
+        for i in range(hashes):
+            bits[((one + np.uint64(i) * two) % np.uint64(size)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little")
+
+
 class LogBloom:
-    """A Bloom filter of quantised counts in BLOCKS blocks of block_bits bits."""
-
-    def __init__(self, block_bits: int, bits: np.ndarray | None = None, first: int = 0):
-        self.block_bits, self.first = block_bits, first
-        self.bits = bits if bits is not None else np.zeros(block_bits // 8, np.uint8)
-
-    @staticmethod
-    def block(keys: np.ndarray) -> np.ndarray:
-        return (_mixed(keys) % np.uint64(BLOCKS)).astype(np.int64)
-
-    def _places(self, keys: np.ndarray, level: int) -> Iterator[np.ndarray]:
-        one = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level))
-        two = _mixed(one + np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
-        start = (self.block(keys) - self.first) * self.block_bits
-        for i in range(HASHES):
-            yield start + ((one + np.uint64(i) * two) % np.uint64(self.block_bits)).astype(np.int64)
-
-    def add(self, keys: np.ndarray, q: np.ndarray) -> None:
-        """Keys must be of the blocks that this part of the filter holds."""
-        keys = keys.astype(np.uint64)
-        for level in range(1, int(q.max(initial=0)) + 1):
-            own = keys[q >= level]
-            for at in self._places(own, level):
-                np.bitwise_or.at(self.bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
-
-    def get(self, keys: np.ndarray, levels: int) -> np.ndarray:
+    """The whole filter; block b has sizes[b] bits from bit starts[b] on, and one without any holds nothing."""
+
+    def __init__(self, blocks: Blocks, starts: np.ndarray, sizes: np.ndarray, bits: np.ndarray, hashes: int = HASHES):
+        self.blocks, self.starts, self.sizes, self.bits, self.hashes = blocks, starts, sizes, bits, hashes
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
         """The quantised counts; too high where a missing level's bits all happen to be set."""
-        keys = keys.astype(np.uint64)
-        q, active = np.zeros(len(keys), np.int64), np.arange(len(keys))
-        for level in range(1, levels + 1):
-            active = self._all_set(keys, active, level)
+        block, q = self.blocks.of(keys), np.zeros(len(keys), np.int64)
+        active = np.flatnonzero(self.sizes[block] > 0)
+        for level in range(1, LEVELS + 1):
+            own = block[active]
+            one, two = _draws(keys[active], level)
+            start, size = self.starts[own], self.sizes[own].astype(np.uint64)
+            for _ in range(self.hashes):
+                # a key that lacks a bit isn't probed on
+                at = start + (one % size).astype(np.int64)
+                on = (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                active, one, two, start, size = active[on], one[on] + two[on], two[on], start[on], size[on]
             if len(active) == 0:
                 break
             q[active] = level
         return q
 
-    def _all_set(self, keys: np.ndarray, active: np.ndarray, level: int) -> np.ndarray:
-        ok = np.ones(len(active), bool)
-        for at in self._places(keys[active], level):
-            ok &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-        return active[ok]
+    @classmethod
+    def read(cls, uri: str, blocks: Blocks, hashes: int) -> LogBloom:
+        system, path = opened(uri)
+        with system.open_input_file(path) as f:
+            data = f.read()
+        at = int.from_bytes(data[-8:], "little")
+        index = np.load(io.BytesIO(data[at:-8]))
+        starts, sizes = np.zeros(blocks.n, np.int64), np.zeros(blocks.n, np.int64)
+        starts[index[:, 0]], sizes[index[:, 0]] = index[:, 1] * 8, index[:, 2] * 8
+        return cls(blocks, starts, sizes, np.frombuffer(data, np.uint8, at), hashes)
 
 
 @dataclass
 class Model:
-    """What the workers get: exact counts of frequent words, the vocabulary's ids, context totals and the filter."""
+    """What the workers get: the most frequent words' numbers, counts and context totals (END is number 0), and where the filter is."""
 
     total: int
     distinct: int
-    counts: dict[bytes, int]
-    end_count: int
-    ids: dict[bytes, int]
-    class_probability: np.ndarray
-    context_totals: np.ndarray
-    filter_bits: np.ndarray
-    block_bits: int
-    levels: int
-    false_counts: float
-    #: (pair, q) of the pairs that the filter had no room for; stays with the driver.
+    numbers: dict[bytes, int]
+    counts: np.ndarray
+    doubled_totals: np.ndarray
+    filter_path: str
+    blocks: Blocks
+    hashes: int
+    #: (key, q) of the pairs that the filter had no room for, if there are any; stays with the driver.
     left_out: DataFrame | None = None
 
     def __getstate__(self) -> dict:
@@ -161,170 +226,197 @@ class Model:
     def denominator(self) -> float:
         return self.total + ADD * (self.distinct + 1)
 
-    def base(self, count: int) -> float:
-        return math.log10((count + ADD) / self.denominator)
+    def bloom(self) -> LogBloom:
+        return only(("lm", self.filter_path), lambda: LogBloom.read(self.filter_path, self.blocks, self.hashes))
 
 
-def _pairs(texts: list[list[bytes]], ids: dict[bytes, int], width: int) -> np.ndarray:
-    """context * width + class for each token (ends too) of all texts, one after the other."""
-    get, flat = ids.get, []
-    for words in texts:
-        flat.append(START)
-        flat.extend([get(w, UNKNOWN) for w in words])
-        flat.append(END)
-    x = np.array(flat, np.int64)
-    last = np.maximum.accumulate(np.where(x != UNKNOWN, np.arange(len(x)), 0))
-    here = np.flatnonzero(x != START)
-    return x[last[here - 1]] * width + x[here]
+def _blocks(words: DataFrame, total: int) -> Blocks:
+    most = max(SPLIT, total // SPLIT_SHARE)
+    hot = sorted((xxhash.xxh64_intdigest(bytes(r["word"]), SEED) >> 32, math.ceil(r["n"] / most)) for r in words.filter(F.col("n") > most).collect())
+    return Blocks(min(MOST, max(FEWEST, total // BLOCK_TOKENS)), np.array([h for h, _ in hot], np.uint64), np.array([s for _, s in hot], np.uint64))
 
 
-def _summed(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    """The pairs of several runs, each once."""
+def _packed(held: list[tuple[np.ndarray, np.ndarray]], blocks: Blocks) -> pa.RecordBatch:
+    """The pairs of several runs, each once, as a row for each block."""
     keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-    n = np.bincount(at, np.concatenate([t for _, t in held]), len(keys)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["pair", "n"])
+    n = np.bincount(at, np.concatenate([t for _, t in held]), len(keys)).astype("<u4")
+    block = blocks.of(keys)
+    order = np.argsort(block, kind="stable")
+    cuts = np.flatnonzero(np.diff(block[order])) + 1
+    parts = np.split(order, cuts)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(block[p[0]]) for p in parts], pa.int32()), pa.array([keys[p].tobytes() for p in parts], pa.binary()), pa.array([n[p].tobytes() for p in parts], pa.binary())], names=["block", "keys", "counts"]
+    )
+
 
+_PARTS = "block int, bits binary, h bigint, doubled bigint, key bigint, q int"
+_PARTS_ARROW = pa.schema([("block", pa.int32()), ("bits", pa.binary()), ("h", pa.int64()), ("doubled", pa.int64()), ("key", pa.int64()), ("q", pa.int32())])
 
-def train(docs: DataFrame, text_col: str = "text", dictionary: int = DICTIONARY, vocabulary: int = VOCABULARY, max_bits: int = MAX_BITS) -> tuple[Model, DataFrame]:
-    """The model, and the table (word, n) of all words' exact counts."""
+
+def _part(n: int, **columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _PARTS_ARROW], schema=_PARTS_ARROW)
+
+
+def _block_parts(block: int, keys: np.ndarray, n: np.ndarray, most_bits: float, hashes: int) -> Iterator[pa.RecordBatch]:
+    """Of a block's pairs, of which keys and n have several parts: its bits, the totals of what they follow, and the pairs that it has no room for."""
+    order = np.argsort(keys)
+    keys, first = np.unique(keys[order], return_index=True)
+    q = quantised(np.add.reduceat(n[order], first))
+    high, at = np.unique(keys >> np.uint64(32), return_index=True)
+    yield _part(len(high), h=high.astype(np.int64), doubled=np.add.reduceat(DOUBLED[q], at))
+    levels = np.arange(LEVELS + 1) * np.bincount(q, minlength=LEVELS + 1)
+    room = np.cumsum(levels[::-1])[::-1] * hashes / math.log(2) <= most_bits
+    inside = room[q]
+    yield _part(1, block=[block], bits=[block_bits(keys[inside], q[inside], hashes).tobytes()])
+    if not inside.all():
+        yield _part(int((~inside).sum()), key=keys[~inside].view(np.int64), q=q[~inside])
+
+
+def train(docs: DataFrame, text_col: str = "text", dictionary: int = DICTIONARY, max_bits: int = MAX_BITS, hashes: int = HASHES) -> tuple[Model, DataFrame]:
+    """The model, and the table (word, n, doubled) of all words and END: exact counts, and twice the totals of the pairs behind them."""
     spark = docs.sparkSession
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
-    counts = written(rows.mapInArrow(_count_words, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    ends = counts.filter("word IS NULL").first()
-    words = counts.filter("word IS NOT NULL")
-    frequent = {bytes(r["word"]): r["n"] for r in words.filter(F.col("n") >= frequent_floor(words, "n", dictionary)).collect()}
-    chosen = sorted(frequent, key=lambda w: (-frequent[w], w))[:vocabulary]
-    ids, width = {w: i for i, w in enumerate(chosen, FIRST)}, FIRST + len(chosen)
-    end_count = ends["n"] if ends else 0
-    below = total + ADD * (distinct + 1)
-    probability = np.zeros(width)
-    probability[END] = (end_count + ADD) / below
-    probability[FIRST:] = [(frequent[w] + ADD) / below for w in chosen]
-    probability[UNKNOWN] = max(1 - probability.sum(), ADD / below)
-    shared = spark.sparkContext.broadcast(ids)
+    counted = written(rows.mapInArrow(_count_words, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    total, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    blocks = _blocks(counted, total)
+    n, most_bits = min(blocks.n, shuffle_partitions(spark)), max_bits / blocks.n
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         held, size = [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                texts = [tokens(x.as_py()) for x in batch.column(0)[at : at + TOGETHER]]
-                held.append(np.unique(_pairs(texts, shared.value, width), return_counts=True))
+            for _, texts in _runs(batch.column(0)):
+                held.append(np.unique(pair_keys(texts), return_counts=True))
                 size += len(held[-1][0])
                 if size >= HELD_PAIRS:
-                    yield _summed(held)
+                    yield _packed(held, blocks)
                     held, size = [], 0
         if held:
-            yield _summed(held)
-
-    pairs = written(rows.mapInArrow(count_pairs, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
-    context_totals = np.zeros(width)
-    for r in pairs.groupBy(F.floor(F.col("pair") / width).cast("int").alias("h")).agg(F.sum("n").alias("n")).collect():
-        context_totals[r["h"]] = r["n"]
-    # a filter of HASHES hashes is half full, and best, at HASHES / ln 2 bits for each key
-    level = (F.floor(F.log("n") / math.log(BASE) + 1e-9) + 1).alias("q")
-    by_level = {r["q"]: r["k"] for r in pairs.groupBy(level).agg(F.count("*").alias("k")).collect()}
-    keys, least = 0, max(by_level, default=0) + 1
-    for q in sorted(by_level, reverse=True):
-        if (keys + q * by_level[q]) * HASHES / math.log(2) > max_bits:
-            break
-        keys, least = keys + q * by_level[q], q
-    block_bits = max(64, 8 * math.ceil(keys * HASHES / math.log(2) / BLOCKS / 8 * 1.1))
-    bits = np.zeros(BLOCKS * block_bits // 8, np.uint8)
-    built = _build(pairs.filter(level >= least), block_bits)
-    for r in built.collect():
-        bits[r["block"] * block_bits // 8 : (r["block"] + 1) * block_bits // 8] = np.frombuffer(r["bits"], np.uint8)
-    filled = float(np.unpackbits(bits[: 1 << 20]).mean()) if keys else 0.0
-    model = Model(total, distinct, frequent, end_count, ids, probability, context_totals, bits, block_bits, max(by_level, default=0), filled**HASHES * width)
-    if least > min(by_level, default=least):
-        model.left_out = pairs.select("pair", level).filter(F.col("q") < least)
-    return model, words
-
-
-def _build(pairs: DataFrame, block_bits: int) -> DataFrame:
-    """(block, bits) of all blocks that have pairs."""
-
-    def blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys = b.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(LogBloom.block(keys.astype(np.uint64)).astype(np.int32)), b.column(0), b.column(1)], names=["block", "pair", "n"])
+            yield _packed(held, blocks)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made: dict[int, LogBloom] = {}
+        own, keys, counts = None, [], []
         for b in batches:
-            block, keys, q = b.column(0).to_numpy(), b.column(1).to_numpy().astype(np.uint64), quantised(b.column(2).to_numpy())
-            order = np.argsort(block, kind="stable")
-            cuts = np.flatnonzero(np.diff(block[order])) + 1
-            for part in np.split(order, cuts) if len(order) else []:
-                own = int(block[part[0]])
-                made.setdefault(own, LogBloom(block_bits, first=own)).add(keys[part], q[part])
-        for own, x in made.items():
-            yield pa.RecordBatch.from_arrays([pa.array([own], pa.int32()), pa.array([x.bits.tobytes()], pa.binary())], names=["block", "bits"])
+            for block, k, c in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                if block != own and keys:
+                    yield from _block_parts(own, np.concatenate(keys), np.concatenate(counts).astype(np.int64), most_bits, hashes)
+                    keys, counts = [], []
+                own = block
+                keys.append(np.frombuffer(k.as_py(), np.uint64))
+                counts.append(np.frombuffer(c.as_py(), "<u4"))
+        if keys:
+            yield from _block_parts(own, np.concatenate(keys), np.concatenate(counts).astype(np.int64), most_bits, hashes)
+
+    packed = rows.mapInArrow(count_pairs, "block int, keys binary, counts binary").repartition(n, "block").sortWithinPartitions("block")
+    parts = written(packed.mapInArrow(build, _PARTS), "pairs")
+    totals = parts.filter("h IS NOT NULL").groupBy("h").agg(F.sum("doubled").alias("doubled"))
+    words = counted.withColumn("h", F.shiftrightunsigned(F.xxhash64("word"), 32)).join(totals, "h", "left").select("word", "n", F.coalesce("doubled", F.lit(0)).alias("doubled"))
+    words = written(words, "words-and-totals")
+    frequent = sorted(words.filter((F.col("n") >= frequent_floor(words, "n", dictionary)) | (F.col("word") == END)).collect(), key=lambda r: (bytes(r["word"]) != END, bytes(r["word"])))
+    # without training rows END is known all the same, with no count
+    numbers = {END: 0} | {bytes(r["word"]): i for i, r in enumerate(frequent)}
+    known = [(r["n"], r["doubled"]) for r in frequent] or [(0, 0)]
+    left_out = parts.filter("key IS NOT NULL").select("key", "q")
+    model = Model(total, distinct, numbers, np.array([k for k, _ in known], np.int64), np.array([k for _, k in known], np.int64), _filter_file(parts), blocks, hashes)
+    if not left_out.isEmpty():
+        model.left_out = left_out
+    return model, words
 
-    n = min(BLOCKS, shuffle_partitions(pairs.sparkSession))
-    return pairs.mapInArrow(blocked, "block int, pair bigint, n bigint").repartition(n, "block").mapInArrow(build, "block int, bits binary")
 
+def _filter_file(parts: DataFrame) -> str:
+    """Writes the blocks' bits, bounded in all, one after the other; behind them an index (block, first byte, bytes) and its place."""
+    spark = parts.sparkSession
+    uri = fresh_path(spark, "log-bloom")
 
-def _absent(keys: np.ndarray, inverse: np.ndarray, absent: np.ndarray, starts: np.ndarray) -> pa.Array:
-    """(pair, n) of each text's pairs that the filter lacks; starts are where the texts' tokens begin, and their end."""
-    text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    here = absent[inverse]
-    own, n = np.unique(text[here] * len(keys) + inverse[here], return_counts=True)
-    ends = np.searchsorted(own, np.arange(len(starts)) * len(keys))
-    both = pa.StructArray.from_arrays([pa.array(keys[own % len(keys)], pa.int64()), pa.array(n, pa.int32())], names=["pair", "n"])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), both)
+    def collected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, at, packed = [], 0, io.BytesIO()
+        with replacing(uri, TaskContext.get().taskAttemptId()) as out:
+            for b in batches:
+                for block, bits in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                    if data := bits.as_py():
+                        out.write(data)
+                        index.append((block, at, len(data)))
+                        at += len(data)
+            np.save(packed, np.array(index, np.int64).reshape(-1, 3))
+            out.write(packed.getvalue() + at.to_bytes(8, "little"))
+        yield pa.RecordBatch.from_pylist([{"bytes": at}], pa.schema([("bytes", pa.int64())]))
 
+    bits = parts.filter("bits IS NOT NULL").select("block", "bits")
+    # a row of no block, so that an empty table gives a file too
+    bits.unionByName(spark.range(1).select(F.lit(0).alias("block"), F.lit(b"").alias("bits"))).repartition(1).mapInArrow(collected, "bytes bigint").collect()
+    return uri
 
-def _more_gain(first: DataFrame, model: Model) -> DataFrame:
-    """(row, more_gain): what the pairs that the filter had no room for add to each row's gain."""
-    spark, width, expected = first.sparkSession, len(model.class_probability), _expected(model.levels)
-    classes = spark.createDataFrame([(i, float(MU * p)) for i, p in enumerate(model.class_probability)], "x int, prior double")
-    counts = spark.createDataFrame([(i, float(c)) for i, c in enumerate(expected)], "q bigint, c double")
-    found = model.left_out.join(F.broadcast(counts), "q").withColumn("x", (F.col("pair") % width).cast("int")).join(F.broadcast(classes), "x")
-    each = found.select("pair", F.log10((F.col("c") + F.col("prior")) / F.col("prior")).alias("more"))
-    asked = first.select("row", F.explode("absent").alias("a")).select("row", F.col("a.pair").alias("pair"), F.col("a.n").alias("times"))
-    return asked.join(each, "pair").groupBy("row").agg(F.sum(F.col("times") * F.col("more")).alias("more_gain"))
 
+_SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, gain double, open array<struct<word: binary, prior: double, key: bigint, q: int, n: int>>"
+_OPEN = pa.list_(pa.struct([("word", pa.binary()), ("prior", pa.float64()), ("key", pa.int64()), ("q", pa.int32()), ("n", pa.int32())]))
 
-_SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, gain double, rare array<struct<word: binary, n: int>>, absent array<struct<pair: bigint, n: int>>"
-_SCORED_ARROW = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("gain", pa.float64()), ("rare", pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))), ("absent", pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int32())])))])
 
-
-def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_col: str = "held_out") -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    shared, all_held = docs.sparkSession.sparkContext.broadcast(model), model.left_out is None
+def _scorer(shared, all_held: bool):
+    """What the dictionary's words add to each text's scores; open has the tokens of which the word, or a pair that the filter lacks, has yet to be looked up."""
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, row = shared.value, TaskContext.get().partitionId() << 40
-        bloom, width, expected = LogBloom(m.block_bits, m.filter_bits), len(m.class_probability), _expected(m.levels)
-        base = {w: m.base(c) for w, c in m.counts.items()}
-        for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                b = batch.slice(at, TOGETHER)
-                texts = [tokens(x.as_py()) for x in b.column(1)]
-                keys, inverse = np.unique(_pairs(texts, m.ids, width), return_inverse=True)
-                context, x = keys // width, keys % width
-                uni = m.class_probability[x]
-                q = bloom.get(keys, m.levels)
-                p = (expected[q] + MU * uni) / (m.context_totals[context] + MU + m.false_counts)
-                starts = np.cumsum([0] + [len(t) + 1 for t in texts])
-                gains = np.add.reduceat(np.log10(p / uni)[inverse], starts[:-1])
-                rows = []
-                for doc_id, held_out, t, gain in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), texts, gains.tolist(), strict=True):
-                    known = [base[w] for w in t if w in base]
-                    rare = Counter(w for w in t if w not in base) if len(known) < len(t) else {}
-                    rows.append({"row": row, "doc_id": doc_id, "held_out": held_out, "n_tokens": len(t) + 1, "n_known": len(known) + (m.end_count > 0), "base_score": math.fsum(known) + m.base(m.end_count), "gain": gain, "rare": [{"word": w, "n": n} for w, n in rare.items()], "absent": []})
-                    row += 1
-                made = pa.RecordBatch.from_pylist(rows, _SCORED_ARROW)
-                yield made if all_held else made.set_column(made.num_columns - 1, "absent", _absent(keys, inverse, q == 0, starts))
-
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.col(held_out_col).alias("held_out"))
-    first = written(rows.mapInArrow(scored, _SCORED), "scored")
-    looked_up = first.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.n").alias("times")).join(words, "word", "left")
-    per_token = F.log10((F.coalesce("n", F.lit(0)) + ADD) / F.lit(model.denominator))
-    more = looked_up.groupBy("row").agg(F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"), F.sum(F.col("times") * per_token).alias("base"))
-    both = first.drop("rare", "absent").join(more, "row", "left")
-    if not all_held:
-        both = both.join(_more_gain(first, model), "row", "left").withColumn("gain", F.col("gain") + F.coalesce("more_gain", F.lit(0.0)))
+        bloom, get = m.bloom(), m.numbers.get
+        base = np.log10((m.counts + ADD) / m.denominator)
+        prior = MU * (m.counts + ADD) / m.denominator
+        behind = -np.log10(1 + m.doubled_totals / 2 / MU)
+        for b in batches:
+            for at, texts in _runs(b.column(1)):
+                sizes = np.array([len(t) + 1 for t in texts])
+                starts = np.cumsum(sizes) - sizes
+                number = np.fromiter(map(get, chain.from_iterable(chain(t, (END,)) for t in texts), repeat(-1)), np.int64, int(sizes.sum()))
+                before = np.concatenate([np.zeros(1, np.int64), number[:-1]])
+                keys = pair_keys(texts)
+                different, inverse = np.unique(keys, return_inverse=True)
+                q = bloom.get(different)[inverse]
+                known = number >= 0
+                gains = np.where(before >= 0, behind[before], 0.0) + np.where(known, np.log10(1 + DOUBLED[q] / 2 / prior[number]), 0.0)
+                added = [np.add.reduceat(x, starts) for x in (np.where(known, base[number], 0.0), gains, known & (m.counts[number] > 0))]
+                opened_ = _open(texts, starts, keys, q, known, prior[number], all_held)
+                part = b.slice(at, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + len(texts))), part.column(0), part.column(2), pa.array(sizes), pa.array(added[2].astype(np.int64)), pa.array(added[0]), pa.array(added[1]), opened_],
+                    names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "gain", "open"],
+                )
+                row += len(texts)
+
+    return scored
+
+
+def _open(texts: list[list[bytes]], starts: np.ndarray, keys: np.ndarray, q: np.ndarray, known: np.ndarray, prior: np.ndarray, all_held: bool) -> pa.Array:
+    places = np.flatnonzero(~known if all_held else ~known | (q == 0))
+    text = np.searchsorted(starts, places, "right") - 1
+    ask = (q[places] == 0) & (not all_held)
+    found: list[Counter] = [Counter() for _ in texts]
+    for t, i, k, level, x, p, a in zip(text.tolist(), (places - starts[text]).tolist(), keys[places].view(np.int64).tolist(), q[places].tolist(), known[places].tolist(), prior[places].tolist(), ask.tolist(), strict=True):
+        found[t][None if x else texts[t][i], p if x else None, k if a else None, level] += 1
+    columns = [list(x) for x in zip(*chain.from_iterable(((*key, n) for key, n in c.items()) for c in found), strict=True)] or [[]] * 5
+    ends = np.cumsum([0, *map(len, found)])
+    entries = pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(columns, _OPEN.value_type, strict=True)], fields=list(_OPEN.value_type))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
+
+
+def _stands(q: Column) -> Column:
+    return F.get(F.array(*[F.lit(float(x) / 2) for x in DOUBLED]), q)
+
+
+def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_col: str = "held_out") -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(held_out_col).alias("held_out"))
+    first = written(rows.mapInArrow(_scorer(shared, model.left_out is None), _SCORED), "scored")
+    asked = first.select("row", F.explode("open").alias("o")).select("row", "o.*")
+    if model.left_out is not None:
+        asked = asked.join(model.left_out.select("key", F.col("q").alias("left_q")), "key", "left").withColumn("q", F.coalesce("left_q", "q"))
+    looked_up = asked.join(words.select("word", F.col("n").alias("c"), "doubled"), "word", "left")
+    count = F.coalesce("c", F.lit(0))
+    share = (count + ADD) / F.lit(model.denominator)
+    prior, own = F.coalesce("prior", MU * share), F.col("word").isNotNull()
+    gain = F.log10(1 + _stands(F.col("q")) / prior) - F.when(own, F.log10(1 + F.coalesce("doubled", F.lit(0)) / 2 / MU)).otherwise(0.0)
+    more = looked_up.groupBy("row").agg(
+        F.sum(F.when(own & (count > 0), F.col("n")).otherwise(0)).alias("known"), F.sum(F.when(own, F.col("n") * F.log10(share)).otherwise(0.0)).alias("base"), F.sum(F.col("n") * gain).alias("more_gain")
+    )
+    both = first.drop("open").join(more, "row", "left")
     base = F.col("base_score") + F.coalesce("base", F.lit(0.0))
-    return both.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(model.total).cast("bigint").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"))
+    score_ = base + F.col("gain") + F.coalesce("more_gain", F.lit(0.0))
+    return both.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(model.total).cast("bigint").alias("train_tokens"), base.alias("base_score"), score_.alias("score"))

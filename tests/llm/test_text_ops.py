@@ -98,6 +98,64 @@ def test_language_counts_and_backoff(spark):
     assert list(small.tables[0]) == ["aa"] and all(len(t) <= 2 for t in small.tables[1:])
 
 
+def brute_predict(rows, text):
+    """Language and score by plain dictionaries, with all words and n-grams in the model."""
+    def cut(t):
+        out = "".join(c if c.isalpha() else " " for c in t.lower()).split()
+        return out
+
+    counts = {}
+    for t, lang in rows:
+        if t is None or lang is None:
+            continue
+        for w in cut(t):
+            if len(w) <= langid.WORD_CHARS:
+                counts.setdefault((0, lang), Counter())[w] += 1
+            for n in range(1, 5):
+                marked = w if n == 1 else f"<{w}>"
+                for i in range(len(marked) - n + 1):
+                    counts.setdefault((n, lang), Counter())[marked[i : i + n]] += 1
+    langs = sorted({lang for _, lang in counts})
+    total = {k: c.total() for k, c in counts.items()}
+
+    def log(n, x, lang):
+        every, all_ = sum(counts.get((n, o), {}).get(x, 0) for o in langs), sum(total.get((n, o), 0) for o in langs)
+        return math.log((counts.get((n, lang), {}).get(x, 0) + langid.PRIOR * every / all_) / (total.get((n, lang), 0) + langid.PRIOR))
+
+    found = cut(text or "")
+    if not found:
+        return "und", 0.0
+    sums = dict.fromkeys(langs, 0.0)
+    for w in found:
+        entries = [(0, w)] if any(w in counts.get((0, o), {}) for o in langs) else []
+        for n in range(min(4, len(w) + 2), 0, -1):
+            if entries:
+                break
+            marked = w if n == 1 else f"<{w}>"
+            entries = [(n, marked[i : i + n]) for i in range(len(marked) - n + 1) if any(marked[i : i + n] in counts.get((n, o), {}) for o in langs)]
+        for lang in langs:
+            sums[lang] += sum(log(n, x, lang) for n, x in entries) / max(1, len(entries))
+    best = max(langs, key=lambda x: sums[x])
+    return best, 1 / sum(math.exp((v - sums[best]) / math.sqrt(len(found))) for v in sums.values())
+
+
+def test_language_against_brute_force(odd, real, spark):
+    unspaced = spark.createDataFrame([(100, "日本語" * 30 + "。" + "中文" * 25, "ja"), (101, "สวัสดีชาวโลก" * 9, "th"), (102, "ສະບາຍດີ" * 12, "lo")], "doc_id long, text string, lang string")
+    labelled = real.filter("doc_id % 4 != 2").select("doc_id", "text", "lang").unionByName(odd.filter("length(text) < 1000").select("doc_id", "text", "lang")).unionByName(unspaced)
+    model = langid.train(labelled, max_words=1 << 30, max_grams=1 << 30)
+    rows = [(r["text"], r["lang"]) for r in labelled.collect()]
+    asked = [r["text"] for r in real.filter("doc_id % 4 = 2 AND length(text) < 3000").limit(12).collect()] + ["日本語日本語", "qqzzx the", "ชาวโลก", "½", "①②③", "Ⅷ x²", "", None, "a1b_c", "中文" * 40]
+    for t in asked:
+        lang, score = langid.Scorer(model).predict(t)
+        want, wanted = brute_predict(rows, t)
+        assert lang == want and score == pytest.approx(wanted, rel=2e-3, abs=1e-6), t
+    assert brute_predict(rows, "①②③")[0] == "und" and brute_predict(rows, "日本語日本語")[0] == "ja"
+
+
+def test_language_words_are_letters():
+    assert langid.words("Ab½c ①②③ Ⅷ 12 x_y É日2本 ²") == ["ab", "c", "x", "y", "é日", "本"]
+
+
 def test_language_held_out(spark, sf_dir):
     found = queries_text.op5_langid(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").collect()
     assert len(found) > 20 and sum(r["lang_pred"] == r["lang"] for r in found) / len(found) > 0.97
@@ -109,7 +167,7 @@ def test_elias_fano():
         made = tokens.EliasFano.of(np.array(values, np.uint64))
         about, data = made.parts()
         back = tokens.EliasFano.read(about, data)
-        assert back.all().tolist() == list(values) and [back.select(i) for i in range(len(values))] == list(values)
+        assert [back.select(i) for i in range(len(values))] == list(values)
         with pytest.raises(IndexError):
             back.select(len(values))
     dense = tokens.EliasFano.of(np.cumsum(rng.integers(0, 900, 100_000)).astype(np.uint64)).parts()[1]
@@ -141,14 +199,16 @@ def test_token_files(odd, none, spark):
         tokens.TokenFile(files[0]["path"] + "x")
 
 
-PIECES = ["a", "B", " ", "the", "'s", ".", ",", "\n", "̈", "T̈", "é", "İ", "日本", "1", "\x1c", "\x85", "　", "ß", "!", "?.", "ǅ", "<|endoftext|>", "ΑΣ", "ﬁ", "½", "x.y", "😀", "\x00", "  ", "'ll"]
+PIECES = ["a", "B", " ", "the", "'s", ".", ",", "\n", "̈", "T̈", "é", "İ", "日本", "1", "\x1c", "\x85", "　", "ß", "!", "?.", "ǅ", "<|endoftext|>", "<|StartOfText|>", "ΑΣ", "ﬁ", "½", "x.y", "😀", "\x00", "  ", "'ll"]
 
 
 def test_chunk_encoder_is_the_library():
+    """With the library's own settings: special tokens in a text are found."""
     encoder, rng = tokens.ChunkEncoder(WORDS), random.Random(2)
     library = Tokenizer.from_file(WORDS)
-    library.encode_special_tokens = True
     made = ["".join(rng.choice(PIECES) for _ in range(rng.randrange(15))) for _ in range(3000)]
+    made += ["hello <|endoftext|> world", "A<|startoftext|>b", "<|ENDOFTEXT|> <|endOFtext|>", "x <|endoftext| > |", "<|endoftext|>" * 3]
+    assert 49407 in library.encode(made[-5], add_special_tokens=False).ids
     got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.batch(made)]
     assert got == [library.encode(x, add_special_tokens=False).ids for x in made]
 
@@ -197,73 +257,86 @@ def scored(docs, **options):
     return model, lm.score(docs, model, words).collect()
 
 
-@pytest.mark.parametrize("options", [{}, {"dictionary": 5, "vocabulary": 3}, {"dictionary": 0, "vocabulary": 0}, {"max_bits": 64}])
-def test_lm_base_against_brute_force(odd, real, rows_of, options):
+def brute_score(rows):
+    """Each text's log probability by plain dictionaries: bigrams of whole words, their counts in classes of the same quantised value."""
+    cut = [(i, (t or "").encode().lower().split(), zlib.crc32(str(i).encode()) % 10 == 0 if i is not None else False) for i, t in rows]
+    train = [["", *map(bytes, w), ""] for _, w, out in cut if not out]
+    single = Counter(x for w in train for x in w[1:])
+    n, below = sum(single.values()), sum(single.values()) + 0.1 * (len(single) + 1)
+    pairs = Counter(p for w in train for p in zip(w, w[1:]))
+
+    def stands(c):
+        q = 1 + math.floor(math.log(c) / math.log(lm.BASE) + 1e-9) if c else 0
+        same = [x for x in range(1, 4 * c + 4) if 1 + math.floor(math.log(x) / math.log(lm.BASE) + 1e-9) == q]
+        return (same[0] + same[-1]) / 2 if c else 0.0
+
+    value = {c: stands(c) for c in {0, *pairs.values()}}
+    behind = Counter()
+    for (h, _), c in pairs.items():
+        behind[h] += value[c]
+    base = lambda w: (single[w] + 0.1) / below
+    p = lambda h, w: (value[pairs[h, w]] + lm.MU * base(w)) / (behind[h] + lm.MU)
+    assert all(p(h, w) <= 1 for h, w in pairs)
+    return sorted(((i if i is not None else -99, math.fsum(math.log10(p(h, w)) for h, w in zip(["", *words], [*words, ""]))) for i, words, _ in cut)), single, behind, p
+
+
+@pytest.mark.parametrize("options", [{}, {"dictionary": 5}, {"dictionary": 0}, {"max_bits": 64}])
+def test_lm_against_brute_force(odd, real, rows_of, options):
+    """Base scores and counts, and the model's scores, with a filter of so many hashes that nothing is found falsely; pairs that it has no room for count alike."""
     for docs in (odd, real):
-        _, rows = scored(docs, **options)
+        model, rows = scored(docs, hashes=28, **options)
         got = sorted(((r["doc_id"] if r["doc_id"] is not None else -99, r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in rows), key=str)
         for a, b in zip(got, brute_base(rows_of(docs)), strict=True):
             assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], abs=1e-4)
-        assert all(math.isfinite(r["score"]) for r in rows)
+        want, *_ = brute_score(rows_of(docs))
+        assert sorted((r["doc_id"] if r["doc_id"] is not None else -99, r["score"]) for r in rows) == [(i, pytest.approx(x, abs=1e-4)) for i, x in want]
+        assert (model.left_out is not None) == ("max_bits" in options)
+
+
+def test_lm_probabilities_sum_to_one(real, rows_of):
+    _, single, behind, p = brute_score(rows_of(real))
+    unseen = 0.1 / (sum(single.values()) + 0.1 * (len(single) + 1))
+    for h in ["", *[w for w, _ in single.most_common(3)], list(single)[-1]]:
+        assert math.fsum(p(h, w) for w in single) + lm.MU * unseen / (behind[h] + lm.MU) == pytest.approx(1, abs=1e-9)
+
+
+def test_lm_repeated_texts_score_below_one(spark):
+    """No probability above 1, however often a pair occurs."""
+    _, rows = scored(spark.createDataFrame([(i, "aa bb") for i in range(5000)], "doc_id long, text string"))
+    assert max(r["score"] for r in rows) < 0 and len(rows) == 5000
 
 
 def test_lm_empty_and_model_quality(none, real, spark):
     assert scored(none)[1] == []
-    _, rows = scored(spark.createDataFrame([(0, "a b"), (30, None)], "doc_id long, text string").filter("doc_id = 0 OR doc_id = 30"))
+    _, rows = scored(spark.createDataFrame([(0, "a b"), (30, None)], "doc_id long, text string"))
     assert len(rows) == 2
+    untrained = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string").withColumn("held_out", F.lit(True))
+    assert [r["score"] for r in lm.score(untrained, *lm.train(untrained.limit(0))).collect()] == [0.0, 0.0]
     _, rows = scored(real)
     out = [r for r in rows if r["held_out"]]
-    assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
+    assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out) + len(out)
+
+
+def test_lm_hot_words_are_dealt_over_blocks(spark, monkeypatch, real, rows_of):
+    monkeypatch.setattr(lm, "SPLIT", 40)
+    model, rows = scored(real, hashes=28)
+    assert model.blocks.split.max() > 3 and len(model.blocks.hot) > 20
+    want, *_ = brute_score(rows_of(real))
+    assert sorted((r["doc_id"], r["score"]) for r in rows) == [(i, pytest.approx(x, abs=1e-4)) for i, x in want]
 
 
 def test_log_bloom():
     rng = np.random.default_rng(5)
-    keys, counts = rng.integers(0, 1 << 40, 4000, dtype=np.int64), rng.integers(1, 5000, 4000)
-    keys, at = np.unique(keys, return_index=True)
-    q = lm.quantised(counts[at])
-    size = 8 * math.ceil(int(q.sum()) * lm.HASHES / math.log(2) / lm.BLOCKS / 8 * 1.1)
-    bits = np.zeros(lm.BLOCKS * size // 8, np.uint8)
-    blocks = lm.LogBloom.block(keys.astype(np.uint64))
-    for b in np.unique(blocks):
-        part = lm.LogBloom(size, first=int(b))
-        part.add(keys[blocks == b], q[blocks == b])
-        bits[b * size // 8 : (b + 1) * size // 8] = part.bits
-    whole = lm.LogBloom(size, bits)
-    got = whole.get(keys, 60)
+    keys, counts = rng.integers(0, 1 << 63, 4000, dtype=np.uint64), rng.integers(1, 5000, 4000)
+    blocks = lm.Blocks(8, np.sort(keys[:5] >> np.uint64(32)), np.full(5, 3, np.uint64))
+    q, block = lm.quantised(counts), blocks.of(keys)
+    parts = [lm.block_bits(keys[block == b], q[block == b]) for b in range(8)]
+    sizes = np.array([len(p) * 8 for p in parts])
+    whole = lm.LogBloom(blocks, np.cumsum(sizes) - sizes, sizes, np.concatenate(parts))
+    got = whole.get(keys)
     assert (got >= q).all() and (got == q).mean() > 0.95
-    assert (whole.get(rng.integers(1 << 41, 1 << 42, 4000), 60) > 0).mean() < 0.05
-    expected = lm._expected(60)
-    assert all(abs(expected[lm.quantised(np.array([c]))[0]] - c) <= 0.3 * c for c in (1, 2, 3, 10, 1000, 10**6))
-
-
-def test_lm_probabilities_sum_to_about_one(real):
-    """Over all classes behind one context."""
-    model, _ = scored(real)
-    bloom, width = lm.LogBloom(model.block_bits, model.filter_bits), len(model.class_probability)
-    context = int(model.context_totals.argmax())
-    keys = context * width + np.arange(width)
-    p = (lm._expected(model.levels)[bloom.get(keys, model.levels)] + lm.MU * model.class_probability) / (model.context_totals[context] + lm.MU + model.false_counts)
-    assert 0.9 < p.sum() < 1.1
-
-
-def test_lm_full_filter_loses_no_pair(odd, real, rows_of):
-    """Pairs that the filter had no room for count as if it had held them."""
-    for docs in (odd, real):
-        model, rows = scored(docs, max_bits=64)
-        assert model.left_out is not None and model.false_counts == 0
-        rows_in = [(i, lm.tokens(t), i is not None and zlib.crc32(str(i).encode()) % 10 == 0) for i, t in rows_of(docs)]
-        width = len(model.class_probability)
-        cut = lambda words: lm._pairs([words], model.ids, width)
-        counts = Counter(k for _, words, out in rows_in if not out for k in cut(words).tolist())
-        want = []
-        for i, words, _ in rows_in:
-            keys = cut(words)
-            uni = model.class_probability[keys % width]
-            q = np.array([lm.quantised(np.array([counts[k]]))[0] if counts[k] else 0 for k in keys.tolist()])
-            p = (lm._expected(model.levels)[q] + lm.MU * uni) / (model.context_totals[keys // width] + lm.MU)
-            want.append((i if i is not None else -99, np.log10(p / uni).sum()))
-        got = sorted((r["doc_id"] if r["doc_id"] is not None else -99, r["score"] - r["base_score"]) for r in rows)
-        assert [g for _, g in got] == pytest.approx([w for _, w in sorted(want)], abs=1e-4)
+    assert (whole.get(rng.integers(1 << 63, (1 << 64) - 1, 4000, dtype=np.uint64)) > 0).mean() < 0.05
+    assert all(abs(lm.DOUBLED[lm.quantised(np.array([c]))[0]] / 2 - c) <= 0.25 * c for c in (1, 2, 3, 10, 1000, 10**6))
 
 
 def test_registry():
