@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from inkspar.functions.text import contains_ascii_insensitive
 from inkspar.operators.normalize import archive_relations, archive_search_view
+from inkspar.operators.shared import cut
 from inkspar.plans.base import Plans
 from inkspar.plans.sources import archive_records
 from inkspar.plans.tables import table
@@ -54,8 +55,8 @@ def search_kinds(spark, sf_dir):
 @PLANS.query("""SELECT CAST(s_suppkey AS VARCHAR) AS entry_key, kind, CASE kind WHEN 'entry' THEN s_name || chr(10) WHEN 'note' THEN 'n' || CAST(s_nationkey AS VARCHAR) ELSE 'c' || CAST(s_suppkey AS VARCHAR) END AS text
     FROM supplier, (VALUES ('entry'), ('note'), ('comment')) k(kind) WHERE s_suppkey % 5 <> 0""")
 def archive_search_documents(spark, sf_dir):
-    """The search view over the relations of historical records, which are parsed from their pages."""
-    return archive_search_view(archive_relations(archive_records(spark, sf_dir)))
+    """The search view over the relations of historical records, which are parsed from their pages, once for all relations."""
+    return archive_search_view(archive_relations(cut(archive_records(spark, sf_dir))))
 
 
 @PLANS.query("SELECT p_partkey, p_name FROM part WHERE translate(p_name, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') LIKE '%ed%'")
