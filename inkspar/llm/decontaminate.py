@@ -47,9 +47,9 @@ from inkspar.llm.common import fresh_path, release, written
 EDITS = 0.2
 MIN_WORDS = 1
 #: Share of the matches that the sampled walks have to reach, and the places that each samples.
-RECALL, SAMPLED = 0.995, 2
+RECALL, SAMPLED = 0.999, 2
 #: Pairs of edited strings by which repetitions are found, and the most repetitions.
-SIMULATED, MOST_REPETITIONS = 400, 256
+SIMULATED, MOST_REPETITIONS = 1_000, 256
 #: Items that are broadcast at once, by their characters.
 BLOCK_CHARS = 8 << 20
 #: Tokens looked up together; windows embedded together; pairs of a place and an item looked at together.
