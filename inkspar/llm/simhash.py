@@ -83,8 +83,12 @@ def _part(fp: Column, shift: int, bits: int) -> Column:
 
 
 def _meet(indexed: DataFrame, keys: list[str], sides: list[str], max_bits: int) -> DataFrame:
-    """Verified pairs (u, v) of rows that agree in all keys and, where a key lacks a bit, differ in it. Both sides are the same rows, so they are shuffled once."""
-    a, b = indexed.alias("a"), indexed.alias("b")
+    """Verified pairs (u, v) of rows that agree in all keys and, where a key lacks a bit, differ in it. Both sides are the same rows, so they are shuffled once.
+
+    They are merged whatever their size is taken for: Spark's estimate leaves out that each fingerprint becomes many rows
+    of an index, so a side could be broadcast that has a hundred times the bytes.
+    """
+    a, b = indexed.hint("merge").alias("a"), indexed.hint("merge").alias("b")
     met = F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= max_bits
     for k in keys:
         met = met & (F.col(f"a.{k}") == F.col(f"b.{k}"))
@@ -165,7 +169,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     rows = written(signed.select("doc_id", "text_key", "s.fp", "s.bits", "s.bands"), "signed")
     firsts = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"), F.min("bits").alias("bits"), F.first("bands").alias("bands")), "different-sets")
     keys = firsts.select("fp", F.explode("bands").alias("key"))
-    members = written(keys.join(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key"), "members")
+    members = written(keys.join(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").hint("merge"), "key"), "members")
     near = written(_near_sets(firsts.select("fp", "bits"), max_bits), "near-sets")
     nodes = members.select("fp").unionByName(near.select(F.col("u").alias("fp"))).unionByName(near.select(F.col("v").alias("fp"))).distinct()
     wanted = firsts.join(nodes, "fp", "left_semi").select(F.col("text_key").alias("k"))

@@ -479,6 +479,41 @@ def test_near_copies_against_brute_force(spark, odd, none):
     assert {r["doc_id"] for r in simhash.keep_one(odd).collect()} == {1, 3, 4, 7, 8, None, 10, -3}
 
 
+def exploded_broadcasts(plan):
+    """The broadcasts in a plan's text that are built from rows which an explode multiplies."""
+    found, above = [], None
+    for line in plan.splitlines():
+        depth = next((i for i, c in enumerate(line) if c.isalpha()), 0)
+        if above is not None and depth <= above:
+            above = None
+        if above is None and "BroadcastExchange" in line:
+            above = depth
+        elif above is not None and "Generate explode" in line:
+            found.append(line.strip())
+    return found
+
+
+@pytest.fixture
+def plans(monkeypatch):
+    """(name, physical plan) of each table that the near-copy operators write."""
+    made, plain = [], simhash.written
+
+    def noted(df, name):
+        made.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return plain(df, name)
+
+    for module in (simhash, jaccard):
+        monkeypatch.setattr(module, "written", noted)
+    return made
+
+
+def test_keep_one_broadcasts_no_exploded_rows(real, plans):
+    """Spark takes an explode's rows for as many bytes as its input's, so such a side is broadcast however large it is."""
+    assert simhash.keep_one(real).count()
+    assert {n for n, p in plans if "Generate explode" in p} >= {"near-sets", "members"}
+    assert {n for n, p in plans if exploded_broadcasts(p)} == set()
+
+
 def test_shingle_hashes():
     texts = ["a b c d e f", "", None, "a B c", "b c d e f", "f e d c b a " * 300, "x"]
     lists = jaccard.shingle_lists(texts)
