@@ -114,7 +114,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, heavy: int = HEAVY) -> DataF
     light = light.withColumn("value", F.when(F.col("segment") == 0, value[0]).otherwise(value[1]))
     light = light.join(crowded, ["segment", "value"], "left_anti").select("fp", "code", "key", "side")
     hot_keys = crowded.select("segment", F.explode(F.array(*[F.struct(x["code"].alias("code"), x["key"].alias("key")) for x in _variants(F.col("value"), 32, 0)])).alias("x"))
-    hot_keys = hot_keys.select((F.col("x.code") + 33 * F.col("segment")).alias("code"), F.col("x.key").alias("key")).distinct()
+    # written, so that the join knows how many they are: 33 for each crowded value
+    hot_keys = written(hot_keys.select((F.col("x.code") + 33 * F.col("segment")).alias("code"), F.col("x.key").alias("key")).distinct(), "hot-keys")
     hot = indexed.join(hot_keys, ["code", "key"], "left_semi")
     rest = F.when(F.col("code") < 33, value[1]).otherwise(value[0])
     low, high = rest.bitwiseAND(F.lit(0xFFFF)), F.shiftright(rest, 16)

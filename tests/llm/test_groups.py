@@ -502,8 +502,8 @@ def plans(monkeypatch):
         made.append((name, df._jdf.queryExecution().executedPlan().toString()))
         return plain(df, name)
 
-    for module in (simhash, jaccard):
-        monkeypatch.setattr(module, "written", noted)
+    for module in ("simhash", "jaccard", "components"):
+        monkeypatch.setattr(f"inkspar.llm.{module}.written", noted)
     return made
 
 
@@ -514,6 +514,17 @@ def test_keep_one_broadcasts_no_exploded_rows(real, plans):
     assert {n for n, p in plans if exploded_broadcasts(p)} == set()
 
 
+def test_simhash_broadcasts_no_exploded_rows(real, plans):
+    """Neither the index nor, where segment values are crowded (here all), their keys and the finer index."""
+    docs = real.limit(60).union(real.limit(3))
+    found = []
+    for heavy in (1024, 0):
+        found.append(sorted(map(tuple, simhash.classes(docs, heavy=heavy)[1].collect())))
+        assert "Generate explode" in [p for n, p in plans if n == "edges"][-1]
+    assert found[0] == found[1] and len(found[0]) > 1
+    assert [n for n, p in plans if exploded_broadcasts(p)] == []
+
+
 def test_shingle_hashes():
     texts = ["a b c d e f", "", None, "a B c", "b c d e f", "f e d c b a " * 300, "x"]
     lists = jaccard.shingle_lists(texts)
