@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspar.llm import infill
+from inkspar.llm import infill, whitening
+
+
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation beyond a long (from some 3 million rows on) is null there and whole in deviation_exact."""
+    found, fit = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+    shares = F.lit([float(v) for v in fit.explained]) if fit is not None and len(fit.explained) else F.array().cast("array<double>")
+    n, error = (fit.n, fit.identity_error) if fit is not None else (0, 0.0)
+    each = found.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    return each.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(n).cast("long").alias("n"), F.col("deviation").try_cast("long").alias("deviation"), "whitened",
+        F.get(shares, F.col("at")).alias("explained"), F.lit(error).alias("identity_error"), F.col("deviation").alias("deviation_exact"),
+    )
 
 
 def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,5 +44,5 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BI
 FROM slices
 """
 
-QUERIES = {"op13_infill": op13_infill}
+QUERIES = {"op11_whitening": op11_whitening, "op13_infill": op13_infill}
 ORACLES = {"op13_infill": _OP13}
