@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkspar.llm import infill, whitening
+from inkspar.llm import infill, rules, whitening
 
 
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,18 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The least score that counts as good.
+GOOD = 0.7
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", held_out.alias("held_out"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    scored, _ = rules.quality(docs, labels, ~F.col("held_out"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
 def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = infill.infill(docs)
@@ -44,5 +56,5 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BI
 FROM slices
 """
 
-QUERIES = {"op11_whitening": op11_whitening, "op13_infill": op13_infill}
+QUERIES = {"op11_whitening": op11_whitening, "op12_quality": op12_quality, "op13_infill": op13_infill}
 ORACLES = {"op13_infill": _OP13}
