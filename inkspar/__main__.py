@@ -1,4 +1,4 @@
-"""Commands over captured archives: backup, restore, migrate, extract, audit, audit-captures, build, update-pages.
+"""Commands over captured archives: backup, restore, migrate, extract, audit, audit-captures, archive-audit, build, update-pages.
 
 Exit codes: 0 done, 1 incomplete or held, 2 invalid input.
 """
@@ -29,10 +29,14 @@ def _parser() -> argparse.ArgumentParser:
             p.add_argument("--sqlite")
         if name != "audit":
             p.add_argument("--pages", required=name == "update-pages")
-    for name, folders in (("extract", ("index", "bodies", "out", "states")), ("audit-captures", ("index", "bodies", "records"))):
+    for name, folders in (("extract", ("index", "bodies", "out", "states")), ("audit-captures", ("index", "bodies", "records")), ("archive-audit", ("index", "bodies", "records", "states"))):
         p = commands.add_parser(name)
         for folder in folders:
             p.add_argument(folder)
+        if name == "archive-audit":
+            p.add_argument("--holds")
+            p.add_argument("--cache")
+            p.add_argument("--write-states", action="store_true")
     return parser
 
 
@@ -66,6 +70,10 @@ def run(arguments: list[str]) -> int:
             counts = {r["outcome"]: r["count"] for r in archive.audit_captures(spark, args.index, args.bodies, args.records).groupBy("outcome").count().collect()}
             print(json.dumps(counts))
             return 0 if set(counts) <= {"equal"} else 1
+        if args.command == "archive-audit":
+            report = archive.archive_audit(spark, args.index, args.bodies, args.records, args.states, args.holds, args.cache, args.write_states)
+            print(json.dumps(report))
+            return 0 if report["export_ready"] else 1
         folders = {"current_folder": args.current, "archive_folder": args.archive, "feed_folder": args.feeds}
         if not any(folders.values()):
             raise ValueError("no folder of records is named")

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspar import schemas
 from inkspar.functions.text import observation_key, record_digest
 from inkspar.operators import gates as rules
-from inkspar.operators import audits, normalize
-from inkspar.sources import captured, records, sinks
+from inkspar.operators import audits, normalize, shared, verification
+from inkspar.sources import captured, published, records, sinks
 
 #: What stands beside records: a line of JSON for each state, hold and cached response.
 STATE, HOLD, RESPONSE = "key string, status string, record_sha256 string", "key string, hold string", "url_sha256 string, retrieved_at string, response_sha256 string"
@@ -44,8 +44,14 @@ def gates(entries: DataFrame, kind: str, key: str) -> list[tuple[str, DataFrame]
 
 
 def _judged(entries: DataFrame) -> DataFrame:
-    """The columns that gates.outcomes reads. A record's key is its id, an observation's or feed's its own."""
+    """The columns that gates.outcomes reads. A record's key is its id, a feed's its path, and that of a historical page the name of its file.
+
+    Observations that are nested in a page's record have no state of their own: the page's holds or frees them all.
+    """
+    pages = "place" in entries.columns
     own = next(c for c in ("key", "id", "feed_path") if c in entries.columns)
+    if pages:
+        entries = entries.filter("place = 0").withColumn("key", page_key(F.col("path")))
     at = lambda name: F.get_json_object("record_json", f"$.{name}")
     none = F.array().cast("array<string>")
     return entries.select(
@@ -54,8 +60,21 @@ def _judged(entries: DataFrame) -> DataFrame:
     )
 
 
+def page_key(path) -> Column:
+    """The key of a historical page's record and state: its file's name."""
+    return F.regexp_extract(path, r"([^/]+)\.yaml$", 1)
+
+
 def _lines(spark: SparkSession, folder: str | None, schema: str) -> DataFrame:
-    return spark.read.schema(schema).json(folder) if folder else spark.createDataFrame([], schema)
+    """The rows of a folder of JSON lines, or of the version that holds of a published table."""
+    if not folder:
+        return spark.createDataFrame([], schema)
+    names = [c.split()[0] for c in schema.split(", ")]
+    return published.read(spark, folder, verification_schema()).select(*names) if published.number(spark, folder) else spark.read.schema(schema).json(folder)
+
+
+def verification_schema() -> str:
+    return ", ".join(["key string", *[f"{c} string" for c in verification.STATE]])
 
 
 def export_outcomes(spark: SparkSession, entries: DataFrame, states: str, holds: str | None = None, cache: str | None = None) -> DataFrame:
@@ -87,10 +106,14 @@ def relations(spark: SparkSession, current_folder: str | None = None, archive_fo
         found |= own
     if archive_folder:
         entries = observations(spark, archive_folder)
+        if states:
+            checks.append(("observations held by states, holds or newer responses", export_outcomes(spark, entries, states, holds, cache).filter("reason IS NOT NULL")))
         checks += gates(entries, "observations", "key")
         found |= normalize.archive_relations(entries.drop("path", "place"))
     if feed_folder:
         entries = feeds(spark, feed_folder)
+        if states:
+            checks.append(("feeds held by states, holds or newer responses", export_outcomes(spark, entries, states, holds, cache).filter("reason IS NOT NULL")))
         checks += gates(entries, "feeds", "feed_path")
         found |= normalize.feed_relations(entries)
     return found, checks
@@ -134,5 +157,36 @@ def extract(spark: SparkSession, index: str, bodies: str, out: str, states: str)
 def audit_captures(spark: SparkSession, index: str, bodies: str, records_folder: str) -> DataFrame:
     """(key, outcome) of stored observations against those extracted again from the captured bytes."""
     found = captured.extracted(captured.index(spark, index), captured.bodies(spark, bodies)).filter("status = 'parsed'")
-    stored = records.read(spark, records_folder).select(F.regexp_extract("path", r"([^/]+)\.yaml$", 1).alias("key"), record_digest(F.col("record_json")).alias("record_sha256"))
+    stored = records.read(spark, records_folder).select(page_key(F.col("path")).alias("key"), record_digest(F.col("record_json")).alias("record_sha256"))
     return audits.reextracted(stored, found.select("key", "record_sha256"), "key", ["record_sha256"])
+
+
+#: What an audit of pages reads of their records.
+_PAGE = "label string, response_sha256 string, archive_url string, archive_timestamp string, source_url string, latest_indexed_timestamp string, observation_kind string, warnings array<string>"
+
+
+def archive_audit(spark: SparkSession, index: str, bodies: str, records_folder: str, states: str, holds: str | None = None, cache: str | None = None, write: bool = False) -> dict:
+    """Holds all pages' records of a folder against their captured bytes, index, states, holds and newest responses.
+
+    With ``write``, and only if nothing speaks against any of them, those that lack a state of this very record get one; ``states`` is a
+    published table, so a reader sees all new states or none. Without ``cache`` newest responses aren't looked at. Records of the kind of
+    earlier revisions needn't be of the newest capture.
+    """
+    seen = published.number(spark, states)
+    captures = captured.index(spark, index)
+    again = captured.extracted(captures, captured.bodies(spark, bodies)).select("key", "record_sha256", F.when(F.col("status") != rules.PARSED, F.coalesce("reason", "status")).alias("error"), F.from_json(F.get_json_object("record_json", "$.warnings"), "array<string>").alias("warnings"))
+    stored = records.read(spark, records_folder).select(page_key(F.col("path")).alias("key"), "record_json", F.from_json("record_json", _PAGE).alias("r"))
+    judged = shared.cut(stored.select("key", record_digest(F.col("record_json")).alias("record_sha256"), "r.*", F.lit("archive").alias("batch")).withColumn("earlier", F.coalesce(F.col("observation_kind") == "earlier-indexed-revision", F.lit(False))))
+    old = published.read(spark, states, verification_schema(), seen)
+    responses = _lines(spark, cache, f"{RESPONSE}, final_url string") if cache else None
+    found = shared.cut(verification.findings(judged, again, old, _lines(spark, holds, HOLD), captures, responses, "key"))
+    verdict = verification.verdicts(judged, found, "key", "batch")
+    report = verdict.first()
+    result = {"records": 0, "verified": False} if report is None else {k: v for k, v in report.asDict().items() if k != "batch"}
+    result["states_written"] = 0
+    if write and result["verified"] and result["unverified"]:
+        new = verification.proposed(judged, found, captures, "key")
+        published.publish(verification.settled(old, new, judged, verdict, "key", "batch"), states, seen)
+        result["states_written"], result["unverified"] = result["unverified"], 0
+    result["export_ready"] = bool(result["verified"] and not result.get("unverified"))
+    return result

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkspar.functions.urls import replay_parts
+from inkspar.functions.urls import quoted, replay_parts
 from inkspar.operators.normalize import violations
 
 
@@ -35,5 +35,6 @@ def inventory_outcome(ids: Column, stated: Column) -> Column:
 
 
 def replay_agrees(replay: Column, timestamp: Column, original: Column) -> Column:
+    """Whether a replay address holds the stamp and the original, as it is or quoted."""
     found = replay_parts(replay)
-    return F.coalesce((found["timestamp"] == timestamp) & (found["original"] == original), F.lit(False))
+    return F.coalesce((found["timestamp"] == timestamp) & ((found["original"] == original) | (found["original"] == quoted(original))), F.lit(False))

@@ -22,17 +22,24 @@ def state_reason(status: Column, stated_sha256: Column, record_sha256: Column) -
     return F.when(status.isNull(), "no state").when(status != PARSED, F.concat(F.lit("state "), status)).when(~stated_sha256.eqNullSafe(record_sha256), "another record than the state's")
 
 
+def one_state(states: DataFrame, key: str) -> DataFrame:
+    """One state for each key: of several the worst, any other status before parsed, then the first in order of columns."""
+    others = [c for c in states.columns if c != key]
+    worst = F.min(F.struct((F.col("status") == PARSED).alias("parsed"), *others)).alias("s")
+    return states.groupBy(key).agg(worst).select(key, *[f"s.{c}" for c in others])
+
+
 def outcomes(records: DataFrame, states: DataFrame, holds: DataFrame, cache: DataFrame, key: str) -> DataFrame:
     """(key, reason): the first reason against each record's export, or null.
 
     records has key, record_sha256, url_sha256, response_sha256, retrieved_at, warnings, license_url,
     source_sections_complete and omissions; states (key, status, record_sha256); holds (key, hold); cache (url_sha256,
     retrieved_at, response_sha256). A response newer than the record's and with other bytes holds it, as does any hold.
-    A key with several states counts once for each of them.
+    Of several states of a key the worst counts.
     """
     newest = newest_responses(cache, "url_sha256", "retrieved_at", ["response_sha256"]).select("url_sha256", F.col("retrieved_at").alias("newest_at"), F.col("response_sha256").alias("newest_sha256"))
     held = holds.groupBy(key).agg(F.min("hold").alias("hold"))
-    joined = records.join(states.select(key, "status", F.col("record_sha256").alias("stated_sha256")), key, "left").join(held, key, "left").join(newest, "url_sha256", "left")
+    joined = records.join(one_state(states.select(key, "status", F.col("record_sha256").alias("stated_sha256")), key), key, "left").join(held, key, "left").join(newest, "url_sha256", "left")
     newer = (F.col("newest_at") > F.col("retrieved_at")) & ~F.col("newest_sha256").eqNullSafe(F.col("response_sha256"))
     reason = F.coalesce(state_reason(F.col("status"), F.col("stated_sha256"), F.col("record_sha256")), F.concat(F.lit("hold: "), "hold"), F.when(newer, "a newer response"), own_reason())
     return joined.select(key, reason.alias("reason"))

@@ -34,6 +34,7 @@ def _one(capture: dict, body: bytes | None) -> tuple[str, str, str | None, str |
         return key, "pending", "no body", None, None
     try:
         record = legacy_pages.page(body, capture, retrieved_at=capture["retrieved_at"])
+        record["latest_indexed_timestamp"] = capture["latest_indexed_timestamp"]
     except legacy_pages.Held as held:
         return key, "review_required", str(held), None, None
     except legacy_pages.Outside as outside:
@@ -45,14 +46,18 @@ def _one(capture: dict, body: bytes | None) -> tuple[str, str, str | None, str |
 
 
 def extracted(captures: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, status, reason, record_json, record_sha256) of every capture: parsed, excluded, review_required, failed, or pending without a body."""
+    """(key, status, reason, record_json, record_sha256) of every capture: parsed, excluded, review_required, failed, or pending without a body.
+
+    A record says which capture of its label was the newest of the index.
+    """
+    newest = captures.groupBy("label").agg(F.max("timestamp").alias("latest_indexed_timestamp"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             made = [_one(r, None if r["body"] is None else bytes(r["body"])) for r in rows.astype(object).where(rows.notna(), None).to_dict("records")]
             yield pd.DataFrame(made, columns=["key", "status", "reason", "record_json", "record_sha256"])
 
-    return captures.join(found, "body_sha256", "left").mapInPandas(run, _EXTRACTED)
+    return captures.join(newest, "label", "left").join(found, "body_sha256", "left").mapInPandas(run, _EXTRACTED)
 
 
 def write(found: DataFrame, out: str, states: str) -> dict[str, int]:

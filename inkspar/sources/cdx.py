@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspar.functions.urls import Scope, label_column, quoted
+from inkspar.operators.normalize import assert_none
+from inkspar.sources import gzindex
 
 # Fixed values of the index formats.
 HEADER = "CDX N b a m s k r M S V g"
@@ -58,19 +60,42 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return raw.filter(F.col("value") != HEADER).select("place", F.split("value", r"\s+").alias("fields"))
 
 
-def line_captures(found: DataFrame, scope: Scope, first: str, last: str, container: str, max_member: int = MAX_MEMBER) -> DataFrame:
-    """The captures of index lines in scope: successful HTML pages, the first line of each address.
+def line_rows(found: DataFrame, scope: Scope, first: str, last: str, container: str, max_member: int = MAX_MEMBER) -> DataFrame:
+    """The index lines of successful HTML pages in scope, their fields beside their place, label and address, and whether they are ``sound``, within the bounds on stamp, digest, container and length.
 
-    A line that is in scope but breaks a bound (stamp, digest, container, length) raises an error.
+    Lines of another number of fields are there too, without a label and not sound. Nothing raises an error here: Spark may test a
+    filter below a join, on pieces of lines that the join takes away.
     """
     names = ("key", "timestamp", "original", "mimetype", "status", "digest", "redirect", "meta", "length", "offset", "container")
-    width = F.when(F.size("fields") != len(names), F.raise_error(F.lit("a malformed index line"))).otherwise(F.col("fields"))
-    rows = found.select("place", width.alias("f")).select("place", *[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(names)])
-    rows = rows.filter("status = '200' AND mimetype = 'text/html'").withColumn("label", label_column(F.col("original"), scope)).filter("label IS NOT NULL")
+    width = F.size("fields") == len(names)
+    rows = found.select("place", width.alias("width"), *[F.get("fields", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    rows = rows.withColumn("label", F.when(F.col("width"), label_column(F.col("original"), scope))).filter("NOT width OR (status = '200' AND mimetype = 'text/html' AND label IS NOT NULL)")
     good = F.col("timestamp").rlike(r"^\d{14}$") & F.col("timestamp").between(first, last) & F.col("digest").rlike("^[A-Z2-7]{32}$") & (F.col("container") == container) & F.col("length").rlike(r"^\d{1,12}$") & F.col("offset").rlike(r"^\d{1,18}$")
     good = good & F.coalesce(F.try_to_number("length", F.lit("999999999999")).between(1, max_member), F.lit(False))
-    rows = rows.withColumn("label", F.when(good, F.col("label")).otherwise(F.raise_error(F.lit("an index line in scope breaks a bound"))))
-    rows = rows.withColumn("archive_url", _address(F.col("timestamp"), F.col("original"), scope))
-    order = Window.partitionBy("archive_url").orderBy("place")
-    firsts = rows.withColumn("n", F.row_number().over(order)).filter("n = 1")
-    return firsts.select("label", "timestamp", "original", "mimetype", "digest", "archive_url", F.col("offset").cast("bigint").alias("warc_offset"), F.col("length").cast("bigint").alias("warc_length"))
+    return rows.withColumn("sound", F.coalesce(F.col("width") & good, F.lit(False))).withColumn("archive_url", _address(F.col("timestamp"), F.col("original"), scope))
+
+
+def first_lines(rows: DataFrame) -> DataFrame:
+    """The captures of line_rows: of each address the line whose place is first. An aggregation with partial results where the lines are, so no order of all lines is needed."""
+    kept = F.min(F.struct("place", "label", "timestamp", "original", "mimetype", "digest", "offset", "length")).alias("c")
+    one = rows.groupBy("archive_url").agg(kept)
+    return one.select(*[f"c.{n}" for n in ("label", "timestamp", "original", "mimetype", "digest")], "archive_url", F.col("c.offset").cast("bigint").alias("warc_offset"), F.col("c.length").cast("bigint").alias("warc_length"))
+
+
+def line_captures(found: DataFrame, scope: Scope, first: str, last: str, container: str, max_member: int = MAX_MEMBER) -> DataFrame:
+    """The captures of index lines in scope: successful HTML pages, the first line of each address.
+
+    A line that is in scope but breaks a bound (stamp, digest, container, length) raises an error.
+    """
+    rows = line_rows(found, scope, first, last, container, max_member)
+    return first_lines(rows.withColumn("label", F.when(F.col("sound"), F.col("label")).otherwise(F.raise_error(F.when(F.col("width"), "an index line in scope breaks a bound").otherwise("a malformed index line")))))
+
+
+def member_lines(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
+    """(place, fields) of gzip index files of many members, read by many tasks; place is (file, member, line). Each file must open with the header."""
+    pieces = gzindex.pieces(spark, path, split_bytes or gzindex.SPLIT_BYTES)
+    found = gzindex.lines(pieces).select(F.struct("file", "member", F.col("place").alias("line")).alias("place"), F.trim("line").alias("value"))
+    opens = (F.col("place.member") == 0) & (F.col("place.line") == 0)
+    assert_none([("index files without the header", found.filter(opens & (F.col("value") != HEADER)))])
+    # Null for the header too: a check of fields that is pushed below this filter must not meet it.
+    return found.filter(~opens).select("place", F.when(~opens, F.split("value", r"\s+")).alias("fields"))
