@@ -1,4 +1,4 @@
-"""Commands over captured archives: backup, restore, migrate, extract, audit, audit-captures, archive-audit, build, update-pages.
+"""Commands over captured archives: backup, restore, migrate, extract, audit, audit-captures, archive-audit, archive-feeds, build, update-pages.
 
 Exit codes: 0 done, 1 incomplete or held, 2 invalid input.
 """
@@ -29,7 +29,7 @@ def _parser() -> argparse.ArgumentParser:
             p.add_argument("--sqlite")
         if name != "audit":
             p.add_argument("--pages", required=name == "update-pages")
-    for name, folders in (("extract", ("index", "bodies", "out", "states")), ("audit-captures", ("index", "bodies", "records")), ("archive-audit", ("index", "bodies", "records", "states"))):
+    for name, folders in (("extract", ("index", "bodies", "out", "states")), ("audit-captures", ("index", "bodies", "records")), ("archive-audit", ("index", "bodies", "records", "states")), ("archive-feeds", ("index", "bodies", "out", "states"))):
         p = commands.add_parser(name)
         for folder in folders:
             p.add_argument(folder)
@@ -37,6 +37,13 @@ def _parser() -> argparse.ArgumentParser:
             p.add_argument("--holds")
             p.add_argument("--cache")
             p.add_argument("--write-states", action="store_true")
+        if name == "archive-feeds":
+            for option in ("--current", "--archive"):
+                p.add_argument(option)
+            for option in ("--host", "--page-path", "--label-field"):
+                p.add_argument(option, required=True)
+            p.add_argument("--feed-path", action="append", required=True)
+            p.add_argument("--archive-host", default="archive.example.org")
     return parser
 
 
@@ -58,6 +65,7 @@ def run(arguments: list[str]) -> int:
         from pyspark.sql import SparkSession
 
         from inkspar import archive
+        from inkspar.functions.urls import Scope
         from inkspar.shipping import ship
 
         spark = SparkSession.builder.appName("inkspar").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -74,6 +82,11 @@ def run(arguments: list[str]) -> int:
             report = archive.archive_audit(spark, args.index, args.bodies, args.records, args.states, args.holds, args.cache, args.write_states)
             print(json.dumps(report))
             return 0 if report["export_ready"] else 1
+        if args.command == "archive-feeds":
+            scope = Scope(hosts=(args.host,), page_path=args.page_path, label_field=args.label_field, feed_paths=tuple(args.feed_path), archive_host=args.archive_host)
+            counts = archive.extract_feeds(spark, args.index, args.bodies, args.out, args.states, scope, args.current, args.archive)
+            print(json.dumps(counts))
+            return 0 if set(counts) <= {"parsed"} else 1
         folders = {"current_folder": args.current, "archive_folder": args.archive, "feed_folder": args.feeds}
         if not any(folders.values()):
             raise ValueError("no folder of records is named")

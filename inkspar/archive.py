@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspar import schemas
 from inkspar.functions.text import observation_key, record_digest
+from inkspar.functions.urls import Scope
 from inkspar.operators import gates as rules
-from inkspar.operators import audits, normalize, shared, verification
+from inkspar.operators import audits, coverage, destinations, normalize, reports, shared, verification
 from inkspar.sources import captured, published, records, sinks
 
 #: What stands beside records: a line of JSON for each state, hold and cached response.
@@ -121,6 +124,7 @@ def relations(spark: SparkSession, current_folder: str | None = None, archive_fo
 
 def build(spark: SparkSession, out: str, sqlite: str | None = None, pages: str | None = None, **folders: str | None) -> dict[str, int]:
     """Writes the relations as Parquet, and if asked as SQLite and Markdown; nothing is written unless all checks hold."""
+    preflight(spark, [p for p in (out, sqlite, pages) if p])
     found, checks = relations(spark, **folders)
     normalize.assert_none(checks)
     sinks.write_relations(found, out)
@@ -132,6 +136,12 @@ def build(spark: SparkSession, out: str, sqlite: str | None = None, pages: str |
     return counts
 
 
+def preflight(spark: SparkSession, paths: list[str]) -> None:
+    """Refuses destinations that are equal or of which one lies inside another, before anything is made there."""
+    rows = spark.createDataFrame([(i, os.path.abspath(p) if "://" not in p else p.replace("://", "/")) for i, p in enumerate(paths)], "n int, path string")
+    normalize.assert_none([("overlapping destinations", destinations.overlaps(rows, "n", "path"))])
+
+
 def update_pages(spark: SparkSession, pages: str, current_folder: str | None = None, archive_folder: str | None = None, feed_folder: str | None = None, **_: str | None) -> dict[str, list[str]]:
     """Brings a folder of Markdown pages up to date. The driver gets each page's path and hash; executors render and write, so the folder must be one that all see."""
     sources = [read(spark, folder).select(sinks.rendered(F.col("record_json")).alias("p")).select("p.path", "p.body") for folder, read in ((current_folder, current), (archive_folder, observations), (feed_folder, feeds)) if folder]
@@ -190,3 +200,60 @@ def archive_audit(spark: SparkSession, index: str, bodies: str, records_folder:
         result["states_written"], result["unverified"] = result["unverified"], 0
     result["export_ready"] = bool(result["verified"] and not result.get("unverified"))
     return result
+
+
+def verified_labels(spark: SparkSession, current_folder: str | None = None, archive_folder: str | None = None) -> DataFrame:
+    """(label, entry_id) of current records and of pages; a current one's id counts where both have one of a label."""
+    none = spark.createDataFrame([], "label string, entry_id long, place int")
+    if current_folder:
+        none = none.unionByName(current(spark, current_folder).select(F.col("romanized_label").alias("label"), F.col("id").alias("entry_id"), F.lit(0).alias("place")))
+    if archive_folder:
+        none = none.unionByName(observations(spark, archive_folder).filter("size(warnings) = 0").select("label", F.col("id").alias("entry_id"), F.lit(1).alias("place")))
+    return none.filter("label IS NOT NULL AND entry_id IS NOT NULL").groupBy("label").agg(F.min_by("entry_id", F.struct("place", "entry_id")).alias("entry_id"))
+
+
+def extract_feeds(spark: SparkSession, index: str, bodies: str, out: str, states: str, scope: Scope, current_folder: str | None = None, archive_folder: str | None = None) -> dict[str, int]:
+    """Records of the newest capture of each feed, and their states in a published table; the counts of states.
+
+    All feeds of the index are published as pending before the work: a job that dies, or a capture that can't be read, leaves them held, older records included.
+    """
+    captures = captured.index(spark, index)
+    paths = captured.newest_feeds(captures).select(F.col("feed_path").alias("key"), F.col("archive_url"), F.col("timestamp").alias("latest_indexed_timestamp"))
+    seen = published.number(spark, states)
+    others = lambda: published.read(spark, states, verification_schema()).join(paths.select("key"), "key", "left_anti")
+    names = ["key", *verification.STATE]
+    row = lambda df, **known: df.select(*[known.get(c, F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(c) for c in names])
+    seen = published.publish(others().select(*names).unionByName(row(paths, status=F.lit("pending"))), states, seen)
+    found = captured.extracted_feeds(captures, captured.bodies(spark, bodies), verified_labels(spark, current_folder, archive_folder), scope)
+    done = shared.cut(captured.write_feeds(found, out))
+    settled = done.select(F.col("feed_path").alias("key"), "status", "record_sha256", "response_sha256", "archive_url", F.col("archive_timestamp").alias("latest_indexed_timestamp"))
+    published.publish(others().select(*names).unionByName(row(settled, verification=F.lit("crawl"))), states, seen)
+    return {r["status"]: r["count"] for r in done.groupBy("status").count().collect()}
+
+
+#: Captions that pages show beside what records hold.
+CAPTIONS = ("Meaning", "Formation", "See also", "Phrases", "Discussion and comments", "Show comments >", ",")
+
+
+def audit_current(spark: SparkSession, current_folder: str, pages: DataFrame, index: DataFrame) -> tuple[DataFrame, dict]:
+    """The findings (id, finding, detail) of current records against their pages (id, html) and the index (id), and a report of one row of numbers.
+
+    Findings: runs of text that a page shows and its record lacks or holds more often, related ids that the index lacks, records out of the index, indexed ids
+    without a record or a page. A record's texts are those of its fragments and fields, a card's footer aside.
+    """
+    entries = current(spark, current_folder)
+    def each(column: str | Column, field: str) -> Column:
+        return F.transform(column, lambda x: x[field])
+
+    html = F.concat(each("sections", "body_html"), each("examples", "japanese_html"), each("comments", "html"), F.flatten(F.transform("examples", lambda x: each(x["translations"], "html"))))
+    plain = F.array("title", "romanized_label", F.concat(F.lit("JLPT N"), F.col("jlpt_level").cast("string")), "credits_raw")
+    more = F.concat(each("sections", "credits_raw"), each("examples", "credits_raw"), each("examples", "reading"), each("comments", "credits_raw"), each("related_entries", "label"), "alternate_forms")
+    held = entries.select("id", coverage.runs(F.concat_ws("<hr>", F.array_compact(html))).alias("a"), F.array_compact(F.concat(plain, more)).alias("b")).select("id", F.concat("a", "b").alias("runs"))
+    shown = pages.select("id", coverage.runs(F.col("html")).alias("runs"))
+    text = coverage.unmapped(shown, held, "id", CAPTIONS).select("id", F.when(F.col("extra") > 0, "text without a place").otherwise("text not on the page").alias("finding"), F.col("run").alias("detail"))
+    lone = coverage.outside_index(entries.select(F.explode("related_entries.target_id").alias("target_id")), index, "id").select("id", F.lit("related id outside the index").alias("finding"), F.lit(None).cast("string").alias("detail"))
+    sides = index.select("id", F.lit(True).alias("indexed")).distinct().join(entries.select("id", F.lit(True).alias("captured")).distinct(), "id", "full").fillna(False)
+    gone = sides.filter("indexed <> captured").select("id", F.when(F.col("indexed"), "no record").otherwise("not indexed").alias("finding"), F.lit(None).cast("string").alias("detail"))
+    found = shared.cut(text.unionByName(lone).unionByName(gone))
+    numbers = sides.agg(*[m.alias(n) for n, m in reports.coverage_metrics(F.col("indexed"), F.col("captured")).items()]).first().asDict()
+    return found, numbers | {"coverage_verified": bool(numbers["covered"]) and found.isEmpty()}

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from inkspar.plans import audits, captures, exports, pages, relational, search, sources, texts, verified
+from inkspar.plans import audits, captures, exports, pages, relational, reviewed, search, sources, texts, verified
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
-for _module in (search, texts, captures, relational, audits, pages, sources, exports, verified):
+for _module in (search, texts, captures, relational, audits, pages, sources, exports, verified, reviewed):
     QUERIES |= _module.PLANS.queries
     ORACLES |= _module.PLANS.oracles

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspar.functions.text import canonical
-from inkspar.sources import legacy_pages, records
+from inkspar.functions.urls import Scope
+from inkspar.sources import feed, legacy_pages, records
 
 #: A capture of the index, as a line of JSON; body_sha256 names its bytes.
 INDEX = "label string, original string, timestamp string, archive_url string, digest string, retrieved_at string, body_sha256 string"
@@ -74,3 +75,62 @@ def write(found: DataFrame, out: str, states: str) -> dict[str, int]:
     written.write.mode("overwrite").json(states)
     counted = found.sparkSession.read.schema("key string, status string").json(states).groupBy("status").count()
     return {r["status"]: r["count"] for r in counted.collect()}
+
+
+FEEDS = "feed_path string, status string, reason string, record_json string, record_sha256 string, response_sha256 string, archive_url string, archive_timestamp string"
+_FIELDS = ["original", "timestamp", "archive_url", "retrieved_at", "body_sha256"]
+
+
+def newest_feeds(captures: DataFrame) -> DataFrame:
+    """The newest capture of each feed, a feed being the path of its address."""
+    path = F.regexp_extract("original", r"^https?://[^/?#]+(/[^?#]*)", 1)
+    newest = captures.groupBy(path.alias("feed_path")).agg(F.max(F.struct("timestamp", "original", "archive_url", "retrieved_at", "body_sha256")).alias("c"))
+    return newest.select("feed_path", *[f"c.{f}" for f in _FIELDS])
+
+
+def extracted_feeds(captures: DataFrame, found: DataFrame, labels: DataFrame, scope: Scope) -> DataFrame:
+    """FEEDS: the newest capture of each feed as a record, or why there is none. labels (label, entry_id) are the verified ones.
+
+    Only the labels that a feed's items name are looked up, by a join, so however many are verified no task holds them all.
+    """
+    held = newest_feeds(captures).join(found, "body_sha256", "left")
+
+    def asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            pairs = [(path, label) for path, body in zip(rows["feed_path"], rows["body"], strict=True) if body is not None for label in feed.labels(bytes(body), scope)]
+            yield pd.DataFrame(pairs, columns=["feed_path", "label"])
+
+    named = held.select("feed_path", "body").mapInPandas(asked, "feed_path string, label string").distinct()
+    known = named.join(labels.groupBy("label").agg(F.min("entry_id").alias("entry_id")), "label").groupBy("feed_path").agg(F.map_from_entries(F.collect_list(F.struct("label", "entry_id"))).alias("labels"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            made = [_one_feed(r, scope) for r in rows.astype(object).where(rows.notna(), None).to_dict("records")]
+            yield pd.DataFrame(made, columns=[f.split()[0] for f in FEEDS.split(", ")])
+
+    return held.join(known, "feed_path", "left").mapInPandas(run, FEEDS)
+
+
+def _one_feed(capture: dict, scope: Scope) -> tuple:
+    body, at = capture["body"], (capture["archive_url"], capture["timestamp"])
+    if body is None:
+        return capture["feed_path"], "failed", "no body", None, None, None, *at
+    try:
+        record = feed.feed(bytes(body), capture, capture["retrieved_at"], dict(capture["labels"] or {}), scope)
+    except ValueError as error:
+        return capture["feed_path"], "failed", str(error), None, None, None, *at
+    status = "review_required" if record["review_required"] or record["warnings"] else "parsed"
+    return capture["feed_path"], status, None, json.dumps(record, ensure_ascii=False), hashlib.sha256(canonical(record).encode()).hexdigest(), record["response_sha256"], *at
+
+
+def write_feeds(found: DataFrame, out: str) -> DataFrame:
+    """found without the records, which executors write to a folder that all see, when the result is read: each feed's under its path's name."""
+
+    def records_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for path, text in zip(rows["feed_path"], rows["record_json"], strict=True):
+                if text is not None:
+                    records.write(f"{out}/{path.strip('/').replace('/', '-').removesuffix('.xml')}.yaml", json.loads(text))
+            yield rows.drop(columns="record_json")
+
+    return found.mapInPandas(records_of, FEEDS.replace("record_json string, ", ""))

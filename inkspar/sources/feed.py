@@ -17,6 +17,17 @@ from inkspar.sources.pages import LICENCE
 RIGHTS = ("copyright", "rights", "license")
 FORM_LINK = re.compile(r"/pages/(?:add\w*|parser|setStudy|seeAlsoForm)\.php", re.I)
 CREATOR = "{http://purl.org/dc/elements/1.1/}creator"
+
+
+def labels(body: bytes, scope: Scope) -> list[str]:
+    """The labels that a feed's items link to; none of what isn't a feed."""
+    try:
+        root = ET.fromstring(body)
+    except ET.ParseError:
+        return []
+    return [x for x in (scope.label(item.findtext("link")) for item in root.iterfind("./channel/item")) if x]
+
+
 def feed(body: bytes, capture: dict, retrieved_at: str, labels: dict[str, int], scope: Scope, final_url: str | None = None) -> dict:
     """The record of a feed's capture: items of verified labels (label -> entry id) under the licence; the others are listed for review."""
     asked, got = scope.replay(capture["archive_url"]), scope.replay(final_url or capture["archive_url"])
