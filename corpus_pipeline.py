@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspar.llm import bpe, decontaminate, langid, simhash
-from inkspar.llm.common import free_name, written
+from inkspar.llm.common import written
 from inkspar.shipping import ship
 
 #: A document whose best language has less than this share of belief is rejected.
@@ -28,9 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs)
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    name = free_name(docs, "language")
-    found = docs.withColumn(name, langid.predict_column(F.col("text"), model, spark))
-    return found.filter((F.col(name)["lang_pred"] != langid.UNKNOWN) & (F.col(name)["score"] >= MIN_SCORE)).drop(name)
+    return langid.keep(docs, model, MIN_SCORE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

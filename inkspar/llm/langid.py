@@ -3,9 +3,7 @@
 A word is a run of letters (Unicode's categories L), lower-cased. Training counts every word of every labelled text, by
 language, with partial counts from each batch of texts and a sum by (word, language). Character n-grams of all lengths
 are then counted over the different words, weighted by their counts. Runs of over ``WORD_CHARS`` letters, as scripts
-without spaces have them, are counted by their n-grams, whole, in the workers. A model's size is a parameter: it keeps the most frequent
-words, at most ``max_words``, and of each length the most frequent n-grams, at most ``max_grams``; that bounds what is broadcast, while counts and
-totals cover all texts, and words that the model doesn't keep are scored as unseen ones.
+without spaces have them, are counted by their n-grams, whole. All counts stay in a table: a model has every word and n-gram of its texts.
 
 A word of the model adds its log frequency in each language, where a language borrows ``PRIOR`` counts
 from the frequencies over all languages, so that one with few texts isn't favoured by words it lacks. Any other word is scored by the longest
@@ -14,9 +12,14 @@ log frequencies stands for the word (a word without any says nothing). A text ge
 largest sum, and as score that language's share after a softmax of the sums divided by the root of
 the number of words, from 0 to 1.
 
+The most frequent words, at most ``max_words``, are in the workers and summed there, text by text. All others are sent on, each once for a text with its count,
+and looked up in the model's table by a join; those that it lacks are cut into n-grams, once for each different word, and these are joined in turn. So ``max_words`` bounds
+what is broadcast and moves work between workers and joins, but changes no result. The words that most texts send on, ``HOT`` at most, meet their rows by a broadcast of these alone, so that no task
+gets all rows of one word. Where rows of texts are not needed any more, ``keep_text=False`` leaves them out of the table that lineage is cut with.
+
 Defined results: texts that are null or without a letter get "und" and score 0; rows without a label or
 text aren't learned from; without any labelled row everything is "und"; ties go to the language first
-in order of name; an empty table gives no rows.
+in order of name; an empty table gives no rows; rows that repeat are judged alike; columns named lang_pred and score are replaced.
 """
 
 from __future__ import annotations
@@ -31,20 +34,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from inkspar.llm.common import free_name, frequent_floor, release, written
 
 UNKNOWN = "und"
-MAX_WORDS, MAX_GRAMS, LONGEST_GRAM = 60_000, 40_000, 4
+MAX_WORDS, LONGEST_GRAM = 200_000, 4
+#: Words that the workers lack and that come in the most texts.
+HOT = 5_000
 #: Different (language, word) pairs that a task holds before it sends their counts on.
 HELD = 200_000
 #: Longer words (runs of a script without spaces) are counted and scored by their n-grams only.
 WORD_CHARS = 40
 #: Counts that each language borrows from all languages together.
 PRIOR = 10.0
-#: Remembered scores of words outside the model, in each worker.
-CACHED = 100_000
 _RUN = re.compile(r"[^\W\d_]+")
 
 
@@ -63,130 +65,216 @@ def grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class Model:
-    """languages in order of name; tables[0] words, tables[n] n-grams: index of each entry's row in logs."""
+    """languages in order of name; frequent words with the rows of their logs, of which the last is zero; counts (size, entry, n, by: array of counts by language) of all words, size 0, and n-grams; totals by size."""
 
     languages: list[str]
-    tables: list[dict[str, int]]
+    words: dict[str, int]
     logs: np.ndarray
+    counts: DataFrame | None
+    totals: np.ndarray
+
+    def log_column(self) -> Column:
+        """The log frequencies by language of a row of counts."""
+        every = F.element_at(F.array(*[F.lit(float(t.sum())) for t in self.totals]), F.col("size") + 1)
+        own = F.element_at(F.array(*[F.array(*[F.lit(float(v)) for v in t]) for t in self.totals]), F.col("size") + 1)
+        return F.zip_with("by", own, lambda n, total: F.ln((n + PRIOR * F.col("n") / every) / (total + PRIOR)))
+
 
-    def scorer(self) -> Scorer:
-        return Scorer(self)
+def _logs(by: np.ndarray, total: np.ndarray) -> np.ndarray:
+    return np.log((by + PRIOR * by.sum() / total.sum()) / (total + PRIOR))
 
 
 class Scorer:
+    """The method in one process, for small models: takes all counts to the driver."""
+
     def __init__(self, model: Model):
-        self.m, self.cache = model, {}
+        self.m = model
+        rows = model.counts.collect() if model.counts is not None else []
+        self.tables = [{r["entry"]: _logs(np.array(r["by"], float), model.totals[size]) for r in rows if r["size"] == size} for size in range(LONGEST_GRAM + 1)]
 
-    def grams(self, word: str) -> list[int]:
-        """The rows of the longest known n-grams of a word outside the model; none if even its letters are unknown."""
+    def word(self, word: str) -> np.ndarray:
+        if word in self.tables[0]:
+            return self.tables[0][word]
         for n in range(min(LONGEST_GRAM, len(word) + 2), 0, -1):
-            table = self.m.tables[n]
-            if found := [table[g] for g in grams(word, n) if g in table]:
-                return found
-        return []
+            if found := [self.tables[n][g] for g in grams(word, n) if g in self.tables[n]]:
+                return np.mean(found, axis=0)
+        return np.zeros(len(self.m.languages))
 
     def predict(self, text: str | None) -> tuple[str, float]:
         found = Counter(words(text or ""))
         if not found or not self.m.languages:
             return UNKNOWN, 0.0
-        rows, weights, table, cache = [], [], self.m.tables[0], self.cache
-        for w, c in found.items():
-            at = table.get(w)
-            if at is not None:
-                rows.append(at)
-                weights.append(c)
-                continue
-            own = cache.get(w)
-            if own is None:
-                own = self.grams(w)
-                if len(w) <= WORD_CHARS:
-                    if len(cache) >= CACHED:
-                        cache.clear()
-                    cache[w] = own
-            if own:
-                rows += own
-                weights += [c / len(own)] * len(own)
-        total = np.array(weights, np.float64) @ self.m.logs[rows] if rows else np.zeros(len(self.m.languages))
+        total = np.sum([self.word(w) * c for w, c in found.items()], axis=0)
         best = int(total.argmax())
-        scaled = (total - total[best]) / math.sqrt(found.total())
-        return self.m.languages[best], float(1 / np.exp(scaled).sum())
+        return self.m.languages[best], float(1 / np.exp((total - total[best]) / math.sqrt(found.total())).sum())
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial counts: of words as size 0, of the n-grams of long words as size n."""
     release()
-    held: dict[tuple[str, int], Counter] = {}
+    held: dict[str, Counter] = {}
     for b in batches:
         for text, lang in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-            found = words(text.as_py())
-            held.setdefault((lang, 0), Counter()).update(w for w in found if len(w) <= WORD_CHARS)
-            for w in found:
-                for n in range(1, LONGEST_GRAM + 1) if len(w) > WORD_CHARS else ():
-                    held.setdefault((lang, n), Counter()).update(grams(w, n))
+            held.setdefault(lang, Counter()).update(words(text.as_py()))
             if sum(map(len, held.values())) >= HELD:
                 yield from _sent(held)
                 held = {}
     yield from _sent(held)
 
 
-def _sent(held: dict[tuple[str, int], Counter]) -> Iterator[pa.RecordBatch]:
-    for (lang, size), counter in held.items():
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(counter), pa.string()), pa.array([size] * len(counter), pa.int32()), pa.array(list(counter), pa.string()), pa.array(list(counter.values()), pa.int64())], names=["lang", "size", "word", "n"])
+def _sent(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+    for lang, counter in held.items():
+        long = [w for w in counter if len(w) > WORD_CHARS]
+        sizes: dict[int, Counter] = {}
+        for w in long:
+            _add_grams(sizes, w, counter.pop(w))
+        yield from _batches(lang, {0: counter} | sizes)
 
 
-def _gram_structs(word: Column, n: int) -> Column:
-    """The structs (size, entry) of the n-grams that grams() gives."""
-    whole = word if n == 1 else F.concat(F.lit("<"), word, F.lit(">"))
-    starts = F.when(F.length(whole) >= n, F.sequence(F.lit(1), F.length(whole) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct(F.lit(n).alias("size"), F.substring(whole, i, F.lit(n)).alias("entry")))
+def _add_grams(sizes: dict[int, dict], word: str, weight: int) -> None:
+    for n in range(1, LONGEST_GRAM + 1):
+        own = sizes.setdefault(n, {})
+        get = own.get
+        for g in grams(word, n):
+            own[g] = get(g, 0) + weight
 
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
-    """Counts over all rows; the driver gets the model's entries only (at most max_words + LONGEST_GRAM * max_grams, by language)."""
+def _batches(lang: str, sizes: dict[int, dict]) -> Iterator[pa.RecordBatch]:
+    for size, counter in sizes.items():
+        n = len(counter)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array([size] * n, pa.int32()), pa.array(list(counter), pa.string()), pa.array(list(counter.values()), pa.int64())], names=["lang", "size", "entry", "n"])
+
+
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial counts of the n-grams of counted words."""
+    held: dict[str, dict[int, dict]] = {}
+    for b in batches:
+        for word, lang, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            _add_grams(held.setdefault(lang, {}), word, n)
+        if sum(len(c) for sizes in held.values() for c in sizes.values()) >= HELD:
+            for lang, sizes in held.items():
+                yield from _batches(lang, sizes)
+            held = {}
+    for lang, sizes in held.items():
+        yield from _batches(lang, sizes)
+
+
+_PARTIAL = "lang string, size int, entry string, n bigint"
+
+
+def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS) -> Model:
+    """Counts over all rows, in a table; the driver gets the most frequent words, at most max_words, and totals."""
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
-    every = written(rows.mapInArrow(_counts, "lang string, size int, word string, n bigint").groupBy("size", "word", "lang").agg(F.sum("n").alias("n")), "words")
-    counted, of_long = every.filter("size = 0"), every.filter("size > 0").select("size", F.col("word").alias("entry"), "lang", "n")
-    pieces = [_gram_structs(F.col("word"), n) for n in range(1, LONGEST_GRAM + 1)]
-    of_words = counted.select(F.lit(0).alias("size"), F.col("word").alias("entry"), "lang", "n")
-    of_grams = counted.select("lang", "n", F.explode(F.concat(*pieces)).alias("p")).select("p.size", "p.entry", "lang", "n").unionByName(of_long)
-    entries = written(of_words.unionByName(of_grams.groupBy("size", "entry", "lang").agg(F.sum("n").alias("n")).select("size", "entry", "lang", "n")), "entries")
-    totals = {(r["size"], r["lang"]): r["n"] for r in entries.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
+    every = written(rows.mapInArrow(_counts, _PARTIAL).groupBy("size", "entry", "lang").agg(F.sum("n").alias("n")), "words")
+    of_words = every.filter("size = 0").select(F.col("entry").alias("word"), "lang", "n").mapInArrow(_gram_counts, _PARTIAL)
+    parts = every.select(*[c.split()[0] for c in _PARTIAL.split(", ")]).unionByName(of_words)
+    totals = {(r["size"], r["lang"]): r["n"] for r in every.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted({lang for _, lang in totals})
-    tables: list[dict[str, int]] = [{} for _ in range(LONGEST_GRAM + 1)]
-    logs: list[np.ndarray] = []
-    at = {lang: i for i, lang in enumerate(languages)}
-    for size in range(LONGEST_GRAM + 1) if languages else []:
-        own = entries.filter(F.col("size") == size).groupBy("entry").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("n"))
-        total = np.array([totals.get((size, x), 0) for x in languages], float)
-        most = max_words if size == 0 else max_grams
-        for r in sorted(own.filter(F.col("n") >= frequent_floor(own, "n", most)).select("entry", "by").collect(), key=lambda r: r["entry"]):
-            n = np.zeros(len(languages))
-            for lang, c in r["by"].items():
-                n[at[lang]] = c
-            tables[size][r["entry"]] = len(logs)
-            logs.append(np.log((n + PRIOR * n.sum() / total.sum()) / (total + PRIOR)).astype(np.float32))
-    return Model(languages, tables, np.array(logs) if logs else np.zeros((0, 1), np.float32))
-
-
-_PREDICTED = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-
-
-def predict_column(text: Column, model: Model, spark) -> Column:
-    """Struct (lang_pred, score) of a text; nothing else is read."""
-    shared = spark.sparkContext.broadcast(model)
-
-    @F.arrow_udf(_PREDICTED)
-    def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scorer = shared.value.scorer()
+    if not languages:
+        return Model([], {}, np.zeros((1, 0)), None, np.zeros((LONGEST_GRAM + 1, 0)))
+    by = F.array(*[F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0)) for lang in languages])
+    counts = written(parts.groupBy("size", "entry").agg(F.sum("n").alias("n"), by.alias("by")), "counts")
+    sums = {r["size"]: r["by"] for r in counts.groupBy("size").agg(F.array(*[F.sum(F.get("by", F.lit(i))) for i in range(len(languages))]).alias("by")).collect()}
+    total = np.array([sums.get(size, [0] * len(languages)) for size in range(LONGEST_GRAM + 1)], float)
+    own = counts.filter("size = 0")
+    frequent = sorted(own.filter(F.col("n") >= frequent_floor(own, "n", max_words)).select("entry", "by").collect(), key=lambda r: r["entry"]) if max_words else []
+    logs = [_logs(np.array(r["by"], float), total[0]) for r in frequent]
+    return Model(languages, {r["entry"]: i for i, r in enumerate(frequent)}, np.array([*logs, np.zeros(len(languages))]), counts, total)
+
+
+_SUMMED = "total array<double>, words int, others map<string, int>"
+
+
+def _summed(text: Column, model: Model, spark) -> Column:
+    """Struct (total, words, others) of a text: the sum over frequent words, the number of words, and the other words with their counts."""
+    shared = spark.sparkContext.broadcast((model.words, model.logs))
+
+    @F.arrow_udf(_SUMMED)
+    def summed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table, logs = shared.value
+        get, last = table.get, len(logs) - 1
+        kind = pa.map_(pa.string(), pa.int32())
         for texts in batches:
-            langs, scores = zip(*[scorer.predict(x.as_py()) for x in texts], strict=True) if len(texts) else ((), ())
-            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
+            totals, sizes, others = [], [], []
+            for x in texts:
+                found = words(x.as_py() or "")
+                rows = [get(w, last) for w in found]
+                totals.append(logs[rows].sum(axis=0) if rows else logs[last])
+                sizes.append(len(found))
+                others.append(list(Counter([w for w, r in zip(found, rows, strict=True) if r == last]).items()))
+            yield pa.StructArray.from_arrays([pa.array(totals, pa.list_(pa.float64())), pa.array(sizes, pa.int32()), pa.array(others, kind)], ["total", "words", "others"])
+
+    return summed(text)
+
+
+def _word_logs(words_: DataFrame, model: Model) -> DataFrame:
+    """(word, logs) of different words: a known one's own logs, else the mean of its longest known n-grams; words without any are left out."""
+    known = model.counts.filter("size = 0").select(F.col("entry").alias("word"), model.log_column().alias("logs"))
+    joined = words_.join(known, "word", "left")
+    pieces = F.concat(*[_gram_structs(F.col("word"), n) for n in range(1, LONGEST_GRAM + 1)])
+    cut = joined.filter("logs IS NULL").select("word", F.explode(pieces).alias("p")).select("word", "p.size", "p.entry")
+    table = model.counts.filter("size > 0").select("size", "entry", model.log_column().alias("logs"))
+    mean = F.array(*[F.avg(F.get("logs", F.lit(i))) for i in range(len(model.languages))])
+    backed = cut.join(table, ["size", "entry"]).groupBy("word", "size").agg(mean.alias("logs")).groupBy("word").agg(F.max_by("logs", "size").alias("logs"))
+    return joined.filter("logs IS NOT NULL").unionByName(backed)
 
-    return predicted(text)
 
+def _gram_structs(word: Column, n: int) -> Column:
+    """The structs (size, entry) of the n-grams that grams() gives."""
+    whole = word if n == 1 else F.concat(F.lit("<"), word, F.lit(">"))
+    starts = F.when(F.length(whole) >= n, F.sequence(F.lit(1), F.length(whole) - (n - 1))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.struct(F.lit(n).alias("size"), F.substring(whole, i, F.lit(n)).alias("entry")))
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with lang_pred and score; columns of these names are replaced, all others stay."""
-    found = free_name(docs, "found")
-    out = docs.withColumn(found, predict_column(F.col(text_col), model, docs.sparkSession))
-    return out.withColumn("lang_pred", F.col(found)["lang_pred"]).withColumn("score", F.col(found)["score"]).drop(found)
+
+@dataclass
+class Predicted:
+    """rows: the documents as a table with a key of its own; found: (key, lang_pred, score), a row for each."""
+
+    rows: DataFrame
+    found: DataFrame
+    key: str
+
+
+def predict(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True) -> Predicted:
+    """Documents with keys, and their predictions beside them; only keys and numbers are shuffled, never texts."""
+    spark, L = docs.sparkSession, len(model.languages)
+    key, sums = free_name(docs, "text_key"), free_name(docs, "sums")
+    if not L:
+        rows = written(docs.withColumn(key, F.monotonically_increasing_id()), "texts")
+        return Predicted(rows if keep_text else rows.drop(text_col), rows.select(key, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")), key)
+    table = docs.withColumn(key, F.monotonically_increasing_id()).withColumn(sums, _summed(F.col(text_col), model, spark))
+    # Keys hold for good once they are written.
+    table = written(table if keep_text else table.drop(text_col), "texts")
+    base = table.select(F.col(key).alias("key"), F.col(sums)["total"].alias("total"), F.col(sums)["words"].alias("words"))
+    sent = table.select(F.col(key).alias("key"), F.explode(F.col(sums)["others"]).alias("word", "c"))
+    each = written(sent.groupBy("word").agg(F.count("*").alias("texts")), "others")
+    logs = written(_word_logs(each.select("word"), model).join(each, "word"), "other_logs")
+    floor = frequent_floor(logs, "texts", HOT)
+    weighed = lambda rows: rows.select("key", *[(F.get("logs", F.lit(i)) * F.col("c")).alias(f"v{i}") for i in range(L)])
+    hot = logs.filter(F.col("texts") >= floor).select("word", "logs")
+    often = sent.join(F.broadcast(hot), "word")
+    seldom = sent.join(F.broadcast(hot.select("word")), "word", "left_anti").join(logs.filter(F.col("texts") < floor).select("word", "logs"), "word")
+    first = base.select("key", *[F.get("total", F.lit(i)).alias(f"v{i}") for i in range(L)], "words")
+    others = weighed(often).unionByName(weighed(seldom)).withColumn("words", F.lit(None).cast("int"))
+    total = first.unionByName(others).groupBy("key").agg(F.array(*[F.sum(f"v{i}") for i in range(L)]).alias("total"), F.max("words").alias("words"))
+    # array_position takes the first of equal sums, so ties go by name.
+    best = F.array_max("total")
+    share = 1 / F.aggregate(F.transform("total", lambda t: F.exp((t - best) / F.sqrt("words"))), F.lit(0.0), lambda a, v: a + v)
+    name = F.element_at(F.array(*map(F.lit, model.languages)), F.array_position("total", best).cast("int"))
+    blank = F.col("words") == 0
+    found = total.select(F.col("key").alias(key), F.when(blank, UNKNOWN).otherwise(name).alias("lang_pred"), F.when(blank, 0.0).otherwise(share).alias("score"))
+    return Predicted(table.drop(sums), found, key)
+
+
+def identify(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True) -> DataFrame:
+    """docs, with keep_text=False without their texts, with lang_pred and score; columns of these names are replaced, all others stay."""
+    found = predict(docs.drop(*[c for c in docs.columns if c.lower() in ("lang_pred", "score")]), model, text_col, keep_text)
+    return found.rows.join(found.found, found.key).drop(found.key)
+
+
+def keep(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The docs of one known language with a score of ``least`` or more. Texts are shuffled only if too many for a broadcast of their keys are rejected."""
+    found = predict(docs, model, text_col)
+    out = written(found.found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select(found.key), "rejected")
+    return found.rows.join(out, found.key, "left_anti").drop(found.key)

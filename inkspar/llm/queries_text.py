@@ -31,7 +31,7 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     model = langid.train(docs.filter("NOT held_out"))
-    return langid.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+    return langid.identify(docs.select("doc_id", "held_out", "text"), model, keep_text=False).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

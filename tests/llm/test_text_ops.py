@@ -90,12 +90,29 @@ def test_language_odd_rows(odd, none, spark):
 def test_language_counts_and_backoff(spark):
     df = spark.createDataFrame([("aa aa bb", "x"), ("aa", "x"), ("cc", "y")], "text string, lang string")
     model = langid.train(df)
-    row = model.logs[model.tables[0]["aa"]]
+    row = model.logs[model.words["aa"]]
     assert row[0] == pytest.approx(math.log((3 + 10 * 3 / 5) / 14), rel=1e-5) and row[1] == pytest.approx(math.log((10 * 3 / 5) / 11), rel=1e-5)
     scorer = langid.Scorer(model)
     assert scorer.predict("cca")[0] == "y" and scorer.predict("zz") == ("x", 0.5) and scorer.predict("aab")[0] == "x"
-    small = langid.train(df, max_words=1, max_grams=2)
-    assert list(small.tables[0]) == ["aa"] and all(len(t) <= 2 for t in small.tables[1:])
+    assert list(langid.train(df, max_words=1).words) == ["aa"] and not langid.train(df, max_words=0).words
+
+
+@pytest.mark.parametrize("hot", [0, 3, 5_000])
+def test_language_model_size_changes_no_result(odd, real, spark, monkeypatch, hot):
+    """With no word, some or all words in the workers, and with few or many words met by a broadcast, predictions are the same, and those of the method in one process."""
+    monkeypatch.setattr(langid, "HOT", hot)
+    labelled = real.filter("doc_id % 4 != 2").unionByName(odd.filter("doc_id <> 8"))
+    asked = real.unionByName(odd).unionByName(spark.createDataFrame([(500 + i, t, None, None, 0) for i, t in enumerate(["日本語日本語", "qqzzx the", "½", "the " * 300 + "zzyq", "中文" * 40, "über straße", "qq qq qq"])], real.schema))
+    found = []
+    for most in (0, 40, 1 << 30):
+        model = langid.train(labelled, max_words=most)
+        assert len(model.words) <= most
+        found.append({(str(r["doc_id"]), r["text"]): (r["lang_pred"], r["score"]) for r in langid.identify(asked, model).collect()})
+    scorer = langid.Scorer(model)
+    for k in found[0]:
+        want = scorer.predict(k[1])
+        assert {f[k][0] for f in found} == {want[0]} and all(f[k][1] == pytest.approx(want[1], rel=1e-9, abs=1e-12) for f in found), k
+    assert len(found[0]) > 200
 
 
 def brute_predict(rows, text):
@@ -142,11 +159,11 @@ def brute_predict(rows, text):
 def test_language_against_brute_force(odd, real, spark):
     unspaced = spark.createDataFrame([(100, "日本語" * 30 + "。" + "中文" * 25, "ja"), (101, "สวัสดีชาวโลก" * 9, "th"), (102, "ສະບາຍດີ" * 12, "lo")], "doc_id long, text string, lang string")
     labelled = real.filter("doc_id % 4 != 2").select("doc_id", "text", "lang").unionByName(odd.filter("length(text) < 1000").select("doc_id", "text", "lang")).unionByName(unspaced)
-    model = langid.train(labelled, max_words=1 << 30, max_grams=1 << 30)
+    scorer = langid.Scorer(langid.train(labelled))
     rows = [(r["text"], r["lang"]) for r in labelled.collect()]
     asked = [r["text"] for r in real.filter("doc_id % 4 = 2 AND length(text) < 3000").limit(12).collect()] + ["日本語日本語", "qqzzx the", "ชาวโลก", "½", "①②③", "Ⅷ x²", "", None, "a1b_c", "中文" * 40]
     for t in asked:
-        lang, score = langid.Scorer(model).predict(t)
+        lang, score = scorer.predict(t)
         want, wanted = brute_predict(rows, t)
         assert lang == want and score == pytest.approx(wanted, rel=2e-3, abs=1e-6), t
     assert brute_predict(rows, "①②③")[0] == "und" and brute_predict(rows, "日本語日本語")[0] == "ja"
