@@ -33,6 +33,9 @@ def _parser() -> argparse.ArgumentParser:
         p = commands.add_parser(name)
         for folder in folders:
             p.add_argument(folder)
+        if name != "archive-feeds":
+            for option in ("--reviews", "--omissions", "--current"):
+                p.add_argument(option)
         if name == "archive-audit":
             p.add_argument("--holds")
             p.add_argument("--cache")
@@ -70,16 +73,17 @@ def run(arguments: list[str]) -> int:
 
         spark = SparkSession.builder.appName("inkspar").config("spark.sql.session.timeZone", "UTC").getOrCreate()
         ship(spark)
+        decided = archive.decisions(spark, args.reviews, args.omissions, args.current) if hasattr(args, "reviews") else None
         if args.command == "extract":
-            counts = archive.extract(spark, args.index, args.bodies, args.out, args.states)
+            counts = archive.extract(spark, args.index, args.bodies, args.out, args.states, decided)
             print(json.dumps(counts))
             return 0 if set(counts) <= {"parsed", "excluded"} else 1
         if args.command == "audit-captures":
-            counts = {r["outcome"]: r["count"] for r in archive.audit_captures(spark, args.index, args.bodies, args.records).groupBy("outcome").count().collect()}
+            counts = {r["outcome"]: r["count"] for r in archive.audit_captures(spark, args.index, args.bodies, args.records, decided).groupBy("outcome").count().collect()}
             print(json.dumps(counts))
             return 0 if set(counts) <= {"equal"} else 1
         if args.command == "archive-audit":
-            report = archive.archive_audit(spark, args.index, args.bodies, args.records, args.states, args.holds, args.cache, args.write_states)
+            report = archive.archive_audit(spark, args.index, args.bodies, args.records, args.states, args.holds, args.cache, args.write_states, decided)
             print(json.dumps(report))
             return 0 if report["export_ready"] else 1
         if args.command == "archive-feeds":

@@ -158,15 +158,21 @@ def audit(spark: SparkSession, **folders: str | None) -> dict:
     return {"checks": counts, "export_ready": not any(counts.values())}
 
 
-def extract(spark: SparkSession, index: str, bodies: str, out: str, states: str) -> dict[str, int]:
+def decisions(spark: SparkSession, reviews: str | None = None, omissions: str | None = None, current_folder: str | None = None) -> captured.Decisions:
+    """What persons decided, from folders of JSON lines, and the ids that current records prove."""
+    lines = lambda folder, schema: spark.read.schema(schema).json(folder) if folder else None
+    return captured.Decisions(lines(reviews, captured.REVIEWS), lines(omissions, captured.OMISSIONS), current(spark, current_folder).select("id") if current_folder else None)
+
+
+def extract(spark: SparkSession, index: str, bodies: str, out: str, states: str, decided: captured.Decisions | None = None) -> dict[str, int]:
     """Records of captured pages: written below out as YAML, with a state for each capture; the counts of states."""
-    found = captured.extracted(captured.index(spark, index), captured.bodies(spark, bodies))
+    found = captured.extracted(captured.index(spark, index), captured.bodies(spark, bodies), decided)
     return captured.write(found, out, states)
 
 
-def audit_captures(spark: SparkSession, index: str, bodies: str, records_folder: str) -> DataFrame:
+def audit_captures(spark: SparkSession, index: str, bodies: str, records_folder: str, decided: captured.Decisions | None = None) -> DataFrame:
     """(key, outcome) of stored observations against those extracted again from the captured bytes."""
-    found = captured.extracted(captured.index(spark, index), captured.bodies(spark, bodies)).filter("status = 'parsed'")
+    found = captured.extracted(captured.index(spark, index), captured.bodies(spark, bodies), decided).filter("status = 'parsed'")
     stored = records.read(spark, records_folder).select(page_key(F.col("path")).alias("key"), record_digest(F.col("record_json")).alias("record_sha256"))
     return audits.reextracted(stored, found.select("key", "record_sha256"), "key", ["record_sha256"])
 
@@ -175,7 +181,7 @@ def audit_captures(spark: SparkSession, index: str, bodies: str, records_folder:
 _PAGE = "label string, response_sha256 string, archive_url string, archive_timestamp string, source_url string, latest_indexed_timestamp string, observation_kind string, warnings array<string>"
 
 
-def archive_audit(spark: SparkSession, index: str, bodies: str, records_folder: str, states: str, holds: str | None = None, cache: str | None = None, write: bool = False) -> dict:
+def archive_audit(spark: SparkSession, index: str, bodies: str, records_folder: str, states: str, holds: str | None = None, cache: str | None = None, write: bool = False, decided: captured.Decisions | None = None) -> dict:
     """Holds all pages' records of a folder against their captured bytes, index, states, holds and newest responses.
 
     With ``write``, and only if nothing speaks against any of them, those that lack a state of this very record get one; ``states`` is a
@@ -184,7 +190,7 @@ def archive_audit(spark: SparkSession, index: str, bodies: str, records_folder:
     """
     seen = published.number(spark, states)
     captures = captured.index(spark, index)
-    again = captured.extracted(captures, captured.bodies(spark, bodies)).select("key", "record_sha256", F.when(F.col("status") != rules.PARSED, F.coalesce("reason", "status")).alias("error"), F.from_json(F.get_json_object("record_json", "$.warnings"), "array<string>").alias("warnings"))
+    again = captured.extracted(captures, captured.bodies(spark, bodies), decided).select("key", "record_sha256", F.when(F.col("status") != rules.PARSED, F.coalesce("reason", "status")).alias("error"), F.from_json(F.get_json_object("record_json", "$.warnings"), "array<string>").alias("warnings"))
     stored = records.read(spark, records_folder).select(page_key(F.col("path")).alias("key"), "record_json", F.from_json("record_json", _PAGE).alias("r"))
     judged = shared.cut(stored.select("key", record_digest(F.col("record_json")).alias("record_sha256"), "r.*", F.lit("archive").alias("batch")).withColumn("earlier", F.coalesce(F.col("observation_kind") == "earlier-indexed-revision", F.lit(False))))
     old = published.read(spark, states, verification_schema(), seen)

@@ -28,8 +28,8 @@ _ADDRESS = r"https?://[^\s<>\"']+"
 
 
 def _words(text: str) -> list[str]:
-    """Lower-cased words; what isn't a letter, digit, full stop within a word, space or hyphen stands alone."""
-    return [w.rstrip(".") or "." for w in re.sub(r"[^\w.\s-]", " | ", text.lower()).replace("-", " ").split()]
+    """Lower-cased words; what isn't an ASCII letter, digit, full stop within a word, space or hyphen stands alone."""
+    return [w.rstrip(".") or "." for w in re.sub(r"[^\w.\s-]", " | ", text.lower(), flags=re.ASCII).replace("-", " ").split()]
 
 
 def _letter(word: str) -> str:
@@ -87,18 +87,29 @@ def _word_column(text: Column) -> Column:
     return F.transform(F.split(F.trim(spaced), " "), lambda w: F.regexp_replace(w, r"\.+$", ""))
 
 
+#: What stands between two words of a text, before and after it is cut into words; a word's begin.
+_GAP, _BEGIN = r"\.*[\s-]+", r"(?<![\w.])"
+#: The first two words of any name: where there are none there is no name, and before them none begins.
+_OPENING = _BEGIN + f"(?:cc|creative{_GAP}commons){_GAP}by"
+_RESTRICTING = _BEGIN + "(?:" + "|".join(p.replace(" ", _GAP) for p in PHRASES) + ")"
+
+
 def names_in(text: Column) -> Column:
-    """As names_in_text."""
+    """As names_in_text. Only what stands behind the first opening of a name is read word by word."""
+
     def letter(w: Column) -> Column:
         known = reduce(lambda found, x: found.when(w == x[0], F.lit(x[1])), list(_LETTERS.items())[1:], F.when(w == "cc", F.lit("C")))
         return known.when(w.rlike("^[0-9]"), F.lit("N")).when(w.rlike("^[a-z]+$"), F.lit("L")).otherwise(F.lit("x"))
 
-    return F.regexp_extract_all(F.array_join(F.transform(_word_column(text), letter), ""), F.lit(_NAME), F.lit(0))
+    lowered = F.lower(text)
+    at = F.regexp_instr(lowered, F.lit(_OPENING))
+    found = F.regexp_extract_all(F.array_join(F.transform(_word_column(F.substr(lowered, at)), letter), ""), F.lit(_NAME), F.lit(0))
+    return F.when(at > 0, found).when(at == 0, F.array().cast("array<string>"))
 
 
 def restricts(text: Column) -> Column:
-    spaced = F.concat(F.lit(" "), F.array_join(_word_column(text), " "))
-    return reduce(Column.__or__, [F.contains(spaced, F.lit(f" {p}")) for p in PHRASES])
+    """As restricts_in_text, by one pattern over the text."""
+    return F.lower(text).rlike(_RESTRICTING)
 
 
 def conflicts(text: Column, is_licence_field: Column | None = None) -> Column:

@@ -54,27 +54,47 @@ def candidates(captures: DataFrame, revisions: int = 3, alternates: int = 2) ->
     return close.withColumn("attempt", F.row_number().over(Window.partitionBy("label").orderBy("first", "copy"))).drop("first", "place")
 
 
-def coalesce_gaps(ranges: DataFrame, by: str, start: str, end: str, gap: int = GAP_BYTES) -> DataFrame:
+#: Ranges of offsets that the rows of all files are dealt by.
+OFFSET_RANGES = 64
+
+
+def _islands(ranges: DataFrame, by: str, start: str, end: str, gap: int, pieces: int) -> DataFrame:
+    """(file, a, b, island): the number, within its file, of the island that each range lies in; between islands is more than gap.
+
+    Rows are ordered within ranges of offsets. What a range has to know of those before it, how far they reach and how many islands they begin, is one row for each range and file,
+    so the rows of one file are in as many tasks as it has ranges. The driver gets the bounds.
+    """
+    rows = ranges.select(F.col(by).alias("file"), F.col(start).cast("bigint").alias("a"), F.col(end).cast("bigint").alias("b"))
+    cuts = rows.agg(F.percentile_approx("a", [i / pieces for i in range(1, pieces)], 10_000).alias("c")).first()["c"] or []
+    bounds = F.array(*[F.lit(c).cast("bigint") for c in sorted(set(cuts))]) if cuts else F.array().cast("array<bigint>")
+    dealt = rows.withColumn("piece", F.size(F.filter(bounds, lambda x: x <= F.col("a"))))
+    here = Window.partitionBy("file", "piece").orderBy("a", "b")
+    before = Window.partitionBy("file").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+
+    reach = dealt.groupBy("file", "piece").agg(F.max("b").alias("own")).withColumn("carry", F.max("own").over(before)).select(F.col("file").alias("f"), F.col("piece").alias("p"), "carry")
+    same = lambda one, other: one["file"].eqNullSafe(other["f"]) & (one["piece"] == other["p"])
+    local = dealt.withColumn("reach", F.max("b").over(here.rowsBetween(Window.unboundedPreceding, -1)))
+    joined = local.join(reach, same(local, reach)).withColumn("reach", F.greatest("reach", "carry")).drop("f", "p", "carry")
+    fresh = joined.withColumn("new", F.when(F.col("reach").isNull() | (F.col("a") - F.col("reach") > gap), 1).otherwise(0))
+    begun = fresh.groupBy("file", "piece").agg(F.sum("new").alias("own")).withColumn("carry", F.coalesce(F.sum("own").over(before), F.lit(0))).select(F.col("file").alias("f"), F.col("piece").alias("p"), "carry")
+    counted = fresh.withColumn("within", F.sum("new").over(here.rowsBetween(Window.unboundedPreceding, 0)))
+    return counted.join(begun, same(counted, begun)).select("file", "a", "b", (F.col("carry") + F.col("within")).alias("island"))
+
+
+def coalesce_gaps(ranges: DataFrame, by: str, start: str, end: str, gap: int = GAP_BYTES, pieces: int = OFFSET_RANGES) -> DataFrame:
     """Ranges of one file merged where the next starts at most gap behind the end so far: (by, group_start, group_end, members)."""
-    order = Window.partitionBy(by).orderBy(start, end)
-    reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = ranges.withColumn("__new", F.when(reach.isNull() | (F.col(start) - reach > gap), 1).otherwise(0))
-    grouped = fresh.withColumn("__group", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return grouped.groupBy(by, "__group").agg(F.min(start).alias("group_start"), F.max(end).alias("group_end"), F.count("*").alias("members")).drop("__group")
+    grouped = _islands(ranges, by, start, end, gap, pieces).groupBy("file", "island")
+    return grouped.agg(F.min("a").alias("group_start"), F.max("b").alias("group_end"), F.count("*").alias("members")).drop("island").withColumnRenamed("file", by)
 
 
-def coalesce_ranges(ranges: DataFrame, by: str, start: str, end: str, gap: int = GAP_BYTES, span: int = SPAN_BYTES) -> DataFrame:
+def coalesce_ranges(ranges: DataFrame, by: str, start: str, end: str, gap: int = GAP_BYTES, span: int = SPAN_BYTES, pieces: int = OFFSET_RANGES) -> DataFrame:
     """As coalesce_gaps, and no group grows past span bytes.
 
     The gap rule leaves islands that no merge crosses. An island within span bytes is a group; only the
     rows of longer ones are cut in order of start, each island by itself, since where a group ends
     depends on where it began.
     """
-    order = Window.partitionBy(by).orderBy(start, end)
-    reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    fresh = ranges.select(F.col(by).alias("file"), F.col(start).cast("bigint").alias("a"), F.col(end).cast("bigint").alias("b"), F.when(reach.isNull() | (F.col(start) - reach > gap), 1).otherwise(0).alias("new"))
-    within = Window.partitionBy("file").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, 0)
-    rows = fresh.withColumn("island", F.sum("new").over(within))
+    rows = _islands(ranges, by, start, end, gap, pieces)
     islands = rows.groupBy("file", "island").agg(F.min("a").alias("group_start"), F.max("b").alias("group_end"), F.count("*").alias("members"))
     short = islands.filter(F.col("group_end") - F.col("group_start") <= span).drop("island")
     long = rows.join(islands.filter(F.col("group_end") - F.col("group_start") > span).select("file", "island"), ["file", "island"], "left_semi")

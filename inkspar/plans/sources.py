@@ -350,11 +350,23 @@ def decode_legacy(spark, sf_dir):
     return rows.select("page_id", (F.col("page_id") % 3).alias("kind"), F.get("d.repairs", F.lit(0))["encoding"].alias("repaired"), "d.encoding")
 
 
-@PLANS.query("SELECT p_partkey, 'n' || CAST(p_size % 7 AS VARCHAR) || '/' || CAST(p_partkey AS VARCHAR) || '.md' AS path, p_partkey > 0 AS managed FROM part WHERE p_size % 7 BETWEEN 1 AND 5")
+_PLAIN = r"regexp_replace({}, '([\\`*_{{}}\[\]<>#|])', '\\\1', 'g')"
+
+
+def _plain(column: str) -> str:
+    """In SQL: a text with all signs of markup behind a backslash."""
+    return _PLAIN.format(column)
+
+
+@PLANS.query(f"""WITH p AS (SELECT p_partkey, p_size % 7 AS level, {_plain("p_name")} AS name, {_plain("p_type")} AS kind, {_plain("p_brand")} AS brand, {_plain("p_name || p_type")} AS japanese, {_plain("p_type || chr(10) || p_name")} AS said FROM part)
+    SELECT p_partkey, CASE WHEN level BETWEEN 1 AND 5 THEN 'n' || level ELSE 'unclassified' END || '/' || p_partkey || '.md' AS path, p_partkey > 0 AS managed, sha256(array_to_string(
+      ['# ' || name, '', '- meaning: ' || kind, '- meaning example: ' || brand, '- romanized label: ' || brand] || CASE WHEN p_partkey > 0 THEN ['', '## Examples', '', '1. ' || japanese, '   - ' || kind, '   - credit: ' || brand] ELSE [] END
+      || ['', '## Comments', '', '1. ' || said, '   - credit: ' || brand, '', 'Source: <https://site.example.org/g/' || p_partkey || '/>  ', 'Licence: [CC-BY-SA-2.0](https://creativecommons.org/licenses/by-sa/2.0/)', ''], chr(10))) AS body_sha256 FROM p""")
 def sink_markdown(spark, sf_dir):
+    """The page of every entry: where it goes, whether pages may be managed there, and its text."""
     parsed = entry_pages(spark, sf_dir).select("p_partkey", pages.entry_column(F.col("html"), F.col("p_partkey"), F.lit("now"), SITE).alias("r"))
-    made = parsed.select("p_partkey", sinks.rendered(F.col("r.record_json")).alias("m")).select("p_partkey", "m.path", sinks.page_allowed(F.col("m.path")).alias("managed"))
-    return made.filter("path NOT LIKE 'unclassified/%'")
+    made = parsed.select("p_partkey", sinks.rendered(F.col("r.record_json")).alias("m"))
+    return made.select("p_partkey", "m.path", sinks.page_allowed(F.col("m.path")).alias("managed"), F.sha2("m.body", 256).alias("body_sha256"))
 
 
 @PLANS.query("""SELECT p_partkey, sha256('<p>' || p_name || '<br/><strong>' || p_brand || '</strong></p>' || CASE WHEN p_partkey % 2 = 0 THEN 'tail' ELSE '' END) AS section_sha256 FROM part""")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -29,12 +30,55 @@ def bodies(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(F.sha2("content", 256).alias("body_sha256"), F.col("content").alias("body")).dropDuplicates(["body_sha256"])
 
 
+#: What persons decided, as lines of JSON: reviews of whether a page belongs to the collection, and sections to leave out.
+REVIEWS = "id long, label string, decision string, category string, expected_title string, captures array<struct<source_url: string, response_sha256: string>>"
+OMISSIONS = "response_sha256 string, source_url string, label string, id long, section string, byte_offset long, byte_length long, range_sha256 string, text_sha256 string"
+#: Where a page's bytes name its entry: any number that stands there may be its id.
+_NAMED_IDS = r"addGrammar\.php[^\s\"'>]*?[?&;]id=([0-9]{1,18})"
+
+
+@dataclass
+class Decisions:
+    """Tables of what persons decided, each may be None: reviews (REVIEWS), omissions (OMISSIONS), verified ids (id)."""
+
+    reviews: DataFrame | None = None
+    omissions: DataFrame | None = None
+    ids: DataFrame | None = None
+
+
+def decided(captures: DataFrame, found: DataFrame, decisions: Decisions) -> DataFrame:
+    """captures with their bodies and ``reviews``, ``omissions`` and ``ids``: JSON arrays of what was decided on each page's label, response and ids.
+
+    Each meets a page by a join, so a worker sees what is about its pages, however much was decided in all.
+    """
+    rows = captures.join(found, "body_sha256", "left")
+    text = lambda df, key: df.groupBy(key).agg(F.to_json(F.collect_list(F.struct(*[F.col(c) for c in df.columns]))).alias("v"))
+    if decisions.reviews is not None:
+        rows = rows.join(text(decisions.reviews, "label").withColumnRenamed("v", "reviews"), "label", "left")
+    if decisions.omissions is not None:
+        own = text(decisions.omissions, "response_sha256").select(F.col("response_sha256").alias("body_sha256"), F.col("v").alias("omissions"))
+        rows = rows.join(own, "body_sha256", "left")
+    if decisions.ids is not None:
+        named = found.select("body_sha256", F.explode(F.array_distinct(F.regexp_extract_all(F.decode("body", "ISO-8859-1"), F.lit(_NAMED_IDS), F.lit(1)))).alias("id")).select("body_sha256", F.col("id").cast("long").alias("id"))
+        own = named.join(decisions.ids.select(F.col("id").cast("long").alias("id")).distinct(), "id", "left_semi").groupBy("body_sha256").agg(F.to_json(F.collect_list("id")).alias("ids"))
+        rows = rows.join(own, "body_sha256", "left")
+    for name in ("reviews", "omissions", "ids"):
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast("string"))
+    return rows
+
+
+def _rules(capture: dict) -> legacy_pages.Rules:
+    reviews, omissions, ids = (json.loads(capture[name] or "[]") for name in ("reviews", "omissions", "ids"))
+    return legacy_pages.Rules(frozenset(ids), {(r.get("id"), r["label"]): r for r in reviews}, omissions=tuple(omissions))
+
+
 def _one(capture: dict, body: bytes | None) -> tuple[str, str, str | None, str | None, str | None]:
     key = hashlib.sha256("\0".join(str(capture[k]) for k in ("label", "timestamp", "original")).encode()).hexdigest()[:32]
     if body is None:
         return key, "pending", "no body", None, None
     try:
-        record = legacy_pages.page(body, capture, retrieved_at=capture["retrieved_at"])
+        record = legacy_pages.page(body, capture, _rules(capture), retrieved_at=capture["retrieved_at"])
         record["latest_indexed_timestamp"] = capture["latest_indexed_timestamp"]
     except legacy_pages.Held as held:
         return key, "review_required", str(held), None, None
@@ -46,7 +90,7 @@ def _one(capture: dict, body: bytes | None) -> tuple[str, str, str | None, str |
     return key, "parsed", None, text, hashlib.sha256(canonical(record).encode()).hexdigest()
 
 
-def extracted(captures: DataFrame, found: DataFrame) -> DataFrame:
+def extracted(captures: DataFrame, found: DataFrame, decisions: Decisions | None = None) -> DataFrame:
     """(key, status, reason, record_json, record_sha256) of every capture: parsed, excluded, review_required, failed, or pending without a body.
 
     A record says which capture of its label was the newest of the index.
@@ -58,7 +102,7 @@ def extracted(captures: DataFrame, found: DataFrame) -> DataFrame:
             made = [_one(r, None if r["body"] is None else bytes(r["body"])) for r in rows.astype(object).where(rows.notna(), None).to_dict("records")]
             yield pd.DataFrame(made, columns=["key", "status", "reason", "record_json", "record_sha256"])
 
-    return captures.join(newest, "label", "left").join(found, "body_sha256", "left").mapInPandas(run, _EXTRACTED)
+    return decided(captures.join(newest, "label", "left"), found, decisions or Decisions()).mapInPandas(run, _EXTRACTED)
 
 
 def write(found: DataFrame, out: str, states: str) -> dict[str, int]:

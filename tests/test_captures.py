@@ -112,3 +112,47 @@ def test_earlier_and_pacing(spark):
             pacing.schedule(listed, "label", "timestamp", "digest", *bad)
     got = spark.createDataFrame([("10",), ("900",), ("x",), (None,), ("Wed, 25 Feb 2015 00:10:00 GMT",)], "h string").select(pacing.backoff_wait(F.col("h"), F.lit("2015-02-25 00:00:00").cast("timestamp"))).collect()
     assert [r[0] for r in got] == [300, 900, 300, 300, 600]
+
+
+@pytest.mark.parametrize("pieces", [1, 3, 40])
+def test_islands_of_one_file_over_many_pieces(spark, pieces):
+    """Nearly all rows are of one file, and some reach over many others; a null file is a file."""
+    rng = random.Random(pieces)
+    data = [(rng.choice([1] * 20 + [2, None]), s, s + rng.choice([1, 5, 30, 900])) for s in (rng.randrange(9000) for _ in range(500))] + [(1, 20_000, 20_001)]
+    want = []
+    for f in (1, 2, None):
+        for a, b in sorted((a, b) for g, a, b in data if g == f):
+            if want and want[-1][0] == f and a - want[-1][2] <= 10:
+                want[-1][2], want[-1][3] = max(want[-1][2], b), want[-1][3] + 1
+            else:
+                want.append([f, a, b, 1])
+    df = spark.createDataFrame(data, "f int, a long, b long")
+    got = captures.coalesce_gaps(df, "f", "a", "b", 10, pieces)
+    assert sorted(map(str, (list(r) for r in got.collect()))) == sorted(map(str, want)) and got.columns == ["f", "group_start", "group_end", "members"]
+    assert captures.coalesce_gaps(df.limit(0), "f", "a", "b").count() == 0
+
+
+def test_passages_of_any_length(spark):
+    from inkspar.operators.passages import containing
+
+    rng = random.Random(1)
+    word = lambda: rng.choice(["ab", "a", "b", "ba", "é"])
+    texts = [" ".join(word() for _ in range(rng.randrange(12))).replace(" ", rng.choice([" ", "  ", "\n"])) for _ in range(60)] + [None, ""]
+    asked = [" ".join(word() for _ in range(n)) for n in (1, 1, 2, 2, 3, 3, 4, 5, 6)] + [None, "a \n b"]
+    docs, items = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(asked)), "item_id long, passage string")
+    flat = lambda t: " ".join(t.split())
+    want = {(i, j) for i, t in enumerate(texts) for j, p in enumerate(asked) if t is not None and p is not None and flat(p) in flat(t)}
+    got = containing(docs, items)
+    assert {tuple(r) for r in got.collect()} == want and got.count() == len(want) and {j for _, j in want} >= {4, 5}
+    assert containing(docs, items.limit(0)).count() == 0 and containing(docs.limit(0), items).count() == 0
+
+
+def test_licence_names_in_columns_as_in_text(spark):
+    from inkspar.functions import licences
+
+    rng = random.Random(2)
+    parts = ["cc", "CC.", "creative", "commons", "by", "by.", "sa", "2.0", "3.0.", "nc", "x1", ".", "xcc", "écc", ".cc", "-", ",", "all", "rights", "reserved", "Reserved!", "non", "commercial", "noncommercial", "no", "copying", "(", "日"]
+    texts = ["".join(rng.choice(parts) + rng.choice([" ", " ", "  ", "-", "\n", ""]) for _ in range(rng.randrange(1, 14))) for _ in range(3000)] + ["cc by " + "word " * 20_000 + "2.0", "", "CC BY-SA 2.0"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", licences.names_in(F.col("t")).alias("n"), licences.restricts(F.col("t")).alias("r"), licences.conflicts(F.col("t")).alias("c")).collect()
+    assert all((r["n"], r["r"], r["c"]) == (licences.names_in_text(r["t"]), licences.restricts_in_text(r["t"]), licences.conflicts_in_text(r["t"])) for r in rows)
+    assert sum(bool(r["n"]) for r in rows) > 8 and sum(r["r"] for r in rows) > 20

@@ -265,3 +265,50 @@ def test_a_bad_record_holds_its_batch(spark):
     for good, want in (([], {"a": "failed"}), ([2], {"a": "failed", "b": "parsed"}), ([1, 2], {"a": "parsed", "b": "parsed"})):
         judged = spark.createDataFrame([(b, b in good) for b in (1, 2)], "batch long, verified boolean")
         assert {r["key"]: r["status"] for r in verification.settled(states, new, rows, judged, "key", "batch").collect()} == want
+
+
+def test_extract_follows_decisions(spark, tmp_path, capsys):
+    """Pages of other categories by a verified id, a review, a review of another response, and a page with a section left out."""
+    from inkspar.sources import legacy_pages
+
+    (tmp_path / "bodies").mkdir()
+    (tmp_path / "index").mkdir()
+    cell = '<div><span class="titleSection">Tutorial:</span> long text</div>'
+    unclassified = "<b>Category</b> <i>grammar</i>"
+    pages = {
+        "verified": legacy("verified", 1, "flash"), "outside": legacy("outside", 2, "flash"), "reviewed": legacy("reviewed", 3).replace(unclassified, ""), "refused": legacy("refused", 4), "elsewhere": legacy("elsewhere", 5),
+        "omitted": legacy("omitted", 6) + cell, "plain": legacy("plain", 7), "unsaid": legacy("unsaid", 8).replace(unclassified, ""),
+    }
+    bodies = {name: (html + LICENCE).encode() for name, html in pages.items()}
+    address = lambda name: f"http://old.example.org/pages/viewOne.php?tagE={name}"
+    lines = []
+    for name, body in bodies.items():
+        (tmp_path / "bodies" / name).write_bytes(body)
+        lines.append({"label": name, "original": address(name), "timestamp": "20150225000000", "archive_url": f"https://archive.example.org/web/20150225000000id_/{address(name)}", "digest": "-", "retrieved_at": "now", "body_sha256": sha(body)})
+    (tmp_path / "index/a.json").write_text("\n".join(map(json.dumps, lines)))
+    review = lambda name, number, decision, category, response: {"id": number, "label": name, "decision": decision, "category": category, "expected_title": f"name [yomi] ({name})", "captures": [{"source_url": address(name), "response_sha256": response}]}
+    given = [review("reviewed", 3, "grammar", None, "x"), review("refused", 4, "non-grammar", "grammar", sha(bodies["refused"])), review("elsewhere", 5, "non-grammar", "grammar", "another"), review("plain", 99, "non-grammar", "grammar", "x")]
+    at = bodies["omitted"].index(cell.encode())
+    omission = {"response_sha256": sha(bodies["omitted"]), "source_url": address("omitted"), "label": "omitted", "id": 6, "section": "Tutorial", "byte_offset": at, "byte_length": len(cell), "range_sha256": sha(cell.encode()), "text_sha256": sha(b"Tutorial: long text")}
+    for folder, rows in (("reviews", given), ("omissions", [omission])):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "a.json").write_text("\n".join(map(json.dumps, rows)))
+    from inkspar.sources import pages as current_pages
+    from tests.test_pages import ENTRY, SITE
+
+    records.write(str(tmp_path / "current/1.yaml"), current_pages.entry(ENTRY.replace("editable_Main_7", "editable_Main_1"), 1, SITE, "now") | {"warnings": []})
+    options = ["--reviews", str(tmp_path / "reviews"), "--omissions", str(tmp_path / "omissions"), "--current", str(tmp_path / "current")]
+    folders = [str(tmp_path / n) for n in ("index", "bodies", "out")]
+    assert cli.run(["extract", *folders, str(tmp_path / "states"), *options]) == 1
+    capsys.readouterr()
+    keys = {name: hashlib.sha256("\0".join((name, "20150225000000", address(name))).encode()).hexdigest()[:32] for name in pages}
+    states = {r["key"]: (r["status"], r["reason"]) for r in spark.read.json(str(tmp_path / "states")).collect()}
+    found = {name: states[k] for name, k in keys.items()}
+    assert {n: s for n, (s, _) in found.items()} == {"verified": "parsed", "outside": "excluded", "reviewed": "parsed", "refused": "excluded", "elsewhere": "review_required", "omitted": "parsed", "plain": "parsed", "unsaid": "review_required"}
+    assert found["elsewhere"][1] == "the response isn't one that was reviewed"
+    made = {name: records.load((tmp_path / f"out/{keys[name]}.yaml").read_bytes()) for name in ("omitted", "reviewed")}
+    assert made["omitted"]["omitted_sections"] == [omission] and made["omitted"]["source_sections_complete"] is False and made["reviewed"]["membership_review"]["decision"] == "grammar"
+    assert cli.run(["audit-captures", *folders, *options]) == 0 and json.loads(capsys.readouterr().out) == {"equal": 4}
+    assert cli.run(["audit-captures", *folders]) == 1
+    capsys.readouterr()
+    assert legacy_pages.ADMITTED == ("grammar", "lesson")
