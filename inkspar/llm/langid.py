@@ -12,7 +12,7 @@ log frequencies stands for the word (a word without any says nothing). A text ge
 largest sum, and as score that language's share after a softmax of the sums divided by the root of
 the number of words, from 0 to 1.
 
-The most frequent words, at most ``max_words``, are in the workers and summed there, text by text. All others are sent on, each once for a text with its count,
+The most frequent words, at most ``max_words`` and ``CELLS`` by their languages, are in the workers and summed there, text by text. All others are sent on, each once for a text with its count,
 and looked up in the model's table by a join; those that it lacks are cut into n-grams, once for each different word, and these are joined in turn. So ``max_words`` bounds
 what is broadcast and moves work between workers and joins, but changes no result. The words that most texts send on, ``HOT`` at most, meet their rows by a broadcast of these alone, so that no task
 gets all rows of one word. Where rows of texts are not needed any more, ``keep_text=False`` leaves them out of the table that lineage is cut with.
@@ -32,13 +32,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkspar.llm.common import free_name, frequent_floor, release, written
 
 UNKNOWN = "und"
-MAX_WORDS, LONGEST_GRAM = 200_000, 4
+LONGEST_GRAM = 4
+#: The most log frequencies, words by languages, that are broadcast.
+CELLS = 800_000
+#: Bytes of text that a worker cuts into words and looks up at a time.
+TOGETHER = 8 << 20
 #: Words that the workers lack and that come in the most texts.
 HOT = 5_000
 #: Different (language, word) pairs that a task holds before it sends their counts on.
@@ -58,6 +63,25 @@ def words(text: str) -> list[str]:
     return [w for run in found for w in ("".join(c if c.isalpha() else " " for c in run).split())]
 
 
+#: Letters that str.lower treats by what is around them, or makes more than one of.
+_SPECIAL = "[Σİ]"
+
+
+def word_lists(texts: pa.Array) -> pa.ListArray:
+    """words() of each text, of a null none, without a Python object for each word."""
+    texts = pc.fill_null(texts, "")
+    spaced = pc.utf8_trim_whitespace(pc.utf8_lower(pc.replace_substring_regex(texts, r"[^\p{L}]+", " ")))
+    blank = pc.equal(spaced, "")
+    lists = pc.if_else(blank, pa.scalar([], pa.list_(pa.string())), pc.utf8_split_whitespace(spaced))
+    odd = np.flatnonzero(pc.match_substring_regex(texts, _SPECIAL).to_numpy(zero_copy_only=False))
+    if len(odd):
+        made = lists.to_pylist()
+        for i in odd.tolist():
+            made[i] = words(texts[i].as_py())
+        lists = pa.array(made, pa.list_(pa.string()))
+    return lists
+
+
 def grams(word: str, n: int) -> list[str]:
     marked = f"<{word}>" if n > 1 else word
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
@@ -65,10 +89,10 @@ def grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class Model:
-    """languages in order of name; frequent words with the rows of their logs, of which the last is zero; counts (size, entry, n, by: array of counts by language) of all words, size 0, and n-grams; totals by size."""
+    """languages in order of name; frequent words, and by language their log frequencies with a zero behind them; counts (size, entry, n, by: array of counts by language) of all words, size 0, and n-grams; totals by size."""
 
     languages: list[str]
-    words: dict[str, int]
+    words: pa.Array
     logs: np.ndarray
     counts: DataFrame | None
     totals: np.ndarray
@@ -114,11 +138,15 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     release()
     held: dict[str, Counter] = {}
     for b in batches:
-        for text, lang in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-            held.setdefault(lang, Counter()).update(words(text.as_py()))
-            if sum(map(len, held.values())) >= HELD:
-                yield from _sent(held)
-                held = {}
+        found, langs = word_lists(b.column(0)), b.column(1).dictionary_encode()
+        whose = langs.indices.to_numpy()
+        for i, lang in enumerate(langs.dictionary.to_pylist()):
+            every = pc.value_counts(found.filter(pa.array(whose == i)).flatten())
+            own, words_, n = held.setdefault(lang, Counter()), every.field(0).to_pylist(), every.field(1).to_pylist()
+            own.update(dict(zip(words_, n, strict=True)))
+        if sum(map(len, held.values())) >= HELD:
+            yield from _sent(held)
+            held = {}
     yield from _sent(held)
 
 
@@ -163,8 +191,8 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _PARTIAL = "lang string, size int, entry string, n bigint"
 
 
-def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS) -> Model:
-    """Counts over all rows, in a table; the driver gets the most frequent words, at most max_words, and totals."""
+def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = CELLS) -> Model:
+    """Counts over all rows, in a table; the driver gets the most frequent words, at most max_words and CELLS by the languages, and totals."""
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     every = written(rows.mapInArrow(_counts, _PARTIAL).groupBy("size", "entry", "lang").agg(F.sum("n").alias("n")), "words")
     of_words = every.filter("size = 0").select(F.col("entry").alias("word"), "lang", "n").mapInArrow(_gram_counts, _PARTIAL)
@@ -172,15 +200,16 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", m
     totals = {(r["size"], r["lang"]): r["n"] for r in every.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted({lang for _, lang in totals})
     if not languages:
-        return Model([], {}, np.zeros((1, 0)), None, np.zeros((LONGEST_GRAM + 1, 0)))
+        return Model([], pa.array([], pa.string()), np.zeros((0, 1)), None, np.zeros((LONGEST_GRAM + 1, 0)))
     by = F.array(*[F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0)) for lang in languages])
     counts = written(parts.groupBy("size", "entry").agg(F.sum("n").alias("n"), by.alias("by")), "counts")
     sums = {r["size"]: r["by"] for r in counts.groupBy("size").agg(F.array(*[F.sum(F.get("by", F.lit(i))) for i in range(len(languages))]).alias("by")).collect()}
     total = np.array([sums.get(size, [0] * len(languages)) for size in range(LONGEST_GRAM + 1)], float)
-    own = counts.filter("size = 0")
-    frequent = sorted(own.filter(F.col("n") >= frequent_floor(own, "n", max_words)).select("entry", "by").collect(), key=lambda r: r["entry"]) if max_words else []
-    logs = [_logs(np.array(r["by"], float), total[0]) for r in frequent]
-    return Model(languages, {r["entry"]: i for i, r in enumerate(frequent)}, np.array([*logs, np.zeros(len(languages))]), counts, total)
+    own, most = counts.filter("size = 0"), min(max_words, CELLS // len(languages))
+    frequent = own.filter(F.col("n") >= (frequent_floor(own, "n", most) if most else 1 << 62)).select("entry", *[F.get("by", F.lit(i)).alias(f"n{i}") for i in range(len(languages))]).toArrow()
+    n = np.array([frequent.column(f"n{i}").to_numpy() for i in range(len(languages))], float)
+    logs = np.log((n + PRIOR * n.sum(0) / total[0].sum()) / (total[0] + PRIOR)[:, None])
+    return Model(languages, frequent.column("entry").combine_chunks(), np.hstack([logs, np.zeros((len(languages), 1))]), counts, total)
 
 
 _SUMMED = "total array<double>, words int, others map<string, int>"
@@ -188,43 +217,73 @@ _SUMMED = "total array<double>, words int, others map<string, int>"
 
 def _summed(text: Column, model: Model, spark) -> Column:
     """Struct (total, words, others) of a text: the sum over frequent words, the number of words, and the other words with their counts."""
-    shared = spark.sparkContext.broadcast((model.words, model.logs))
+    shared, together = spark.sparkContext.broadcast((model.words, model.logs)), TOGETHER
 
     @F.arrow_udf(_SUMMED)
     def summed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table, logs = shared.value
-        get, last = table.get, len(logs) - 1
-        kind = pa.map_(pa.string(), pa.int32())
         for texts in batches:
-            totals, sizes, others = [], [], []
-            for x in texts:
-                found = words(x.as_py() or "")
-                rows = [get(w, last) for w in found]
-                totals.append(logs[rows].sum(axis=0) if rows else logs[last])
-                sizes.append(len(found))
-                others.append(list(Counter([w for w, r in zip(found, rows, strict=True) if r == last]).items()))
-            yield pa.StructArray.from_arrays([pa.array(totals, pa.list_(pa.float64())), pa.array(sizes, pa.int32()), pa.array(others, kind)], ["total", "words", "others"])
+            parts = [_looked_up(word_lists(run), table, logs) for run in _runs(texts, together)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], _SUMMED_TYPE)
 
     return summed(text)
 
 
+_SUMMED_TYPE = pa.struct([("total", pa.list_(pa.float64())), ("words", pa.int32()), ("others", pa.map_(pa.string(), pa.int32()))])
+
+
+def _runs(texts: pa.Array, together: int) -> Iterator[pa.Array]:
+    """Texts in runs of about so many bytes, each text whole."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+    at = 0
+    while at < len(texts):
+        before = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, before + together, "right")))
+        yield texts.slice(at, end - at)
+        at = end
+
+
+def _looked_up(texts: pa.ListArray, table: pa.Array, logs: np.ndarray) -> pa.Array:
+    sizes, flat = pc.list_value_length(texts).to_numpy().astype(np.int64), texts.flatten()
+    last = logs.shape[1] - 1
+    rows = pc.fill_null(pc.index_in(flat, value_set=table), last).to_numpy()
+    some = sizes > 0
+    starts = (np.cumsum(sizes) - sizes)[some]
+    totals = np.zeros((len(texts), len(logs)))
+    for i, own in enumerate(logs):
+        if len(flat):
+            totals[some, i] = np.add.reduceat(own[rows], starts)
+    others: list[dict] = [{} for _ in range(len(texts))]
+    unknown = np.flatnonzero(rows == last)
+    owner = np.searchsorted(np.cumsum(sizes), unknown, "right")
+    for word, text in zip(flat.take(pa.array(unknown)).to_pylist(), owner.tolist(), strict=True):
+        own = others[text]
+        own[word] = own.get(word, 0) + 1
+    return pa.StructArray.from_arrays([pa.array(list(totals), pa.list_(pa.float64())), pa.array(sizes, pa.int32()), pa.array([list(o.items()) for o in others], _SUMMED_TYPE.field("others").type)], ["total", "words", "others"])
+
+
 def _word_logs(words_: DataFrame, model: Model) -> DataFrame:
-    """(word, logs) of different words: a known one's own logs, else the mean of its longest known n-grams; words without any are left out."""
-    known = model.counts.filter("size = 0").select(F.col("entry").alias("word"), model.log_column().alias("logs"))
-    joined = words_.join(known, "word", "left")
-    pieces = F.concat(*[_gram_structs(F.col("word"), n) for n in range(1, LONGEST_GRAM + 1)])
-    cut = joined.filter("logs IS NULL").select("word", F.explode(pieces).alias("p")).select("word", "p.size", "p.entry")
-    table = model.counts.filter("size > 0").select("size", "entry", model.log_column().alias("logs"))
+    """(word, logs) of different words: a known one's own logs, else the mean of its longest known n-grams; words without any are left out.
+
+    Shorter n-grams are cut only from words of which no longer one is known, and those are few.
+    """
+    logs = model.log_column().alias("logs")
+    known = model.counts.filter("size = 0").select(F.col("entry").alias("word"), logs)
+    joined = written(words_.join(known, "word", "left"), "word_logs")
+    found, left = joined.filter("logs IS NOT NULL"), joined.filter("logs IS NULL").select("word")
     mean = F.array(*[F.avg(F.get("logs", F.lit(i))) for i in range(len(model.languages))])
-    backed = cut.join(table, ["size", "entry"]).groupBy("word", "size").agg(mean.alias("logs")).groupBy("word").agg(F.max_by("logs", "size").alias("logs"))
-    return joined.filter("logs IS NOT NULL").unionByName(backed)
+    for n in range(LONGEST_GRAM, 0, -1):
+        table = model.counts.filter(F.col("size") == n).select("entry", logs)
+        own = written(left.select("word", F.explode(_gram_column(F.col("word"), n)).alias("entry")).join(table, "entry").groupBy("word").agg(mean.alias("logs")), "backed_off")
+        found, left = found.unionByName(own), left.join(own.select("word"), "word", "left_anti")
+    return found
 
 
-def _gram_structs(word: Column, n: int) -> Column:
-    """The structs (size, entry) of the n-grams that grams() gives."""
+def _gram_column(word: Column, n: int) -> Column:
+    """The n-grams that grams() gives."""
     whole = word if n == 1 else F.concat(F.lit("<"), word, F.lit(">"))
     starts = F.when(F.length(whole) >= n, F.sequence(F.lit(1), F.length(whole) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct(F.lit(n).alias("size"), F.substring(whole, i, F.lit(n)).alias("entry")))
+    return F.transform(starts, lambda i: F.substring(whole, i, F.lit(n)))
 
 
 @dataclass

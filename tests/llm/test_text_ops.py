@@ -90,17 +90,18 @@ def test_language_odd_rows(odd, none, spark):
 def test_language_counts_and_backoff(spark):
     df = spark.createDataFrame([("aa aa bb", "x"), ("aa", "x"), ("cc", "y")], "text string, lang string")
     model = langid.train(df)
-    row = model.logs[model.words["aa"]]
+    row = model.logs[:, model.words.to_pylist().index("aa")]
     assert row[0] == pytest.approx(math.log((3 + 10 * 3 / 5) / 14), rel=1e-5) and row[1] == pytest.approx(math.log((10 * 3 / 5) / 11), rel=1e-5)
     scorer = langid.Scorer(model)
     assert scorer.predict("cca")[0] == "y" and scorer.predict("zz") == ("x", 0.5) and scorer.predict("aab")[0] == "x"
-    assert list(langid.train(df, max_words=1).words) == ["aa"] and not langid.train(df, max_words=0).words
+    assert langid.train(df, max_words=1).words.to_pylist() == ["aa"] and not len(langid.train(df, max_words=0).words)
 
 
-@pytest.mark.parametrize("hot", [0, 3, 5_000])
-def test_language_model_size_changes_no_result(odd, real, spark, monkeypatch, hot):
+@pytest.mark.parametrize(("hot", "together"), [(0, 1), (3, 500), (5_000, 1_000_000)])
+def test_language_model_size_changes_no_result(odd, real, spark, monkeypatch, hot, together):
     """With no word, some or all words in the workers, and with few or many words met by a broadcast, predictions are the same, and those of the method in one process."""
     monkeypatch.setattr(langid, "HOT", hot)
+    monkeypatch.setattr(langid, "TOGETHER", together)
     labelled = real.filter("doc_id % 4 != 2").unionByName(odd.filter("doc_id <> 8"))
     asked = real.unionByName(odd).unionByName(spark.createDataFrame([(500 + i, t, None, None, 0) for i, t in enumerate(["日本語日本語", "qqzzx the", "½", "the " * 300 + "zzyq", "中文" * 40, "über straße", "qq qq qq"])], real.schema))
     found = []
@@ -173,6 +174,14 @@ def test_language_words_are_letters():
     assert langid.words("Ab½c ①②③ Ⅷ 12 x_y É日2本 ²") == ["ab", "c", "x", "y", "é日", "本"]
 
 
+def test_language_word_lists(real):
+    import pyarrow as pa
+
+    texts = [r["text"] for r in real.limit(150).collect()] + [None, "", "  ", "12 _", "ΑΣ ΟΔΟΣ, Σ", "İstanbul İ x", "É日2本", "a", "ÀÉ ẞ ǅ ⅷ ª º ß", "नमस्ते", "日本語" * 9, "x\u00a0y\u2028z"]
+    assert langid.word_lists(pa.array(texts, pa.string())).to_pylist() == [langid.words(t or "") for t in texts]
+    assert langid.word_lists(pa.array([], pa.string())).to_pylist() == []
+
+
 def test_language_held_out(spark, sf_dir):
     found = queries_text.op5_langid(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id").filter("held_out").collect()
     assert len(found) > 20 and sum(r["lang_pred"] == r["lang"] for r in found) / len(found) > 0.97
