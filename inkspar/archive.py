@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from inkspar import schemas
 from inkspar.functions.text import observation_key, record_digest
 from inkspar.functions.urls import Scope
+from inkspar.operators import audits, coverage, destinations, nested, normalize, reports, shared, verification
+from inkspar.operators import captures as selection
 from inkspar.operators import gates as rules
-from inkspar.operators import audits, coverage, destinations, normalize, reports, shared, verification
 from inkspar.sources import captured, published, records, sinks
 
 #: What stands beside records: a line of JSON for each state, hold and cached response.
 STATE, HOLD, RESPONSE = "key string, status string, record_sha256 string", "key string, hold string", "url_sha256 string, retrieved_at string, response_sha256 string"
 
+#: The kind of observations of a capture that isn't their label's newest.
+EARLIER = "earlier-indexed-revision"
 DATA_LICENCE = "https://creativecommons.org/licenses/by-sa/2.0/"
 
 
@@ -35,6 +38,44 @@ def observations(spark: SparkSession, folder: str) -> DataFrame:
     return parsed.withColumn("key", observation_key(F.col("snapshot"), F.col("place"), F.col("id"), F.concat_ws("/", "label", "archive_timestamp")))
 
 
+def foreign_entries(entries: DataFrame) -> DataFrame:
+    """(path, field): what entries nested in one page's record don't share with it, of all that says which capture they are from."""
+    at = {f: F.get_json_object("record_json", f"$.{f}") for f in nested.PROVENANCE}
+    alike = lambda c: F.min(c).eqNullSafe(F.max(c)) & F.count(c).isin(F.lit(0), F.count(F.lit(1)))
+    found = entries.groupBy("path").agg(F.array_compact(F.array(*[F.when(~alike(c), F.lit(f)) for f, c in at.items()])).alias("fields"))
+    return found.select("path", F.explode("fields").alias("field"))
+
+
+def unbound(entries: DataFrame, captures: DataFrame) -> DataFrame:
+    """(path, problem) of pages' records that aren't bound to the index: those of the newest capture, or one of an equal digest, and earlier ones with a reason."""
+    at = lambda name: F.get_json_object("record_json", f"$.{name}").alias(name)
+    rows = entries.filter("place = 0").select("path", "label", "observation_kind", "archive_url", F.col("archive_timestamp").alias("timestamp"), F.col("source_url").alias("original"), F.col("archive_digest").alias("digest"), at("latest_indexed_timestamp"), at("selection_reason"))
+    earlier = F.coalesce(F.col("observation_kind") == EARLIER, F.lit(False))
+    listed = captures.select("label", "timestamp", "original", "digest", "archive_url")
+    old = selection.earlier_revisions(rows.filter(earlier), listed).select("path", "problem")
+    newest = listed.groupBy("label").agg(F.max(F.struct("timestamp", "original", "digest")).alias("n"))
+    new = rows.filter(~earlier).join(newest, "label", "left")
+    same = (F.col("digest") == F.col("n.digest")) & F.col("digest").rlike(selection.DIGEST)
+    problem = F.when(F.col("n").isNull(), "unknown label").when(~F.col("latest_indexed_timestamp").eqNullSafe(F.col("n.timestamp")), "latest differs").when((F.col("timestamp") != F.col("n.timestamp")) & ~F.coalesce(same, F.lit(False)), "not the newest")
+    return old.unionByName(new.select("path", problem.alias("problem"))).filter("problem IS NOT NULL")
+
+
+def read_archive_records(spark: SparkSession, folder: str, for_export: bool = False, include_earlier: bool = True, index: str | None = None, states: str | None = None, holds: str | None = None, cache: str | None = None) -> DataFrame:
+    """Historical records, those nested in others included, with the earlier ones unless asked otherwise.
+
+    For an export the index and the states must be named, and any page that these don't bear out, or with an entry of another capture, is an error.
+    """
+    found = observations(spark, folder)
+    if not include_earlier:
+        found = found.filter(~F.coalesce(F.col("observation_kind") == EARLIER, F.lit(False)))
+    if for_export:
+        if not states or not index:
+            raise ValueError("an export needs the records' states and the index")
+        held = export_outcomes(spark, found, states, holds, cache).filter("reason IS NOT NULL")
+        normalize.assert_none([("records held", held), ("records not bound to the index", unbound(found, captured.index(spark, index))), ("entries of another capture than their page's", foreign_entries(found))])
+    return found
+
+
 def feeds(spark: SparkSession, folder: str) -> DataFrame:
     rows = records.read(spark, folder)
     return rows.select("record_json", F.from_json("record_json", schemas.FEED).alias("e")).select("record_json", "e.*")
@@ -101,20 +142,21 @@ def relations(spark: SparkSession, current_folder: str | None = None, archive_fo
     found: dict[str, DataFrame] = {}
     checks: list[tuple[str, DataFrame]] = []
     if current_folder:
-        entries = current(spark, current_folder)
+        # Cut, as every relation and check reads them: the files are parsed once.
+        entries = shared.cut(current(spark, current_folder))
         if states:
             checks.append(("entries held by states, holds or newer responses", export_outcomes(spark, entries, states, holds, cache).filter("reason IS NOT NULL")))
         own = normalize.relations(entries.drop("path"))
         checks += gates(entries, "entries", "id") + [("examples repeated", normalize.repeated_keys(own["examples"], "entry_id", "source_id")), ("translations without an example", normalize.orphans(own["translations"].withColumnRenamed("example_id", "source_id"), ["entry_id", "source_id"], own["examples"], ["entry_id", "source_id"])), ("levels out of range", entries.filter("jlpt_level NOT BETWEEN 1 AND 5"))]
         found |= own
     if archive_folder:
-        entries = observations(spark, archive_folder)
+        entries = shared.cut(observations(spark, archive_folder))
         if states:
             checks.append(("observations held by states, holds or newer responses", export_outcomes(spark, entries, states, holds, cache).filter("reason IS NOT NULL")))
-        checks += gates(entries, "observations", "key")
+        checks += [*gates(entries, "observations", "key"), ("entries of another capture than their page's", foreign_entries(entries))]
         found |= normalize.archive_relations(entries.drop("path", "place"))
     if feed_folder:
-        entries = feeds(spark, feed_folder)
+        entries = shared.cut(feeds(spark, feed_folder))
         if states:
             checks.append(("feeds held by states, holds or newer responses", export_outcomes(spark, entries, states, holds, cache).filter("reason IS NOT NULL")))
         checks += gates(entries, "feeds", "feed_path")
@@ -192,7 +234,7 @@ def archive_audit(spark: SparkSession, index: str, bodies: str, records_folder:
     captures = captured.index(spark, index)
     again = captured.extracted(captures, captured.bodies(spark, bodies), decided).select("key", "record_sha256", F.when(F.col("status") != rules.PARSED, F.coalesce("reason", "status")).alias("error"), F.from_json(F.get_json_object("record_json", "$.warnings"), "array<string>").alias("warnings"))
     stored = records.read(spark, records_folder).select(page_key(F.col("path")).alias("key"), "record_json", F.from_json("record_json", _PAGE).alias("r"))
-    judged = shared.cut(stored.select("key", record_digest(F.col("record_json")).alias("record_sha256"), "r.*", F.lit("archive").alias("batch")).withColumn("earlier", F.coalesce(F.col("observation_kind") == "earlier-indexed-revision", F.lit(False))))
+    judged = shared.cut(stored.select("key", record_digest(F.col("record_json")).alias("record_sha256"), "r.*", F.lit("archive").alias("batch")).withColumn("earlier", F.coalesce(F.col("observation_kind") == EARLIER, F.lit(False))))
     old = published.read(spark, states, verification_schema(), seen)
     responses = _lines(spark, cache, f"{RESPONSE}, final_url string") if cache else None
     found = shared.cut(verification.findings(judged, again, old, _lines(spark, holds, HOLD), captures, responses, "key"))

@@ -312,3 +312,32 @@ def test_extract_follows_decisions(spark, tmp_path, capsys):
     assert cli.run(["audit-captures", *folders]) == 1
     capsys.readouterr()
     assert legacy_pages.ADMITTED == ("grammar", "lesson")
+
+
+def test_historical_records_for_an_export(spark, tmp_path, capsys):
+    """The newest capture's record, an earlier one with a reason, and what keeps each from an export."""
+    index, bodies, out = captured(tmp_path, 2)
+    assert cli.run(["extract", index, bodies, out, str(tmp_path / "lines")]) == 0
+    capsys.readouterr()
+    paths = {records.load(p.read_bytes())["archive_timestamp"]: p for p in (tmp_path / "out").glob("*.yaml")}
+    old, new = paths["20150220000000"], paths["20150221000000"]
+
+    def read(**options):
+        digests = {r["key"]: r["record_sha256"] for r in archive._judged(archive.observations(spark, out)).collect()}
+        (tmp_path / "s").mkdir(exist_ok=True)
+        (tmp_path / "s/a.json").write_text("\n".join(json.dumps({"key": k, "status": "parsed", "record_sha256": d}) for k, d in digests.items()))
+        return archive.read_archive_records(spark, out, True, index=index, states=str(tmp_path / "s"), **options)
+
+    with pytest.raises(ValueError, match="not bound to the index: 1"):
+        read()
+    whole = records.load(old.read_bytes()) | {"archive_digest": "-"}
+    records.write(str(old), whole | {"observation_kind": archive.EARLIER, "selection_reason": "other text"})
+    assert read().count() == 2 and [r["archive_timestamp"] for r in read(include_earlier=False).collect()] == ["20150221000000"]
+    for change, problem in (({"selection_reason": " "}, "not bound"), ({"archive_timestamp": "20150219000000"}, "not bound"), ({"additional_entries": [{**whole, "response_sha256": "0" * 64}]}, "another capture than their page's: 3")):
+        records.write(str(old), whole | {"observation_kind": archive.EARLIER, "selection_reason": "other text"} | change)
+        with pytest.raises(ValueError, match=problem):
+            read()
+    assert archive.read_archive_records(spark, out).count() == 3 and new.exists()
+    with pytest.raises(ValueError):
+        archive.read_archive_records(spark, out, True, states=str(tmp_path / "s"))
+    assert not archive.audit(spark, archive_folder=out)["export_ready"]
