@@ -27,7 +27,10 @@ def _parser() -> argparse.ArgumentParser:
         if name == "build":
             p.add_argument("out")
             p.add_argument("--sqlite")
-        if name != "audit":
+        if name == "audit":
+            p.add_argument("--bodies")
+            p.add_argument("--ids")
+        else:
             p.add_argument("--pages", required=name == "update-pages")
     for name, folders in (("extract", ("index", "bodies", "out", "states")), ("audit-captures", ("index", "bodies", "records")), ("archive-audit", ("index", "bodies", "records", "states")), ("archive-feeds", ("index", "bodies", "out", "states"))):
         p = commands.add_parser(name)
@@ -96,7 +99,7 @@ def run(arguments: list[str]) -> int:
             raise ValueError("no folder of records is named")
         folders |= {"states": args.states, "holds": args.holds, "cache": args.cache}
         if args.command == "audit":
-            report = archive.audit(spark, **folders)
+            report = archive.audit(spark, args.bodies, args.ids, **folders)
             print(json.dumps(report))
             return 0 if report["export_ready"] else 1
         if args.command == "build":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 from inkspar import schemas
 from inkspar.functions.text import observation_key, record_digest
 from inkspar.functions.urls import Scope
-from inkspar.operators import audits, coverage, destinations, nested, normalize, reports, shared, verification
+from inkspar.operators import audits, coverage, destinations, inventories, nested, normalize, reports, shared, verification
 from inkspar.operators import captures as selection
 from inkspar.operators import gates as rules
-from inkspar.sources import captured, published, records, sinks
+from inkspar.sources import captured, cdx, published, records, sinks
 
 #: What stands beside records: a line of JSON for each state, hold and cached response.
 STATE, HOLD, RESPONSE = "key string, status string, record_sha256 string", "key string, hold string", "url_sha256 string, retrieved_at string, response_sha256 string"
@@ -76,6 +77,48 @@ def read_archive_records(spark: SparkSession, folder: str, for_export: bool = Fa
     return found
 
 
+@dataclass(frozen=True)
+class Container:
+    """A backup that pages were read from: its name in index lines, and the stamps of its first and last capture."""
+
+    name: str
+    first: str
+    last: str
+
+
+#: A capture of a stored inventory, as a line of JSON; position is its place in its label's list, newest first.
+STORED = "label string, position long, timestamp string, original string, digest string, archive_url string, warc_offset long, warc_length long"
+
+
+def inventory_checks(spark: SparkSession, index: str, stored: DataFrame, scope: Scope, container: Container) -> list[tuple[str, DataFrame]]:
+    """What a stored inventory (STORED) and the index that it was made of, gzip files of many members, say against each other."""
+    scoped = cdx.line_rows(cdx.member_lines(spark, index), scope, container.first, container.last, container.name)
+    wrong = inventories.compared(cdx.first_lines(scoped.filter("sound")), stored).filter("outcome <> 'equal'")
+    return [("index lines that break a bound", scoped.filter("NOT sound")), ("captures that differ from the index", wrong), ("captures out of order", inventories.out_of_order(stored))]
+
+
+def unproved(entries: DataFrame, stored: DataFrame) -> DataFrame:
+    """(path, problem) of pages' records that weren't read from the member that the inventory names for their label's newest capture."""
+    at = lambda name, kind: F.get_json_object("record_json", f"$.{name}").cast(kind)
+    rows = entries.filter("place = 0").select("path", "label", F.col("archive_timestamp").alias("timestamp"), at("retrieval.offset", "long").alias("offset"), at("retrieval.length", "long").alias("length"), at("retrieval.member_sha256", "string").alias("member"))
+    newest = stored.groupBy("label").agg(F.max_by(F.struct("timestamp", "warc_offset", "warc_length"), F.struct("timestamp", "original")).alias("n"))
+    joined = rows.join(newest, "label", "left")
+    problem = (
+        F.when(F.col("n").isNull(), "unknown label").when(~F.col("timestamp").eqNullSafe(F.col("n.timestamp")), "not the newest")
+        .when(~F.col("offset").eqNullSafe(F.col("n.warc_offset")) | ~F.col("length").eqNullSafe(F.col("n.warc_length")), "another member").when(~F.coalesce(F.col("member").rlike("^[0-9a-f]{64}$"), F.lit(False)), "no member hash")
+    )
+    return joined.select("path", problem.alias("problem")).filter("problem IS NOT NULL")
+
+
+def read_archive_snapshot(spark: SparkSession, folder: str, index: str, stored: str, scope: Scope, container: Container) -> DataFrame:
+    """Historical records of one backup, those nested in others included. The inventory, a folder of JSON lines, has to be the one that the index gives,
+    and every page to come from the member that it names; else the call is an error."""
+    found, listed = observations(spark, folder), spark.read.schema(STORED).json(stored)
+    checks = inventory_checks(spark, index, listed, scope, container)
+    normalize.assert_none([*checks, ("records of other members", unproved(found, listed)), ("entries of another capture than their page's", foreign_entries(found))])
+    return found
+
+
 def feeds(spark: SparkSession, folder: str) -> DataFrame:
     rows = records.read(spark, folder)
     return rows.select("record_json", F.from_json("record_json", schemas.FEED).alias("e")).select("record_json", "e.*")
@@ -193,11 +236,18 @@ def update_pages(spark: SparkSession, pages: str, current_folder: str | None = N
     return sinks.update_page_table(made, pages)
 
 
-def audit(spark: SparkSession, **folders: str | None) -> dict:
-    """The counts of offending rows by check, and whether the archive is complete."""
+def audit(spark: SparkSession, bodies: str | None = None, ids: str | None = None, **folders: str | None) -> dict:
+    """The counts of offending rows by check, and whether the archive is complete. With the pages' bodies and the index's ids (JSON lines) current records are also held against these."""
     _, checks = relations(spark, **folders)
     counts = {r["check_name"]: r["n_rows"] for r in normalize.violations(checks).collect()}
-    return {"checks": counts, "export_ready": not any(counts.values())}
+    report: dict = {"checks": counts}
+    if bodies and ids and (folder := folders.get("current_folder")):
+        own = current(spark, folder).select("id", F.col("response_sha256").alias("body_sha256"))
+        pages = own.join(captured.bodies(spark, bodies), "body_sha256").select("id", F.decode("body", "UTF-8").alias("html"))
+        found, report["coverage"] = audit_current(spark, folder, pages, spark.read.schema("id long").json(ids))
+        counts |= {f"current: {r['finding']}": r["count"] for r in found.groupBy("finding").count().collect()}
+        counts["current: records without their page's bytes"] = own.join(pages.select("id"), "id", "left_anti").count()
+    return report | {"export_ready": not any(counts.values())}
 
 
 def decisions(spark: SparkSession, reviews: str | None = None, omissions: str | None = None, current_folder: str | None = None) -> captured.Decisions:

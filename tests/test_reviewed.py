@@ -230,3 +230,19 @@ def test_audit_current(spark, tmp_path):
     assert {r for r in rows if r[1] == "related id outside the index"} == set() and numbers["captured"] == 2 and numbers["pending"] == 1 and not numbers["coverage_verified"]
     few, _ = archive.audit_current(spark, str(tmp_path / "current"), pages, index.filter("id = 7"))
     assert {(r["id"], r["finding"]) for r in few.collect()} >= {(8, "related id outside the index"), (8, "not indexed")}
+
+
+def test_audit_command_reads_pages(spark, tmp_path, capsys):
+    from inkspar.sources import pages
+
+    html = ENTRY
+    (tmp_path / "bodies").mkdir()
+    (tmp_path / "bodies/7").write_text(html)
+    (tmp_path / "ids").mkdir()
+    (tmp_path / "ids/a.json").write_text('{"id": 7}\n{"id": 9}')
+    entry = pages.entry(html, 7, pages.Site("example", "site.example.org", "/g/"), "now") | {"warnings": []}
+    records.write(str(tmp_path / "current/7.yaml"), entry)
+    assert cli.run(["audit", "--current", str(tmp_path / "current"), "--bodies", str(tmp_path / "bodies"), "--ids", str(tmp_path / "ids")]) == 1
+    report = json.loads(capsys.readouterr().out)
+    assert report["checks"]["current: no record"] == 1 and report["checks"]["current: records without their page's bytes"] == 0 and report["coverage"]["pending"] == 1
+    assert report["checks"]["current: related id outside the index"] == 1 and not report["export_ready"]

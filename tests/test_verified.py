@@ -341,3 +341,35 @@ def test_historical_records_for_an_export(spark, tmp_path, capsys):
     with pytest.raises(ValueError):
         archive.read_archive_records(spark, out, True, states=str(tmp_path / "s"))
     assert not archive.audit(spark, archive_folder=out)["export_ready"]
+
+
+def test_snapshot_of_a_backup(spark, tmp_path):
+    """Records are read only if inventory, index and members agree."""
+    from inkspar.functions.urls import Scope
+
+    scope = Scope(hosts=("old.example.org",), page_path="/pages/viewOne.php", label_field="tagE")
+    container = archive.Container("c.warc.gz", "20150224000000", "20150302235959")
+    original = CAPTURE["original"]
+    line = lambda stamp, offset: f"k {stamp} {original} text/html 200 {'A' * 32} - - 100 {offset} c.warc.gz"
+    text = "\n".join([cdx.HEADER, line("20150224000000", 5), line("20150225000000", 900), line("20150225000000", 901)]).encode() + b"\n"
+    (tmp_path / "index").mkdir()
+    (tmp_path / "index/i.gz").write_bytes(b"".join(gzip.compress(text[a : a + 200]) for a in range(0, len(text), 200)))
+    address = lambda stamp: f"https://archive.example.org/web/{stamp}id_/{original}"
+    good = [{"label": "te", "position": i, "timestamp": s, "original": original, "digest": "A" * 32, "archive_url": address(s), "warc_offset": o, "warc_length": 100} for i, (s, o) in enumerate((("20150225000000", 900), ("20150224000000", 5)))]
+    record = {"label": "te", "id": 978, "archive_timestamp": "20150225000000", "response_sha256": "r", "warnings": [], "retrieval": {"offset": 900, "length": 100, "member_sha256": "0" * 64}}
+    (tmp_path / "stored").mkdir()
+
+    def read(rows, change=None):
+        (tmp_path / "stored/a.json").write_text("\n".join(map(json.dumps, rows)))
+        records.write(str(tmp_path / "records/a.yaml"), record | (change or {}))
+        return archive.read_archive_snapshot(spark, str(tmp_path / "records"), f"file://{tmp_path}/index", str(tmp_path / "stored"), scope, container)
+
+    assert read(good).count() == 1
+    for rows, problem in ((good[:1], "differ from the index: 1"), ([good[0] | {"warc_offset": 901}, good[1]], "differ from the index: 1"), ([good[0] | {"position": 1}, good[1] | {"position": 0}], "out of order: 1"), ([*good, good[1] | {"label": "x", "position": 0}], "differ from the index: 1")):
+        with pytest.raises(ValueError, match=problem):
+            read(rows)
+    for change in ({"retrieval": {"offset": 5, "length": 100, "member_sha256": "0" * 64}}, {"retrieval": {"offset": 900, "length": 100}}, {"archive_timestamp": "20150224000000"}, {"label": "no"}):
+        with pytest.raises(ValueError, match="records of other members: 1"):
+            read(good, change)
+    with pytest.raises(ValueError, match="break a bound"):
+        archive.read_archive_snapshot(spark, str(tmp_path / "records"), f"file://{tmp_path}/index", str(tmp_path / "stored"), scope, archive.Container("c.warc.gz", "20150225000000", "20150302235959"))
