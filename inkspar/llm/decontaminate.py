@@ -48,8 +48,10 @@ EDITS = 0.2
 MIN_WORDS = 1
 #: Share of the matches that the sampled walks have to reach, and the places that each samples.
 RECALL, SAMPLED = 0.999, 2
-#: Pairs of edited strings by which repetitions are found, and the most repetitions.
-SIMULATED, MOST_REPETITIONS = 1_000, 256
+#: Pairs of edited strings by which repetitions are found; items of more than DIRECT words are taken at lengths that grow by STEP, with fewer pairs.
+SIMULATED, DIRECT, STEP, LONG_PAIRS = 1_000, 64, 1.25, 200
+#: Share of the estimated chance of a meeting that is counted on for these, and the repetitions beyond which a recall can't be promised.
+CAUTION, BEYOND = 0.8, 1 << 14
 #: Items that are broadcast at once, by their characters.
 BLOCK_CHARS = 8 << 20
 #: Tokens looked up together; windows embedded together; pairs of a place and an item looked at together.
@@ -199,19 +201,13 @@ def cgk_samples(windows: np.ndarray, times: int) -> np.ndarray:
     return out
 
 
-@lru_cache(maxsize=4096)
-def repetitions(n: int, k: int, recall: float = RECALL) -> int:
-    """The least repetitions by which a share ``recall`` of simulated passages, k random edits from an item of n words, share a sample with it.
-
-    The simulated words are all different, so no walk meets another by chance; fewer edits need no more.
-    """
-    if k == 0:
-        return 1
-    rng, count = np.random.default_rng((n, k)), max(100, min(SIMULATED, 200_000 // n))
-    item = np.arange(1, n + 1)
-    rows = np.zeros((count, n), np.int64)
-    for row in rows:
-        own = item.tolist()
+def _edited_pairs(n: int, k: int, count: int) -> np.ndarray:
+    """An item of n different words, row 0, and passages that are k random edits away."""
+    rng = np.random.default_rng((n, k))
+    rows = np.zeros((count + 1, n), np.int64)
+    rows[0] = np.arange(1, n + 1)
+    for row in rows[1:]:
+        own = rows[0].tolist()
         for new in range(k):
             at, kind = int(rng.integers(len(own))), int(rng.integers(3))
             if kind == 0:
@@ -222,18 +218,48 @@ def repetitions(n: int, k: int, recall: float = RECALL) -> int:
                 del own[at]
         own = own[:n]
         row[: len(own)] = own
-    met, times = np.zeros(count, bool), 0
-    both = np.concatenate([item[None], rows])
+    return rows
+
+
+@lru_cache(maxsize=4096)
+def repetitions(n: int, k: int, recall: float = RECALL) -> int:
+    """The least repetitions by which a share ``recall`` of simulated passages, k random edits from an item of n words, share a sample with it.
+
+    The simulated words are all different, so no walk meets another by chance; fewer edits need no more. Long items are taken at the two lengths of a
+    grid around them, with the same share of edits, and the larger number of these holds. ValueError where the recall can't be reached.
+    """
+    if k == 0:
+        return 1
+    if n <= DIRECT:
+        return _counted(n, k, recall)
+    low = int(np.log(n / DIRECT) / np.log(STEP))
+    return max(_estimated(g, -(-g * k // n), recall) for g in {round(DIRECT * STEP**i) for i in (low, low + 1)})
+
+
+@lru_cache(maxsize=4096)
+def _counted(n: int, k: int, recall: float) -> int:
+    both = _edited_pairs(n, k, SIMULATED)
+    met, times = np.zeros(SIMULATED, bool), 0
     made = cgk_samples(both, 64)
-    while True:
+    while met.mean() < recall:
         if times == len(made):
-            if times >= MOST_REPETITIONS:
-                return times
+            if times >= BEYOND:
+                raise ValueError(f"a recall of {recall} for {k} edits of {n} words takes over {BEYOND} repetitions")
             made = cgk_samples(both, 2 * times)
         met |= made[times][1:] == made[times][0]
         times += 1
-        if met.mean() >= recall:
-            return times
+    return times
+
+
+@lru_cache(maxsize=4096)
+def _estimated(n: int, k: int, recall: float) -> int:
+    """From the chance that a repetition's samples meet: in long items all passages have about the same."""
+    made = cgk_samples(_edited_pairs(n, k, LONG_PAIRS), 64)
+    chance = CAUTION * float((made[:, 1:] == made[:, :1]).mean())
+    times = int(np.ceil(np.log(1 - recall) / np.log1p(-chance))) if chance else BEYOND + 1
+    if times > BEYOND:
+        raise ValueError(f"a recall of {recall} for {k} edits of {n} words takes over {BEYOND} repetitions")
+    return times
 
 
 def _ranges(found: np.ndarray, keys: np.ndarray, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -254,6 +254,40 @@ def test_decontamination_edges(spark, none):
     assert decontaminate.matches(none, bench).count() == 0 and decontaminate.clean(docs, bench.limit(0)).count() == 4
 
 
+@pytest.mark.parametrize("n", [60, 70, 400, 1200, 2000])
+def test_repetitions_reach_the_recall(n):
+    """On other pairs than those that the repetitions were found by; none is capped."""
+    k = decontaminate.allowed(n)
+    rng, times = np.random.default_rng(n + 1), decontaminate.repetitions(n, k)
+    rows = [np.arange(1, n + 1)]
+    for _ in range(1000 if n < 1000 else 400):
+        own = rows[0].tolist()
+        for new in range(k):
+            at = int(rng.integers(len(own)))
+            match int(rng.integers(3)):
+                case 0:
+                    own[at] = n + 1 + new
+                case 1:
+                    own.insert(at, n + 1 + new)
+                case _:
+                    del own[at]
+        rows.append(np.array((own + [0] * n)[:n]))
+    made = decontaminate.cgk_samples(np.stack(rows), times)
+    assert (made[:, 1:] == made[:, :1]).any(0).mean() >= 0.997
+
+
+def test_repetitions_of_many_lengths():
+    import time
+
+    for f in (decontaminate.repetitions, decontaminate._counted, decontaminate._estimated):
+        f.cache_clear()
+    began = time.process_time()
+    found = [decontaminate.repetitions(n, decontaminate.allowed(n)) for n in range(20, 2020, 4)]
+    assert len(found) == 500 and time.process_time() - began < 30 and max(found) > 256
+    with pytest.raises(ValueError, match="takes over"):
+        decontaminate.repetitions(400, 399)
+
+
 def test_best_passage():
     rng = np.random.default_rng(2)
     for _ in range(200):
