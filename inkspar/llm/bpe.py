@@ -29,7 +29,7 @@ from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, L
 from inkspar.llm.common import free_name, only
 
 #: Remembered matches of the split pattern, in each worker, and the longest that is remembered.
-CACHED, CACHED_BYTES = 240_000, 64
+CACHED, CACHED_BYTES = 800_000, 64
 #: Texts whose ids are held at once, at most, and ids after which no further text joins them.
 TOGETHER, TOGETHER_IDS = 500, 1 << 22
 #: Remembered pairs of tokens, in each worker.
