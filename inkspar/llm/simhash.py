@@ -140,10 +140,23 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max
     return rows, joined(firsts, components(links(firsts.select("fp"), max_bits, heavy)))
 
 
+#: Components that have more than this part of all linked nodes are looked up apart from the others; there are fewer than that many.
+LARGE = 4096
+
+
 def joined(firsts: DataFrame, linked: DataFrame) -> DataFrame:
-    """(fp, component_id, root) of all fp in firsts (fp, first_id), of which linked (node, root) has those with links."""
-    least = linked.withColumnRenamed("node", "fp").join(firsts, "fp").groupBy("root").agg(F.min("first_id").alias("component_id"))
-    members = written(linked.withColumnRenamed("node", "fp").join(least, "root").select("fp", "component_id", "root"), "members")
+    """(fp, component_id, root) of all fp in firsts (fp, first_id), of which linked (node, root) has those with links.
+
+    Members of the largest components, fewer than LARGE of these, meet their root's row where they are, by a broadcast of these rows; so no task gets all members of one component.
+    """
+    nodes = linked.withColumnRenamed("node", "fp")
+    roots = written(nodes.join(firsts, "fp").groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n")), "roots")
+    total = roots.agg(F.sum("n")).first()[0] or 0
+    large = F.col("n") * LARGE > total
+    most = roots.filter(large).select("root", "component_id")
+    often = nodes.join(F.broadcast(most), "root")
+    seldom = nodes.join(F.broadcast(most.select("root")), "root", "left_anti").join(roots.filter(~large).select("root", "component_id"), "root")
+    members = written(often.select("fp", "component_id", "root").unionByName(seldom.select("fp", "component_id", "root")), "members")
     alone = firsts.join(members, "fp", "left_anti").select("fp", F.col("first_id").alias("component_id"), F.col("fp").alias("root"))
     return members.unionByName(alone)
 

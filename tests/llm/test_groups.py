@@ -81,6 +81,17 @@ def test_simhash_links_against_brute_force(spark, heavy):
         simhash.links(spark.createDataFrame([(1,)], "fp long"), 4)
 
 
+@pytest.mark.parametrize("large", [1, 3, 4096])
+def test_members_of_large_and_small_components(spark, monkeypatch, large):
+    monkeypatch.setattr(simhash, "LARGE", large)
+    linked = [(i, 0) for i in range(40)] + [(i, 100) for i in range(100, 110)] + [(200, 200), (201, 200)]
+    firsts = [(i, None if i == 7 else 1000 - i) for i, _ in linked] + [(300, 5), (301, None)]
+    got = simhash.joined(spark.createDataFrame(firsts, "fp long, first_id long"), spark.createDataFrame(linked, "node long, root long")).collect()
+    least = {r: min(1000 - i for i, q in linked if q == r and i != 7) for r in (0, 100, 200)}
+    assert sorted(map(tuple, got), key=str) == sorted([(i, least[r], r) for i, r in linked] + [(300, 5, 300), (301, None, 301)], key=str)
+    assert simhash.joined(spark.createDataFrame([], "fp long, first_id long"), spark.createDataFrame([], "node long, root long")).count() == 0
+
+
 def test_simhash_rows(odd, none, real, rows_of):
     for docs in (odd, real):
         rows = rows_of(docs)
