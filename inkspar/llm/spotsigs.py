@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkspar.llm.common import range_bounds, range_bucket, shuffle_partitions, written
+from inkspar.llm.common import free_name, range_bounds, range_bucket, shuffle_partitions, written
 
 #: Common words of English, German, French and Spanish.
 ANCHORS = (
@@ -52,12 +52,13 @@ def _words(text: Column) -> Column:
 
 
 def with_signatures(df: DataFrame, text_col: str, into: str, anchors: str = ANCHORS) -> DataFrame:
-    """df with the sorted set of signatures in column into; the text must not be null. Each step is evaluated once for each row."""
-    step = df.withColumn("__clean", _words(F.col(text_col)))
+    """df with the sorted set of signatures in column into; the text must not be null, and all other columns stay, of whatever name. Each step is evaluated once for each row."""
+    clean, all_runs, with_anchors, found = (free_name(df, n) for n in ("__clean", "__runs", "__anchored", "__found"))
+    step = df.withColumn(clean, _words(F.col(text_col)))
     # each run: the anchors before a content word, if any, and that word
-    step = step.withColumn("__runs", F.regexp_extract_all("__clean", F.lit(f"(?:(?:{_alternatives(anchors)}) )*+[^ ]+"), F.lit(0)))
-    step = step.withColumn("__anchored", F.transform("__runs", lambda run: F.contains(run, F.lit(" "))))
-    runs, anchored = F.col("__runs"), F.col("__anchored")
+    step = step.withColumn(all_runs, F.regexp_extract_all(clean, F.lit(f"(?:(?:{_alternatives(anchors)}) )*+[^ ]+"), F.lit(0)))
+    step = step.withColumn(with_anchors, F.transform(all_runs, lambda run: F.contains(run, F.lit(" "))))
+    runs, anchored = F.col(all_runs), F.col(with_anchors)
 
     def chain(run: Column, i: Column) -> Column:
         bare = ~F.coalesce(F.get(anchored, i - 1), F.lit(False))
@@ -66,8 +67,8 @@ def with_signatures(df: DataFrame, text_col: str, into: str, anchors: str = ANCH
         behind = F.get(runs, i + 1)
         return F.when(behind.isNotNull() & (F.get(anchored, i) | bare), F.xxhash64(run, F.substring_index(behind, " ", -1)))
 
-    step = step.withColumn("__found", F.array_sort(F.array_distinct(F.array_compact(F.transform(runs, chain)))))
-    return step.withColumn(into, F.when(F.size("__found") == 0, F.array(F.xxhash64("__clean"))).otherwise(F.col("__found"))).drop("__found", "__clean", "__runs", "__anchored")
+    step = step.withColumn(found, F.array_sort(F.array_distinct(F.array_compact(F.transform(runs, chain)))))
+    return step.withColumn(into, F.when(F.size(found) == 0, F.array(F.xxhash64(clean))).otherwise(F.col(found))).drop(found, clean, all_runs, with_anchors)
 
 
 def digest(members: Column) -> Column:
@@ -85,27 +86,28 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
 
 
 def with_next(docs: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
-    """docs with next_<c> of each column c: that of the next row in descending id; after the last comes the first.
+    """docs with next_<c> of each column c: that of the next row in descending id; after the last comes the first. All other columns stay, of whatever name.
 
     Rows are dealt by ranges of ids, several for each shuffle partition, and ordered in each. The first row
     of a range also goes, as a marked copy, behind the last of the range before it. What the driver gets
     is one id for each range.
     """
     bounds = range_bounds(docs, id_col, 4 * shuffle_partitions(docs.sparkSession))
-    dealt = docs.withColumn("__range", range_bucket(F.col(id_col), bounds))
-    heads = [(r["__range"], r["head"]) for r in dealt.groupBy("__range").agg(F.max(id_col).alias("head")).orderBy(F.desc("__range")).collect()]
+    near, first, target, place, at, copy, tie = (free_name(docs, n) for n in ("__range", "__head", "__target", "__place", "__at", "__copy", "__tie"))
+    dealt = docs.withColumn(near, range_bucket(F.col(id_col), bounds))
+    heads = [(r[near], r["head"]) for r in dealt.groupBy(near).agg(F.max(id_col).alias("head")).orderBy(F.desc(near)).collect()]
     targets = [(head, heads[i - 1][0]) for i, (_, head) in enumerate(heads)]
-    listed = F.array(*[F.struct(F.lit(head).cast("bigint").alias("__head"), F.lit(at).cast("int").alias("__target")) for head, at in targets])
-    copies = docs.sparkSession.range(1).select(F.inline(listed.cast("array<struct<__head: bigint, __target: int>>")))
-    own = F.struct(F.col("__range").alias("at"), F.lit(0).alias("copy"))
-    also = F.struct(F.col("__target").alias("at"), F.lit(1).alias("copy"))
-    places = F.when(F.col("__target").isNull(), F.array(own)).otherwise(F.array(own, also))
-    placed = dealt.join(F.broadcast(copies), F.col(id_col).eqNullSafe(F.col("__head")), "left").withColumn("__place", F.explode(places))
+    listed = F.array(*[F.struct(F.lit(head).cast("bigint").alias(first), F.lit(to).cast("int").alias(target)) for head, to in targets])
+    copies = docs.sparkSession.range(1).select(F.inline(listed.cast(f"array<struct<`{first}`: bigint, `{target}`: int>>")))
+    own = F.struct(F.col(near).alias("at"), F.lit(0).alias("copy"))
+    also = F.struct(F.col(target).alias("at"), F.lit(1).alias("copy"))
+    places = F.when(F.col(target).isNull(), F.array(own)).otherwise(F.array(own, also))
+    placed = dealt.join(F.broadcast(copies), F.col(id_col).eqNullSafe(F.col(first)), "left").withColumn(place, F.explode(places))
     # plain columns for the window, so that all columns are looked up in one window behind one exchange
-    placed = placed.select(*docs.columns, F.col("__place.at").alias("__at"), F.col("__place.copy").alias("__copy"), F.xxhash64(*cols).alias("__tie"))
-    order = Window.partitionBy("__at").orderBy("__copy", F.desc_nulls_last(id_col), "__tie")
+    placed = placed.select(*docs.columns, F.col(place)["at"].alias(at), F.col(place)["copy"].alias(copy), F.xxhash64(*cols).alias(tie))
+    order = Window.partitionBy(at).orderBy(copy, F.desc_nulls_last(id_col), tie)
     found = placed.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in cols])
-    return found.filter("__copy = 0").drop("__at", "__copy", "__tie")
+    return found.filter(F.col(copy) == 0).drop(at, copy, tie)
 
 
 def edited(text: Column, following: Column) -> Column:

@@ -163,6 +163,9 @@ def test_spotsigs_against_brute_force(odd, none, real, spark):
             a, b = set(r["signatures"]), set(r["edited_signatures"])
             x, y = sets[r["text"]], python_signatures(r["edited"])
             assert len(a & b) / len(a | b) == pytest.approx(len(x & y) / len(x | y))
+            # the next document is one whose text the edited text borrows from; its set has the likeness of that text's
+            near = len(a & set(r["next_signatures"])) / len(a | set(r["next_signatures"]))
+            assert any(near == pytest.approx(len(x & sets[t]) / len(x | sets[t])) for t in options)
     assert spotsigs.compare_edited(none).count() == 0
 
 
@@ -179,6 +182,17 @@ def test_spotsigs_next(real, spark):
     assert len(made) == 3 and made["abcabc"][:4] == "abca" and sorted(e[4:] for e in made.values()) == ["ab", "uv", "xy"]
 
 
+def test_spotsigs_keep_columns_of_any_name(spark):
+    names = ["__clean", "__runs", "__anchored", "__found", "__range", "__head", "__target", "__place", "__at", "__copy", "__tie"]
+    docs = spark.createDataFrame([(i, f"the word{i} of thing") for i in range(9)], "doc_id long, text string")
+    for n in names:
+        docs = docs.withColumn(n, F.lit(n))
+    plain = spotsigs.with_next(spotsigs.with_signatures(docs.select("doc_id", "text"), "text", "s"), "doc_id", ["text", "s"])
+    kept = spotsigs.with_next(spotsigs.with_signatures(docs, "text", "s"), "doc_id", ["text", "s"])
+    assert kept.columns == ["doc_id", "text", *names, "s", "next_text", "next_s"] and all(r[n] == n for r in kept.collect() for n in names)
+    assert sorted(map(tuple, kept.select(plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+
+
 def test_spotsigs_near_duplicates(spark):
     rng = random.Random(3)
     vocabulary = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(300)]
@@ -296,7 +310,7 @@ def test_repetitions_of_many_lengths():
     found = [decontaminate.repetitions(n, decontaminate.allowed(n)) for n in range(20, 2020, 4)]
     assert len(found) == 500 and time.process_time() - began < 30 and max(found) > 256
     with pytest.raises(ValueError, match="takes over"):
-        decontaminate.repetitions(400, 399)
+        decontaminate.repetitions(400, 4000)
 
 
 def test_best_passage():

@@ -366,5 +366,5 @@ def test_log_bloom():
 
 
 def test_registry():
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 14))
     assert set(registry.ORACLES) <= set(registry.QUERIES)
