@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkspar.llm.common import free_name, frequent_floor, release, written
+from inkspar.llm.common import free_name, frequent_floor, release, text_key, written
 
 UNKNOWN = "und"
 LONGEST_GRAM = 4
@@ -333,7 +333,12 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep_text: b
 
 
 def keep(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
-    """The docs of one known language with a score of ``least`` or more. Texts are shuffled only if too many for a broadcast of their keys are rejected."""
-    found = predict(docs, model, text_col)
-    out = written(found.found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select(found.key), "rejected")
-    return found.rows.join(out, found.key, "left_anti").drop(found.key)
+    """The docs of one known language with a score of ``least`` or more.
+
+    No copy of the texts is made: those that are rejected are found again in docs by hashes. Texts are shuffled only if too many are rejected for a broadcast of their hashes.
+    """
+    found = predict(docs.select(F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("hashes")), model, "text", keep_text=False)
+    bad = found.found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select(found.key)
+    name = free_name(docs, "rejected")
+    out = written(found.rows.join(bad, found.key).select(F.col("hashes").alias(name)).distinct(), "rejected")
+    return docs.join(out, text_key(docs[text_col]) == out[name], "left_anti")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from inkspar.llm import jaccard
-from inkspar.llm.common import free_name, written
+from inkspar.llm.common import free_name, text_key, written
 from inkspar.llm.components import components
 
 MAX_BITS = 3
@@ -124,11 +124,6 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, heavy: int = HEAVY) -> DataF
     return _meet(light, ["code", "key"], ["side"], max_bits).unionByName(_meet(finer, ["code", "key", "code2", "key2"], ["side", "side2"], max_bits)).distinct()
 
 
-def text_key(text: Column) -> Column:
-    """Two hashes of a text, by which its rows are found again without Python."""
-    return F.struct(F.xxhash64(text, F.isnull(text)).alias("a"), F.xxhash64(F.lit("b"), text).alias("b"))
-
-
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, heavy: int = HEAVY) -> tuple[DataFrame, DataFrame]:
     """(rows, classes): each row's id, fingerprint fp and text_key; each different fp's component_id and component root.
 
