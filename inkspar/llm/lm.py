@@ -120,11 +120,18 @@ def _doubled() -> np.ndarray:
 DOUBLED = _doubled()
 
 
-def pair_keys(texts: list[list[bytes]]) -> np.ndarray:
+def _different(texts: list[list[bytes]]) -> tuple[list[bytes], np.ndarray]:
+    """The different tokens of texts, ends too, in order of their first places, and which of them each token is, all texts one after the other."""
+    flat = list(chain.from_iterable(chain(t, (END,)) for t in texts))
+    which = pa.array(flat, pa.binary()).dictionary_encode().indices.to_numpy()
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(which), prepend=-1))
+    return [flat[i] for i in first.tolist()], which
+
+
+def pair_keys(texts: list[list[bytes]], different: tuple[list[bytes], np.ndarray] | None = None) -> np.ndarray:
     """A key for each token, ends too, of all texts one after the other: 32 bits of the hash of the word before it, and 32 of its own."""
-    size = sum(map(len, texts)) + len(texts)
-    words = chain.from_iterable(chain(t, (END,)) for t in texts)
-    own = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED)), np.uint64, size)
+    words, which = different or _different(texts)
+    own = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(SEED)), np.uint64, len(words))[which]
     before = np.concatenate([np.array([xxhash.xxh64_intdigest(END, SEED)], np.uint64), own[:-1]])
     return (before & _HIGH) | (own & _LOW)
 
@@ -151,12 +158,20 @@ class Blocks:
         return (_mixed(high * np.uint64(0x9E3779B97F4A7C15) + part) % np.uint64(self.n)).astype(np.int64)
 
 
+_BITS = (1 << np.arange(8)).astype(np.uint8)
+
+
 def _draws(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two hashes of (key, level); the place by hash i is (one + i * two) % bits."""
+    """The two hashes of (key, level); the place by hash i is that of one + i * two."""
     one = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level))
     return one, _mixed(one + np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
 
 
+def _place(h: np.ndarray, size) -> np.ndarray:
+    """A place in so many bits, below 2^32, by a hash's high half: a multiplication, as a division takes several times as long."""
+    return (((h >> np.uint64(32)) * size) >> np.uint64(32)).astype(np.int64)
+
+
 def block_bits(keys: np.ndarray, q: np.ndarray, hashes: int = HASHES) -> np.ndarray:
     """The bytes of a block that holds all levels of the keys."""
     size = max(64, 8 * math.ceil(int(q.sum()) * hashes / math.log(2) / 8))
@@ -164,7 +179,7 @@ def block_bits(keys: np.ndarray, q: np.ndarray, hashes: int = HASHES) -> np.ndar
     for level in range(1, int(q.max(initial=0)) + 1):
         one, two = _draws(keys[q >= level], level)
         for i in range(hashes):
-            bits[((one + np.uint64(i) * two) % np.uint64(size)).astype(np.int64)] = True
+            bits[_place(one + np.uint64(i) * two, np.uint64(size))] = True
     return np.packbits(bits, bitorder="little")
 
 
@@ -178,15 +193,22 @@ class LogBloom:
         """The quantised counts; too high where a missing level's bits all happen to be set."""
         block, q = self.blocks.of(keys), np.zeros(len(keys), np.int64)
         active = np.flatnonzero(self.sizes[block] > 0)
+
+        def on(one: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+            at = start + _place(one, size)
+            return (self.bits[at >> 3] & _BITS[at & 7]) != 0
+
         for level in range(1, LEVELS + 1):
             own = block[active]
             one, two = _draws(keys[active], level)
             start, size = self.starts[own], self.sizes[own].astype(np.uint64)
-            for _ in range(self.hashes):
-                # a key that lacks a bit isn't probed on
-                at = start + (one % size).astype(np.int64)
-                on = (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-                active, one, two, start, size = active[on], one[on] + two[on], two[on], start[on], size[on]
+            # Of the keys that lack a level most lack its first bit; the others are asked for all its bits.
+            left = on(one, start, size)
+            active, one, two, start, size = active[left], one[left], two[left], start[left], size[left]
+            left = np.ones(len(active), bool)
+            for i in range(1, self.hashes):
+                left &= on(one + np.uint64(i) * two, start, size)
+            active = active[left]
             if len(active) == 0:
                 break
             q[active] = level
@@ -364,15 +386,16 @@ def _scorer(shared, all_held: bool):
             for at, texts in _runs(b.column(1)):
                 sizes = np.array([len(t) + 1 for t in texts])
                 starts = np.cumsum(sizes) - sizes
-                number = np.fromiter(map(get, chain.from_iterable(chain(t, (END,)) for t in texts), repeat(-1)), np.int64, int(sizes.sum()))
+                found = _different(texts)
+                number = np.fromiter(map(get, found[0], repeat(-1)), np.int64, len(found[0]))[found[1]]
                 before = np.concatenate([np.zeros(1, np.int64), number[:-1]])
-                keys = pair_keys(texts)
+                keys = pair_keys(texts, found)
                 different, inverse = np.unique(keys, return_inverse=True)
                 q = bloom.get(different)[inverse]
                 known = number >= 0
                 gains = np.where(before >= 0, behind[before], 0.0) + np.where(known, np.log10(1 + DOUBLED[q] / 2 / prior[number]), 0.0)
                 added = [np.add.reduceat(x, starts) for x in (np.where(known, base[number], 0.0), gains, known & (m.counts[number] > 0))]
-                opened_ = _open(texts, starts, keys, q, known, prior[number], all_held)
+                opened_ = _open(found, starts, keys, q, known, prior[number], all_held)
                 part = b.slice(at, len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + len(texts))), part.column(0), part.column(2), pa.array(sizes), pa.array(added[2].astype(np.int64)), pa.array(added[0]), pa.array(added[1]), opened_],
@@ -383,16 +406,25 @@ def _scorer(shared, all_held: bool):
     return scored
 
 
-def _open(texts: list[list[bytes]], starts: np.ndarray, keys: np.ndarray, q: np.ndarray, known: np.ndarray, prior: np.ndarray, all_held: bool) -> pa.Array:
+def _open(found: tuple[list[bytes], np.ndarray], starts: np.ndarray, keys: np.ndarray, q: np.ndarray, known: np.ndarray, prior: np.ndarray, all_held: bool) -> pa.Array:
+    """What has yet to be looked up of each text, equal ones once with their number."""
+    words, which = found
     places = np.flatnonzero(~known if all_held else ~known | (q == 0))
     text = np.searchsorted(starts, places, "right") - 1
-    ask = (q[places] == 0) & (not all_held)
-    found: list[Counter] = [Counter() for _ in texts]
-    for t, i, k, level, x, p, a in zip(text.tolist(), (places - starts[text]).tolist(), keys[places].view(np.int64).tolist(), q[places].tolist(), known[places].tolist(), prior[places].tolist(), ask.tolist(), strict=True):
-        found[t][None if x else texts[t][i], p if x else None, k if a else None, level] += 1
-    columns = [list(x) for x in zip(*chain.from_iterable(((*key, n) for key, n in c.items()) for c in found), strict=True)] or [[]] * 5
-    ends = np.cumsum([0, *map(len, found)])
-    entries = pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(columns, _OPEN.value_type, strict=True)], fields=list(_OPEN.value_type))
+    ask = np.zeros(len(places), bool) if all_held else q[places] == 0
+    # Rows are equal if text, word and level are, and where the pair is asked for its key too.
+    alike = np.stack([text, which[places], q[places], np.where(ask, keys[places].view(np.int64), 0)])
+    order = np.lexsort(alike[::-1])
+    alike, places, ask = alike[:, order], places[order], ask[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(places)), bool), (alike[:, 1:] != alike[:, :-1]).any(axis=0)]))
+    n, places, ask = np.diff(first, append=len(places)), places[first], ask[first]
+    own = known[places]
+    columns = [
+        pa.array([None if x else words[w] for x, w in zip(own.tolist(), which[places].tolist(), strict=True)], pa.binary()), pa.array(prior[places], pa.float64(), mask=~own),
+        pa.array(keys[places].view(np.int64), pa.int64(), mask=~ask), pa.array(q[places], pa.int32()), pa.array(n, pa.int32()),
+    ]
+    entries = pa.StructArray.from_arrays(columns, fields=list(_OPEN.value_type))
+    ends = np.cumsum([0, *np.bincount(alike[0][first], minlength=len(starts))])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
 
 
@@ -400,6 +432,12 @@ def _stands(q: Column) -> Column:
     return F.get(F.array(*[F.lit(float(x) / 2) for x in DOUBLED]), q)
 
 
+def _looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """rows with the columns of table's row of their key, or nulls. Rows without a key, most of all where a filter is full, stay out of the join, where they would meet in one task."""
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in table.schema if f.name != key]
+    return rows.filter(F.col(key).isNotNull()).join(table, key, "left").unionByName(rows.filter(F.col(key).isNull()).select("*", *blank))
+
+
 def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_col: str = "held_out") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -407,8 +445,8 @@ def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id
     first = written(rows.mapInArrow(_scorer(shared, model.left_out is None), _SCORED), "scored")
     asked = first.select("row", F.explode("open").alias("o")).select("row", "o.*")
     if model.left_out is not None:
-        asked = asked.join(model.left_out.select("key", F.col("q").alias("left_q")), "key", "left").withColumn("q", F.coalesce("left_q", "q"))
-    looked_up = asked.join(words.select("word", F.col("n").alias("c"), "doubled"), "word", "left")
+        asked = _looked_up(asked, model.left_out.select("key", F.col("q").alias("left_q")), "key").withColumn("q", F.coalesce("left_q", "q"))
+    looked_up = _looked_up(asked, words.select("word", F.col("n").alias("c"), "doubled"), "word")
     count = F.coalesce("c", F.lit(0))
     share = (count + ADD) / F.lit(model.denominator)
     prior, own = F.coalesce("prior", MU * share), F.col("word").isNotNull()
