@@ -433,6 +433,24 @@ def test_chat_against_brute_force(spark):
     assert got == want
 
 
+def test_chat_long_conversations(spark):
+    """A conversation of many turns, one of it that ends early, one that differs in its last turn, and a turn with a very long text."""
+    turns = [("user" if t % 2 == 0 else "bot", f"turn {t} " + "word " * 20) for t in range(400)]
+    talks = {1: turns, 2: turns[:399], 3: [*turns[:399], ("bot", "other")], 4: [("user", "long " * 200_000)], 5: [("user", "long " * 200_000), ("bot", "yes")]}
+    rows = [(i, t, role, text) for i, talk in talks.items() for t, (role, text) in enumerate(talk)]
+    found = {r["conv_id"]: r for r in chat.collapse(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert set(found) == {1, 3, 5} and found[1]["n_turns"] == 400 and found[5]["n_turns"] == 2
+    assert found[1]["text"].count("<|im_start|>") == 400 and len(found[5]["text"]) > 1_000_000
+
+
+def test_warc_null_url_beside_a_long_payload(spark):
+    long = "<p>é</p>" * 200_000
+    pages = spark.createDataFrame([(1, None, long), (2, None, long), (3, "", long + "x"), (4, None, None), (None, None, None)], "page_id long, url string, html string")
+    found = sorted(((r["page_id"], r["kind"], r["refers_to"], r["payload_bytes"]) for r in warc.captures(spark, warc.write(pages)).collect()), key=str)
+    size = len(long.encode())
+    assert found == sorted([(1, "response", None, size), (2, "revisit", 1, size), (3, "response", None, size + 1), (4, "response", None, 0), (None, "response", None, 0)], key=str)
+
+
 def test_pipeline_against_brute_force(spark, sf_dir, real):
     """Each stage's decision made again in Python."""
     out = corpus_pipeline.run(spark, sf_dir)
