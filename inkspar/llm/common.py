@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,15 +66,21 @@ def only(key: tuple, make: Callable):
     Workers are used again from stage to stage, so tables that operators build there would add up otherwise.
     """
     if key not in _ONLY:
-        _ONLY.clear()
-        gc.collect()
+        release()
         _ONLY[key] = make()
     return _ONLY[key]
 
 
-def release() -> None:
-    """Lets go of what only() keeps: for tasks that need memory and none of it."""
+def release(trim: bool = False) -> None:
+    """Lets go of what only() keeps: for tasks that need memory and none of it. If anything was kept, or with ``trim``, behind work that took much, memory that isn't used any more goes back to the system."""
+    if not _ONLY and not trim:
+        return
     _ONLY.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back is not None:
+        give_back(0)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -148,6 +148,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _sent(held)
             held = {}
     yield from _sent(held)
+    held = {}
+    release(trim=True)
 
 
 def _sent(held: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
@@ -186,6 +188,8 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = {}
     for lang, sizes in held.items():
         yield from _batches(lang, sizes)
+    held = {}
+    release(trim=True)
 
 
 _PARTIAL = "lang string, size int, entry string, n bigint"
@@ -225,6 +229,8 @@ def _summed(text: Column, model: Model, spark) -> Column:
         for texts in batches:
             parts = [_looked_up(word_lists(run), table, logs) for run in _runs(texts, together)]
             yield pa.concat_arrays(parts) if parts else pa.array([], _SUMMED_TYPE)
+            del parts
+        release(trim=True)
 
     return summed(text)
 
