@@ -142,9 +142,9 @@ def sha1_base32(body: Column) -> Column:
 
 
 def equals_latest(bodies: DataFrame, captures: DataFrame) -> DataFrame:
-    """bodies (label, timestamp, original, archive_url, body) with equal: whether the body has the digest of its label's newest capture, and the index lists that digest for it."""
-    newest = captures.groupBy("label").agg(F.max_by("digest", F.struct("timestamp", "original")).alias("__digest"))
-    listed = captures.select("label", "timestamp", "original", "archive_url", F.col("digest").alias("__listed")).distinct()
-    joined = bodies.join(newest, "label", "left").join(listed, ["label", "timestamp", "original", "archive_url"], "left")
-    equal = F.col("__digest").rlike(DIGEST) & (F.col("__digest") == F.col("__listed")) & (sha1_base32(F.col("body")) == F.col("__digest"))
+    """bodies (label, timestamp, original, archive_url, body) with equal: whether the body has the digest of its label's newest capture, and the index lists that digest for it. Of captures of one time and address the greatest digest counts as the newest. Bodies stay as many as they are, however often the index lists their capture."""
+    newest = captures.groupBy("label").agg(F.max(F.struct("timestamp", "original", "digest"))["digest"].alias("__digest"))
+    listed = captures.select("label", "timestamp", "original", "archive_url", F.col("digest").alias("__digest")).distinct().withColumn("__listed", F.lit(True))
+    joined = bodies.join(newest, "label", "left").join(listed, ["label", "timestamp", "original", "archive_url", "__digest"], "left")
+    equal = F.col("__digest").rlike(DIGEST) & F.col("__listed") & (sha1_base32(F.col("body")) == F.col("__digest"))
     return joined.withColumn("equal", F.coalesce(equal, F.lit(False))).drop("__digest", "__listed")

@@ -41,6 +41,23 @@ def test_selection(spark):
     assert sorted((r["archive_url"], bytes(r["body"]), r["equal"]) for r in captures.equals_latest(bodies, listed).collect()) == [("other", body, False), ("u1", body, True), ("u1", b"z", False), ("u3", body, False)]
 
 
+def test_latest_of_a_capture_listed_twice(spark):
+    """A capture that the index lists with two digests gives one row, and counts as listed with the newest one."""
+    body = b"page"
+    digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    listed = rows(spark, [("x", "1", "o", digest, "u1"), ("x", "1", "o", "2" * 32, "u1"), ("x", "1", "o", "-", "u1")])
+    bodies = spark.createDataFrame([("x", "1", "o", "u1", body)], "label string, timestamp string, original string, archive_url string, body binary")
+    assert [r["equal"] for r in captures.equals_latest(bodies, listed).collect()] == [digest > "2" * 32]
+
+
+def test_latest_of_pages_that_share_an_address(spark, tmp_path):
+    from inkspar.plans.sources import latest_equivalent
+
+    pages = spark.createDataFrame([(i, "http://a.example.org/" if i < 9 else None, f"<p>{i % 4}") for i in range(12)], "page_id long, url string, html string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    assert sorted(map(tuple, latest_equivalent(spark, str(tmp_path)).collect())) == [(i, i % 3 == 0) for i in range(12)]
+
+
 def test_ranges_against_brute_force(spark):
     rng = random.Random(3)
     data = [(f, s, s + rng.randrange(1, 40)) for f in range(3) for s in (rng.randrange(2000) for _ in range(60))]
