@@ -12,14 +12,14 @@ from inkspar.functions.html import SILENT, parse
 
 
 def runs(html: Column) -> Column:
-    """The runs of text between tags, without white space at their ends; scripts, styles and empty runs are left out. Null has none."""
+    """The runs of text between tags, without white space at their ends; scripts, styles and empty runs are left out. Null has none. Evaluated once a page, as html.column is."""
 
     @F.arrow_udf("array<string>")
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for pages in batches:
             yield pa.array([[t for t in (piece.strip() for piece, _ in parse(x.as_py()).leaves(SILENT)) if t] for x in pages], pa.list_(pa.string()))
 
-    return found(html)
+    return found.asNondeterministic()(html)
 
 
 def unmapped(shown: DataFrame, held: DataFrame, key: str, known: tuple[str, ...] = ()) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 from inkspar.functions import html, legacy
 
 BASE = "https://www.example.org/x/"
@@ -24,6 +26,22 @@ def test_references_without_a_semicolon(spark, tmp_path):
     assert html.text(html.parse("a &amp</p>b")) == "a &b"
 
 
+def test_plain_pages_have_the_librarys_tree():
+    """Pages of random pieces: where the short way is taken, its tree is that of the library's parser."""
+    pieces = ["<p>", "</p>", '<b class="x y">', "</b>", "<br>", "a", "&amp;", "&copy", "&", " ;", "<", ">", '<a href="/x?a=1" id="q">', "</a>", '<a href="/?a=1&b=2">', "</ul>", "<script>", "</script>", "<P>", "<!-- c -->", "<p/>", "<title>", '<p  a="1" a="2">', "<p a=1>", '<q a="1"b="2">', "<noscript>"]
+    shape = lambda n: (n.tag, list(n.attrs.items()), [c if isinstance(c, str) else shape(c) for c in n.children])
+    draw, short = random.Random(5), 0
+    for _ in range(5_000):
+        page = "".join(draw.choices(pieces, k=draw.randint(0, 7)))
+        whole = html._Builder()
+        whole.feed(page)
+        whole.close()
+        plain = html._plain(page)
+        short += plain is not None
+        assert plain is None or shape(plain) == shape(whole.root), page
+    assert short > 1_000
+
+
 def test_fragment():
     made = html.fragment(html.parse('<div class=x><span style="font-weight: bold">a</span><font color=RED>b</font><font>c</font><img src=i><a href="/y?a=1&b=2" onclick=z>d</a><a href="javascript:1">e</a><form>f</form>&lt;g</div>'), BASE)
     assert made == '<div><strong>a</strong><strong>b</strong>c<a href="https://www.example.org/y?a=1&amp;b=2">d</a><a>e</a>&lt;g</div>'

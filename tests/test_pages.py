@@ -1,5 +1,6 @@
 import hashlib
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,6 +52,22 @@ def test_index(spark):
     assert [bool(r["r"]["error"]) for r in df.collect()] == [False, True]
 
 
+@pytest.mark.parametrize("name", ["scan_entry_html", "extract_sections", "unmapped_text", "unclassified_cards", "html_fragment", "sink_markdown", "split_multi_entry", "header_section", "scan_record_yaml"])
+def test_rows_of_one_small_file_are_dealt_out_before_python(spark, name, tmp_path):
+    """Each row is parsed once, behind a shuffle into as many tasks as the rows ask for: one file of a few MB would be one task."""
+    import __spark_entry__ as entry
+
+    spark.range(11_000).selectExpr("id AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "'t' AS p_type", "1 AS p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(9_000).selectExpr("id AS s_suppkey", "'n' AS s_name", "1L AS s_nationkey").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(110_000).selectExpr("id AS event_id").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    plan = entry.queries()[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    nodes = re.findall(r"(ArrowEvalPython|Exchange hashpartitioning\(\w+#\d+L, \d+\), REPARTITION_BY_NUM|FileScan)", plan)
+    python = [i for i, n in enumerate(nodes) if n == "ArrowEvalPython"]
+    assert len(python) == (2 if name in ("split_multi_entry", "sink_markdown") else 1)
+    assert all(any(n.startswith("Exchange") for n in nodes[i : nodes.index("FileScan", i)]) for i in python)
+    assert not re.search(r"hashpartitioning\(\w+#\d+L, 1\), REPARTITION_BY_NUM", plan)
+
+
 LICENCE = '<a href="https://creativecommons.org/licenses/by-sa/2.0/">l</a>'
 
 
