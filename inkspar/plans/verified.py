@@ -112,7 +112,7 @@ def verify_dump_inventory(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 20_000).alias("file"), "event_id", line.alias("line"), F.lit(root).alias("root"))
     rows.groupBy("file").applyInPandas(_index_file(5_000), "file long").write.format("noop").mode("overwrite").save()
     lines = cdx.member_lines(spark, root, 40_000)
-    scoped = cdx.line_rows(lines, SCOPE, "20240101000000", "20251231235959", "c.warc.gz")
+    scoped = shared.stored(cdx.line_rows(lines, SCOPE, "20240101000000", "20251231235959", "c.warc.gz"), "scoped")
     rebuilt = cdx.first_lines(scoped.filter("sound"))
     # The stored inventory: as an index without faults gives it, changed here and there.
     events = table(spark, sf_dir, "events").filter("event_id % 4 <> 0 AND event_id % 997 <> 5").select(F.concat(F.lit("te"), F.col("user_id").cast("string")).alias("label"), stamp.alias("timestamp"), "event_id")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkspar.functions.urls import Scope, label_column, quoted
+from inkspar.operators import shared
 from inkspar.operators.normalize import assert_none
 from inkspar.sources import gzindex
 
@@ -92,8 +93,10 @@ def line_captures(found: DataFrame, scope: Scope, first: str, last: str, contain
 
 
 def member_lines(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
-    """(place, fields) of gzip index files of many members, read by many tasks; place is (file, member, line). Each file must open with the header."""
-    pieces = gzindex.pieces(spark, path, split_bytes or gzindex.SPLIT_BYTES)
+    """(place, fields) of gzip index files of many members, read by many tasks; place is (file, member, line). Each file must open with the header.
+
+    The files are unpacked once, into the folder that driver and executors share; their checks and lines are read from there."""
+    pieces = shared.stored(gzindex.pieces(spark, path, split_bytes or gzindex.SPLIT_BYTES), "pieces")
     found = gzindex.lines(pieces).select(F.struct("file", "member", F.col("place").alias("line")).alias("place"), F.trim("line").alias("value"))
     opens = (F.col("place.member") == 0) & (F.col("place.line") == 0)
     assert_none([("index files without the header", found.filter(opens & (F.col("value") != HEADER)))])

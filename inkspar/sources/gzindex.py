@@ -153,5 +153,7 @@ def lines(found: DataFrame) -> DataFrame:
     stitched = F.concat("piece", F.coalesce("head", F.lit(b"")))
     joined = crossing.select("file", "member", "place", F.when(long, F.raise_error(F.lit("a line over more than two members")).cast("binary")).otherwise(stitched).alias("piece"))
     continued = open_ends.select("file", F.col("member_end").alias("member"), F.lit(0).cast("long").alias("place"))
-    whole = found.filter("ended").select("file", "member", "place", "piece").join(continued, ["file", "member", "place"], "left_anti")
-    return whole.unionByName(joined).select("file", "member", "place", F.decode("piece", "UTF-8").alias("line"))
+    # Only a member's first line can be a continued one, so no other meets the join.
+    closed = found.filter("ended").select("file", "member", "place", "piece")
+    firsts = closed.filter("place = 0").join(continued, ["file", "member", "place"], "left_anti")
+    return closed.filter("place > 0").unionByName(firsts).unionByName(joined).select("file", "member", "place", F.decode("piece", "UTF-8").alias("line"))

@@ -373,3 +373,13 @@ def test_snapshot_of_a_backup(spark, tmp_path):
             read(good, change)
     with pytest.raises(ValueError, match="break a bound"):
         archive.read_archive_snapshot(spark, str(tmp_path / "records"), f"file://{tmp_path}/index", str(tmp_path / "stored"), scope, archive.Container("c.warc.gz", "20150225000000", "20150302235959"))
+
+
+def test_index_files_are_unpacked_once(spark, tmp_path):
+    """All checks and readers of an index's lines share one reading of its members."""
+    text = "\n".join([cdx.HEADER, *(f"k {i} c" for i in range(200))]).encode() + b"\n"
+    (tmp_path / "a.gz").write_bytes(b"".join(gzip.compress(text[i : i + 300]) for i in range(0, len(text), 300)))
+    lines = cdx.member_lines(spark, f"file://{tmp_path}")
+    assert sorted(int(r["fields"][1]) for r in lines.collect()) == list(range(200))
+    (tmp_path / "a.gz").unlink()
+    assert lines.filter("size(fields) = 3").count() == 200
