@@ -8,6 +8,8 @@ only, level by level, and rows are read and joined below differing leaves alone.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,14 +51,22 @@ def differing(a: DataFrame, b: DataFrame, depth: int = DEPTH) -> DataFrame:
 
 
 def named(a: DataFrame, b: DataFrame, leaves: DataFrame, key: list[str], depth: int = DEPTH) -> DataFrame:
-    """The key and outcome (missing: not in b, unexpected: not in a, changed) of the rows below differing leaves; equal ones are left out."""
+    """The key and outcome (missing: not in b, unexpected: not in a, changed) of the rows below differing leaves; equal ones are left out.
+
+    Rows of both tables are added up by their key in one aggregation, a's with one sign and b's with the other, so no row meets another in a join and what is shuffled of a row is its key
+    and seven numbers. Hashes are added in pieces of 30 bits, which keep far from a long's bounds. The leaves, at most 16^depth, are broadcast.
+    """
+    below = F.broadcast(leaves.filter(F.col("level") == depth).select("prefix"))
     rows = []
-    for df, name in ((a, "a"), (b, "b")):
-        below = hashed(df, key).withColumn("prefix", F.substring("__at", 1, depth)).join(leaves.filter(F.col("level") == depth).select("prefix"), "prefix", "left_semi")
-        rows.append(below.groupBy("__at").agg(*[F.first(k).alias(f"{name}_{k}") for k in key], F.struct(F.count("*"), F.sum("__one"), F.sum("__two")).alias(name)))
-    outcome = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "unexpected").when(F.col("a") != F.col("b"), "changed")
-    joined = rows[0].join(rows[1], "__at", "full").withColumn("outcome", outcome).filter("outcome IS NOT NULL")
-    return joined.select(*[F.coalesce(f"a_{k}", f"b_{k}").alias(k) for k in key], "outcome")
+    for df, sign in ((a, 1), (b, -1)):
+        kept = hashed(df, key).withColumn("prefix", F.substring("__at", 1, depth)).join(below, "prefix", "left_semi")
+        pieces = [piece for half in (F.col("__one").cast("long"), F.col("__two").cast("long")) for piece in (F.shiftright(half, 30), half.bitwiseAND((1 << 30) - 1))]
+        rows.append(kept.select(*key, F.lit(sign).alias("__sign"), *[piece.alias(f"__piece{i}") for i, piece in enumerate(pieces)]))
+    both = rows[0].unionByName(rows[1])
+    counted = both.groupBy(*key).agg(F.count_if(F.col("__sign") > 0).alias("__a"), F.count_if(F.col("__sign") < 0).alias("__b"), *[F.sum(F.col("__sign") * F.col(f"__piece{i}")).alias(f"__piece{i}") for i in range(4)])
+    differs = reduce(lambda x, y: x | y, [F.col(f"__piece{i}") != 0 for i in range(4)], F.col("__a") != F.col("__b"))
+    outcome = F.when(F.col("__b") == 0, "missing").when(F.col("__a") == 0, "unexpected").when(differs, "changed")
+    return counted.select(*key, outcome.alias("outcome")).filter("outcome IS NOT NULL")
 
 
 def compared(a: DataFrame, b: DataFrame, key: list[str], depth: int = DEPTH) -> DataFrame:

@@ -383,3 +383,14 @@ def test_index_files_are_unpacked_once(spark, tmp_path):
     assert sorted(int(r["fields"][1]) for r in lines.collect()) == list(range(200))
     (tmp_path / "a.gz").unlink()
     assert lines.filter("size(fields) = 3").count() == 200
+
+
+def test_named_rows_meet_without_a_join(spark):
+    """Rows below differing leaves are added up, a repeated or null key too, and only the leaves are broadcast to them."""
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y"), (None, "n"), (4, "same")], "k int, v string")
+    b = spark.createDataFrame([(1, "x2"), (2, "y"), (None, "m"), (3, "z"), (4, "same")], "k int, v string")
+    leaves = hashtree.differing(hashtree.tree(a, ["k"], 1), hashtree.tree(b, ["k"], 1), 1)
+    found = hashtree.named(a, b, leaves, ["k"], 1)
+    assert {tuple(r) for r in found.collect()} == {(1, "changed"), (2, "changed"), (None, "changed"), (3, "unexpected")}
+    plan = hashtree.named(a, b, spark.createDataFrame([(1, "a")], "level int, prefix string"), ["k"], 1)._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" not in plan and plan.count("BroadcastHashJoin") == 2
