@@ -1,6 +1,10 @@
+import gc
 import random
 
+import pytest
+
 from inkspar.functions import html, legacy
+from inkspar.sources import pages
 
 BASE = "https://www.example.org/x/"
 
@@ -69,3 +73,27 @@ def test_legacy_encodings():
     text, _, repairs = legacy.decode(head + b'<a href="x?t=\x81\xff">')
     assert 'href="x?t=%81%FF"' in text and repairs[0]["original_bytes_hex"] == b"x?t=\x81\xff".hex()
     assert legacy.decode(head + b"\x81\xff<b>")[2][0]["encoding"] == "cp932-with-undecodable-bytes"
+
+
+def test_trees_are_freed_without_the_collector():
+    """Millions of pages are parsed in a worker: a tree goes with its page, and isn't left to Python's collector."""
+    page = '<div id="editable_Main_1"><div class="GrammarPartMainDiv"><div><a>t</a><span>s</span></div></div></div>'
+    site = pages.Site("example", "site.example.org", "/g/")
+    gc.collect()
+    gc.disable()
+    try:
+        assert pages.entry(page, 1, site, None)["title"] == "t"
+        with pytest.raises(pages.Refused):
+            pages.entry(page, 2, site, None)
+        assert not [x for x in gc.get_objects() if isinstance(x, html.Node)]
+    finally:
+        gc.enable()
+
+
+def test_tags_that_come_again_are_read_once():
+    html._known_tag.cache_clear()
+    tree = html.parse('<b class="x y">a</b>' * 100)
+    assert html._known_tag.cache_info().misses == 2
+    assert [n.classes() for n in tree.walk()] == [["x", "y"]] * 100
+    html.parse(f'<b class="{"x" * 1_000}">a</b>')
+    assert html._known_tag.cache_info().currsize == 2, "long tags aren't kept"
