@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import json
 import random
+import re
 
 import pyarrow as pa
 import pytest
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from inkspar import __main__ as cli
 from inkspar import archive
 from inkspar.operators import gates, hashtree, history, inventories, verification
+from inkspar.plans import verified
 from inkspar.sources import cdx, gzindex, objects, published, records
 from tests.test_archive import written
 from tests.test_pages import CAPTURE, LICENCE, legacy
@@ -394,3 +396,17 @@ def test_named_rows_meet_without_a_join(spark):
     assert {tuple(r) for r in found.collect()} == {(1, "changed"), (2, "changed"), (None, "changed"), (3, "unexpected")}
     plan = hashtree.named(a, b, spark.createDataFrame([(1, "a")], "level int, prefix string"), ["k"], 1)._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" not in plan and plan.count("BroadcastHashJoin") == 2
+
+
+def test_hashes_stay_out_of_joins_by_label(spark):
+    """What is compared by key is said there: no hash goes through the joins with the inventory."""
+    t = verified._audited(spark, "/root/testdata/sf0.001")
+    found = verification.findings(t["records"], t["extracted"], t["states"].limit(5), t["holds"], t["captures"], t["cached"], "event_id")
+    joins, ahead = [], [found._jdf.queryExecution().sparkPlan()]
+    while ahead:
+        node = ahead.pop()
+        kids = [node.children().apply(i) for i in range(node.children().size())]
+        ahead += kids
+        if "Join" in node.nodeName() and re.search(r"\[label#", node.toString().split("\n")[0]):
+            joins.append(" ".join(k.output().mkString(",") for k in kids))
+    assert len(joins) == 2 and not any("sha256" in names or "again" in names or "state" in names for names in joins)
