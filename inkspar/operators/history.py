@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from inkspar.operators import shared
 from inkspar.operators.gates import PARSED
 
 #: Time ranges that an as-of join is cut into.
@@ -17,6 +18,7 @@ def as_of(left: DataFrame, right: DataFrame, by: str, at: str, since: str, field
     Times are whole numbers. They are cut into ranges of about equal numbers of rows, and a key's rows of one range are sorted by themselves; a last row of each
     range is carried to the following ones, so of a key with most of all rows no task gets more than a range. Of rows of right that began at one time that with the
     greatest fields holds. Rows of left that repeat stay as often; those with a null key or time get null fields.
+    left is read three times, so one that takes work should be stored before.
     """
     taken = set(left.columns)
     if taken & set(fields):
@@ -32,7 +34,8 @@ def as_of(left: DataFrame, right: DataFrame, by: str, at: str, since: str, field
     carried = last.select("__by", "__range", F.last("__last", ignorenulls=True).over(Window.partitionBy("__by").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"))
     order = Window.partitionBy("__by", "__range").orderBy("__t", "__kind", "__value").rowsBetween(Window.unboundedPreceding, 0)
     within = both.withColumn("__found", F.last("__value", ignorenulls=True).over(order)).filter("__kind = 1")
-    joined = within.join(carried, within["__by"].eqNullSafe(carried["__by"]) & (within["__range"] == carried["__range"]), "left").withColumn("__held", F.coalesce("__found", F.col("__carry")["__value"]))
+    # a null key has nothing to be carried; plain keys are those that the rows are dealt out by already
+    joined = within.join(carried, ["__by", "__range"], "left").withColumn("__held", F.coalesce("__found", F.col("__carry")["__value"]))
     timed = F.col("__left")[at].isNotNull() & F.col("__left")[by].isNotNull()
     return joined.select(*[F.col("__left")[c].alias(c) for c in left.columns], *[F.when(timed, F.col("__held")[f]).alias(f) for f in fields])
 
@@ -44,9 +47,10 @@ def observations(records: DataFrame, captures: DataFrame, inventories: DataFrame
     captures, the inventory of now: label, timestamp, original, archive_url, digest; inventories: label, seen_at, newest (timestamp); states: key, stated_at,
     status, stated_sha256. A record is bound to the newest capture that the inventory of its check knew; where that of now knows another, the choice has to be made again.
     """
+    records = shared.stored(records, "observed")
     newest = captures.groupBy("label").agg(F.max("timestamp").alias("__now"))
     listed = captures.select("label", "timestamp", "original", "archive_url", "digest").distinct().withColumn("__listed", F.lit(True))
-    then = as_of(records, inventories, "label", "checked_at", "seen_at", ["newest"])
+    then = shared.stored(as_of(records, inventories, "label", "checked_at", "seen_at", ["newest"]), "bound")
     stated = as_of(then, states, key, "checked_at", "stated_at", ["status", "stated_sha256"])
     joined = stated.join(newest, "label", "left").join(listed, ["label", "timestamp", "original", "archive_url", "digest"], "left")
     outcome = (

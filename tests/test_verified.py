@@ -398,6 +398,14 @@ def test_named_rows_meet_without_a_join(spark):
     assert "FullOuter" not in plan and plan.count("BroadcastHashJoin") == 2
 
 
+def test_each_history_is_joined_once(spark):
+    """The as-of joins before the last one are stored: read again, each would make all those before it three times."""
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["earlier_observations"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Window \[", plan)) == 2
+
+
 def test_hashes_stay_out_of_joins_by_label(spark):
     """What is compared by key is said there: no hash goes through the joins with the inventory."""
     t = verified._audited(spark, "/root/testdata/sf0.001")
