@@ -1,5 +1,6 @@
 import gc
 import random
+import time
 
 import pytest
 
@@ -97,3 +98,44 @@ def test_tags_that_come_again_are_read_once():
     assert [n.classes() for n in tree.walk()] == [["x", "y"]] * 100
     html.parse(f'<b class="{"x" * 1_000}">a</b>')
     assert html._known_tag.cache_info().currsize == 2, "long tags aren't kept"
+
+
+def test_trees_of_other_pages_are_freed_too():
+    """A page that the short way gives up leaves nothing of the tree that was begun."""
+    site = pages.Site("example", "site.example.org", "/g/")
+    page = '<div id="editable_Main_1"><div class="GrammarPartMainDiv"><div><a>t</a></div></div></div><!-- c --><p a=1>'
+    gc.collect()
+    gc.disable()
+    try:
+        assert pages.entry(page, 1, site, None)["title"] == "t"
+        assert not [x for x in gc.get_objects() if isinstance(x, html.Node)]
+    finally:
+        gc.enable()
+
+
+def test_reading_takes_no_longer_by_depth_or_width():
+    """Runs of text don't climb the elements around each of them, and a footer doesn't ask all its neighbours whether it is the last."""
+    deep = html.parse('<b style="color:#00b060">x' * 10_000)
+    wide = html.parse("<div>" + '<p class="foot"></p>' * 10_000 + "</div>")
+    begun = time.process_time()
+    assert html.segments(deep) == [{"text": "x" * 10_000, "grammar_highlight": True}]
+    assert html.credit(wide, ("foot",)) is None
+    assert time.process_time() - begun < 1
+
+
+def test_marks_follow_the_page():
+    """Marks come in the page's order, each with the blocks and comments around it, whichever way the page was parsed."""
+    plain = '<div id="editable_A_1"><a href="/x"><div class="GrammarPartDiv"></div></a><div id="GrammarCommentsDiv"><div class="GrammarPartDiv y"></div></div></div><div class="GrammarPartJapDiv"></div>'
+    shape = lambda marks: [(m.role, m.kind, m.number, [a.role for a in m.around], len(m.cards), len(m.forms)) for m in marks]
+    wanted = [("block", "A", 1, [], 2, 0), ("link", "", -1, ["block"], 0, 0), ("card", "", -1, ["block"], 0, 0), ("comments", "", -1, ["block"], 1, 0), ("card", "", -1, ["block", "comments"], 0, 0), ("form", "", -1, [], 0, 0)]
+    assert html._plain(plain) is not None and html._plain(plain + "<!-- c -->") is None
+    for page in (plain, plain + "<!-- c -->", "<!-- c -->" + plain):
+        assert shape(pages.outline(html.nodes(page))) == wanted
+
+
+def test_addresses_that_come_again_are_read_once():
+    site = pages.Site("example", "site.example.org", "/g/")
+    page = '<div id="editable_Main_1"><div class="GrammarPartMainDiv"><div><a>t</a></div></div></div>' + '<a href="/g/5/">x</a><a href="/h/5/">y</a>' * 50
+    pages._known_target.cache_clear()
+    assert pages.entry(page, 1, site, None)["related_entries"] == [{"target_id": 5, "label": "x", "source_url": "https://site.example.org/g/5/"}] * 50
+    assert pages._known_target.cache_info().misses == 2
