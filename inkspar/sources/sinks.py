@@ -81,8 +81,12 @@ def write_sqlite(found: dict[str, DataFrame], path: str, schema_version: int = 3
     return counts
 
 
+_MARKUP = re.compile(r"[\\`*_{}\[\]<>#|]")
+
+
 def _plain(text: object) -> str:
-    return re.sub(r"([\\`*_{}\[\]<>#|])", r"\\\1", str(text or "")).replace("\r", "")
+    shown = str(text or "").replace("\r", "")
+    return _MARKUP.sub(r"\\\g<0>", shown) if _MARKUP.search(shown) else shown
 
 
 def page_path(record: dict) -> str:
@@ -119,13 +123,13 @@ def render(record: dict) -> str:
 
 
 def rendered(record_json: Column) -> Column:
-    """Struct (path, body) of records given as JSON text."""
+    """Struct (path, body) of records given as JSON text; both null where there is no record."""
     import pandas as pd
     from pyspark.sql.types import StringType, StructField, StructType
 
     def run(rows: pd.Series) -> pd.DataFrame:
-        loaded = [json.loads(x) for x in rows]
-        return pd.DataFrame({"path": [page_path(r) for r in loaded], "body": [render(r) for r in loaded]})
+        loaded = [None if x is None else json.loads(x) for x in rows]
+        return pd.DataFrame([(None, None) if r is None else (page_path(r), render(r)) for r in loaded], columns=["path", "body"])
 
     run.__annotations__ = {"rows": pd.Series, "return": pd.DataFrame}
     return F.pandas_udf(run, StructType([StructField("path", StringType()), StructField("body", StringType())]))(record_json)

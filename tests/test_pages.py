@@ -232,3 +232,13 @@ def test_streaming(spark, tmp_path, sf_dir):
     query.processAllAvailable()
     query.stop()
     assert sorted(map(tuple, spark.sql("SELECT * FROM newest").collect())) == sorted(map(tuple, captures.newest_by_label(spark.read.parquet(source)).collect()))
+
+
+def test_refused_pages_have_no_markdown(spark, tmp_path):
+    """A page without a title is refused; it ends no job, and its row has neither a path nor a text. Signs of markup stay behind a backslash."""
+    import __spark_entry__ as entry
+
+    spark.createDataFrame([(5, "n", "b", "t", 1), (6, " ", "b", "t", 1)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    found = entry.queries()["sink_markdown"](spark, str(tmp_path)).orderBy("p_partkey").collect()
+    assert [(r["p_partkey"], r["path"], r["managed"], r["body_sha256"] is None) for r in found] == [(5, "n1/5.md", True, False), (6, None, False, True)]
+    assert sinks.render({"title": "a\r#[b]\\_"}).startswith("# a\\#\\[b\\]\\\\\\_\n")
