@@ -19,7 +19,7 @@ def audit_current(spark, sf_dir):
     n = F.col("p_partkey") % 8
     level = F.when((F.col("p_size") % 7).between(1, 5), (F.col("p_size") % 7).cast("int"))
     stored = table(spark, sf_dir, "part").select("p_partkey", F.when(n == 0, F.concat("p_name", F.lit("!"))).otherwise(F.col("p_name")).alias("title"), F.when(n == 1, "x").otherwise(F.col("p_type")).alias("meaning"), F.when(n == 2, F.coalesce(level, F.lit(0)) + 1).otherwise(level).alias("jlpt_level"))
-    return audits.reextracted(stored, entries(spark, sf_dir), "p_partkey", ["title", "meaning", "jlpt_level"])
+    return audits.reextracted(stored, entries(spark, sf_dir, "title string, meaning string, jlpt_level int"), "p_partkey", ["title", "meaning", "jlpt_level"])
 
 
 @PLANS.query("""SELECT p_partkey, CASE WHEN p_partkey = 0 THEN 'missing' WHEN p_partkey % 6 = 0 THEN 'japanese' WHEN p_partkey % 6 = 1 THEN 'translation' ELSE 'equal' END AS outcome FROM part""")
@@ -28,7 +28,8 @@ def audit_entry_content(spark, sf_dir):
     n = F.col("p_partkey") % 6
     whole = F.concat("p_name", "p_type")
     stored = table(spark, sf_dir, "part").select("p_partkey", F.when(n == 0, F.concat(whole, F.lit("?"))).otherwise(whole).alias("japanese"), F.col("p_brand").alias("reading"), F.when(n == 1, "x").otherwise(F.col("p_type")).alias("translation"))
-    found = entries(spark, sf_dir).select("p_partkey", F.explode("examples").alias("x")).select("p_partkey", "x.japanese", "x.reading", F.get("x.translations", F.lit(0))["text"].alias("translation"))
+    pages = entries(spark, sf_dir, "examples array<struct<japanese: string, reading: string, translations: array<struct<text: string>>>>")
+    found = pages.select("p_partkey", F.explode("examples").alias("x")).select("p_partkey", "x.japanese", "x.reading", F.get("x.translations", F.lit(0))["text"].alias("translation"))
     return audits.reextracted(stored, found, "p_partkey", ["japanese", "reading", "translation"])
 
 

@@ -4,6 +4,7 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from inkspar.functions.urls import Scope
 from inkspar.operators import normalize, omissions
@@ -52,6 +53,45 @@ def test_index(spark):
     assert [bool(r["r"]["error"]) for r in df.collect()] == [False, True]
 
 
+def test_only_fields_that_are_asked_for_are_made(spark, monkeypatch):
+    """They are those of the whole record, and a page is refused whatever is asked for, by the same fault."""
+    whole = pages.entry(ENTRY, 7, SITE, "now")
+    schema = StructType.fromDDL("title string, comments array<struct<text: string>>, sections array<struct<kind: string, credits_raw: string>>, examples array<struct<japanese: string, translations: array<struct<language: string>>>>")
+    fields = pages.asked(schema)
+    assert fields["examples"] == {"japanese", "translations"} and fields["examples.translations"] == {"language"}
+    wanted = {
+        "title": "Title", "sections": [{k: s[k] for k in ("kind", "credits_raw")} for s in whole["sections"]], "examples": [{"japanese": "jahi", "translations": [{"language": "en"}]}],
+        "comments": [{"text": c["text"]} for c in whole["comments"]],
+    }
+    bad = [ENTRY.replace(*change) for change in [("Title ", ""), ("editable_Story_4", "editable_Story"), ("editable_Phrase_0", "editable_Phrase_9"), ("<div>Bob</div>", "<div>a</div><div>b</div>"), ("<div>story</div>", '<div><a href="http://[x/">s</a></div><div id="editable_Phrase_9">')]]
+    asked = pages.entry_column(F.col("h"), F.lit(7), F.lit("now"), SITE, schema).alias("r")
+    made, *refused = (row["r"] for row in spark.createDataFrame([(h,) for h in (ENTRY, *bad)], "h string").coalesce(1).select(asked).collect())
+    assert json.loads(made["record_json"]) == wanted
+    for page, row in zip(bad, refused, strict=True):
+        with pytest.raises(ValueError) as fault:
+            pages.entry(page, 7, SITE, "now")
+        assert (row["record_json"], row["error"]) == (None, str(fault.value))
+
+    def unasked(*_):
+        raise AssertionError("made without being asked for")
+
+    for name in ("fragment", "segments", "date_marks"):
+        monkeypatch.setattr(pages, name, unasked)
+    assert pages.entry(ENTRY, 7, SITE, "now", fields=fields) == wanted
+
+
+@pytest.mark.parametrize("name", ["extract_comments", "extract_examples", "extract_sections", "audit_entry_content", "audit_current", "extract_relations"])
+def test_a_query_asks_for_the_fields_that_it_reads(spark, name, tmp_path, monkeypatch):
+    import __spark_entry__ as entry
+
+    spark.range(3).selectExpr("id AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "'t' AS p_type", "1 AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    asked, column = [], pages.entry_column
+    monkeypatch.setattr(pages, "entry_column", lambda *a: asked.append(a[-1].names) or column(*a))
+    assert entry.queries()[name](spark, str(tmp_path)).count() == (2 if name == "extract_examples" else 3)
+    wanted = {"extract_comments": ["comments"], "extract_sections": ["sections"], "audit_current": ["title", "meaning", "jlpt_level"], "extract_relations": ["related_entries"]}
+    assert asked == [wanted.get(name, ["examples"])]
+
+
 @pytest.mark.parametrize("name", ["scan_entry_html", "extract_sections", "unmapped_text", "unclassified_cards", "html_fragment", "sink_markdown", "split_multi_entry", "header_section", "scan_record_yaml"])
 def test_rows_of_one_small_file_are_dealt_out_before_python(spark, name, tmp_path):
     """Each row is parsed once, behind a shuffle into as many tasks as the rows ask for: one file of a few MB would be one task."""
